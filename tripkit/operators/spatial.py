@@ -59,15 +59,14 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str, y: str, rings:
     return p.join(cells, cond, how).drop("_px", "_py", "_cx", "_cy", "_bb", "_rings")
 
 
-def within_named(points: DataFrame, polygons: DataFrame, name_col: str, name: str,
-                 x: str, y: str, rings: str = "rings", out: str | None = None) -> DataFrame:
-    """J2 scalar form: flag (or filter, when ``out`` is None) points inside one named polygon.
+def within(points: DataFrame, rings, x: str, y: str, out: str | None = None) -> DataFrame:
+    """J2 scalar form: filter (``out=None``) or flag points strictly inside one polygon.
 
-    The single polygon arrives as an uncorrelated scalar subquery: one row,
-    proven size, no join.
+    ``rings`` is a polygon Column that does not depend on the row, e.g.
+    ``parse_wkt(lit(wkt))`` for a named literal polygon: Catalyst folds it to
+    a constant, so there is no join at all.
     """
-    poly = polygons.filter(F.col(name_col) == name).select(rings).scalar()
-    inside = geo.point_in(F.col(x), F.col(y), poly)
+    inside = geo.point_in(F.col(x), F.col(y), col_of(rings))
     if out is None:
         return points.filter(inside)
     return points.withColumn(out, inside)
