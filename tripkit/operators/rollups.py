@@ -81,21 +81,26 @@ def weighted_means(df: DataFrame, keys, cols: Sequence[str], weight: str,
     return df.groupBy(*cols_of(keys)).agg(*aggs)
 
 
-def weighted_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], keys: Sequence[str],
-                           cols: Sequence[str], weight: str, missing=-1,
-                           total: str | None = None) -> DataFrame:
-    """GROUPING SETS with weighted means; a rolled-up key is written as
-    ``missing`` (not null) so real null ids stay distinguishable (trap T25)."""
-    view = f"_gs_{abs(hash((tuple(map(tuple, sets)), tuple(cols))))}"
+def weighted_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], cols: Sequence[str],
+                           weight: str, missing=-1, sums: Sequence[str] = ()) -> DataFrame:
+    """GROUPING SETS with weighted means (F13) and plain sums.
+
+    A key that some set rolls up is written as ``missing`` (not null) on the
+    rolled-up rows, so real null ids stay distinguishable (trap T25). One
+    Expand + partial/final aggregate: a single shuffle for all sets.
+    """
+    keys = list(dict.fromkeys(k for s_ in sets for k in s_))
+    always = set(keys).intersection(*map(set, sets))
+    view = f"_gs_{abs(hash((tuple(map(tuple, sets)), tuple(cols), weight)))}"
     df.createOrReplaceTempView(view)
-    gsets = ", ".join("(" + ", ".join(s) + ")" for s in sets)
-    kexprs = ", ".join(f"CASE WHEN grouping({k}) = 1 THEN {missing} ELSE {k} END AS {k}" for k in keys)
-    aggs = ", ".join(
-        f"try_divide(sum({weight} * {c}), CAST(sum(CASE WHEN {c} IS NOT NULL THEN {weight} END) AS DOUBLE)) AS {c}"
-        for c in cols)
-    tot = f", sum({weight}) AS {total}" if total else ""
+    gsets = ", ".join("(" + ", ".join(s_) + ")" for s_ in sets)
+    kexprs = ", ".join(k if k in always else f"CASE WHEN grouping({k}) = 1 THEN {missing} ELSE {k} END AS {k}"
+                       for k in keys)
+    aggs = [f"try_divide(sum({weight} * {c}), CAST(sum(CASE WHEN {c} IS NOT NULL THEN {weight} END) AS DOUBLE)) AS {c}"
+            for c in cols]
+    aggs += [f"sum({c}) AS {c}" for c in sums]
     return df.sparkSession.sql(
-        f"SELECT {kexprs}, {aggs}{tot} FROM {view} GROUP BY GROUPING SETS ({gsets})")
+        f"SELECT {kexprs}, {', '.join(aggs)} FROM {view} GROUP BY GROUPING SETS ({gsets})")
 
 
 def histogram(df: DataFrame, c, width: float, keys=(), out: str = "n", offset: float = 0.0,
