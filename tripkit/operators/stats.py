@@ -73,6 +73,14 @@ def weighted_ols(df: DataFrame, y: Column, numeric: dict, factors: dict, weight:
         d, names = dummy_columns(d, f, levels)
         terms.extend(names)
     d = d.select("_y", weight, *terms).na.drop()
+    # Drop constant dummy columns (a level absent from the data, or a factor
+    # with one level present): they make the normal equations singular; R's
+    # lm marks such terms aliased. One aggregate row of 2k values decides.
+    dummies = [t for t in terms if t not in numeric]
+    if dummies:
+        rng = d.agg(*[F.max(t).alias(f"max_{t}") for t in dummies],
+                    *[F.min(t).alias(f"min_{t}") for t in dummies]).first()
+        terms = [t for t in terms if t in numeric or rng[f"max_{t}"] != rng[f"min_{t}"]]
     feats = VectorAssembler(inputCols=terms, outputCol="_features").transform(d)
     lr = LinearRegression(featuresCol="_features", labelCol="_y", weightCol=weight,
                           solver="normal", regParam=0.0, elasticNetParam=0.0, standardization=False)
@@ -145,7 +153,9 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
     """K5/K7/K8: exact P(a < b) over all (a, b) pairs of each bucket (strict: ties are not wins).
 
     Output per bucket: n_a, n_b, win_rate, mean margins by winner (null when a
-    side never wins), mean values. Buckets need >= ``min_obs`` of each side.
+    side never wins; as in the sampled version, a pair that ``a`` does not
+    win, ties included, counts for ``b``), mean values. Buckets need >=
+    ``min_obs`` of each side.
     """
     dims = names_of(dims)
     vc = _value_counts(df, dims, mode, a, b, value)
@@ -177,7 +187,7 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
         F.col("N_a").cast("bigint").alias("n_a"), F.col("N_b").cast("bigint").alias("n_b"),
         (F.col("a_wins") / (F.col("N_a") * F.col("N_b"))).alias("win_rate"),
         F.try_divide(F.col("a_margin"), F.col("a_wins")).alias("mean_margin_a_wins"),
-        F.try_divide(F.col("b_margin"), F.col("b_wins")).alias("mean_margin_b_wins"),
+        F.try_divide(F.col("b_margin"), F.col("N_a") * F.col("N_b") - F.col("a_wins")).alias("mean_margin_b_wins"),
         (F.col("S_a") / F.col("N_a")).alias("mean_a"), (F.col("S_b") / F.col("N_b")).alias("mean_b"))
 
 
@@ -237,8 +247,8 @@ def winning_margins(draws: DataFrame, dims: Sequence[str]) -> DataFrame:
         F.avg((F.col("va") < F.col("vb")).cast("double")).alias("sampled_win_rate"),
         F.avg(F.when(F.col("_diff") > 0, F.col("_diff"))).alias("mean_margin_a_wins"),
         F.median(F.when(F.col("_diff") > 0, F.col("_diff"))).alias("median_margin_a_wins"),
-        F.avg(F.when(F.col("_diff") < 0, -F.col("_diff"))).alias("mean_margin_b_wins"),
-        F.median(F.when(F.col("_diff") < 0, -F.col("_diff"))).alias("median_margin_b_wins"))
+        F.avg(F.when(F.col("_diff") <= 0, -F.col("_diff"))).alias("mean_margin_b_wins"),
+        F.median(F.when(F.col("_diff") <= 0, -F.col("_diff"))).alias("median_margin_b_wins"))
 
 
 def compare(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,

@@ -109,10 +109,23 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
 
 
 def with_ctes(body: str, **ctes: str) -> str:
-    """Prefix an oracle query with named CTEs."""
+    """Prefix an oracle query with named CTEs, each placed after the CTEs it references."""
     if not ctes:
         return body
-    parts = ",\n".join(f"{k} AS (\n{v}\n)" for k, v in ctes.items())
+    import re
+    names = list(ctes)
+    deps = {n: {m for m in names if m != n and re.search(rf"\b{m}\b", ctes[n])} for n in names}
+    ordered, done = [], set()
+    while len(ordered) < len(names):
+        progress = False
+        for n in names:
+            if n not in done and deps[n] <= done:
+                ordered.append(n)
+                done.add(n)
+                progress = True
+        if not progress:
+            raise ValueError(f"cyclic CTE references among {sorted(set(names) - done)}")
+    parts = ",\n".join(f"{k} AS (\n{ctes[k]}\n)" for k in ordered)
     return f"WITH {parts}\n{body}"
 
 
