@@ -457,3 +457,91 @@ def k2_weighted_ols_single(spark, sf_dir):
     coef, _ = K.weighted_ols(tt, F.log("avg_duration"), {"sqrt_distance": F.sqrt("avg_distance")}, {}, "trips")
     wide = coef.groupBy().pivot("term", ["sqrt_distance", "(Intercept)"]).agg(F.first("estimate"))
     return wide.select(F.round("sqrt_distance", 6).alias("slope"), F.round("(Intercept)", 6).alias("intercept"))
+
+
+# ---------------------------------------------------------------------------
+# M71 (route type) and M74 (crosstown / uptown regions)
+# ---------------------------------------------------------------------------
+# Fixed parameters: thresholds on rotated coordinates, relative to the core
+# borough's centroid (feet).
+UPTOWN_X = [-8000.0, 0.0, 8000.0]
+CROSSTOWN_Y = [-15000.0, -10000.0, -5000.0, 0.0, 5000.0, 10000.0, 15000.0]
+PAIR_DIMS = ["start_zone", "end_zone"]
+_PAIR_CTES, _ = _wr_parts(PAIR_DIMS)
+
+
+def pair_rates(spark, sf_dir):
+    return K.win_rate(comparison_fact(spark, sf_dir), PAIR_DIMS, "type", "taxi", "citibike",
+                      "duration_in_seconds", min_obs=MIN_OBS)
+
+
+def region_buckets(spark, sf_dir):
+    """Zone -> uptown bucket (rotated x) and crosstown bucket (rotated y)."""
+    from .spatial_queries import rotated_zones
+    r = rotated_zones(spark, sf_dir)
+    z = r.select("gid", "rotated_x", "rotated_y")
+    core = z.agg(F.avg("rotated_x").alias("ox"), F.avg("rotated_y").alias("oy"))
+    ox, oy = core.select("ox").scalar(), core.select("oy").scalar()
+    return z.select("gid", C.threshold_bucket(F.col("rotated_x") - ox, UPTOWN_X).alias("uptown_bucket"),
+                    C.threshold_bucket(F.col("rotated_y") - oy, CROSSTOWN_Y).alias("crosstown_bucket"))
+
+
+def _bucket_sql(expr, thresholds):
+    return "CASE " + " ".join(f"WHEN {expr} < {t} THEN {i}" for i, t in enumerate(thresholds)) + f" ELSE {len(thresholds)} END"
+
+
+def _region_ctes():
+    from .spatial_queries import ROT
+    rb = (f"SELECT gid, {_bucket_sql('rotated_x - (SELECT avg(rotated_x) FROM rot)', UPTOWN_X)} AS uptown_bucket, "
+          f"{_bucket_sql('rotated_y - (SELECT avg(rotated_y) FROM rot)', CROSSTOWN_Y)} AS crosstown_bucket FROM rot")
+    return dict(zones=ZONES_SQL, **ROT, rb=rb)
+
+
+def _region_rates(spark, sf_dir, bucket: str):
+    r = pair_rates(spark, sf_dir)
+    b = region_buckets(spark, sf_dir)
+    s = b.select(F.col("gid").alias("start_zone"), F.col(bucket).alias("sb"))
+    e = b.select(F.col("gid").alias("end_zone"), F.col(bucket).alias("eb"))
+    j = r.join(F.broadcast(s), "start_zone").join(F.broadcast(e), "end_zone").filter(F.col("sb") == F.col("eb"))
+    out = K.weighted_rate(j.withColumnRenamed("sb", bucket), [bucket], "win_rate", "n_a")
+    return out.select(bucket, F.round("weighted_rate", 9).alias("weighted_rate"),
+                      F.round(1 - F.col("weighted_rate"), 9).alias("loss_rate"), F.col("n_a").cast("bigint").alias("n_a"))
+
+
+def _region_sql(bucket):
+    return with_ctes(f"""
+SELECT s.{bucket}, round(sum(w.win_rate * w.n_a) / sum(w.n_a), 9) AS weighted_rate,
+  round(1 - sum(w.win_rate * w.n_a) / sum(w.n_a), 9) AS loss_rate, CAST(sum(w.n_a) AS BIGINT) AS n_a
+FROM wr w JOIN rb s ON w.start_zone = s.gid JOIN rb e ON w.end_zone = e.gid
+WHERE s.{bucket} = e.{bucket} GROUP BY s.{bucket}""", **CTES, **_PAIR_CTES, **_region_ctes())
+
+
+@register("m74_uptown_win_rates", _region_sql("uptown_bucket"))
+def m74_uptown_win_rates(spark, sf_dir):
+    """Taxi-weighted win and loss rates for trips within one uptown bucket."""
+    return _region_rates(spark, sf_dir, "uptown_bucket")
+
+
+@register("m74_crosstown_win_rates", _region_sql("crosstown_bucket"))
+def m74_crosstown_win_rates(spark, sf_dir):
+    """The same within one crosstown bucket."""
+    return _region_rates(spark, sf_dir, "crosstown_bucket")
+
+
+@register("m71_weighted_win_rate_by_route", with_ctes("""
+SELECT route_type, round(sum(win_rate * n_a) / sum(n_a), 9) AS weighted_rate, CAST(sum(n_a) AS BIGINT) AS n_a
+FROM (SELECT w.*, CASE WHEN ps.borough = 'AMERICA' AND ds.borough = 'AMERICA' THEN 'within_manhattan'
+                       WHEN ps.borough = 'AMERICA' AND ds.borough <> 'AMERICA' THEN 'manhattan_to_outer_boroughs'
+                       WHEN ps.borough <> 'AMERICA' AND ds.borough = 'AMERICA' THEN 'outer_boroughs_to_manhattan'
+                       WHEN ps.borough <> 'AMERICA' AND ds.borough <> 'AMERICA' THEN 'within_outer_boroughs' END AS route_type
+      FROM wr w JOIN zones ps ON w.start_zone = ps.location_id JOIN zones ds ON w.end_zone = ds.location_id)
+GROUP BY route_type""", zones=ZONES_SQL, **CTES, **_PAIR_CTES))
+def m71_weighted_win_rate_by_route(spark, sf_dir):
+    """Weighted win rate by route class (C27, summary variant without a catch-all)."""
+    r = pair_rates(spark, sf_dir)
+    z = zones(spark, sf_dir)
+    r = Rel.lookup_twice(r, z, "location_id", "start_zone", "end_zone", ["borough"], "s_", "e_", broadcast=True)
+    r = r.withColumn("route_type", C.route_type("s_borough", "e_borough", core="AMERICA", catch_all=False))
+    out = K.weighted_rate(r, ["route_type"], "win_rate", "n_a")
+    return out.select("route_type", F.round("weighted_rate", 9).alias("weighted_rate"),
+                      F.col("n_a").cast("bigint").alias("n_a"))
