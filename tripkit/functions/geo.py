@@ -262,3 +262,37 @@ def lcc_inverse(x, y, p: _LCC = _NY, iterations: int = 5) -> Column:
 def grid_cell(c, cell_size: float) -> Column:
     """Integer grid cell index of a coordinate."""
     return F.floor(col_of(c) / F.lit(cell_size)).cast("bigint")
+
+
+def wkt_rings_const(wkt: str) -> list[tuple[bool, list[tuple[float, float]]]]:
+    """Vertices of a literal POLYGON/MULTIPOLYGON text known when the plan is
+    built (a constant of the query, not data): [(is_hole, [(x, y), ...]), ...]."""
+    import re
+    rings = []
+    for opens, body in re.findall(r"(\(+)\s*([^()]+)\)", wkt):
+        pts = [tuple(float(v) for v in p.split()) for p in body.split(",")]
+        rings.append((len(opens) == 1, pts))
+    return rings
+
+
+def point_in_const(x, y, wkt: str) -> Column:
+    """J2 for a literal polygon: the even-odd ray cast unrolled into one
+    arithmetic expression over the polygon's constant edges (no higher-order
+    function, so it compiles inside whole-stage codegen). Boundary -> false."""
+    X, Y = col_of(x).cast("double"), col_of(y).cast("double")
+    crossings = None
+    touches = None
+    for _, pts in wkt_rings_const(wkt):
+        for (x1, y1), (x2, y2) in zip(pts, pts[1:]):
+            c = F.when(((F.lit(y1) > Y) != (F.lit(y2) > Y))
+                       & (X < F.lit(x2 - x1) * (Y - F.lit(y1)) / F.lit(y2 - y1) + F.lit(x1)), 1).otherwise(0) \
+                if y1 != y2 else F.lit(0)
+            crossings = c if crossings is None else crossings + c
+            t = ((F.lit(x2 - x1) * (Y - F.lit(y1)) - F.lit(y2 - y1) * (X - F.lit(x1)) == 0)
+                 & X.between(min(x1, x2), max(x1, x2)) & Y.between(min(y1, y2), max(y1, y2)))
+            touches = t if touches is None else touches | t
+    xs = [px_ for _, pts in wkt_rings_const(wkt) for px_, _ in pts]
+    ys = [py_ for _, pts in wkt_rings_const(wkt) for _, py_ in pts]
+    in_box = (X > F.lit(min(xs))) & (X < F.lit(max(xs))) & (Y > F.lit(min(ys))) & (Y < F.lit(max(ys)))
+    # bounding box first: most points are decided by four comparisons
+    return F.when(in_box, ((crossings % 2) == 1) & ~touches).otherwise(F.lit(False))

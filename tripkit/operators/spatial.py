@@ -62,11 +62,12 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str, y: str, rings:
 def within(points: DataFrame, rings, x: str, y: str, out: str | None = None) -> DataFrame:
     """J2 scalar form: filter (``out=None``) or flag points strictly inside one polygon.
 
-    ``rings`` is a polygon Column that does not depend on the row, e.g.
-    ``parse_wkt(lit(wkt))`` for a named literal polygon: Catalyst folds it to
-    a constant, so there is no join at all.
+    ``rings`` is either WKT text of a literal polygon (the ray cast is then
+    unrolled over its constant edges and compiled by whole-stage codegen) or
+    a polygon Column that does not depend on the row. No join either way.
     """
-    inside = geo.point_in(F.col(x), F.col(y), col_of(rings))
+    inside = (geo.point_in_const(F.col(x), F.col(y), rings) if isinstance(rings, str)
+              else geo.point_in(F.col(x), F.col(y), col_of(rings)))
     if out is None:
         return points.filter(inside)
     return points.withColumn(out, inside)

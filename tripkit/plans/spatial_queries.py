@@ -52,7 +52,7 @@ def m28_office_dropoff_origins(spark, sf_dir):
     """Drop-offs inside a named (non-convex) polygon on weekday
     mornings, ranked by origin (constant polygon, F2, H2)."""
     t = ev_trips(spark, sf_dir).withColumn("y", F.col("k").cast("double"))
-    inside = SP.within(t, geo.parse_wkt(F.lit(OFFICE_WKT)), "fare_amount", "y")
+    inside = SP.within(t, OFFICE_WKT, "fare_amount", "y")
     inside = inside.filter(F.dayofweek("dropoff_datetime").between(2, 6)
                            & F.hour("dropoff_datetime").between(5, 8) & F.col("pickup_location_id").isNotNull())
     a = R.count_by(inside, ["pickup_location_id"], out="n")
@@ -71,8 +71,8 @@ WHERE {_inside_sql(NORTH_WKT, 'fare_amount', 'CAST(k AS DOUBLE)')} OR {_inside_s
 def m29_two_polygon_flags(spark, sf_dir):
     """One boolean column per polygon; each polygon is a folded constant."""
     t = ev_trips(spark, sf_dir).withColumn("y", F.col("k").cast("double"))
-    t = SP.within(t, geo.parse_wkt(F.lit(NORTH_WKT)), "fare_amount", "y", out="north")
-    t = SP.within(t, geo.parse_wkt(F.lit(EAST_WKT)), "fare_amount", "y", out="east")
+    t = SP.within(t, NORTH_WKT, "fare_amount", "y", out="north")
+    t = SP.within(t, EAST_WKT, "fare_amount", "y", out="east")
     return t.filter(F.col("north") | F.col("east")).select("trip_id", "north", "east")
 
 
