@@ -237,3 +237,37 @@ def pair_distances(df: DataFrame, id_col: str, x: str, y: str) -> DataFrame:
                      geo.distance("x1", "y1", "x2", "y2").alias("distance"),
                      geo.distance_crosstown("x1", "x2").alias("distance_crosstown"),
                      geo.distance_uptown("y1", "y2").alias("distance_uptown")))
+
+
+def edges(df: DataFrame, id_col: str, rings: str = "rings") -> DataFrame:
+    """One row per polygon edge: (id, ring, hole, ax, ay, bx, by)."""
+    r = df.select(col_of(id_col).alias(id_col), F.posexplode(rings).alias("ring", "_r"))
+    n = F.size("_r.pts")
+    e = r.select(id_col, "ring", F.col("_r.hole").alias("hole"),
+                 F.explode(F.arrays_zip(F.slice("_r.pts", 1, n - 1).alias("a"),
+                                        F.slice("_r.pts", 2, n - 1).alias("b"))).alias("_e"))
+    return e.select(id_col, "ring", "hole", F.col("_e.a.x").alias("ax"), F.col("_e.a.y").alias("ay"),
+                    F.col("_e.b.x").alias("bx"), F.col("_e.b.y").alias("by"))
+
+
+def transformed_centroids(df: DataFrame, id_col: str, transform=None, rings: str = "rings") -> DataFrame:
+    """J6 (+J8): area and centroid of each polygon after an optional vertex
+    transform (e.g. ``geo.lcc_forward``). Vertices are projected as plain rows
+    (edges exploded, both endpoints projected), and the shoelace moments are
+    a groupBy sum, so the projection compiles in whole-stage codegen."""
+    e = edges(df, id_col, rings)
+    if transform is not None:
+        a = transform(F.col("ax"), F.col("ay"))
+        b = transform(F.col("bx"), F.col("by"))
+        e = e.select(id_col, "ring", "hole", a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"),
+                     b["y"].alias("by"))
+    cross = F.col("ax") * F.col("by") - F.col("bx") * F.col("ay")
+    e = e.select(id_col, "ring", "hole", (cross / 2).alias("a"), ((F.col("ax") + F.col("bx")) * cross / 6).alias("mx"),
+                 ((F.col("ay") + F.col("by")) * cross / 6).alias("my"))
+    # per ring: orient (outer positive, holes negative), then per polygon
+    ring = e.groupBy(id_col, "ring", "hole").agg(F.sum("a").alias("a"), F.sum("mx").alias("mx"), F.sum("my").alias("my"))
+    s = F.when(F.col("hole"), F.lit(-1.0)).otherwise(F.lit(1.0)) * F.signum("a")
+    m = ring.groupBy(id_col).agg(F.sum(s * F.col("a")).alias("area"), F.sum(s * F.col("mx")).alias("_mx"),
+                                 F.sum(s * F.col("my")).alias("_my"))
+    return m.select(id_col, "area", (F.col("_mx") / F.col("area")).alias("x"),
+                    (F.col("_my") / F.col("area")).alias("y"))

@@ -476,14 +476,12 @@ def pair_rates(spark, sf_dir):
 
 
 def region_buckets(spark, sf_dir):
-    """Zone -> uptown bucket (rotated x) and crosstown bucket (rotated y)."""
+    """Zone -> uptown bucket (rotated x) and crosstown bucket
+    (rotated y), thresholds relative to the rotation origin."""
     from .spatial_queries import rotated_zones
     r = rotated_zones(spark, sf_dir)
-    z = r.select("gid", "rotated_x", "rotated_y")
-    core = z.agg(F.avg("rotated_x").alias("ox"), F.avg("rotated_y").alias("oy"))
-    ox, oy = core.select("ox").scalar(), core.select("oy").scalar()
-    return z.select("gid", C.threshold_bucket(F.col("rotated_x") - ox, UPTOWN_X).alias("uptown_bucket"),
-                    C.threshold_bucket(F.col("rotated_y") - oy, CROSSTOWN_Y).alias("crosstown_bucket"))
+    return r.select("gid", C.threshold_bucket(F.col("rotated_x") - F.col("ox"), UPTOWN_X).alias("uptown_bucket"),
+                    C.threshold_bucket(F.col("rotated_y") - F.col("oy"), CROSSTOWN_Y).alias("crosstown_bucket"))
 
 
 def _bucket_sql(expr, thresholds):
@@ -492,8 +490,8 @@ def _bucket_sql(expr, thresholds):
 
 def _region_ctes():
     from .spatial_queries import ROT
-    rb = (f"SELECT gid, {_bucket_sql('rotated_x - (SELECT avg(rotated_x) FROM rot)', UPTOWN_X)} AS uptown_bucket, "
-          f"{_bucket_sql('rotated_y - (SELECT avg(rotated_y) FROM rot)', CROSSTOWN_Y)} AS crosstown_bucket FROM rot")
+    rb = (f"SELECT gid, {_bucket_sql('rotated_x - ox', UPTOWN_X)} AS uptown_bucket, "
+          f"{_bucket_sql('rotated_y - oy', CROSSTOWN_Y)} AS crosstown_bucket FROM rot")
     return dict(zones=ZONES_SQL, **ROT, rb=rb)
 
 

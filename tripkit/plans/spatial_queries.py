@@ -170,20 +170,22 @@ def project_rings(rings):
 
 
 def rotated_zones(spark, sf_dir):
-    """Projected zone centroids, the core borough's centroid (union
-    centroid), centroids rotated 29 degrees about it, hub flag (J6, J8, J9, J13)."""
-    z = lonlat_zones(spark, sf_dir).withColumn("rings", project_rings(F.col("rings")))
+    """Projected zone centroids (J8 + J6), the core borough's centroid
+    (centroid of the union: area-weighted, F21), centroids rotated 29 degrees
+    about it (J9) and the hub flag (J13). The rotation origin is one
+    struct-valued scalar subquery; ``ox``/``oy`` are kept as columns."""
+    c = SP.transformed_centroids(lonlat_zones(spark, sf_dir), "gid", geo.lcc_forward)
     zn = zones(spark, sf_dir)
-    z = z.join(F.broadcast(zn), z.gid == zn.location_id)
-    core = SP.group_centroid(z.filter(F.col("borough") == CORE), ["borough"])
-    ox = core.select("x").scalar()
-    oy = core.select("y").scalar()
-    c = geo.centroid("rings")
-    z = z.select("gid", "zone", "borough", c["x"].alias("cx"), c["y"].alias("cy"))
-    r = geo.rotate("cx", "cy", ROTATION, ox, oy)
-    z = z.select("gid", "zone", "borough", r["x"].alias("rotated_x"), r["y"].alias("rotated_y"), oy.alias("oy"))
+    z = c.join(F.broadcast(zn), c.gid == zn.location_id).drop("location_id")
+    core = (z.filter(F.col("borough") == CORE)
+             .agg(F.struct((F.sum(F.col("area") * F.col("x")) / F.sum("area")).alias("ox"),
+                           (F.sum(F.col("area") * F.col("y")) / F.sum("area")).alias("oy")))
+             .scalar())
+    z = z.select("gid", "zone", "borough", "x", "y", core["ox"].alias("ox"), core["oy"].alias("oy"))
+    r = geo.rotate("x", "y", ROTATION, "ox", "oy")
+    z = z.select("gid", "zone", "borough", r["x"].alias("rotated_x"), r["y"].alias("rotated_y"), "ox", "oy")
     hub = (F.col("borough") == CORE) & ~F.col("zone").like("NATION_2%") & (F.col("rotated_y") <= F.col("oy") + 1000)
-    return z.withColumn("is_hub", hub).drop("oy")
+    return z.withColumn("is_hub", hub)
 
 
 def _lcc_sql(lon: str, lat: str):
@@ -220,7 +222,7 @@ def _rotated_sql():
         "zc": "SELECT c.gid, z.zone, z.borough, c.a, c.mx / c.a AS cx, c.my / c.a AS cy FROM cent c JOIN zones z ON c.gid = z.location_id",
         "core": f"SELECT sum(mx) / sum(a) AS ox, sum(my) / sum(a) AS oy FROM cent c JOIN zones z ON c.gid = z.location_id WHERE z.borough = '{CORE}'",
         "rot": (f"SELECT gid, zone, borough, ox + (cx - ox) * {math.cos(th)!r} - (cy - oy) * {math.sin(th)!r} AS rotated_x, "
-                f"oy + (cx - ox) * {math.sin(th)!r} + (cy - oy) * {math.cos(th)!r} AS rotated_y, oy FROM zc, core"),
+                f"oy + (cx - ox) * {math.sin(th)!r} + (cy - oy) * {math.cos(th)!r} AS rotated_y, ox, oy FROM zc, core"),
     }
 
 
