@@ -543,3 +543,39 @@ def m71_weighted_win_rate_by_route(spark, sf_dir):
     out = K.weighted_rate(r, ["route_type"], "win_rate", "n_a")
     return out.select("route_type", F.round("weighted_rate", 9).alias("weighted_rate"),
                       F.col("n_a").cast("bigint").alias("n_a"))
+
+
+COHORT_CUTOFF = "2024-01-08"
+
+
+@register("d16_cohort_seen_before_cutoff", with_ctes(f"""
+SELECT type, count(*) AS trips FROM comp
+WHERE start_zone IN (SELECT start_zone FROM comp WHERE start_time < TIMESTAMP '{COHORT_CUTOFF}'
+                     UNION SELECT end_zone FROM comp WHERE start_time < TIMESTAMP '{COHORT_CUTOFF}')
+  AND end_zone IN (SELECT start_zone FROM comp WHERE start_time < TIMESTAMP '{COHORT_CUTOFF}'
+                   UNION SELECT end_zone FROM comp WHERE start_time < TIMESTAMP '{COHORT_CUTOFF}')
+GROUP BY type""", **CTES))
+def d16_cohort_seen_before_cutoff(spark, sf_dir):
+    """Keep trips whose start and end zones were both seen before a cut-off (two semi joins)."""
+    c = comparison_fact(spark, sf_dir)
+    kept = Rel.seen_before(c, "start_zone", "end_zone", "start_time", F.lit(COHORT_CUTOFF).cast("timestamp_ntz"))
+    return R.count_by(kept, ["type"])
+
+
+@register("m75_bike_travel_time_regression")
+def m75_bike_travel_time_regression(spark, sf_dir):
+    """K3: bike travel-time regression with distance imputed from the taxi
+    average for the same zone pair (join with renamed keys, E15)."""
+    bt = travel_times(spark, sf_dir, "citibike").filter(F.col("avg_duration") > 0)
+    dist = m66_avg_distance_by_pair(spark, sf_dir).select(
+        F.col("start_zone").alias("pu"), F.col("end_zone").alias("do"), F.col("avg_distance").alias("imputed_distance"))
+    bt = bt.join(dist, (bt.start_zone == dist.pu) & (bt.end_zone == dist.do)).drop("pu", "do")
+    z = zones(spark, sf_dir)
+    bt = Rel.lookup_twice(bt, z, "location_id", "start_zone", "end_zone", ["borough"], "pickup_", "dropoff_",
+                          broadcast=True)
+    bt = bt.withColumn("route_type", C.route_type("pickup_borough", "dropoff_borough", core="AMERICA"))
+    coef, _ = K.weighted_ols(
+        bt, F.log("avg_duration"), {"sqrt_distance": F.sqrt("imputed_distance")},
+        {"time_bucket": ["morning", "midday", "afternoon", "evening", "other"], "route_type": list(C.ROUTE_LABELS)},
+        "trips")
+    return coef.withColumn("multiplier", F.exp("estimate"))
