@@ -31,14 +31,21 @@ def in_set(df: DataFrame, c: str, keys_df: DataFrame, key: str | None = None) ->
     return df.join(keys_df.select(F.col(key).alias("_k")), F.col(c) == F.col("_k"), "left_semi")
 
 
-def not_in_set(df: DataFrame, c: str, keys_df: DataFrame, key: str | None = None) -> DataFrame:
+def not_in_set(df: DataFrame, c: str, keys_df: DataFrame, key: str | None = None,
+               keys_not_null: bool = False) -> DataFrame:
     """C NOT IN (subquery) with SQL null semantics (trap T8).
 
-    Null-aware anti join: if the subquery yields a null, no row qualifies;
-    a null probe value never qualifies when the subquery is non-empty.
-    Spark plans ``NOT IN`` as a null-aware anti join, kept here via SQL.
+    Default: SQL ``NOT IN``, which Spark plans as a null-aware anti join (a
+    null in the subquery empties the result; a null probe never qualifies).
+    That plan broadcasts the key side, so it suits small key sets (holidays,
+    served zones). With ``keys_not_null=True`` (the caller guarantees a
+    null-free key column) the same result is a plain ``left_anti`` join on a
+    non-null probe, which can shuffle-join key sets of any size.
     """
     key = key or c
+    if keys_not_null:
+        k = keys_df.select(F.col(key).alias("_k"))
+        return df.filter(F.col(c).isNotNull()).join(k, F.col(c) == F.col("_k"), "left_anti")
     keys = keys_df.select(F.col(key).alias("_k"))
     view_l, view_r = f"_nin_l_{id(df)}", f"_nin_r_{id(keys)}"
     df.createOrReplaceTempView(view_l)
