@@ -106,4 +106,4 @@ def replace_first(c, pattern: str, replacement: str = "") -> Column:
 
 def epoch_millis_of_month(d) -> Column:
     """Epoch milliseconds of a month-start date."""
-    return F.unix_millis(F.to_timestamp(col_of(d)))
+    return (epoch_micros(col_of(d).cast("timestamp_ntz")) / 1000).cast("bigint")

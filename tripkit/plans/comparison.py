@@ -58,7 +58,7 @@ def bike_arm(spark, sf_dir):
     j = Rel.lookup_twice(e, stations(spark, sf_dir), "station_id", "start_station_id", "end_station_id",
                          ["taxi_zone_id"], "start_", "end_")
     j = j.filter(F.col("start_taxi_zone_id").isNotNull() & F.col("end_taxi_zone_id").isNotNull())
-    return j.select(F.lit("citibike").alias("type"), F.col("trip_id").alias("external_id"),
+    return j.select(F.lit("bike").alias("type"), F.col("trip_id").alias("external_id"),
                     F.col("start_taxi_zone_id").alias("start_zone"), F.col("end_taxi_zone_id").alias("end_zone"),
                     F.col("pickup_datetime").alias("start_time"), F.col("dropoff_datetime").alias("end_time"),
                     secs.alias("duration_in_seconds"), F.to_date("pickup_datetime").alias("date"),
@@ -80,7 +80,7 @@ SELECT 'taxi' AS type, trip_id AS external_id, pickup_location_id AS start_zone,
 FROM trips WHERE car_type = 'click' AND pickup_location_id IS NOT NULL AND dropoff_location_id IS NOT NULL
   AND {SECS} BETWEEN {MIN_DUR} AND {MAX_DUR}
 UNION ALL
-SELECT 'citibike', trip_id, s1.c_nationkey, s2.c_nationkey, pickup_datetime, dropoff_datetime, {SECS},
+SELECT 'bike', trip_id, s1.c_nationkey, s2.c_nationkey, pickup_datetime, dropoff_datetime, {SECS},
   CAST(pickup_datetime AS DATE), CAST(dayofweek(pickup_datetime) AS INTEGER), CAST(hour(pickup_datetime) AS INTEGER),
   CAST(NULL AS DOUBLE)
 FROM trips JOIN customer s1 ON user_id = s1.c_custkey JOIN customer s2 ON k = s2.c_custkey
@@ -104,15 +104,15 @@ def qualifying_zones(spark, sf_dir):
     c = comparison_fact(spark, sf_dir)
     by_zone = c.groupBy("start_zone").agg(
         R.cond_sum(F.col("type") == "taxi").cast("bigint").alias("taxi_trips"),
-        R.cond_sum(F.col("type") == "citibike").cast("bigint").alias("citi_trips"))
-    return by_zone.filter((F.col("taxi_trips") >= QUALIFY_MIN) & (F.col("citi_trips") >= QUALIFY_MIN))
+        R.cond_sum(F.col("type") == "bike").cast("bigint").alias("bike_trips"))
+    return by_zone.filter((F.col("taxi_trips") >= QUALIFY_MIN) & (F.col("bike_trips") >= QUALIFY_MIN))
 
 
 QZ_SQL = f"""SELECT start_zone, CAST(sum(CASE WHEN type = 'taxi' THEN 1 ELSE 0 END) AS BIGINT) AS taxi_trips,
-  CAST(sum(CASE WHEN type = 'citibike' THEN 1 ELSE 0 END) AS BIGINT) AS citi_trips
+  CAST(sum(CASE WHEN type = 'bike' THEN 1 ELSE 0 END) AS BIGINT) AS bike_trips
 FROM comp GROUP BY start_zone
 HAVING sum(CASE WHEN type = 'taxi' THEN 1 ELSE 0 END) >= {QUALIFY_MIN}
-   AND sum(CASE WHEN type = 'citibike' THEN 1 ELSE 0 END) >= {QUALIFY_MIN}"""
+   AND sum(CASE WHEN type = 'bike' THEN 1 ELSE 0 END) >= {QUALIFY_MIN}"""
 
 
 @register("m62_qualifying_zones", with_ctes("SELECT * FROM qz", qz=QZ_SQL, **CTES))
@@ -191,9 +191,9 @@ def m64_taxi_travel_times(spark, sf_dir):
     return travel_times(spark, sf_dir, "taxi")
 
 
-@register("m65_bike_travel_times", with_ctes(_tt_sql("citibike"), hol=HOL_SQL, w=WEATHER_SQL, **CTES))
+@register("m65_bike_travel_times", with_ctes(_tt_sql("bike"), hol=HOL_SQL, w=WEATHER_SQL, **CTES))
 def m65_bike_travel_times(spark, sf_dir):
-    return travel_times(spark, sf_dir, "citibike")
+    return travel_times(spark, sf_dir, "bike")
 
 
 @register("m66_avg_distance_by_pair", with_ctes("""
@@ -213,7 +213,7 @@ def served_flags(spark, sf_dir):
     """Weekday taxi trips by zone pair, flagged whether both zones are
     bike-served (distinct served zones, F11; IN-subquery as a value, D6)."""
     c = comparison_fact(spark, sf_dir)
-    served = c.filter(F.col("type") == "citibike").select(F.col("start_zone").alias("zone")).distinct()
+    served = c.filter(F.col("type") == "bike").select(F.col("start_zone").alias("zone")).distinct()
     t = c.filter((F.col("type") == "taxi") & F.col("day_of_week").between(1, 5))
     pairs = R.count_by(t, ["start_zone", "end_zone"])
     pairs = Rel.flag_in_set(pairs, "start_zone", served, "start_served", "zone")
@@ -221,8 +221,8 @@ def served_flags(spark, sf_dir):
 
 
 SERVED_SQL = """SELECT start_zone, end_zone, count(*) AS trips,
-  start_zone IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'citibike') AS start_served,
-  end_zone IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'citibike') AS end_served
+  start_zone IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'bike') AS start_served,
+  end_zone IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'bike') AS end_served
 FROM comp WHERE type = 'taxi' AND day_of_week BETWEEN 1 AND 5 GROUP BY start_zone, end_zone"""
 
 
@@ -248,14 +248,14 @@ def m67_served_share(spark, sf_dir):
 @register("m68_outside_zone_ranking", with_ctes("""
 SELECT s.start_zone, z.zone, z.borough, CAST(sum(s.trips) AS BIGINT) AS trips
 FROM served s LEFT JOIN zones z ON s.start_zone = z.location_id
-WHERE s.start_zone NOT IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'citibike')
+WHERE s.start_zone NOT IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'bike')
 GROUP BY ALL""", served=SERVED_SQL, zones=ZONES_SQL, **CTES))
 def m68_outside_zone_ranking(spark, sf_dir):
     """Pickup zones outside the served area ranked by trips, with names
     (D5 NOT IN, E4 left join for names, H2)."""
     s = served_flags(spark, sf_dir)
     c = comparison_fact(spark, sf_dir)
-    served = c.filter(F.col("type") == "citibike").select(F.col("start_zone").alias("zone")).distinct()
+    served = c.filter(F.col("type") == "bike").select(F.col("start_zone").alias("zone")).distinct()
     out = Rel.not_in_set(s, "start_zone", served, "zone")
     agg = out.groupBy("start_zone").agg(F.sum("trips").cast("bigint").alias("trips"))
     z = zones(spark, sf_dir)
@@ -270,7 +270,7 @@ WR_COLS = ["win_rate", "mean_margin_a_wins", "mean_margin_b_wins", "mean_a", "me
 
 
 def _wr(df, dims):
-    r = K.win_rate(df, dims, "type", "taxi", "citibike", "duration_in_seconds", min_obs=MIN_OBS)
+    r = K.win_rate(df, dims, "type", "taxi", "bike", "duration_in_seconds", min_obs=MIN_OBS)
     return r.select(*dims, "n_a", "n_b", *[F.round(c, 9).alias(c) for c in WR_COLS])
 
 
@@ -282,12 +282,12 @@ def _wr_parts(dims, src="comp"):
     ad = ", ".join(f"a.{x}" for x in dims)
     ctes = {
         "src": f"SELECT {d}, type, duration_in_seconds AS v FROM {src}",
-        "cnt": f"""SELECT {d}, count_if(type = 'taxi') AS n_a, count_if(type = 'citibike') AS n_b,
-  sum(CASE WHEN type = 'taxi' THEN v END) AS s_a, sum(CASE WHEN type = 'citibike' THEN v END) AS s_b
-FROM src GROUP BY ALL HAVING count_if(type = 'taxi') >= {MIN_OBS} AND count_if(type = 'citibike') >= {MIN_OBS}""",
+        "cnt": f"""SELECT {d}, count_if(type = 'taxi') AS n_a, count_if(type = 'bike') AS n_b,
+  sum(CASE WHEN type = 'taxi' THEN v END) AS s_a, sum(CASE WHEN type = 'bike' THEN v END) AS s_b
+FROM src GROUP BY ALL HAVING count_if(type = 'taxi') >= {MIN_OBS} AND count_if(type = 'bike') >= {MIN_OBS}""",
         "pairs": f"""SELECT {ad}, count_if(a.v < b.v) AS a_wins, sum(CASE WHEN a.v < b.v THEN b.v - a.v END) AS a_margin,
   sum(CASE WHEN a.v >= b.v THEN a.v - b.v END) AS b_margin, count(*) AS n_pairs
-FROM (SELECT * FROM src WHERE type = 'taxi') a JOIN (SELECT * FROM src WHERE type = 'citibike') b ON {on}
+FROM (SELECT * FROM src WHERE type = 'taxi') a JOIN (SELECT * FROM src WHERE type = 'bike') b ON {on}
 GROUP BY ALL""",
         "wr": f"""SELECT {", ".join(f"c.{x}" for x in dims)}, c.n_a, c.n_b,
   CAST(p.a_wins AS DOUBLE) / (c.n_a * c.n_b) AS win_rate,
@@ -346,20 +346,20 @@ def m70_win_rate_rainy_days(spark, sf_dir):
     """M70 / K9 variant 4: rainy days only (precipitation >= threshold, T20), by start zone."""
     w = daily_weather(spark, sf_dir).select("date", "precipitation")
     c = comparison_fact(spark, sf_dir).join(w, "date")
-    r = K.compare(c, ["start_zone"], "type", "taxi", "citibike", "duration_in_seconds",
+    r = K.compare(c, ["start_zone"], "type", "taxi", "bike", "duration_in_seconds",
                   filters=[F.col("precipitation") >= RAIN], min_obs=MIN_OBS)
     return r.select("start_zone", "n_a", "n_b", *[F.round(c, 9).alias(c) for c in WR_COLS])
 
 
 @register("m70_mode_summaries", with_ctes(f"""
 SELECT date, round(avg(CASE WHEN type = 'taxi' THEN duration_in_seconds END), 6) AS mean_a,
-  round(avg(CASE WHEN type = 'citibike' THEN duration_in_seconds END), 6) AS mean_b,
+  round(avg(CASE WHEN type = 'bike' THEN duration_in_seconds END), 6) AS mean_b,
   round(median(CASE WHEN type = 'taxi' THEN duration_in_seconds END), 6) AS median_a,
-  round(median(CASE WHEN type = 'citibike' THEN duration_in_seconds END), 6) AS median_b
+  round(median(CASE WHEN type = 'bike' THEN duration_in_seconds END), 6) AS median_b
 FROM comp GROUP BY date""", **CTES))
 def m70_mode_summaries(spark, sf_dir):
     """K8: per-bucket mean and exact median duration by mode."""
-    m = K.medians_by_mode(comparison_fact(spark, sf_dir), ["date"], "type", "taxi", "citibike",
+    m = K.medians_by_mode(comparison_fact(spark, sf_dir), ["date"], "type", "taxi", "bike",
                           "duration_in_seconds")
     return m.select("date", *[F.round(c, 6).alias(c) for c in ["mean_a", "mean_b", "median_a", "median_b"]])
 
@@ -369,16 +369,16 @@ def k6_bootstrap_win_rate(spark, sf_dir):
     """K6/K7: seeded bootstrap (1,000 draws per day bucket), sampled win rate
     and winning margins (mean and median) next to the exact K5 rate."""
     c = comparison_fact(spark, sf_dir)
-    draws = K.bootstrap_pairs(c, ["date"], "type", "taxi", "citibike", "duration_in_seconds", n=1000, seed=1,
+    draws = K.bootstrap_pairs(c, ["date"], "type", "taxi", "bike", "duration_in_seconds", n=1000, seed=1,
                               min_obs=MIN_OBS)
     m = K.winning_margins(draws, ["date"])
-    exact = K.win_rate(c, ["date"], "type", "taxi", "citibike", "duration_in_seconds", min_obs=MIN_OBS)
+    exact = K.win_rate(c, ["date"], "type", "taxi", "bike", "duration_in_seconds", min_obs=MIN_OBS)
     return m.join(exact.select("date", "win_rate", "n_a", "n_b"), "date")
 
 
 def zone_hour_rates(spark, sf_dir):
     c = comparison_fact(spark, sf_dir)
-    return K.win_rate(c, ["start_zone", "hour_of_day"], "type", "taxi", "citibike", "duration_in_seconds",
+    return K.win_rate(c, ["start_zone", "hour_of_day"], "type", "taxi", "bike", "duration_in_seconds",
                       min_obs=MIN_OBS)
 
 
@@ -398,15 +398,15 @@ def m71_weighted_win_rate_by_hour(spark, sf_dir):
 @register("m72_median_series_long", with_ctes("""
 SELECT date, mode, round(value, 6) AS value FROM (
   SELECT date, median(CASE WHEN type = 'taxi' THEN duration_in_seconds END) AS taxi,
-         median(CASE WHEN type = 'citibike' THEN duration_in_seconds END) AS citibike
+         median(CASE WHEN type = 'bike' THEN duration_in_seconds END) AS bike
   FROM comp WHERE start_zone = 7 GROUP BY date)
-UNPIVOT (value FOR mode IN (taxi, citibike))""", **CTES))
+UNPIVOT (value FOR mode IN (taxi, bike))""", **CTES))
 def m72_median_series_long(spark, sf_dir):
     """One start zone's daily median durations by mode, wide -> long."""
     c = comparison_fact(spark, sf_dir).filter(F.col("start_zone") == 7)
     w = c.groupBy("date").agg(F.median(F.when(F.col("type") == "taxi", F.col("duration_in_seconds"))).alias("taxi"),
-                              F.median(F.when(F.col("type") == "citibike", F.col("duration_in_seconds"))).alias("citibike"))
-    long = Rel.unpivot(w, ["date"], ["taxi", "citibike"], "mode", "value")
+                              F.median(F.when(F.col("type") == "bike", F.col("duration_in_seconds"))).alias("bike"))
+    long = Rel.unpivot(w, ["date"], ["taxi", "bike"], "mode", "value")
     return long.filter(F.col("value").isNotNull()).select("date", "mode", F.round("value", 6).alias("value"))
 
 
@@ -471,7 +471,7 @@ _PAIR_CTES, _ = _wr_parts(PAIR_DIMS)
 
 
 def pair_rates(spark, sf_dir):
-    return K.win_rate(comparison_fact(spark, sf_dir), PAIR_DIMS, "type", "taxi", "citibike",
+    return K.win_rate(comparison_fact(spark, sf_dir), PAIR_DIMS, "type", "taxi", "bike",
                       "duration_in_seconds", min_obs=MIN_OBS)
 
 
@@ -566,7 +566,7 @@ def d16_cohort_seen_before_cutoff(spark, sf_dir):
 def m75_bike_travel_time_regression(spark, sf_dir):
     """K3: bike travel-time regression with distance imputed from the taxi
     average for the same zone pair (join with renamed keys, E15)."""
-    bt = travel_times(spark, sf_dir, "citibike").filter(F.col("avg_duration") > 0)
+    bt = travel_times(spark, sf_dir, "bike").filter(F.col("avg_duration") > 0)
     dist = m66_avg_distance_by_pair(spark, sf_dir).select(
         F.col("start_zone").alias("pu"), F.col("end_zone").alias("do"), F.col("avg_distance").alias("imputed_distance"))
     bt = bt.join(dist, (bt.start_zone == dist.pu) & (bt.end_zone == dist.do)).drop("pu", "do")
