@@ -282,7 +282,7 @@ def _wr_parts(dims, src="comp"):
     ad = ", ".join(f"a.{x}" for x in dims)
     ctes = {
         "src": f"SELECT {d}, type, duration_in_seconds AS v FROM {src}",
-        "cnt": f"""SELECT {d}, count_if(type = 'taxi') AS n_a, count_if(type = 'bike') AS n_b,
+        "cnt": f"""SELECT {d}, CAST(count_if(type = 'taxi') AS BIGINT) AS n_a, CAST(count_if(type = 'bike') AS BIGINT) AS n_b,
   sum(CASE WHEN type = 'taxi' THEN v END) AS s_a, sum(CASE WHEN type = 'bike' THEN v END) AS s_b
 FROM src GROUP BY ALL HAVING count_if(type = 'taxi') >= {MIN_OBS} AND count_if(type = 'bike') >= {MIN_OBS}""",
         "pairs": f"""SELECT {ad}, count_if(a.v < b.v) AS a_wins, sum(CASE WHEN a.v < b.v THEN b.v - a.v END) AS a_margin,
@@ -412,7 +412,8 @@ def m72_median_series_long(spark, sf_dir):
 
 @register("m73_slow_day_ratio", with_ctes("""
 SELECT c.time_bucket, count(*) AS n, round(any_value(m.median), 6) AS median,
-  count_if(c.duration_in_seconds - m.median > 300) AS over_300, count_if(c.duration_in_seconds - m.median > 600) AS over_600,
+  CAST(count_if(c.duration_in_seconds - m.median > 300) AS BIGINT) AS over_300,
+  CAST(count_if(c.duration_in_seconds - m.median > 600) AS BIGINT) AS over_600,
   round(CAST(count_if(c.duration_in_seconds - m.median > 600) AS DOUBLE) / nullif(count_if(c.duration_in_seconds - m.median > 300), 0), 9) AS ratio_600_300
 FROM cb c JOIN (SELECT time_bucket, median(duration_in_seconds) AS median FROM cb WHERE type = 'taxi' GROUP BY 1) m
   ON c.time_bucket = m.time_bucket

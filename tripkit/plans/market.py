@@ -232,7 +232,7 @@ def m48_results_by_zone(spark, sf_dir):
 
 @register("m55_share_vs_vote_regression", with_ctes(f"""
 SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-  round(regr_r2(y, x), 6) AS r2, regr_count(y, x) AS n,
+  round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n,
   round(sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / (regr_count(y, x) - 2)), 6) AS residual_se,
   round(sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / (regr_count(y, x) - 2)) / sqrt(regr_sxx(y, x)), 6) AS slope_se
 FROM (SELECT r.{CANDIDATES[0]} AS y, s.b_share_change AS x FROM rbz r JOIN sc s ON r.location_id = s.location_id)""",

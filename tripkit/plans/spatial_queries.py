@@ -116,7 +116,7 @@ def j3_spatial_join_backfill(spark, sf_dir):
 
 
 @register("m11_zone_area_centroid", with_ctes(f"""
-SELECT gid, round({ZW} * {ZH}, 6) AS area, round(x0 + {ZW} / 2, 6) AS cx, round(y0 + {ZH} / 2, 6) AS cy FROM zs""",
+SELECT gid, CAST(round({ZW} * {ZH}, 6) AS DOUBLE) AS area, round(x0 + {ZW} / 2, 6) AS cx, round(y0 + {ZH} / 2, 6) AS cy FROM zs""",
                                              zs=ZONE_SHAPES_SQL))
 def m11_zone_area_centroid(spark, sf_dir):
     """Polygon area and centroid (shoelace moments)."""
@@ -127,7 +127,7 @@ def m11_zone_area_centroid(spark, sf_dir):
 
 
 @register("m11_borough_centroid", with_ctes(f"""
-SELECT z.borough, round(sum({ZW} * {ZH}), 6) AS area,
+SELECT z.borough, CAST(round(sum({ZW} * {ZH}), 6) AS DOUBLE) AS area,
   round(sum({ZW} * {ZH} * (s.x0 + {ZW} / 2)) / sum({ZW} * {ZH}), 6) AS x,
   round(sum({ZW} * {ZH} * (s.y0 + {ZH} / 2)) / sum({ZW} * {ZH}), 6) AS y,
   count(*) AS rings
