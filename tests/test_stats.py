@@ -88,3 +88,15 @@ def test_ols_and_weighted_ols_match_numpy(spark):
         assert abs(est[name] - b) < 1e-8
     mult = {r.level: r.multiplier for r in K.multipliers(coef, "f", "a").collect()}
     assert mult["a"] == 1.0 and abs(mult["b"] - np.exp(beta[1])) < 1e-8
+
+
+def test_exact_percentiles_match_numpy_with_hot_and_null_groups(spark):
+    rnd = random.Random(9)
+    rows = [("hot" if i % 5 else (None if i % 2 else "cold"), float(rnd.randint(0, 50))) for i in range(4000)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    ps = [0.1, 0.25, 0.5, 0.75, 0.9]
+    got = {r.k: r for r in K.exact_percentiles(df, ["k"], "v", ps, [f"p{i}" for i in range(5)], splits=8).collect()}
+    for key in ("hot", "cold", None):
+        vals = np.array([v for k, v in rows if k == key])
+        for i, p in enumerate(ps):
+            assert abs(getattr(got[key], f"p{i}") - np.quantile(vals, p)) < 1e-9

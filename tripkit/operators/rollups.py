@@ -61,10 +61,19 @@ def share(num: Column, den: Column) -> Column:
 
 def percentiles_by(df: DataFrame, keys, c: str, ps: Sequence[float],
                    names: Sequence[str] | None = None, extra: Sequence[Column] = ()) -> DataFrame:
-    """exact interpolated percentiles (percentile_cont) per group."""
+    """exact interpolated percentiles (percentile_cont) per group, plus
+    ``extra`` aggregates. Distributed: no group's values are buffered in one
+    task (see ``stats.exact_percentiles``). Keys may be aliased Columns."""
+    from .stats import exact_percentiles, join_null_safe
     names = names or [f"pct{int(round(p * 100))}" for p in ps]
-    aggs = [F.percentile(c, p).alias(n) for p, n in zip(ps, names)]
-    return df.groupBy(*cols_of(keys)).agg(*extra, *aggs)
+    kc = cols_of(keys)
+    d = df.select(*kc, F.col(c).alias("_pv"))
+    knames = [k for k in d.columns if k != "_pv"]
+    pct = exact_percentiles(d, knames, "_pv", ps, names)
+    if not extra:
+        return pct
+    ex = df.groupBy(*kc).agg(*extra)
+    return join_null_safe(ex, pct, knames, "left")
 
 
 def weighted_mean(x, w) -> Column:

@@ -92,11 +92,12 @@ def impute_from_peers(df: DataFrame, series_keys: Sequence[str], date: str, geo:
 def delay_vs_median(df: DataFrame, keys, c: str, thresholds: Sequence[float] = (300, 600)) -> DataFrame:
     """Per group: median, count above median + t for each threshold, ratio of counts.
 
-    The median is an exact ``percentile`` aggregate (partial + final aggregate);
-    joined back by key, then counted with ``count_if``.
+    The median is the distributed exact percentile (no group buffered in one
+    task), joined back by key, then counted with ``count_if``.
     """
-    med = df.groupBy(*cols_of(keys)).agg(F.median(c).alias("median"))
-    j = df.join(med, names_of(keys))
+    from .stats import exact_percentiles, join_null_safe
+    med = exact_percentiles(df, names_of(keys), c, [0.5], ["median"])
+    j = join_null_safe(df, med, names_of(keys))
     aggs = [F.count(F.lit(1)).alias("n"), F.first("median").alias("median")]
     for t in thresholds:
         aggs.append(F.count_if(F.col(c) - F.col("median") > F.lit(t)).alias(f"over_{int(t)}"))

@@ -108,6 +108,19 @@ def multipliers(coef: DataFrame, prefix: str, baseline: str) -> DataFrame:
 # skew-safe cumulative sums
 # ---------------------------------------------------------------------------
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` treating null = null (group keys may be null)."""
+    keys = list(keys)
+    if not keys:
+        return left.crossJoin(right) if how == "inner" else left.join(right, how=how)
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
                  splits: int = 32, inclusive: bool = True) -> DataFrame:
     """Running sums of ``cols`` within ``keys`` ordered by ``order`` (unique per key).
@@ -122,7 +135,7 @@ def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
     keys = list(keys)
     qs = [i / splits for i in range(1, splits)]
     bounds = df.groupBy(*keys).agg(F.percentile_approx(order, qs, 1000).alias("_sp"))
-    d = df.join(bounds, keys)
+    d = join_null_safe(df, bounds, keys)
     d = d.withColumn("_r", F.size(F.filter("_sp", lambda s: s < F.col(order)))).drop("_sp")
     sub = d.groupBy(*keys, "_r").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
     wk = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,10 +144,50 @@ def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
     hi = 0 if inclusive else -1
     wr = Window.partitionBy(*keys, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
     d = d.select("*", *[F.coalesce(F.sum(c).over(wr), F.lit(0)).alias(f"_w_{c}") for c in cols])
-    d = d.join(sub, [*keys, "_r"])
+    d = join_null_safe(d, sub, [*keys, "_r"])
     return d.select(*df.columns, *[(F.col(f"_b_{c}") + F.col(f"_w_{c}")).alias(f"cum_{c}") for c in cols])
 
 
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[float],
+                      names: Sequence[str], splits: int = 32) -> DataFrame:
+    """Exact interpolated percentiles (percentile_cont) per group,
+    without buffering a group's values in one task.
+
+    Values are counted per (group, value) (partial aggregation), ranked with
+    the skew-safe cumulative count, and for each p the values at ranks
+    floor((n-1)p) and ceil((n-1)p) are picked and interpolated. Returns
+    keys + one column per name; groups without non-null values are absent.
+    """
+    keys = list(keys)
+    v = value if not isinstance(value, str) else F.col(value)
+    vc = df.filter(v.isNotNull()).groupBy(*keys, v.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    cum = split_cumsum(vc, keys, "_v", ["_n"], splits=splits, inclusive=False)
+    tot = vc.groupBy(*keys).agg(F.sum("_n").alias("_tot"))
+    j = join_null_safe(cum, tot, keys)
+    sel = []
+    for i, p in enumerate(ps):
+        pos = (F.col("_tot") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        in_lo = (F.col("cum__n") <= lo) & (lo < F.col("cum__n") + F.col("_n"))
+        in_hi = (F.col("cum__n") <= hi) & (hi < F.col("cum__n") + F.col("_n"))
+        sel += [F.when(in_lo, F.col("_v")).alias(f"_lo{i}"), F.when(in_hi, F.col("_v")).alias(f"_hi{i}"),
+                pos.alias(f"_pos{i}")]
+    hit = None
+    for i in range(len(ps)):
+        h = F.col(f"_lo{i}").isNotNull() | F.col(f"_hi{i}").isNotNull()
+        hit = h if hit is None else hit | h
+    rows = j.select(*keys, *sel).filter(hit)
+    agg = rows.groupBy(*keys).agg(*[F.max(f"_lo{i}").alias(f"_lo{i}") for i in range(len(ps))],
+                                  *[F.max(f"_hi{i}").alias(f"_hi{i}") for i in range(len(ps))],
+                                  *[F.max(f"_pos{i}").alias(f"_pos{i}") for i in range(len(ps))])
+    out = []
+    for i, n in enumerate(names):
+        lo, hi, pos = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_pos{i}")
+        fl = F.floor(pos)
+        out.append(F.when(F.ceil(pos) == fl, lo).otherwise((F.ceil(pos) - pos) * lo + (pos - fl) * hi).alias(n))
+    return agg.select(*keys, *out)
+
+
 # ---------------------------------------------------------------------------
 # K5, K7, K8: exact win rate, margins, per-mode summaries
 # ---------------------------------------------------------------------------
@@ -192,11 +245,14 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
 
 
 def medians_by_mode(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str) -> DataFrame:
-    """K8: per-bucket mean and exact median by mode."""
+    """K8: per-bucket mean and exact median by mode (distributed exact median)."""
     m, v = F.col(mode), F.col(value)
-    return df.filter(m.isin(a, b)).groupBy(*dims).agg(
-        F.avg(F.when(m == a, v)).alias("mean_a"), F.avg(F.when(m == b, v)).alias("mean_b"),
-        F.median(F.when(m == a, v)).alias("median_a"), F.median(F.when(m == b, v)).alias("median_b"))
+    d = df.filter(m.isin(a, b))
+    means = d.groupBy(*dims).agg(F.avg(F.when(m == a, v)).alias("mean_a"), F.avg(F.when(m == b, v)).alias("mean_b"))
+    med = exact_percentiles(d, [*dims, mode], value, [0.5], ["median"])
+    ma = med.filter(F.col(mode) == a).select(*dims, F.col("median").alias("median_a"))
+    mb = med.filter(F.col(mode) == b).select(*dims, F.col("median").alias("median_b"))
+    return join_null_safe(join_null_safe(means, ma, dims, "left"), mb, dims, "left")
 
 
 # ---------------------------------------------------------------------------
@@ -240,7 +296,9 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
 
 
 def winning_margins(draws: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """K7 over bootstrap draws: sampled win rate, mean and median margin by winner."""
+    """K7 over bootstrap draws: sampled win rate, mean and median margin by winner.
+    A bucket holds exactly ``n`` draws (a parameter), so the median buffers a
+    bounded group."""
     d = draws.withColumn("_diff", F.col("vb") - F.col("va"))
     return d.groupBy(*dims).agg(
         F.count(F.lit(1)).alias("draws"),

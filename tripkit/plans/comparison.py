@@ -404,8 +404,12 @@ UNPIVOT (value FOR mode IN (taxi, bike))""", **CTES))
 def m72_median_series_long(spark, sf_dir):
     """One start zone's daily median durations by mode, wide -> long."""
     c = comparison_fact(spark, sf_dir).filter(F.col("start_zone") == 7)
-    w = c.groupBy("date").agg(F.median(F.when(F.col("type") == "taxi", F.col("duration_in_seconds"))).alias("taxi"),
-                              F.median(F.when(F.col("type") == "bike", F.col("duration_in_seconds"))).alias("bike"))
+    med = K.exact_percentiles(c, ["date", "type"], "duration_in_seconds", [0.5], ["median"])
+    days = c.select("date").distinct()
+    w = K.join_null_safe(days, med.filter(F.col("type") == "taxi").select("date", F.col("median").alias("taxi")),
+                         ["date"], "left")
+    w = K.join_null_safe(w, med.filter(F.col("type") == "bike").select("date", F.col("median").alias("bike")),
+                         ["date"], "left")
     long = Rel.unpivot(w, ["date"], ["taxi", "bike"], "mode", "value")
     return long.filter(F.col("value").isNotNull()).select("date", "mode", F.round("value", 6).alias("value"))
 
