@@ -54,3 +54,28 @@ def test_duplicate_zone_ids_deduped(spark):
     dim = zones.dropDuplicates(["location_id"])
     assert trips.join(dim, trips.z == dim.location_id).count() == trips.count()   # T11
     assert Rel.duplicate_keys(zones, ["location_id"]).count() == 1
+
+
+def test_union_unpivot_natural_join_allocate(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, "y")], "k int, v string")
+    assert Rel.union_distinct(a, a).count() == 2 and Rel.union_all(a, a).count() == 6
+    w = spark.createDataFrame([("d1", 1.0, 2.0)], "date string, taxi double, bike double")
+    assert sorted((r.mode, r.value) for r in Rel.unpivot(w, ["date"], ["taxi", "bike"], "mode", "value").collect()) == \
+        [("bike", 2.0), ("taxi", 1.0)]
+    b = spark.createDataFrame([(1, "x", 10)], "k int, v string, n int")
+    assert Rel.natural_join(a.distinct(), b).count() == 1
+    votes = spark.createDataFrame([(1, 100.0), (2, 50.0)], "d int, votes double")
+    mp = spark.createDataFrame([(1, "z1", 0.25), (1, "z2", 0.75), (2, "z2", 1.0)], "d int, zone string, f double")
+    got = {r.zone: r.votes for r in R.allocate(votes, mp, "d", "votes", "f", "zone").collect()}
+    assert got == {"z1": 25.0, "z2": 125.0}
+
+
+def test_impute_from_peers_and_latest(spark):
+    rows = [("uber", "total", "d", 100.0), ("uber", "core", "d", 40.0), ("lyft", "total", "d", 100.0),
+            ("lyft", "core", "d", 60.0), ("juno", "total", "d", 10.0), ("juno", "core", "d", 0.0)]
+    df = spark.createDataFrame(rows, "car string, geo string, date string, x double")
+    out = {(r.car, r.geo): (r.x, r.is_estimated) for r in
+           S.impute_from_peers(df, ["car"], "date", "geo", "x", "car", ["uber", "lyft"], ["juno"]).collect()}
+    assert out[("juno", "core")] == (5.0, True) and out[("juno", "total")] == (10.0, False)
+    s = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "k string, d int")
+    assert sorted((r.k, r.d) for r in S.latest_per(s, ["k"], "d").collect()) == [("a", 3), ("b", 2)]
