@@ -72,9 +72,15 @@ def read_trips(spark: SparkSession, paths: Iterable[str], dataset: str, provenan
     """A1/A2: Parquet scan of monthly files for one dataset, repaired to the
     declared schema, with the source file name (A3)."""
     target = schema or DATASETS[dataset]
+    paths = list(paths)
+    # footer reads only (no data); issued concurrently so hundreds of monthly
+    # files cost a few round trips of latency, not one per file in sequence
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(16, max(1, len(paths)))) as pool:
+        file_schemas = list(pool.map(lambda p: spark.read.parquet(p).schema.json(), paths))
     groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    for p, sch in zip(paths, file_schemas):
+        groups.setdefault(sch, []).append(p)
     frames = []
     for group in groups.values():
         raw = spark.read.parquet(*group)
