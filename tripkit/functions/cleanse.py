@@ -50,6 +50,7 @@ SEASONS = [("winter", [12, 1, 2]), ("spring", [3, 4, 5]), ("summer", [6, 7, 8]),
 
 
 def _norm(c) -> Column:
+    """Trim + upper (also lower/replace below)."""
     return F.upper(F.trim(col_of(c)))
 
 
@@ -66,7 +67,7 @@ def code_map(c, mapping: Mapping, default=None, normalise=True) -> Column:
 
 
 def vendor_code(c) -> Column:
-    """C1: '1','2' -> int; CMT/VTS/DDS -> 1/2/3; else null."""
+    """C1: '1','2' -> int; CMT/VTS/DDS -> 1/2/3; else null. I14 CASE, I16 try_cast."""
     t = F.trim(col_of(c))
     expr = F.when(t.isin(*VENDOR_DIGIT_CODES), t.try_cast("int"))
     for name, code in VENDOR_NAME_CODES.items():
@@ -276,7 +277,7 @@ def relabel(c, mapping: Mapping[str, str], keep_unmapped=True) -> Column:
 
 
 def group_key(*parts) -> Column:
-    """Concatenated series key (e.g. type || year)."""
+    """Concatenated series key (e.g. type || year)."""
     return F.concat_ws("_", *[col_of(p).cast("string") for p in parts])
 
 

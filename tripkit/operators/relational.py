@@ -26,7 +26,7 @@ def where_all(df: DataFrame, predicates: Sequence[Column]) -> DataFrame:
 
 
 def in_set(df: DataFrame, c: str, keys_df: DataFrame, key: str | None = None) -> DataFrame:
-    """C IN (subquery) -> left semi join."""
+    """C IN (subquery) -> left semi join (broadcast when the key side is small)."""
     key = key or c
     return df.join(keys_df.select(F.col(key).alias("_k")), F.col(c) == F.col("_k"), "left_semi")
 

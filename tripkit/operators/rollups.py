@@ -77,7 +77,7 @@ def percentiles_by(df: DataFrame, keys, c: str, ps: Sequence[float],
 
 
 def weighted_mean(x, w) -> Column:
-    """sum(w*x)/sum(w over non-null x); all-null -> null (trap T26)."""
+    """sum(w*x)/sum(w over non-null x); all-null -> null, never NaN."""
     xc, wc = col_of(x), col_of(w)
     return F.try_divide(F.sum(wc * xc), F.sum(F.when(xc.isNotNull(), wc)).cast("double"))
 

@@ -90,7 +90,7 @@ def impute_from_peers(df: DataFrame, series_keys: Sequence[str], date: str, geo:
 
 
 def delay_vs_median(df: DataFrame, keys, c: str, thresholds: Sequence[float] = (300, 600)) -> DataFrame:
-    """Per group: median, count above median + t for each threshold, ratio of counts.
+    """Per group: median, count_if above median + t per threshold, ratio of counts.
 
     The median is the distributed exact percentile (no group buffered in one
     task), joined back by key, then counted with ``count_if``.

@@ -96,7 +96,8 @@ def weighted_ols(df: DataFrame, y: Column, numeric: dict, factors: dict, weight:
 
 
 def multipliers(coef: DataFrame, prefix: str, baseline: str) -> DataFrame:
-    """K4: exp(estimate) for the terms of one factor, plus its baseline row at 1.0."""
+    """exp(estimate) for the terms of one factor (matched by name
+    prefix), plus its baseline row at 1.0."""
     f = (coef.filter(F.col("term").startswith(prefix))
              .select(F.regexp_replace("term", f"^{prefix}", "").alias("level"),
                      F.exp("estimate").alias("multiplier")))
@@ -204,6 +205,7 @@ def _value_counts(df: DataFrame, dims, mode, a, b, value):
 def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
              min_obs: int = 5, splits: int = 32) -> DataFrame:
     """K5/K7/K8: exact P(a < b) over all (a, b) pairs of each bucket (strict: ties are not wins).
+    E11 re-aimed: the sampled self-join of pairs is replaced by this exact count.
 
     Output per bucket: n_a, n_b, win_rate, mean margins by winner (null when a
     side never wins; as in the sampled version, a pair that ``a`` does not

@@ -252,7 +252,7 @@ WHERE s.start_zone NOT IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'bi
 GROUP BY ALL""", served=SERVED_SQL, zones=ZONES_SQL, **CTES))
 def m68_outside_zone_ranking(spark, sf_dir):
     """Pickup zones outside the served area ranked by trips, with names
-    (D5 NOT IN, E4 left join for names, H2)."""
+    (D5 NOT IN, E4 left join for names, H1/H2 sort only at the sink)."""
     s = served_flags(spark, sf_dir)
     c = comparison_fact(spark, sf_dir)
     served = c.filter(F.col("type") == "bike").select(F.col("start_zone").alias("zone")).distinct()

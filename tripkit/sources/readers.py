@@ -28,7 +28,7 @@ FILE_YEAR = re.compile(r"tripdata_(\d{4})-(\d{2})")
 
 
 def with_source_file(df: DataFrame, out: str = "filename") -> DataFrame:
-    """A3: basename of the source file (provenance column)."""
+    """Basename of the source file (split + element_at(-1))."""
     return df.withColumn(out, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
 
 
