@@ -150,7 +150,7 @@ def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[float],
-                      names: Sequence[str], splits: int = 32) -> DataFrame:
+                      names: Sequence[str], splits: int = 32, materialise: bool = True) -> DataFrame:
     """Exact interpolated percentiles (percentile_cont) per group,
     without buffering a group's values in one task.
 
@@ -162,6 +162,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[fl
     keys = list(keys)
     v = value if not isinstance(value, str) else F.col(value)
     vc = df.filter(v.isNotNull()).groupBy(*keys, v.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    vc = _materialise(vc, materialise)
     cum = split_cumsum(vc, keys, "_v", ["_n"], splits=splits, inclusive=False)
     tot = vc.groupBy(*keys).agg(F.sum("_n").alias("_tot"))
     j = join_null_safe(cum, tot, keys)
@@ -202,8 +203,20 @@ def _value_counts(df: DataFrame, dims, mode, a, b, value):
                    F.count_if(m == b).cast("double").alias("nb")))
 
 
+def _materialise(df: DataFrame, on: bool) -> DataFrame:
+    """Reliable checkpoint into the shared ``spark.checkpoint.dir``: the
+    (bucket, value) count table feeds several branches (totals, quantile
+    bounds, windows), so it is computed once instead of re-scanning the facts
+    per branch; it also cuts lineage, so a lost executor does not replay the
+    fact scan."""
+    if not on:
+        return df
+    from ..session import cut_lineage
+    return cut_lineage(df)
+
+
 def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
-             min_obs: int = 5, splits: int = 32) -> DataFrame:
+             min_obs: int = 5, splits: int = 32, materialise: bool = True) -> DataFrame:
     """K5/K7/K8: exact P(a < b) over all (a, b) pairs of each bucket (strict: ties are not wins).
     E11 re-aimed: the sampled self-join of pairs is replaced by this exact count.
 
@@ -215,6 +228,7 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
     dims = names_of(dims)
     vc = _value_counts(df, dims, mode, a, b, value)
     vc = vc.withColumn("sa", F.col("na") * F.col("_v")).withColumn("sb", F.col("nb") * F.col("_v"))
+    vc = _materialise(vc, materialise)
     tot = vc.groupBy(*dims).agg(F.sum("na").alias("N_a"), F.sum("nb").alias("N_b"),
                                 F.sum("sa").alias("S_a"), F.sum("sb").alias("S_b"))
     tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
@@ -262,7 +276,8 @@ def medians_by_mode(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
 # ---------------------------------------------------------------------------
 
 def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
-                    n: int = 10_000, seed: int = 1, min_obs: int = 5, splits: int = 32) -> DataFrame:
+                    n: int = 10_000, seed: int = 1, min_obs: int = 5, splits: int = 32,
+                    materialise: bool = True) -> DataFrame:
     """K6: n draws per bucket of (a value, b value), each side drawn uniformly
     with replacement. Deterministic for a seed (xxhash64 of seed, bucket,
     draw, side).
@@ -273,7 +288,7 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
     a hot bucket. Returns (dims..., draw, va, vb).
     """
     dims = names_of(dims)
-    vc = _value_counts(df, dims, mode, a, b, value)
+    vc = _materialise(_value_counts(df, dims, mode, a, b, value), materialise)
     tot = vc.groupBy(*dims).agg(F.sum("na").cast("bigint").alias("N_a"),
                                 F.sum("nb").cast("bigint").alias("N_b"))
     tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
