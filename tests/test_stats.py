@@ -100,3 +100,23 @@ def test_exact_percentiles_match_numpy_with_hot_and_null_groups(spark):
         vals = np.array([v for k, v in rows if k == key])
         for i, p in enumerate(ps):
             assert abs(getattr(got[key], f"p{i}") - np.quantile(vals, p)) < 1e-9
+
+
+from hypothesis import given, settings, strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["taxi", "bike"]),
+                          st.integers(min_value=0, max_value=12)), min_size=1, max_size=120),
+       st.integers(min_value=2, max_value=6))
+def test_win_rate_property(spark, rows, splits):
+    rows = [(k, m, float(v)) for k, m, v in rows]
+    df = spark.createDataFrame(rows, "k string, m string, v double")
+    got = {r.k: r for r in K.win_rate(df, ["k"], "m", "taxi", "bike", "v", min_obs=1, splits=splits,
+                                      materialise=False).collect()}
+    want = brute(rows, min_obs=1)
+    assert set(got) == set(want)
+    for k, (wr, am, bm) in want.items():
+        assert 0.0 <= got[k].win_rate <= 1.0 and abs(got[k].win_rate - wr) < 1e-12
+        assert (got[k].mean_margin_a_wins is None) == (am is None)
+        assert (got[k].mean_margin_b_wins is None) == (bm is None)
