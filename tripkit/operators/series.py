@@ -74,16 +74,20 @@ def impute_from_peers(df: DataFrame, series_keys: Sequence[str], date: str, geo:
                       total_geo: str = "total", out_flag: str = "is_estimated") -> DataFrame:
     """Estimate targets' per-geography values from the peers' geography shares.
 
-    frac(date, geo) = sum_peers(x) / sum_peers(x at geo == total); then for a
-    target row outside ``total_geo``: x = x(target, date, total) * frac.
+    frac(date, geo) = sum_peers(x at geo) / sum_peers(x at geo == total); then
+    for a target row outside ``total_geo``: x = x(target, date, total) * frac.
+    All three sums are windows over the same rows (partitions: (date, geo),
+    date, (series, date) -- each holds one row per series and geography), so
+    the input is read once and never joined to itself.
     """
-    peer = (df.filter(F.col(peer_col).isin(*peers))
-              .groupBy(date, geo).agg(F.sum(measure).alias("_peer")))
-    peer = share_of_row(peer, [date], "_peer", F.col(geo) == total_geo, "_frac").drop("_peer")
+    peer_x = F.when(F.col(peer_col).isin(*peers), F.col(measure))
+    num = F.sum(peer_x).over(Window.partitionBy(date, geo))
+    den = F.sum(F.when(F.col(geo) == total_geo, peer_x).otherwise(F.lit(0))).over(Window.partitionBy(date))
+    frac = F.try_divide(num.cast("double"), den.cast("double"))
     tot = F.sum(F.when(F.col(geo) == total_geo, F.col(measure)).otherwise(F.lit(0))).over(
         Window.partitionBy(*cols_of(series_keys), date))
     is_target = F.col(peer_col).isin(*targets) & (F.col(geo) != total_geo)
-    return (df.join(peer, [date, geo], "left")
+    return (df.withColumn("_frac", frac)
               .withColumn(measure, F.when(is_target, tot * F.col("_frac")).otherwise(F.col(measure)))
               .withColumn(out_flag, is_target)
               .drop("_frac"))
