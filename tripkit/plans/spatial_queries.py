@@ -21,12 +21,6 @@ from .registry import register
 OFFICE_WKT = "POLYGON((100.005 10.005, 300.005 10.005, 300.005 60.005, 200.005 35.005, 100.005 60.005, 100.005 10.005))"
 NORTH_WKT = "POLYGON((20.005 70.005, 80.005 70.005, 90.005 95.005, 10.005 90.005, 20.005 70.005))"
 EAST_WKT = "POLYGON((350.005 5.005, 480.005 20.005, 450.005 80.005, 380.005 60.005, 350.005 5.005))"
-CUSTOM = [("office", OFFICE_WKT), ("north", NORTH_WKT), ("east", EAST_WKT)]
-
-
-def custom_polygons(spark):
-    """Literal polygon seed table parsed from WKT (three rows)."""
-    return spark.createDataFrame(CUSTOM, "name string, wkt string").select("name", geo.parse_wkt("wkt").alias("rings"))
 
 
 def _edges_sql(wkt: str):
@@ -163,12 +157,6 @@ def lonlat_zones(spark, sf_dir):
                                                                         ring.alias("pts"))).alias("rings"))
 
 
-def project_rings(rings):
-    """Transform every vertex of a polygon with the LCC projection."""
-    return F.transform(rings, lambda r: F.struct(
-        r["hole"].alias("hole"), F.transform(r["pts"], lambda p: geo.lcc_forward(p["x"], p["y"])).alias("pts")))
-
-
 def rotated_zones(spark, sf_dir):
     """Projected zone centroids (J8 + J6), the core borough's centroid
     (centroid of the union: area-weighted, F21), centroids rotated 29 degrees
