@@ -80,3 +80,22 @@ def test_group_centroid_matches_union(spark):
     assert abs(r.area - 3) < 1e-12 and abs(r.x - 1.5) < 1e-12 and abs(r.y - 0.5) < 1e-12
     t = SP.transformed_centroids(df.withColumn("id", F.monotonically_increasing_id()), "id").collect()
     assert sorted(round(x.x, 9) for x in t) == [0.5, 2.0]
+
+
+def test_spatial_join_cell_edges_equal_full_ray_cast(spark):
+    import random
+    rnd = random.Random(4)
+    # a non-convex star with 14 vertices at non-grid coordinates
+    pts = []
+    for i in range(14):
+        r = 3.0 if i % 2 == 0 else 1.2
+        a = 2 * math.pi * i / 14
+        pts.append((5 + r * math.cos(a) + 0.0013, 5 + r * math.sin(a) + 0.0017))
+    pts.append(pts[0])
+    wkt = "POLYGON((" + ", ".join(f"{x} {y}" for x, y in pts) + "))"
+    poly = spark.createDataFrame([(1, wkt)], "gid int, w string").select("gid", geo.parse_wkt("w").alias("rings"))
+    points = spark.createDataFrame([(i, rnd.uniform(1, 9), rnd.uniform(1, 9)) for i in range(3000)],
+                                   "id int, x double, y double")
+    joined = {r.id for r in SP.spatial_join(points, poly, "x", "y", cell=0.37, how="inner").collect()}
+    full = {r.id for r in points.filter(geo.point_in_const("x", "y", wkt)).collect()}
+    assert joined == full and 300 < len(full) < 3000

@@ -296,3 +296,36 @@ def point_in_const(x, y, wkt: str) -> Column:
     in_box = (X > F.lit(min(xs))) & (X < F.lit(max(xs))) & (Y > F.lit(min(ys))) & (Y < F.lit(max(ys)))
     # bounding box first: most points are decided by four comparisons
     return F.when(in_box, ((crossings % 2) == 1) & ~touches).otherwise(F.lit(False))
+
+
+EDGE = T.StructType([T.StructField(n, T.DoubleType()) for n in ("x1", "y1", "x2", "y2")])
+
+
+def edges_of(rings) -> Column:
+    """All edges of a polygon as array<struct<x1, y1, x2, y2>> (holes included)."""
+    def ring_edges(r):
+        pts = r["pts"]
+        n = F.size(pts)
+        return F.zip_with(F.slice(pts, 1, n - 1), F.slice(pts, 2, n - 1),
+                          lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"),
+                                                b["x"].alias("x2"), b["y"].alias("y2")))
+    return F.flatten(F.transform(col_of(rings), ring_edges))
+
+
+def point_in_edges(x, y, edges) -> Column:
+    """J2 over an edge list: even-odd crossings of the rightward ray; a point on
+    an edge is not inside. Exact for any edge list that contains every edge
+    able to cross the ray or touch the point (see ``spatial_join``)."""
+    X, Y = col_of(x).cast("double"), col_of(y).cast("double")
+
+    def crosses(e):
+        return F.when(((e["y1"] > Y) != (e["y2"] > Y))
+                      & (X < (e["x2"] - e["x1"]) * (Y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"]), 1).otherwise(0)
+
+    def touches(e):
+        cross = (e["x2"] - e["x1"]) * (Y - e["y1"]) - (e["y2"] - e["y1"]) * (X - e["x1"])
+        return ((cross == 0) & (X >= F.least(e["x1"], e["x2"])) & (X <= F.greatest(e["x1"], e["x2"]))
+                & (Y >= F.least(e["y1"], e["y2"])) & (Y <= F.greatest(e["y1"], e["y2"])))
+
+    total = F.aggregate(col_of(edges), F.lit(0), lambda acc, e: acc + crosses(e))
+    return ((total % 2) == 1) & ~F.exists(col_of(edges), touches)

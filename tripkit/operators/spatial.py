@@ -1,8 +1,9 @@
 """Spatial joins and polygon aggregates (inventory groups E7, E8, E10, J3, J5-J7).
 
 Point-in-polygon join (J3): each polygon is registered in every grid cell
-its bounding box covers; points carry their own cell; the join is an
-equi-join on the cell followed by the exact ray cast as a join condition.
+its bounding box covers, with only the edges that matter inside that cell;
+points carry their own cell; the join is an equi-join on the cell followed
+by the exact ray cast (over the cell's edges) as a join condition.
 The polygon-cell side is a dimension (bounded by polygons x cells); the
 point side is the fact. A dense cell is a skewed join key, which AQE's
 skew-join splitting handles (sort-merge left/inner joins).
@@ -48,15 +49,26 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str, y: str, rings:
     inside k overlapping polygons yields k rows.
     """
     keep = list(keep) if keep is not None else [c for c in polygons.columns if c != rings]
-    cells = polygon_cells(polygons.select(*keep, rings), rings, cell).select(
-        *[F.col(c) for c in keep], F.col(rings).alias("_rings"), "_cx", "_cy", "_bb")
+    cells = polygon_cells(polygons.select(*keep, rings), rings, cell)
+    # Per (polygon, cell): keep only the edges a point of this cell can need --
+    # edges overlapping the cell's y-band that reach the cell's left side or
+    # beyond (an edge wholly to the left cannot cross a rightward ray). Done
+    # once on the polygon side; the per-point test then scans few edges.
+    eps = cell * 1e-9
+    lo_y = F.col("_cy").cast("double") * F.lit(cell) - F.lit(eps)
+    hi_y = (F.col("_cy") + 1).cast("double") * F.lit(cell) + F.lit(eps)
+    lo_x = F.col("_cx").cast("double") * F.lit(cell) - F.lit(eps)
+    local = F.filter(geo.edges_of(F.col(rings)),
+                     lambda e: (F.greatest(e["y1"], e["y2"]) >= lo_y) & (F.least(e["y1"], e["y2"]) <= hi_y)
+                     & (F.greatest(e["x1"], e["x2"]) >= lo_x))
+    cells = cells.select(*[F.col(c) for c in keep], local.alias("_edges"), "_cx", "_cy", "_bb")
     p = (points.withColumn("_px", geo.grid_cell(F.col(x), cell))
                .withColumn("_py", geo.grid_cell(F.col(y), cell)))
     cond = ((F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy"))
             & (F.col(x) > F.col("_bb.minx")) & (F.col(x) < F.col("_bb.maxx"))
             & (F.col(y) > F.col("_bb.miny")) & (F.col(y) < F.col("_bb.maxy"))
-            & geo.point_in(F.col(x), F.col(y), F.col("_rings")))
-    return p.join(cells, cond, how).drop("_px", "_py", "_cx", "_cy", "_bb", "_rings")
+            & geo.point_in_edges(F.col(x), F.col(y), F.col("_edges")))
+    return p.join(cells, cond, how).drop("_px", "_py", "_cx", "_cy", "_bb", "_edges")
 
 
 def within(points: DataFrame, rings, x: str, y: str, out: str | None = None) -> DataFrame:
