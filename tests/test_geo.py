@@ -99,3 +99,18 @@ def test_spatial_join_cell_edges_equal_full_ray_cast(spark):
     joined = {r.id for r in SP.spatial_join(points, poly, "x", "y", cell=0.37, how="inner").collect()}
     full = {r.id for r in points.filter(geo.point_in_const("x", "y", wkt)).collect()}
     assert joined == full and 300 < len(full) < 3000
+
+
+def test_overlap_independent_of_cell_size_with_holes(spark):
+    a = spark.createDataFrame([(1, "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0),(1 1, 1 3, 3 3, 3 1, 1 1))"), (2, L_SHAPE)],
+                              "id int, w string").select("id", geo.parse_wkt("w").alias("rings"))
+    b = spark.createDataFrame([(9, "POLYGON((0.5 0.5, 3.5 0.5, 3.5 2, 0.5 2, 0.5 0.5))")], "bid int, w string") \
+        .select("bid", geo.parse_wkt("w").alias("rings"))
+    # holed square n box: box area 4.5 minus the hole part [1,3]x[1,2] = 2 -> 2.5
+    # L-shape n box: [0.5,3.5]x[0.5,1] = 1.5 plus [0.5,1]x[1,2] = 0.5 -> 2.0
+    want = {(1, 9): 2.5, (2, 9): 2.0}
+    for cell in (0.3, 1.0, 5.0):
+        got = {(r.id, r.bid): r.inter_area for r in SP.intersection_areas(a, "id", b, "bid", cell=cell).collect()}
+        assert set(got) == set(want)
+        for k, v in want.items():
+            assert abs(got[k] - v) < 1e-9, (cell, k, got[k])

@@ -8,10 +8,10 @@ The polygon-cell side is a dimension (bounded by polygons x cells); the
 point side is the fact. A dense cell is a skewed join key, which AQE's
 skew-join splitting handles (sort-merge left/inner joins).
 
-Polygon overlap (J5): both polygon sets are cut into signed fan triangles;
-triangle pairs meet only through shared grid cells (with a bounding-box
-test and one reference cell per pair, so no pair is counted twice); each
-pair's convex intersection area is computed in Arrow batches with numpy
+Polygon overlap (J5): every ring is clipped to each grid cell it touches
+and fan-triangulated inside the cell (signed triangles); triangles meet only
+triangles of the same cell (equi-join on the cell plus a bounding-box test),
+each pair's convex intersection area is computed in Arrow batches with numpy
 (``mapInPandas``), then summed per polygon pair with the triangles' signs:
 area(A n B) = sum_ij s_i s_j area(T_i n T_j), exact for simple polygons with
 holes oriented opposite to their shell.
@@ -177,27 +177,109 @@ def _pair_area_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "inter": area * pdf["a_w"].to_numpy() * pdf["b_w"].to_numpy()})
 
 
+def _clip_ring_to_box(xs: np.ndarray, ys: np.ndarray, box) -> np.ndarray:
+    """Sutherland-Hodgman clip of one closed ring to an axis-aligned box.
+    Inside the box the clipped ring has the original winding number (it may
+    gain zero-area segments along the box edges, which carry no area)."""
+    P = list(zip(xs[:-1], ys[:-1]))
+    x0, y0, x1, y1 = box
+    for axis, bound, keep_ge in ((0, x0, True), (0, x1, False), (1, y0, True), (1, y1, False)):
+        if not P:
+            break
+        out = []
+        for i in range(len(P)):
+            cur, prv = P[i], P[i - 1]
+            cin = (cur[axis] >= bound) if keep_ge else (cur[axis] <= bound)
+            pin = (prv[axis] >= bound) if keep_ge else (prv[axis] <= bound)
+            if cin != pin:
+                t = (bound - prv[axis]) / (cur[axis] - prv[axis])
+                q = (prv[0] + t * (cur[0] - prv[0]), prv[1] + t * (cur[1] - prv[1]))
+                q = (bound, q[1]) if axis == 0 else (q[0], bound)
+                out.append(q)
+            if cin:
+                out.append(cur)
+        P = out
+    return np.array(P, dtype=float).reshape(-1, 2)
+
+
+def _cell_triangles(cell: float):
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            rec = {k: [] for k in ("id", "cx", "cy", "w", "x0", "y0", "x1", "y1", "x2", "y2")}
+            for pid, cx, cy, xs, ys in zip(pdf["id"], pdf["cx"], pdf["cy"], pdf["xs"], pdf["ys"]):
+                box = (cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)
+                q = _clip_ring_to_box(np.asarray(xs, float), np.asarray(ys, float), box)
+                if len(q) < 3:
+                    continue
+                a, b, c = q[0], q[1:-1], q[2:]
+                cr = (b[:, 0] - a[0]) * (c[:, 1] - a[1]) - (b[:, 1] - a[1]) * (c[:, 0] - a[0])
+                keep = cr != 0
+                b, c, cr = b[keep], c[keep], cr[keep]
+                ccw = cr > 0
+                p1 = np.where(ccw[:, None], b, c)
+                p2 = np.where(ccw[:, None], c, b)
+                n = len(cr)
+                rec["id"] += [pid] * n
+                rec["cx"] += [cx] * n
+                rec["cy"] += [cy] * n
+                rec["w"] += list(np.sign(cr))
+                rec["x0"] += [a[0]] * n
+                rec["y0"] += [a[1]] * n
+                rec["x1"] += list(p1[:, 0])
+                rec["y1"] += list(p1[:, 1])
+                rec["x2"] += list(p2[:, 0])
+                rec["y2"] += list(p2[:, 1])
+            yield pd.DataFrame(rec)
+    return run
+
+
+def cell_triangles(polys: DataFrame, id_col: str, rings: str, cell: float) -> DataFrame:
+    """Each ring clipped to every grid cell its bounding box covers, then
+    fan-triangulated inside the cell: (id, cx, cy, w, triangle). Triangles of
+    one cell lie inside that cell, so they only ever meet the other polygon's
+    triangles of the same cell. Rings are oriented first (outer CCW, holes
+    CW), so the signed triangles sum to the polygon's winding number."""
+    r = polys.select(col_of(id_col).alias("id"), F.explode(geo.clean_rings(F.col(rings))).alias("_r"))
+    r = r.select("id", F.transform("_r.pts", lambda p: p["x"]).alias("xs"),
+                 F.transform("_r.pts", lambda p: p["y"]).alias("ys"))
+    r = r.select("*", F.array_min("xs").alias("minx"), F.array_max("xs").alias("maxx"),
+                 F.array_min("ys").alias("miny"), F.array_max("ys").alias("maxy"))
+    r = r.withColumn("cx", F.explode(F.sequence(geo.grid_cell(F.col("minx"), cell), geo.grid_cell(F.col("maxx"), cell))))
+    r = r.withColumn("cy", F.explode(F.sequence(geo.grid_cell(F.col("miny"), cell), geo.grid_cell(F.col("maxy"), cell))))
+    r = r.select("id", "cx", "cy", "xs", "ys")
+    schema = T.StructType([T.StructField("id", polys.select(col_of(id_col)).schema[0].dataType),
+                           T.StructField("cx", T.LongType()), T.StructField("cy", T.LongType()),
+                           *[T.StructField(n, T.DoubleType()) for n in ("w", "x0", "y0", "x1", "y1", "x2", "y2")]])
+    return r.mapInPandas(_cell_triangles(cell), schema)
+
+
 def intersection_areas(a: DataFrame, a_id: str, b: DataFrame, b_id: str,
                        rings: str = "rings", cell: float = 1.0) -> DataFrame:
-    """area(A n B) for every intersecting pair (a_id, b_id, inter_area)."""
-    ta = _tri_cells(triangles(a.select(col_of(a_id).alias("id"), rings), "id", rings), cell, "a_")
-    tb = _tri_cells(triangles(b.select(col_of(b_id).alias("id"), rings), "id", rings), cell, "b_")
+    """area(A n B) for every intersecting pair (a_id, b_id, inter_area).
+
+    Both sides are cut into per-cell signed triangles (``cell_triangles``);
+    triangles meet only within their cell (equi-join on the cell, then a
+    bounding-box test), so the number of triangle pairs grows with the local
+    vertex counts per cell, not with the product of whole-polygon sizes.
+    """
+    def side(df, idc, p):
+        t = cell_triangles(df, idc, rings, cell)
+        t = t.select("*", F.least("x0", "x1", "x2").alias("minx"), F.greatest("x0", "x1", "x2").alias("maxx"),
+                     F.least("y0", "y1", "y2").alias("miny"), F.greatest("y0", "y1", "y2").alias("maxy"))
+        return t.select(*[F.col(c).alias(f"{p}{c}") for c in t.columns])
+    ta, tb = side(a, a_id, "a_"), side(b, b_id, "b_")
     cond = ((F.col("a_cx") == F.col("b_cx")) & (F.col("a_cy") == F.col("b_cy"))
             & (F.col("a_minx") < F.col("b_maxx")) & (F.col("b_minx") < F.col("a_maxx"))
             & (F.col("a_miny") < F.col("b_maxy")) & (F.col("b_miny") < F.col("a_maxy")))
-    pairs = ta.join(tb, cond, "inner")
-    # count each triangle pair once: in the cell holding the lower-left corner of the bbox overlap
-    ref_x = geo.grid_cell(F.greatest("a_minx", "b_minx"), cell)
-    ref_y = geo.grid_cell(F.greatest("a_miny", "b_miny"), cell)
-    pairs = pairs.filter((F.col("a_cx") == ref_x) & (F.col("a_cy") == ref_y))
-    pairs = pairs.select(F.col("a_id"), F.col("b_id"), "a_w", "b_w",
-                         "a_x0", "a_y0", "a_x1", "a_y1", "a_x2", "a_y2",
-                         "b_x0", "b_y0", "b_x1", "b_y1", "b_x2", "b_y2")
+    pairs = ta.join(tb, cond, "inner").select(
+        "a_id", "b_id", "a_w", "b_w", "a_x0", "a_y0", "a_x1", "a_y1", "a_x2", "a_y2",
+        "b_x0", "b_y0", "b_x1", "b_y1", "b_x2", "b_y2")
     schema = T.StructType([T.StructField("a_id", a.select(col_of(a_id)).schema[0].dataType),
                            T.StructField("b_id", b.select(col_of(b_id)).schema[0].dataType),
                            T.StructField("inter", T.DoubleType())])
     areas = pairs.mapInPandas(_pair_area_batches, schema)
     return (areas.groupBy("a_id", "b_id").agg(F.sum("inter").alias("inter_area"))
+                 .filter(F.col("inter_area") > 0)
                  .withColumnRenamed("a_id", a_id).withColumnRenamed("b_id", b_id))
 
 
