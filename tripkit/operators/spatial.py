@@ -89,42 +89,6 @@ def within(points: DataFrame, rings, x: str, y: str, out: str | None = None) ->
 # Polygon overlap
 # ---------------------------------------------------------------------------
 
-def triangles(polys: DataFrame, id_col: str, rings: str) -> DataFrame:
-    """Signed fan triangles of every ring, vertices in counter-clockwise order."""
-    r = polys.select(col_of(id_col).alias("_id"),
-                     F.explode(geo.clean_rings(F.col(rings))).alias("_ring"))
-    pts = F.col("_ring.pts")
-    r = r.select("_id", pts.alias("_pts"),
-                 F.explode(F.sequence(F.lit(2), F.size(pts) - 2)).alias("_k"))
-    p0 = F.element_at("_pts", 1)
-    p1 = F.element_at("_pts", F.col("_k"))
-    p2 = F.element_at("_pts", F.col("_k") + 1)
-    cross = (p1["x"] - p0["x"]) * (p2["y"] - p0["y"]) - (p1["y"] - p0["y"]) * (p2["x"] - p0["x"])
-    t = r.select("_id", p0.alias("a"), p1.alias("b"), p2.alias("c"), F.signum(cross).alias("w"))
-    t = t.filter(F.col("w") != 0)
-    ccw = F.col("w") > 0
-    return t.select(
-        F.col("_id").alias(id_col), "w",
-        F.col("a.x").alias("x0"), F.col("a.y").alias("y0"),
-        F.when(ccw, F.col("b.x")).otherwise(F.col("c.x")).alias("x1"),
-        F.when(ccw, F.col("b.y")).otherwise(F.col("c.y")).alias("y1"),
-        F.when(ccw, F.col("c.x")).otherwise(F.col("b.x")).alias("x2"),
-        F.when(ccw, F.col("c.y")).otherwise(F.col("b.y")).alias("y2"))
-
-
-def _tri_cells(t: DataFrame, cell: float, p: str) -> DataFrame:
-    minx = F.least("x0", "x1", "x2")
-    maxx = F.greatest("x0", "x1", "x2")
-    miny = F.least("y0", "y1", "y2")
-    maxy = F.greatest("y0", "y1", "y2")
-    t = t.select("*", minx.alias("minx"), maxx.alias("maxx"), miny.alias("miny"), maxy.alias("maxy"))
-    t = t.withColumn("cx", F.explode(F.sequence(geo.grid_cell(F.col("minx"), cell),
-                                                 geo.grid_cell(F.col("maxx"), cell))))
-    t = t.withColumn("cy", F.explode(F.sequence(geo.grid_cell(F.col("miny"), cell),
-                                                 geo.grid_cell(F.col("maxy"), cell))))
-    return t.select(*[F.col(c).alias(f"{p}{c}") for c in t.columns])
-
-
 def _clip_areas(S: np.ndarray, C: np.ndarray) -> np.ndarray:
     """Area of (convex CCW triangle S_i) n (convex CCW triangle C_i), vectorised."""
     P = S.shape[0]
