@@ -30,6 +30,16 @@ from pyspark.sql import types as T
 from ..functions import geo
 from ..functions._util import col_of
 
+# The Arrow-batch functions below run in Python workers. Serialise this module
+# by value, so executors need numpy/pandas but not this package on their path.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass
+
 
 def polygon_cells(polys: DataFrame, rings: str, cell: float) -> DataFrame:
     """Explode each polygon into the grid cells covered by its bounding box."""

@@ -88,8 +88,12 @@ def weighted_ols(df: DataFrame, y: Column, numeric: dict, factors: dict, weight:
     s = model.summary
     names = terms + ["(Intercept)"]
     est = list(model.coefficients) + [model.intercept]
-    rows = [(n, float(e), float(se), float(t), float(p))
-            for n, e, se, t, p in zip(names, est, s.coefficientStandardErrors, s.tValues, s.pValues)]
+    try:
+        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
+    except Exception:  # noqa: BLE001 - singular design: the solver gives estimates only
+        se = tv = pv = [None] * len(names)
+    f = lambda v: None if v is None else float(v)
+    rows = [(n, float(e), f(a), f(b), f(c)) for n, e, a, b, c in zip(names, est, se, tv, pv)]
     coef = df.sparkSession.createDataFrame(
         rows, "term string, estimate double, std_error double, t_value double, p_value double")
     return coef, model
