@@ -10,6 +10,7 @@ checkpoint folder when the cluster has not named one in
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,18 +46,30 @@ def get_spark(master: str | None = None, app: str = "tripkit",
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only when unset."""
-    sc = spark.sparkContext
-    cur = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can read, from ``spark.checkpoint.dir``.
+
+    Only a local master may leave the setting out (tests); there a fresh scratch
+    folder is used. On a cluster an unset folder is an error: a path on the
+    driver's disk would be invisible to the executors.
+    """
+    cur = spark.conf.get("spark.checkpoint.dir", None)
     if cur:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(cur)
         return cur
-    # Unset: a local run or a test. Use a fresh scratch folder.
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master {master})")
     path = tempfile.mkdtemp(prefix="tripkit-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
+    return path
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """Point ``checkpoint()`` at the shared folder and return that folder."""
+    path = shared_dir(spark)
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(path)
     return path
 
 
