@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from tripkit.llm import decision_list
+from tripkit.llm import chat_format, decision_list, fair_mix
 
 QUERIES = {
+    "op4_fair_mix": fair_mix.op4_fair_mix,
     "op8_decision_list": decision_list.op8_decision_list,
+    "op9_chat_format": chat_format.op9_chat_format,
+}
+ORACLE: dict[str, str] = {
+    "op4_fair_mix": fair_mix.OP4_SQL,
+    "op9_chat_format": chat_format.OP9_SQL,
 }
-ORACLE: dict[str, str] = {}
