@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripkit.llm import chat_format, decision_list, fair_mix
+from tripkit.llm import chat_format, decision_list, fair_mix, orc_tokens
 
 QUERIES = {
     "op4_fair_mix": fair_mix.op4_fair_mix,
+    "op5_orc_tokens": orc_tokens.op5_orc_tokens,
     "op8_decision_list": decision_list.op8_decision_list,
     "op9_chat_format": chat_format.op9_chat_format,
 }
