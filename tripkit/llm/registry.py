@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from tripkit.llm import chat_format, decision_list, fair_mix, orc_tokens
+from tripkit.llm import chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash
 
 QUERIES = {
+    "op2_ctph": ctph.op2_ctph,
     "op4_fair_mix": fair_mix.op4_fair_mix,
     "op5_orc_tokens": orc_tokens.op5_orc_tokens,
+    "op6_simhash": simhash.op6_simhash,
     "op8_decision_list": decision_list.op8_decision_list,
     "op9_chat_format": chat_format.op9_chat_format,
 }
