@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripkit.llm import chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash
+from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash
 
 QUERIES = {
     "op2_ctph": ctph.op2_ctph,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_simhash": simhash.op6_simhash,
     "op8_decision_list": decision_list.op8_decision_list,
     "op9_chat_format": chat_format.op9_chat_format,
+    "op10_best_fit": best_fit.op10_best_fit,
 }
 ORACLE: dict[str, str] = {
     "op4_fair_mix": fair_mix.OP4_SQL,
