@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash
+from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash, substrings
 
 QUERIES = {
     "op2_ctph": ctph.op2_ctph,
     "op4_fair_mix": fair_mix.op4_fair_mix,
     "op5_orc_tokens": orc_tokens.op5_orc_tokens,
     "op6_simhash": simhash.op6_simhash,
+    "op7_count_min": substrings.op7_count_min,
     "op8_decision_list": decision_list.op8_decision_list,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_best_fit": best_fit.op10_best_fit,
