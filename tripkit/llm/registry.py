@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash, substrings
+from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash, substrings, warc
 
 QUERIES = {
     "op2_ctph": ctph.op2_ctph,
+    "op3_warc_index": warc.op3_warc_index,
     "op4_fair_mix": fair_mix.op4_fair_mix,
     "op5_orc_tokens": orc_tokens.op5_orc_tokens,
     "op6_simhash": simhash.op6_simhash,
@@ -15,6 +16,7 @@ QUERIES = {
     "op10_best_fit": best_fit.op10_best_fit,
 }
 ORACLE: dict[str, str] = {
+    "op3_warc_index": warc.OP3_SQL,
     "op4_fair_mix": fair_mix.OP4_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
 }
