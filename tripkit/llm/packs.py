@@ -64,41 +64,45 @@ def apart(data: bytes) -> list[bytes]:
 def messages(rows: list[tuple]) -> pa.RecordBatch:
     """Rows (pack, shard, kind, data) as a batch."""
     cols = list(zip(*rows)) or [[], [], [], []]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.large_binary() if False else pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["pack", "shard", "kind", "data"])
 
 
+def grouped(batches, text_at: int, pack_bytes: int):
+    """(number, text bytes, table) for successive rows with about ``pack_bytes`` of text; one row at least.
+
+    Numbers are fixed by the partition and the order in it, so a repeated task repeats them.
+    """
+    import pyarrow.compute as pc
+    number, held, size = TaskContext.get().partitionId() << 32, [], 0
+    for batch in batches:
+        lens = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False)
+        start = 0
+        for i, n in enumerate(lens.tolist()):
+            size += n
+            if size >= pack_bytes:
+                held.append(batch.slice(start, i + 1 - start))
+                yield number, size, pa.Table.from_batches(held)
+                number, held, size, start = number + 1, [], 0, i + 1
+        if start < len(batch):
+            held.append(batch.slice(start))
+    if held:
+        yield number, size, pa.Table.from_batches(held)
+
+
 def make_packs(docs: DataFrame, pack_bytes: int = PACK_BYTES) -> DataFrame:
     """Staged rows (pack, n_bytes, n_rows, data); every column of ``docs`` is inside."""
     names = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index("text")
 
     def run(batches):
-        number, held, size = TaskContext.get().partitionId() << 32, [], 0
-
-        def close():
-            whole = pa.Table.from_batches(held).combine_chunks()
+        for number, size, whole in grouped(batches, at, pack_bytes):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, whole.schema) as out:
-                out.write_table(whole)
+                out.write_table(whole.combine_chunks())
             data = zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([whole.num_rows], pa.int64()),
-                                               pa.array([data], pa.binary())], names=["pack", "n_bytes", "n_rows", "data"])
-
-        for big in batches:
-            big = pa.RecordBatch.from_arrays(big.columns, names=names)
-            lens = np.array([len(t) for t in map(lambda v: v.as_buffer() or b"", big.column(at).cast(pa.binary()))], np.int64) if len(big) else np.empty(0, np.int64)
-            start = 0
-            for i, n in enumerate(lens.tolist()):
-                size += n
-                if size >= pack_bytes:
-                    held.append(big.slice(start, i + 1 - start))
-                    yield close()
-                    number, held, size, start = number + 1, [], 0, i + 1
-            if start < len(big):
-                held.append(big.slice(start))
-        if held:
-            yield close()
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([size], pa.int64()), pa.array([whole.num_rows], pa.int64()),
+                                              pa.array([data], pa.binary())], names=["pack", "n_bytes", "n_rows", "data"])
 
     return stage(docs.toDF(*names).mapInArrow(run, "pack long, n_bytes long, n_rows long, data binary"), "packs")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, orc_tokens, simhash, substrings, warc
+from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, ngram_score, orc_tokens, simhash, substrings, warc
 
 QUERIES = {
+    "op1_ngram_trie": ngram_score.op1_ngram_trie,
     "op2_ctph": ctph.op2_ctph,
     "op3_warc_index": warc.op3_warc_index,
     "op4_fair_mix": fair_mix.op4_fair_mix,

@@ -293,11 +293,11 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS)
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its component, one row per id."""
+    gone = free_name(docs, "gone")
     near = near_duplicates(docs, k, max_bits)
-    drop = near.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    left = docs.join(drop, F.col("doc_id") == F.col("gone"), "left_anti")
-    none, number = left.where("doc_id is null"), left.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return number.unionByName(none).select(*[F.col(f"`{c}`") for c in docs.columns])
+    drop = near.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    left = docs.join(drop, F.col("doc_id") == F.col(gone), "left_anti")
+    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
