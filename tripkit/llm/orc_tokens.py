@@ -5,10 +5,9 @@ written as ORC ``array<int>`` (integer run-length encoding), with row indexes
 and a Bloom filter on the id: a lookup prunes files and stripes by metadata, a
 scan reads stripes in parallel.
 
-Encoding goes by pieces that the tokenizer's own splitting never joins: lines
-and space-separated words of a text whose white space stands singly between
-other characters. Each distinct piece is encoded once a batch by the tokenizers
-library and remembered; any other text is encoded whole.
+Encoding goes by space-separated words, which the tokenizer's own splitting
+never joins where each space stands between two other characters. Each distinct
+word is encoded once by the tokenizers library and remembered; a text with other white space beside a space is encoded whole.
 
 Defined results: null and empty texts give just the end id; equal ids are
 ordered by text, null ids come last; repeated rows are separate documents; an
@@ -29,51 +28,103 @@ from pyspark.sql import functions as F
 from tripkit.llm.common import shuffle_width, stage, table, work_path
 
 END_ID = 0
-#: Pieces a worker remembers; only speed depends on it.
-MAX_REMEMBERED = 400_000
+#: Words a worker remembers; only speed depends on it.
+MAX_REMEMBERED = 2_000_000
+_SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
+CROWDED = rf"^{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}$"
 
 
 class Encoder:
-    """Whole texts to little-endian uint32 id bytes, through a memory of pieces."""
+    """Whole texts to token ids, through the distinct words of a batch.
+
+    ``words``, ``begin``, ``sizes`` and ``flat`` remember words (each with a
+    space before it) and their ids as plain arrays.
+    """
 
     def __init__(self, path: str):
         import os
-        import re
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-        self.crowded = re.compile(r"\s\s|^\s|\s$|\s\Z").search
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    @staticmethod
-    def _pieces(text: str) -> list[str]:
-        """Pieces whose ids, joined, are the text's: a space starts the piece of the word after it."""
-        words = text.replace("\n", " \n ").split(" ")
-        out = words[:1]
-        fresh = False  # the piece before is a line break, so no space precedes this one
-        for w in words[1:]:
-            if w == "\n":
-                out.append(w)
-                fresh = True
-            else:
-                out.append(w if fresh else " " + w)
-                fresh = False
-        return out
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if not t or self.crowded(t) else self._pieces(t) for t in texts]
-        whole = {t for t, p in zip(texts, split) if p is None and t}
-        known = self.known
-        if len(known) > MAX_REMEMBERED:
-            known.clear()
-        fresh = list({w for p in split if p for w in p if w not in known})
-        known.update(zip(fresh, self._encode(fresh)))
-        whole = dict(zip(whole, self._encode(list(whole))))
-        return [b"" if not t else whole[t] if p is None else b"".join(map(known.__getitem__, p)) for t, p in zip(texts, split)]
+        vocab = self.tok.get_vocab(with_added_tokens=True)
+        #: Ids whose token begins with a space (shown as U+0120 by byte-level vocabularies).
+        self.spaced = np.zeros(max(vocab.values()) + 1, bool)
+        self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words, self.flat = pa.array([], pa.large_string()), np.empty(0, np.int32)
+        self.begin, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, ids per text)."""
+        got = [np.array(e.ids, np.int32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate([np.empty(0, np.int32), *got]), np.array([len(x) for x in got], np.int64)
+
+    def _learn(self, words: pa.Array) -> None:
+        """Remember words: many are encoded as one line, which is cut where a token begins with a space."""
+        plain = words.to_pylist()
+        flat, _ = self._whole([" " + " ".join(plain[i:i + 500]) for i in range(0, len(plain), 500)])
+        cut = np.flatnonzero(self.spaced[flat])
+        if len(cut) == len(plain):
+            sizes = np.diff(np.append(cut, len(flat)))
+        else:
+            flat, sizes = self._whole([" " + w for w in plain])
+        self.words = pa.concat_arrays([self.words, words])
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids per text)."""
+        import pyarrow.compute as pc
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        lists = pc.split_pattern(texts, " ")
+        first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        at, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        n_words = np.diff(np.append(first, len(at)))
+        # A text with white space at an end of a word, or in a row, is encoded whole; so is an empty one.
+        odd = pc.or_(pc.match_substring_regex(words, CROWDED), pc.equal(pc.binary_length(words), 0)).to_numpy(zero_copy_only=False)
+        bad = np.logical_or.reduceat(odd[at], first) if len(at) else np.empty(0, bool)
+        keep = np.repeat(~bad, n_words)
+        keep[first] = False
+        used = np.zeros(len(words), bool)
+        used[at[keep]] = True
+        if len(self.words) > MAX_REMEMBERED:
+            self._forget()
+        fresh = used & pc.is_null(pc.index_in(words, value_set=self.words)).to_numpy(zero_copy_only=False)
+        if fresh.any():
+            self._learn(words.filter(pa.array(fresh)))
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        # The first word of a text has no space before it; it, or the whole text, is encoded as it stands.
+        plain = [texts[i].as_py() if b else w for i, (b, w) in enumerate(zip(bad.tolist(), words.take(pa.array(at[first])).to_pylist()))]
+        named = list(dict.fromkeys(plain))
+        number = dict(zip(named, range(len(named))))
+        flat, sizes = self._whole(named)
+        begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
+        sizes, flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+        at = place[at]
+        at[first] = [len(self.begin) + number[t] for t in plain]
+        keep[first] = True
+        at = at[keep]
+        n = sizes[at]
+        upto = np.cumsum(n)
+        step = begin[at]
+        step -= upto - n
+        ids = flat[np.repeat(step, n) + np.arange(upto[-1] if len(n) else 0)]
+        per_text = np.where(bad, 1, n_words)
+        return ids, np.add.reduceat(n, np.cumsum(per_text) - per_text) if len(n) else np.empty(0, np.int64)
+
+
+def _slices(batch: pa.RecordBatch, most: int):
+    """Parts of a batch with about ``most`` bytes of text, at least one row each."""
+    import pyarrow.compute as pc
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cut = np.flatnonzero(np.diff(size // most, prepend=0))
+    for s, e in zip([0, *cut.tolist()], [*cut.tolist(), len(batch)]):
+        if e > s:
+            yield batch.slice(s, e - s)
 
 
 _ROWS = "doc_id long, part int, pos long, ids array<int>"
@@ -81,8 +132,6 @@ _ROWS = "doc_id long, part int, pos long, ids array<int>"
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, files: int | None = None) -> None:
     """Write (doc_id, part, pos, ids) in ascending doc_id order; (part, pos) is the order."""
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches):
         import sys
         memory = sys.__dict__.setdefault("_piece_encoders", {})  # a reused worker keeps its memory
@@ -90,14 +139,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             memory[tokenizer] = Encoder(tokenizer)
         part, pos = TaskContext.get().partitionId(), 0
         for big in batches:
-            for at in range(0, len(big), 1024):
-                batch = big.slice(at, 1024)
-                coded = [b + end for b in memory[tokenizer].encode(batch.column("text").to_pylist())]
-                n, lens = len(coded), np.array([len(b) // 4 for b in coded])
-                values = pa.Array.from_buffers(pa.int32(), int(lens.sum()), [None, pa.py_buffer(b"".join(coded))])
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), values)
+            for batch in _slices(big, 16 << 20):
+                ids, lens = memory[tokenizer].encode(batch.column("text"))
+                n, ends = len(lens), np.cumsum(lens)
+                ids = np.insert(ids, ends, end_id)
+                rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends + np.arange(1, n + 1)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").cast(pa.int64()), pa.array(np.full(n, part), pa.int32()), pa.array(np.arange(pos, pos + n), pa.int64()), ids],
+                    [batch.column("doc_id").cast(pa.int64()), pa.array(np.full(n, part), pa.int32()), pa.array(np.arange(pos, pos + n), pa.int64()), rows],
                     names=["doc_id", "part", "pos", "ids"])
                 pos += n
 
