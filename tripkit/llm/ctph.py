@@ -140,7 +140,7 @@ def compare_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     ranges = ranges or 3 * width
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     low = -(2 ** 63)
-    splits = np.array(rows.stat.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) or [0.0])
+    splits = np.array(rows.stat.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.2 / ranges) if ranges > 1 else [], float)
 
     def keys(batch):
         return batch.column("doc_id").fill_null(low).to_numpy(zero_copy_only=False)

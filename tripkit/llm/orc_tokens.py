@@ -7,7 +7,9 @@ scan reads stripes in parallel.
 
 Encoding goes by space-separated words, which the tokenizer's own splitting
 never joins where each space stands between two other characters. Each distinct
-word is encoded once by the tokenizers library and remembered; a text with other white space beside a space is encoded whole.
+word is encoded once by the tokenizers library and remembered, apart from marks
+that follow its letters; a text with other white space beside a space is
+encoded whole.
 
 Defined results: null and empty texts give just the end id; equal ids are
 ordered by text, null ids come last; repeated rows are separate documents; an
@@ -31,6 +33,8 @@ END_ID = 0
 #: Words a worker remembers; only speed depends on it.
 MAX_REMEMBERED = 2_000_000
 _SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
+#: Marks that may follow the letters of a word.
+MARKS = ".,;:!?"
 CROWDED = rf"^{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}$"
 
 
@@ -75,46 +79,72 @@ class Encoder:
         self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
 
-    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts in a row, ids per text)."""
+    def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ids per text), each text followed by ``end_id`` if there is one."""
         import pyarrow.compute as pc
+        if not len(texts):
+            return np.empty(0, np.int32), np.empty(0, np.int64)
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         lists = pc.split_pattern(texts, " ")
         first = lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
         coded = lists.flatten().dictionary_encode()
-        at, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        at, words = coded.indices.to_numpy(), coded.dictionary
         n_words = np.diff(np.append(first, len(at)))
         # A text with white space at an end of a word, or in a row, is encoded whole; so is an empty one.
         odd = pc.or_(pc.match_substring_regex(words, CROWDED), pc.equal(pc.binary_length(words), 0)).to_numpy(zero_copy_only=False)
-        bad = np.logical_or.reduceat(odd[at], first) if len(at) else np.empty(0, bool)
+        bad = np.logical_or.reduceat(odd[at], first)
         keep = np.repeat(~bad, n_words)
         keep[first] = False
         used = np.zeros(len(words), bool)
         used[at[keep]] = True
+        # Letters and the marks after them are split by the tokenizer: remembered apart.
+        core = pc.utf8_rtrim(words, MARKS)
+        split = pc.and_(pc.utf8_is_alpha(core), pc.not_equal(core, words))
+        parts = pc.if_else(split, core, words).dictionary_encode()
+        part, parts = parts.indices.to_numpy(), parts.dictionary
+        needed = np.zeros(len(parts), bool)
+        needed[part[used]] = True
         if len(self.words) > MAX_REMEMBERED:
             self._forget()
-        fresh = used & pc.is_null(pc.index_in(words, value_set=self.words)).to_numpy(zero_copy_only=False)
+        place = pc.fill_null(pc.index_in(parts, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+        fresh = needed & (place < 0)
+        place[fresh] = len(self.words) + np.arange(fresh.sum())
         if fresh.any():
-            self._learn(words.filter(pa.array(fresh)))
-        place = pc.fill_null(pc.index_in(words, value_set=self.words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            self._learn(parts.filter(pa.array(fresh)))
         # The first word of a text has no space before it; it, or the whole text, is encoded as it stands.
         plain = [texts[i].as_py() if b else w for i, (b, w) in enumerate(zip(bad.tolist(), words.take(pa.array(at[first])).to_pylist()))]
-        named = list(dict.fromkeys(plain))
-        number = dict(zip(named, range(len(named))))
-        flat, sizes = self._whole(named)
-        begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
-        sizes, flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
-        at = place[at]
-        at[first] = [len(self.begin) + number[t] for t in plain]
+        tailed = np.flatnonzero(split.to_numpy(zero_copy_only=False) & used)
+        tails = [w[len(c):] for w, c in zip(words.take(pa.array(tailed)).to_pylist(), core.take(pa.array(tailed)).to_pylist())]
+        number = {t: len(self.words) + 1 + i for i, t in enumerate(dict.fromkeys([*plain, *tails]))}
+        more, more_sizes = self._whole(list(number))
+        end = np.array([] if end_id is None else [end_id], np.int32)
+        flat = np.concatenate([self.flat, end, more])
+        sizes = np.concatenate([self.sizes, [len(end)], more_sizes]).astype(np.int32)
+        begin = (np.cumsum(sizes, dtype=np.int64) - sizes).astype(np.int32 if len(flat) < 1 << 31 else np.int64)
+        tail = np.full(len(words), -1, np.int32)
+        tail[tailed] = [number[t] for t in tails]
+        # Pieces in order: the first word or whole text, words and their marks, the end.
+        word = place[part][at]
+        word[first] = [number[t] for t in plain]
+        marks = tail[at]
+        marks[first] = -1
+        last = np.zeros(len(at), bool)
+        last[np.where(bad, first, first + n_words - 1)] = True
         keep[first] = True
-        at = at[keep]
-        n = sizes[at]
+        word, marks, last = word[keep], marks[keep], last[keep]
+        n = 1 + (marks >= 0) + last
         upto = np.cumsum(n)
-        step = begin[at]
-        step -= upto - n
-        ids = flat[np.repeat(step, n) + np.arange(upto[-1] if len(n) else 0)]
-        per_text = np.where(bad, 1, n_words)
-        return ids, np.add.reduceat(n, np.cumsum(per_text) - per_text) if len(n) else np.empty(0, np.int64)
+        piece = np.empty(upto[-1], np.int32)
+        piece[upto - n] = word
+        piece[(upto - n + 1)[marks >= 0]] = marks[marks >= 0]
+        piece[(upto - 1)[last]] = len(self.words)
+        n = sizes[piece]
+        step = begin[piece]
+        ends = np.cumsum(n)
+        step -= (ends - n).astype(step.dtype)
+        step = np.repeat(step, n)
+        step += np.arange(len(step), dtype=step.dtype)
+        return flat[step], np.diff(ends[upto[last] - 1], prepend=0)
 
 
 def _slices(batch: pa.RecordBatch, most: int):
@@ -140,10 +170,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
         part, pos = TaskContext.get().partitionId(), 0
         for big in batches:
             for batch in _slices(big, 16 << 20):
-                ids, lens = memory[tokenizer].encode(batch.column("text"))
-                n, ends = len(lens), np.cumsum(lens)
-                ids = np.insert(ids, ends, end_id)
-                rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends + np.arange(1, n + 1)]), pa.int32()), pa.array(ids, pa.int32()))
+                ids, lens = memory[tokenizer].encode(batch.column("text"), end_id)
+                n = len(lens)
+                rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").cast(pa.int64()), pa.array(np.full(n, part), pa.int32()), pa.array(np.arange(pos, pos + n), pa.int64()), rows],
                     names=["doc_id", "part", "pos", "ids"])
