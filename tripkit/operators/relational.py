@@ -143,3 +143,10 @@ def duplicate_keys(df: DataFrame, keys) -> DataFrame:
 
 def cols(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [col_of(n) for n in names]
+
+
+def key_uniqueness(df: DataFrame, keys) -> DataFrame:
+    """One row: ``n_rows`` and ``n_duplicate_rows`` (rows beyond the first of each key)."""
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("n_duplicate_rows"))

@@ -114,9 +114,10 @@ def delay_vs_median(df: DataFrame, keys, c: str, thresholds: Sequence[float] = (
 
 
 def latest_per(df: DataFrame, keys, date: str) -> DataFrame:
-    """Rows whose date equals the max date of their key (groupBy + semi join, skew-safe)."""
-    mx = df.groupBy(*cols_of(keys)).agg(F.max(date).alias(date))
-    return df.join(mx, [*names_of(keys), date], "left_semi")
+    """Rows whose date equals the max date of their key: one window over the
+    series (a row per period), so the input is evaluated once."""
+    last = F.max(date).over(Window.partitionBy(*cols_of(keys)))
+    return df.withColumn("_last", last).filter(F.col(date) == F.col("_last")).drop("_last")
 
 
 def top_k(df: DataFrame, keys, c: str, k: int, ascending: bool = False, out: str = "rank") -> DataFrame:

@@ -37,14 +37,13 @@ FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 
 def _k():
-    """The counter in props, which has the fixed form '{"k": n}': a substring
-    parse (cheap, and Catalyst may inline it into many predicates)."""
-    return F.expr("try_cast(substr(props, 7, length(props) - 7) AS INT)")
+    """The counter in props, parsed as JSON (any spacing, key order or further keys)."""
+    return F.get_json_object("props", "$.k").cast("int")
 
 
 def ev_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = read(spark, sf_dir, "events")
-    k = _k()
+    e = read(spark, sf_dir, "events").withColumn("k", _k())
+    k = F.col("k")
     return e.select(
         F.col("event_id").alias("trip_id"),
         F.col("event_type").alias("car_type"),
@@ -63,7 +62,7 @@ def ev_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_K_SQL = """CAST(regexp_extract(props, '"k": (\\d+)', 1) AS INTEGER)"""
+_K_SQL = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
 EV_TRIPS_SQL = f"""SELECT
   event_id AS trip_id,
@@ -112,6 +111,8 @@ FROM lineitem JOIN supplier ON l_suppkey = s_suppkey"""
 
 def with_ctes(body: str, **ctes: str) -> str:
     """Prefix an oracle query with named CTEs, each placed after the CTEs it references."""
+    if body.lstrip().upper().startswith("WITH"):
+        body = f"SELECT * FROM ({body})"
     if not ctes:
         return body
     import re
