@@ -33,24 +33,20 @@ def in_set(df: DataFrame, c: str, keys_df: DataFrame, key: str | None = None) ->
 
 def not_in_set(df: DataFrame, c: str, keys_df: DataFrame, key: str | None = None,
                keys_not_null: bool = False) -> DataFrame:
-    """C NOT IN (subquery) with SQL null semantics (trap T8).
-
-    Default: SQL ``NOT IN``, which Spark plans as a null-aware anti join (a
-    null in the subquery empties the result; a null probe never qualifies).
-    That plan broadcasts the key side, so it suits small key sets (holidays,
-    served zones). With ``keys_not_null=True`` (the caller guarantees a
-    null-free key column) the same result is a plain ``left_anti`` join on a
-    non-null probe, which can shuffle-join key sets of any size.
+    """C NOT IN (subquery) with SQL null semantics (trap T8): a null in the
+    subquery empties the result, a null probe qualifies only against no keys.
+
+    A plain anti join on the non-null keys (Spark broadcasts them only while
+    they are small, else shuffles) plus two scalar counts; with
+    ``keys_not_null=True`` the caller vouches for a null-free, non-empty key column.
     """
     key = key or c
-    if keys_not_null:
-        k = keys_df.select(F.col(key).alias("_k"))
-        return df.filter(F.col(c).isNotNull()).join(k, F.col(c) == F.col("_k"), "left_anti")
     keys = keys_df.select(F.col(key).alias("_k"))
-    view_l, view_r = f"_nin_l_{id(df)}", f"_nin_r_{id(keys)}"
-    df.createOrReplaceTempView(view_l)
-    keys.createOrReplaceTempView(view_r)
-    return df.sparkSession.sql(f"SELECT * FROM {view_l} WHERE `{c}` NOT IN (SELECT _k FROM {view_r})")
+    rest = df.join(keys.filter(F.col("_k").isNotNull()), F.col(c) == F.col("_k"), "left_anti")
+    if keys_not_null:
+        return rest.filter(F.col(c).isNotNull())
+    n, nulls = keys.agg(F.count(F.lit(1))).scalar(), keys.agg(F.count_if(F.col("_k").isNull())).scalar()
+    return rest.filter((n == 0) | (F.col(c).isNotNull() & (nulls == 0)))
 
 
 def flag_in_set(df: DataFrame, c: str, keys_df: DataFrame, out: str, key: str | None = None) -> DataFrame:

@@ -93,24 +93,20 @@ def impute_from_peers(df: DataFrame, series_keys: Sequence[str], date: str, geo:
               .drop("_frac"))
 
 
-def delay_vs_median(df: DataFrame, keys, c: str, thresholds: Sequence[float] = (300, 600)) -> DataFrame:
-    """Per group: median, count_if above median + t per threshold, ratio of counts.
+def delay_vs_median(df: DataFrame, keys, cols: Sequence[str], thresholds: Sequence[float] = (300, 600)) -> DataFrame:
+    """How often each column is at least t above its group's median, over
+    all groups, and the first column's count over the second's per threshold.
 
-    The median is the distributed exact percentile (no group buffered in one
-    task), joined back by key, then counted with ``count_if``.
+    Rows are aggregates (one per group and period), so a group's median buffers
+    no more than the calendar; one window, no self-join.
     """
-    from .stats import exact_percentiles, join_null_safe
-    med = exact_percentiles(df, names_of(keys), c, [0.5], ["median"])
-    j = join_null_safe(df, med, names_of(keys))
-    aggs = [F.count(F.lit(1)).alias("n"), F.first("median").alias("median")]
-    for t in thresholds:
-        aggs.append(F.count_if(F.col(c) - F.col("median") > F.lit(t)).alias(f"over_{int(t)}"))
-    res = j.groupBy(*cols_of(keys)).agg(*aggs)
-    if len(thresholds) >= 2:
-        a, b = int(thresholds[0]), int(thresholds[1])
-        res = res.withColumn(f"ratio_{b}_{a}", F.try_divide(F.col(f"over_{b}").cast("double"),
-                                                           F.col(f"over_{a}").cast("double")))
-    return res
+    w = Window.partitionBy(*cols_of(keys))
+    d = df.select(*[(F.col(c) - F.median(c).over(w)).alias(c) for c in cols])
+    counts = d.agg(*[F.count_if(F.col(c) >= F.lit(t)).alias(f"{c}_over_{int(t)}") for t in thresholds for c in cols])
+    if len(cols) > 1:
+        counts = counts.withColumns({f"ratio_{int(t)}": F.try_divide(F.col(f"{cols[0]}_over_{int(t)}").cast("double"),
+                                                                     F.col(f"{cols[1]}_over_{int(t)}").cast("double")) for t in thresholds})
+    return counts
 
 
 def latest_per(df: DataFrame, keys, date: str) -> DataFrame:

@@ -23,19 +23,21 @@ from .rollups import weighted_mean
 # ---------------------------------------------------------------------------
 
 def ols(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
-    """K1: y ~ x -> slope, intercept, r2, n, residual SE, slope SE and t.
+    """K1: y ~ x -> slope, intercept, r2, n, residual SE, slope and intercept SE, slope t.
 
     Pure aggregates (regr_*): one partial + final aggregate, no model object.
     """
     g = df.groupBy(*keys) if keys else df.groupBy()
     res = g.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"),
                 F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"),
-                F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"))
+                F.regr_sxx(y, x).alias("sxx"), F.regr_syy(y, x).alias("syy"), F.regr_avgx(y, x).alias("mx"))
     sse = F.col("syy") * (F.lit(1.0) - F.col("r2"))
     sigma = F.sqrt(F.try_divide(sse, (F.col("n") - 2).cast("double")))
     se_slope = F.try_divide(sigma, F.sqrt(F.col("sxx")))
+    se_intercept = sigma * F.sqrt(F.try_divide(F.lit(1.0), F.col("n").cast("double"))
+                                  + F.try_divide(F.col("mx") * F.col("mx"), F.col("sxx")))
     return res.select(*keys, "slope", "intercept", "r2", "n",
-                      sigma.alias("residual_se"), se_slope.alias("slope_se"),
+                      sigma.alias("residual_se"), se_slope.alias("slope_se"), se_intercept.alias("intercept_se"),
                       F.try_divide(F.col("slope"), se_slope).alias("slope_t"))
 
 
@@ -43,60 +45,91 @@ def ols(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
 # K2-K4: weighted multi-factor OLS with explicit baselines
 # ---------------------------------------------------------------------------
 
-def dummy_columns(df: DataFrame, factor: str, levels: Sequence, prefix: str | None = None):
-    """One 0/1 column per non-baseline level; the first level is the baseline (R's rule)."""
-    prefix = prefix if prefix is not None else factor
-    names = []
-    for lv in levels[1:]:
-        n = f"{prefix}{lv}"
-        df = df.withColumn(n, (F.col(factor) == F.lit(lv)).cast("double"))
-        names.append(n)
-    return df, names
+def _t_tail(t: float, df: float) -> float:
+    """Two-sided p-value of Student's t, by the incomplete beta function's continued fraction."""
+    import math
+    x, a, b = df / (df + t * t), df / 2, 0.5
+
+    def fraction(x, a, b):
+        c, d = 1.0, 1 - (a + b) * x / (a + 1)
+        d = 1 / d if abs(d) > 1e-300 else 1e300
+        h = d
+        for m in range(1, 500):
+            for num in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
+                d, c = 1 + num * d, 1 + num / c
+                d = 1 / d if abs(d) > 1e-300 else 1e300
+                h *= d * c
+            if abs(d * c - 1) < 1e-14:
+                break
+        return h
+
+    if x <= 0 or x >= 1:
+        return float(x >= 1)
+    front = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x))
+    return front * fraction(x, a, b) / a if x < (a + 1) / (a + b + 2) else 1 - front * fraction(1 - x, b, a) / b
 
 
 def weighted_ols(df: DataFrame, y: Column, numeric: dict, factors: dict, weight: str):
-    """K2/K3: weighted least squares via MLlib's normal-equation solver.
+    """K2/K3: weighted least squares from one aggregate of weighted cross-products.
 
     ``numeric``: name -> Column (e.g. sqrt(distance)); ``factors``: column ->
-    ordered levels (first = baseline). Returns (coefficients DataFrame, model).
-    The coefficient table has one row per term (k rows; k is the model size).
+    ordered levels (first = baseline). The k x k cross-products (k terms) are
+    summed with partial aggregation and solved on the driver. A term that the
+    earlier ones determine (R marks it aliased) stays as a row with a null
+    estimate. A factor value outside its levels is an error. Returns
+    (coefficients DataFrame, info: rows used and dropped for nulls).
     """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import LinearRegression
-
-    d = df.withColumn("_y", y)
-    terms = []
+    import numpy as np
+    names, cols = ["(Intercept)"], [F.lit(1.0)]
     for n, c in numeric.items():
-        d = d.withColumn(n, c)
-        terms.append(n)
+        names.append(n)
+        cols.append(c.cast("double"))
+    unlisted = F.lit(False)
     for f, levels in factors.items():
-        d, names = dummy_columns(d, f, levels)
-        terms.extend(names)
-    d = d.select("_y", weight, *terms).na.drop()
-    # Drop constant dummy columns (a level absent from the data, or a factor
-    # with one level present): they make the normal equations singular; R's
-    # lm marks such terms aliased. One aggregate row of 2k values decides.
-    dummies = [t for t in terms if t not in numeric]
-    if dummies:
-        rng = d.agg(*[F.max(t).alias(f"max_{t}") for t in dummies],
-                    *[F.min(t).alias(f"min_{t}") for t in dummies]).first()
-        terms = [t for t in terms if t in numeric or rng[f"max_{t}"] != rng[f"min_{t}"]]
-    feats = VectorAssembler(inputCols=terms, outputCol="_features").transform(d)
-    lr = LinearRegression(featuresCol="_features", labelCol="_y", weightCol=weight,
-                          solver="normal", regParam=0.0, elasticNetParam=0.0, standardization=False)
-    model = lr.fit(feats)
-    s = model.summary
-    names = terms + ["(Intercept)"]
-    est = list(model.coefficients) + [model.intercept]
-    try:
-        se, tv, pv = s.coefficientStandardErrors, s.tValues, s.pValues
-    except Exception:  # noqa: BLE001 - singular design: the solver gives estimates only
-        se = tv = pv = [None] * len(names)
-    f = lambda v: None if v is None else float(v)
-    rows = [(n, float(e), f(a), f(b), f(c)) for n, e, a, b, c in zip(names, est, se, tv, pv)]
-    coef = df.sparkSession.createDataFrame(
-        rows, "term string, estimate double, std_error double, t_value double, p_value double")
-    return coef, model
+        unlisted = unlisted | (F.col(f).isNotNull() & ~F.col(f).isin(*levels))
+        for lv in levels[1:]:
+            names.append(f"{f}{lv}")
+            cols.append((F.col(f) == F.lit(lv)).cast("double"))
+    k = len(names)
+    d = df.select(F.array(*cols, y.cast("double")).alias("x"), F.col(weight).cast("double").alias("w"), unlisted.alias("bad"))
+    whole = F.col("w").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v))
+    pairs = F.flatten(F.transform("x", lambda a, i: F.transform(F.slice("x", i + 1, k + 1 - i), lambda b: F.col("w") * a * b)))
+    d = d.select(F.when(whole, pairs).otherwise(F.array().cast("array<double>")).alias("p"),
+                 whole.alias("whole"), F.coalesce("bad", F.lit(False)).alias("bad"))
+    sums = d.select(F.posexplode(F.concat("p", F.array(F.col("whole").cast("double"), (~F.col("whole")).cast("double"), F.col("bad").cast("double")))).alias("i", "v"),
+                    F.size("p").alias("n")).groupBy("n", "i").agg(F.sum("v").alias("v")).collect()
+    m, used, dropped, n_bad, base = np.zeros((k + 1, k + 1)), 0, 0, 0, (k + 1) * (k + 2) // 2
+    rows_, cols_ = np.triu_indices(k + 1)
+    for r in sums:
+        at = r["i"] - r["n"]
+        if at >= 0:
+            used, dropped, n_bad = (used + r["v"] * (at == 0), dropped + r["v"] * (at == 1), n_bad + r["v"] * (at == 2))
+        elif r["n"] == base:
+            m[rows_[r["i"]], cols_[r["i"]]] = m[cols_[r["i"]], rows_[r["i"]]] = r["v"]
+    if n_bad:
+        raise ValueError(f"{int(n_bad)} rows have a factor value outside the given levels")
+    own, inv, kept = m.diagonal().copy(), m.copy(), []
+    for j in range(k):  # sweep: afterwards the kept block holds minus the inverse, its last column the estimates
+        if own[j] > 0 and inv[j, j] > 1e-9 * own[j]:
+            p = inv[j, j]
+            row, col = inv[j] / p, inv[:, j].copy()
+            inv -= np.outer(col, row)
+            inv[j], inv[:, j] = row, col / p
+            inv[j, j] = -1 / p
+            kept.append(j)
+    left = int(used) - len(kept)
+    sigma2 = max(0.0, inv[k, k]) / left if left > 0 else None
+    out = []
+    for j in [*range(1, k), 0]:
+        if j not in kept:
+            out.append((names[j], None, None, None, None))
+            continue
+        se = float((sigma2 * -inv[j, j]) ** 0.5) if sigma2 is not None and inv[j, j] < 0 else None
+        est = float(inv[j, k])
+        t = est / se if se else None
+        out.append((names[j], est, se, t, None if t is None else float(_t_tail(t, left))))
+    coef = df.sparkSession.createDataFrame(out, "term string, estimate double, std_error double, t_value double, p_value double")
+    return coef, {"rows": int(used), "dropped": int(dropped)}
 
 
 def multipliers(coef: DataFrame, prefix: str, baseline: str) -> DataFrame:
@@ -236,9 +269,8 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
     tot = vc.groupBy(*dims).agg(F.sum("na").alias("N_a"), F.sum("nb").alias("N_b"),
                                 F.sum("sa").alias("S_a"), F.sum("sb").alias("S_b"))
     tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
-    vc = vc.join(tot.select(*dims), dims, "left_semi")
-    cum = split_cumsum(vc, dims, "_v", ["na", "nb", "sa", "sb"], splits=splits)
-    cum = cum.join(tot, dims)
+    # the join both drops small buckets and carries the totals along
+    cum = split_cumsum(join_null_safe(vc, tot, dims), dims, "_v", ["na", "nb", "sa", "sb"], splits=splits)
     # b strictly greater than v: N_b - cum_nb(<= v); likewise for a
     nb_gt = F.col("N_b") - F.col("cum_nb")
     sb_gt = F.col("S_b") - F.col("cum_sb")
@@ -283,8 +315,8 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
                     n: int = 10_000, seed: int = 1, min_obs: int = 5, splits: int = 32,
                     materialise: bool = True) -> DataFrame:
     """K6: n draws per bucket of (a value, b value), each side drawn uniformly
-    with replacement. Deterministic for a seed (xxhash64 of seed, bucket,
-    draw, side).
+    with replacement. Deterministic for a seed (MD5 of seed, bucket, draw,
+    side, which other engines can compute too).
 
     Rows get a dense index per (bucket, side) by exploding the (value, count)
     table with cumulative offsets; draws meet values by an equi-join on
@@ -296,8 +328,7 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
     tot = vc.groupBy(*dims).agg(F.sum("na").cast("bigint").alias("N_a"),
                                 F.sum("nb").cast("bigint").alias("N_b"))
     tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
-    vc = vc.join(tot.select(*dims), dims, "left_semi")
-    cum = split_cumsum(vc, dims, "_v", ["na", "nb"], splits=splits, inclusive=False)
+    cum = split_cumsum(join_null_safe(vc, tot, dims), dims, "_v", ["na", "nb"], splits=splits, inclusive=False)
 
     def side(cnt, off, tag):
         return (cum.filter(F.col(cnt) > 0)
@@ -306,14 +337,18 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
                    .withColumnRenamed("_v", f"v{tag}"))
     ia = side("na", "cum_na", "a")
     ib = side("nb", "cum_nb", "b")
-    key = [F.col(d).cast("string") for d in dims]
+    key = [F.coalesce(F.col(d).cast("string"), F.lit("~")) for d in dims]
+
+    def drawn(tag, n):
+        text = F.concat_ws("|", F.lit(str(seed)), *key, F.col("draw").cast("string"), F.lit(tag))
+        return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), F.col(n))
+
     draws = tot.select(*dims, "N_a", "N_b", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
     draws = draws.select(
         *dims, "draw",
-        F.pmod(F.xxhash64(F.lit(seed), *key, F.col("draw"), F.lit("a")), F.col("N_a")).alias("_ia"),
-        F.pmod(F.xxhash64(F.lit(seed), *key, F.col("draw"), F.lit("b")), F.col("N_b")).alias("_ib"))
-    return (draws.join(ia, [*dims, "_ia"]).join(ib, [*dims, "_ib"])
-                 .select(*dims, "draw", F.col("va"), F.col("vb")))
+        drawn("a", "N_a").alias("_ia"), drawn("b", "N_b").alias("_ib"))
+    met = join_null_safe(join_null_safe(draws, ia, [*dims, "_ia"]), ib, [*dims, "_ib"])
+    return met.select(*dims, "draw", F.col("va"), F.col("vb"))
 
 
 def winning_margins(draws: DataFrame, dims: Sequence[str]) -> DataFrame:

