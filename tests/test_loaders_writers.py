@@ -101,3 +101,34 @@ def test_not_in_scalable_path(spark):
     keys = spark.createDataFrame([(1,)], "z int")
     assert [r.z for r in Rel.not_in_set(df, "z", keys, keys_not_null=True).collect()] == [2]
     assert [r.z for r in Rel.not_in_set(df, "z", keys).collect()] == [2]
+
+
+def test_yellow_loaders_accept_both_declared_schemas(spark):
+    zones = spark.createDataFrame(ZONES, "location_id int, zone string, borough string")
+    for schema in (schemas.YELLOW, schemas.YELLOW_LEGACY):
+        raw = spark.createDataFrame([], schema)
+        assert loaders.yellow_rowstore(raw).count() == 0
+        assert "pickup_borough" in loaders.taxi_columnstore(raw, "yellow", zones).columns
+
+
+def test_reload_without_rows_removes_the_old_ones(spark, tmpdir_path):
+    table = os.path.join(tmpdir_path, "by_file")
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "v int, filename string")
+    writers.replace_by_file(df, table)
+    writers.replace_by_file(df.filter("false"), table, files=["a"])
+    assert [r.v for r in spark.read.parquet(table).collect()] == [3]
+
+
+def test_row_key_tells_equal_names_in_two_folders_apart(spark, tmpdir_path):
+    paths = [os.path.join(tmpdir_path, d) for d in ("x", "y")]
+    for p in paths:
+        spark.range(3).coalesce(1).write.parquet(p)
+    keyed = readers.row_key(spark.read.parquet(*paths))
+    assert keyed.select("row_id").distinct().count() == 6
+
+
+def test_not_in_null_semantics(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "z int")
+    keys = spark.createDataFrame([(1,), (None,)], "z int")
+    assert Rel.not_in_set(df, "z", keys).count() == 0
+    assert Rel.not_in_set(df, "z", keys.filter("false")).count() == 3

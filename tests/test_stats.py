@@ -2,6 +2,7 @@
 holds most rows; K6 repeatability; OLS against numpy."""
 import random
 
+import pytest
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -120,3 +121,21 @@ def test_win_rate_property(spark, rows, splits):
         assert 0.0 <= got[k].win_rate <= 1.0 and abs(got[k].win_rate - wr) < 1e-12
         assert (got[k].mean_margin_a_wins is None) == (am is None)
         assert (got[k].mean_margin_b_wins is None) == (bm is None)
+
+
+def test_null_buckets_are_kept(spark):
+    rows = [(k, m, float(v)) for k in (None, "x") for v in range(10) for m in ("taxi", "bike")]
+    df = spark.createDataFrame(rows, "k string, m string, v double")
+    assert {r.k for r in K.win_rate(df, ["k"], "m", "taxi", "bike", "v").collect()} == {None, "x"}
+    assert {r.k for r in K.bootstrap_pairs(df, ["k"], "m", "taxi", "bike", "v", n=20).select("k").distinct().collect()} == {None, "x"}
+
+
+def test_weighted_ols_unlisted_levels_nulls_and_aliased_terms(spark):
+    df = spark.createDataFrame([(float(i), "ab"[i % 2], 1.0, float(2 * i + i % 2)) for i in range(20)] + [(None, "a", 1.0, 1.0)],
+                               "x double, f string, w double, y double")
+    coef, info = K.weighted_ols(df, F.col("y"), {"x": F.col("x")}, {"f": ["a", "b", "c"]}, "w")
+    est = {r.term: r.estimate for r in coef.collect()}
+    assert abs(est["x"] - 2) < 1e-9 and abs(est["fb"] - 1) < 1e-9 and est["fc"] is None
+    assert info == {"rows": 20, "dropped": 1}
+    with pytest.raises(ValueError):
+        K.weighted_ols(df, F.col("y"), {"x": F.col("x")}, {"f": ["a", "c"]}, "w")

@@ -1,14 +1,6 @@
 """Named analyses bound to the driver's tables. Importing this package
 registers every analysis in ``registry.QUERIES`` / ``registry.ORACLE``."""
 
-from . import hourly  # noqa: F401
+from . import (airports, cleansing, comparison, daily, fares, hourly, load_queries, loads, market, payments,  # noqa: F401
+               regulator, spatial_queries)
 from .registry import ORACLE, QUERIES  # noqa: F401
-
-_MODULES = ["daily", "airports", "payments", "market", "fares", "comparison", "regulator",
-            "cleansing", "spatial_queries", "loads"]
-for _m in _MODULES:
-    try:
-        __import__(f"{__name__}.{_m}")
-    except ModuleNotFoundError as exc:  # module not written yet
-        if exc.name != f"{__name__}.{_m}":
-            raise

@@ -82,11 +82,5 @@ def l2_stream_hourly_counts(spark, sf_dir):
     table, ckpt = _scratch(spark, "l2")
     s = ST.file_stream(spark, sf_dir, EVENTS, glob="events.parquet")
     agg = ST.stream_counts(s, "ts", ["event_type"], "1 hour", "1 hour")
-
-    def write_final(batch, _epoch):
-        batch.write.mode("overwrite").parquet(table)
-
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write_final).option("checkpointLocation", ckpt)
-            .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(table)
+    ST.upsert_windows(agg, table, ckpt, ["window_start", "event_type"])
+    return ST.latest_windows(spark, table, ["window_start", "event_type"], "trips")

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import cleanse as C
 from ..operators import relational as Rel
 from ..operators import spatial as SP
+from .readers import conform
+from .schemas import YELLOW_ANY
 
 # Cab type ids of the row-store schema.
 CAB_TYPES = {"yellow": 1, "green": 2}
@@ -26,11 +29,19 @@ def _zone_boroughs(df: DataFrame, zones: DataFrame) -> DataFrame:
                             "pickup_", "dropoff_")
 
 
+def _either_era(raw: DataFrame) -> DataFrame:
+    """Yellow rows of any era with the columns of both (and the file name, null if unknown)."""
+    name = F.col("filename") if "filename" in raw.columns else F.lit(None).cast("string")
+    return conform(raw.withColumn("filename", name),
+                   T.StructType([*YELLOW_ANY.fields, T.StructField("filename", T.StringType())]))
+
+
 def yellow_rowstore(raw: DataFrame, tracts: DataFrame | None = None, tract_zone: DataFrame | None = None,
                     cell: float = 0.01) -> DataFrame:
     """M2: yellow cleansing (C1-C5) with the tract lookup for legacy files that
     carry coordinates: points -> tract polygons (J3), tract -> zone (E3), and
-    the supplied zone back-filled from it (C14)."""
+    the supplied zone back-filled from it (C14). ``raw`` is of either era (A4)."""
+    raw = _either_era(raw)
     df = raw.select(
         F.lit(CAB_TYPES["yellow"]).alias("cab_type_id"), C.vendor_code("vendor_id").alias("vendor_id"),
         F.col("tpep_pickup_datetime").alias("pickup_datetime"), F.col("tpep_dropoff_datetime").alias("dropoff_datetime"),
@@ -42,7 +53,7 @@ def yellow_rowstore(raw: DataFrame, tracts: DataFrame | None = None, tract_zone:
         C.payment_code("payment_type").alias("payment_type"),
         "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge",
         "congestion_surcharge", "airport_fee", "total_amount", "pickup_location_id", "dropoff_location_id",
-        *([c for c in ["filename"] if c in raw.columns]))
+        "filename")
     if tracts is None:
         return df
     for role in ("pickup", "dropoff"):
@@ -98,8 +109,10 @@ def uber_2014(raw: DataFrame, tracts: DataFrame, tract_zone: DataFrame | None =
 
 def taxi_columnstore(raw: DataFrame, car_type: str, zones: DataFrame) -> DataFrame:
     """M5: yellow/green column-store load: type literal (C13), boroughs (C12),
-    exact Y/N flag (C6), provenance file name (A3)."""
+    exact Y/N flag (C6), provenance file name (A3). Yellow input is of either era (A4)."""
     pick = "tpep" if car_type == "yellow" else "lpep"
+    if car_type == "yellow":
+        raw = _either_era(raw)
     df = raw.select(
         F.lit(car_type).alias("car_type"), F.col("vendor_id").cast("string").alias("vendor_id"),
         F.col(f"{pick}_pickup_datetime").alias("pickup_datetime"),

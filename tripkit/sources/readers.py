@@ -33,8 +33,8 @@ def with_source_file(df: DataFrame, out: str = "filename") -> DataFrame:
 
 
 def row_key(df: DataFrame, out: str = "row_id") -> DataFrame:
-    """Stable row key from (file name, row index in file); no global counter."""
-    return df.withColumn(out, F.xxhash64(F.col("_metadata.file_name"), F.col("_metadata.row_index")))
+    """Stable row key (full path, row index in the file): exact, no global counter, no hash."""
+    return df.withColumn(out, F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
 
 
 def conform(df: DataFrame, schema: T.StructType, rename: dict | None = None) -> DataFrame:
@@ -67,12 +67,29 @@ def split_by_era(paths: Sequence[str], first_zone_year: int = 2011) -> tuple[lis
     return legacy, modern
 
 
-def read_trips(spark: SparkSession, paths: Iterable[str], dataset: str, provenance: bool = True,
+def list_files(spark: SparkSession, paths: str | Iterable[str]) -> list[str]:
+    """A2: file paths of a folder, a glob or a list of either, through the cluster's file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    out = []
+    for p in [paths] if isinstance(paths, str) else paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            # a folder written by Spark is one data set file; any other folder is listed
+            inner = [s for s in fs.listStatus(status.getPath())] if status.isDirectory() else [status]
+            parts = any(s.getPath().getName().startswith("part-") for s in inner)
+            out += [status.getPath().toString()] if parts or not status.isDirectory() else \
+                [s.getPath().toString() for s in inner if not s.getPath().getName().startswith(("_", "."))]
+    return sorted(out)
+
+
+def read_trips(spark: SparkSession, paths: str | Iterable[str], dataset: str, provenance: bool = True,
                schema: T.StructType | None = None) -> DataFrame:
-    """A1/A2: Parquet scan of monthly files for one dataset, repaired to the
-    declared schema, with the source file name (A3)."""
+    """A1/A2: Parquet scan of monthly files (a folder, a glob or a list) for one dataset,
+    repaired to the declared schema, with the source file name (A3). With dataset
+    ``yellow_any``, months of either era (A4) come out with the columns of both."""
     target = schema or DATASETS[dataset]
-    paths = list(paths)
+    paths = list_files(spark, paths)
     # footer reads only (no data); issued concurrently so hundreds of monthly
     # files cost a few round trips of latency, not one per file in sequence
     from concurrent.futures import ThreadPoolExecutor

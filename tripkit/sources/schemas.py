@@ -28,6 +28,9 @@ YELLOW_LEGACY = _schema(
     ("store_and_fwd_flag", S), ("dropoff_longitude", D), ("dropoff_latitude", D), ("payment_type", S),
     ("fare_amount", D), ("extra", D), ("mta_tax", D), ("tip_amount", D), ("tolls_amount", D), ("total_amount", D))
 
+# Both yellow eras at once: what a loader can rely on, absent columns being typed nulls.
+YELLOW_ANY = T.StructType([*YELLOW.fields, *[f for f in YELLOW_LEGACY.fields if f.name not in YELLOW.names]])
+
 GREEN = _schema(
     ("vendor_id", I), ("lpep_pickup_datetime", TS), ("lpep_dropoff_datetime", TS), ("store_and_fwd_flag", S),
     ("rate_code_id", I), ("pickup_location_id", I), ("dropoff_location_id", I), ("passenger_count", I),
@@ -61,7 +64,7 @@ ELECTION_CSV = _schema(
     ("ad", S), ("ed", S), ("county", S), ("edad_status", S), ("event", S), ("party", S), ("office", S),
     ("district_key", S), ("vote_for", I), ("unit_name", S), ("tally_as_text", S))
 
-DATASETS = {"yellow": YELLOW, "yellow_legacy": YELLOW_LEGACY, "green": GREEN, "fhv": FHV, "fhvhv": FHVHV}
+DATASETS = {"yellow": YELLOW, "yellow_any": YELLOW_ANY, "yellow_legacy": YELLOW_LEGACY, "green": GREEN, "fhv": FHV, "fhvhv": FHVHV}
 
 # Raw header spellings -> normalised names.
 SOURCE_NAMES = {

@@ -27,23 +27,32 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None,
     write_table(df.select(*columns) if columns else df, path, partition_by, mode="append")
 
 
-def replace_by_file(df: DataFrame, table_dir: str, file_col: str = "filename") -> None:
+def replace_by_file(df: DataFrame, table_dir: str, file_col: str = "filename", files: Sequence[str] = ()) -> None:
     """Idempotent reload: rows of the same source file are replaced, all
-    other files' rows are kept (dynamic partition overwrite)."""
+    other files' rows are kept (dynamic partition overwrite). ``files`` names the
+    files being reloaded: one that now yields no rows loses its old ones."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(file_col).parquet(table_dir))
+    if files:
+        present = {r[0] for r in df.select(file_col).distinct().collect()}  # one value per reloaded file
+        jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+        for f in set(files) - present:
+            name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(f)
+            path = jvm.org.apache.hadoop.fs.Path(table_dir, f"{file_col}={name}")
+            path.getFileSystem(conf).delete(path, True)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header. ``single_file`` funnels the (small, aggregated)
-    result through one task; leave it False for anything that grows with data."""
-    out = df.coalesce(1) if single_file else df
+    """CSV with a header. ``single_file`` sends the (small, aggregated) result to one
+    last task, after the work; leave it False for anything that grows with data."""
+    out = df.repartition(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_partitioned_csv(df: DataFrame, by: str, path: str) -> None:
-    """One CSV folder per key value (a single job, no per-key loop)."""
-    df.repartition(by).write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+    """One CSV folder per key value (a single job, no per-key loop); rebalancing
+    splits a key that holds much of the data over several files."""
+    df.hint("rebalance", by).write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str, json_col: str = "json") -> None:

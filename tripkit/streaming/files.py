@@ -72,8 +72,20 @@ def stream_counts(stream_df: DataFrame, ts: str, keys: Sequence[str], window: st
                      .select(to_naive(F.col("w.start")).alias("window_start"), *keys, "trips"))
 
 
-def run_to_table(stream_df: DataFrame, table_dir: str, checkpoint: str, mode: str = "append") -> None:
-    """Drain a streaming aggregate into a Parquet table (availableNow, then stop)."""
-    q = (stream_df.writeStream.format("parquet").outputMode(mode).option("path", table_dir)
-                  .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def upsert_windows(agg: DataFrame, table_dir: str, checkpoint: str, keys: Sequence[str]) -> None:
+    """L2 sink: update mode, so only windows that changed are written, each micro-batch
+    under its own number; the watermark lets state of closed windows go. A replayed
+    batch overwrites its own folder. Drains what is there (availableNow), then stops."""
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        (batch.withColumn("epoch", F.lit(epoch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy("epoch").parquet(table_dir))
+
+    q = (agg.writeStream.outputMode("update").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def latest_windows(spark: SparkSession, table_dir: str, keys: Sequence[str], value: str) -> DataFrame:
+    """The newest count of every window written by ``upsert_windows``."""
+    t = spark.read.parquet(table_dir)
+    return t.groupBy(*keys).agg(F.max_by(value, "epoch").alias(value))
