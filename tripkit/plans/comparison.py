@@ -497,6 +497,16 @@ def m72_median_series_long(spark, sf_dir):
     return long.filter(F.col("value").isNotNull()).select("date", "mode", F.round("value", 6).alias("value"))
 
 
+@register("m72_route_median_series", with_ctes("""
+SELECT date, type AS mode, round(quantile_cont(duration_in_seconds, 0.5) / 60, 6) AS minutes
+FROM comp WHERE start_zone = 7 AND end_zone = 12 GROUP BY ALL""", **CTES))
+def m72_route_median_series(spark, sf_dir):
+    """One route's (zone pair's) daily median minutes by mode, long format."""
+    c = comparison_fact(spark, sf_dir).filter((F.col("start_zone") == 7) & (F.col("end_zone") == 12))
+    med = K.exact_percentiles(c, ["date", "type"], "duration_in_seconds", [0.5], ["median"])
+    return med.select("date", F.col("type").alias("mode"), F.round(F.col("median") / 60, 6).alias("minutes"))
+
+
 @register("m73_slow_day_ratio", with_ctes("""
 WITH t AS (
   SELECT zs.borough AS a, ze.borough AS b, x.label, we.date, we.type, we.duration_in_seconds AS v

@@ -107,6 +107,22 @@ def m46_share_change_by_zone(spark, sf_dir):
                     "b_share_change_pct", "pre_b_share_pct")
 
 
+@register("m46_brand_share_by_era_wide", with_ctes(f"""
+SELECT z.location_id, {", ".join(f"round(max(b_share) FILTER (era = '{e}'), 9) AS {e}_share, CAST(round(max(b_share) FILTER (era = '{e}') * 100) AS BIGINT) || '%' AS {e}_share_pct" for e, _, _ in ERAS)}
+FROM bs JOIN zones z ON bs.pickup_location_id = z.location_id GROUP BY z.location_id
+HAVING max(total_trips) FILTER (era = 'before') > {BOUND_MIN_PRE}""", trips=EV_TRIPS_SQL, bd=BRAND_DAILY_SQL, bs=BS_SQL, zones=ZONES_SQL))
+def m46_brand_share_by_era_wide(spark, sf_dir):
+    """Every era's brand share and percent label, one row per zone with enough earlier trips."""
+    s, z = brand_shares(spark, sf_dir), zones(spark, sf_dir)
+    j = s.join(F.broadcast(z), s.pickup_location_id == z.location_id)
+    era = F.col("era")
+    g = j.groupBy("location_id").agg(*[F.max(F.when(era == e, F.col("b_share"))).alias(f"{e}_share") for e, _, _ in ERAS],
+                                     F.max(F.when(era == "before", F.col("total_trips"))).alias("_pre"))
+    g = g.filter(F.col("_pre") > BOUND_MIN_PRE)
+    cols = [c for e, _, _ in ERAS for c in (F.round(f"{e}_share", 9).alias(f"{e}_share"), C.percent_label(f"{e}_share").alias(f"{e}_share_pct"))]
+    return g.select("location_id", *cols)
+
+
 def votes_by_district(spark, sf_dir):
     """Raw returns -> typed (thousands separators, A21), candidate name with the
     first parenthetical removed (I11, T10), prefix filter (D7), summed by district."""

@@ -12,6 +12,7 @@ import math
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from ..functions import timeparts as tp
 from ..operators import rollups as R
 from ..operators import spatial as SP
 from .bindings import EV_TRIPS_SQL, ZONES_SQL, ev_trips, read, with_ctes, zones
@@ -56,6 +57,26 @@ def m28_office_dropoff_origins(spark, sf_dir):
              .orderBy(F.desc("trips")))
 
 
+@register("m28_second_office_dropoffs", with_ctes(f"""
+SELECT trip_id, pickup_location_id, dropoff_datetime FROM trips
+WHERE dropoff_location_id % 2 = 1 AND {_inside_sql(NORTH_WKT, 'fare_amount', 'CAST(k AS DOUBLE)')}""", trips=EV_TRIPS_SQL))
+def m28_second_office_dropoffs(spark, sf_dir):
+    """Drop-offs inside a second named polygon, first cut down by drop-off zone."""
+    t = ev_trips(spark, sf_dir).filter(F.col("dropoff_location_id") % 2 == 1).withColumn("y", F.col("k").cast("double"))
+    return SP.within(t, NORTH_WKT, "fare_amount", "y").select("trip_id", "pickup_location_id", "dropoff_datetime")
+
+
+@register("m39_office_time_of_day", with_ctes(f"""
+SELECT CAST(600 * floor(date_diff('second', date_trunc('day', dropoff_datetime), date_trunc('second', dropoff_datetime)) / 600) AS DOUBLE) AS bin, count(*) AS n
+FROM trips WHERE dayofweek(dropoff_datetime) % 6 <> 0 AND {_inside_sql(OFFICE_WKT, 'fare_amount', 'CAST(k AS DOUBLE)')}
+GROUP BY 1""", trips=EV_TRIPS_SQL))
+def m39_office_time_of_day(spark, sf_dir):
+    """Weekday drop-offs inside the office polygon by 10-minute bins."""
+    t = ev_trips(spark, sf_dir).filter(tp.dow0("dropoff_datetime").between(1, 5)).withColumn("y", F.col("k").cast("double"))
+    t = SP.within(t, OFFICE_WKT, "fare_amount", "y").withColumn("sod", tp.second_of_day("dropoff_datetime"))
+    return R.histogram(t, "sod", 600, out="n").withColumn("bin", F.col("bin").cast("double"))
+
+
 @register("m29_two_polygon_flags", with_ctes(f"""
 SELECT trip_id, {_inside_sql(NORTH_WKT, 'fare_amount', 'CAST(k AS DOUBLE)')} AS north,
   {_inside_sql(EAST_WKT, 'fare_amount', 'CAST(k AS DOUBLE)')} AS east
