@@ -151,76 +151,71 @@ def _pair_area_batches(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "inter": area * pdf["a_w"].to_numpy() * pdf["b_w"].to_numpy()})
 
 
-def _clip_ring_to_box(xs: np.ndarray, ys: np.ndarray, box) -> np.ndarray:
-    """Sutherland-Hodgman clip of one closed ring to an axis-aligned box.
-    Inside the box the clipped ring has the original winding number (it may
-    gain zero-area segments along the box edges, which carry no area)."""
-    P = list(zip(xs[:-1], ys[:-1]))
-    x0, y0, x1, y1 = box
-    for axis, bound, keep_ge in ((0, x0, True), (0, x1, False), (1, y0, True), (1, y1, False)):
-        if not P:
-            break
-        out = []
-        for i in range(len(P)):
-            cur, prv = P[i], P[i - 1]
-            cin = (cur[axis] >= bound) if keep_ge else (cur[axis] <= bound)
-            pin = (prv[axis] >= bound) if keep_ge else (prv[axis] <= bound)
-            if cin != pin:
-                t = (bound - prv[axis]) / (cur[axis] - prv[axis])
-                q = (prv[0] + t * (cur[0] - prv[0]), prv[1] + t * (cur[1] - prv[1]))
-                q = (bound, q[1]) if axis == 0 else (q[0], bound)
-                out.append(q)
-            if cin:
-                out.append(cur)
-        P = out
-    return np.array(P, dtype=float).reshape(-1, 2)
+def _clip_half(P: np.ndarray, axis: int, bound: float, keep_ge: bool) -> np.ndarray:
+    """Sutherland-Hodgman clip of one ring (open vertex array) to a half-plane, all edges at once.
+    Inside the half-plane the clipped ring has the original winding number (it may gain
+    zero-area segments along the bound, which carry no area)."""
+    v = P[:, axis]
+    inside = v >= bound if keep_ge else v <= bound
+    if inside.all() or not inside.any():
+        return P if inside.all() else P[:0]
+    prev, was = np.roll(P, 1, axis=0), np.roll(inside, 1)
+    cross = inside != was
+    t = (bound - prev[:, axis]) / np.where(cross, v - prev[:, axis], 1.0)
+    q = prev + t[:, None] * (P - prev)
+    q[:, axis] = bound
+    return np.stack([q, P], axis=1).reshape(-1, 2)[np.stack([cross, inside], axis=1).reshape(-1)]
+
+
+def _cells_of(lo: float, hi: float, cell: float) -> range:
+    return range(int(np.floor(lo / cell)), int(np.floor(hi / cell)) + 1)
+
+
+def _ring_triangles(ring: np.ndarray, cell: float):
+    """(cx, cy, w, corners) of a ring clipped to each cell it touches: columns first, then rows of a column."""
+    for cx in _cells_of(ring[:, 0].min(), ring[:, 0].max(), cell):
+        strip = _clip_half(_clip_half(ring, 0, cx * cell, True), 0, (cx + 1) * cell, False)
+        if len(strip) < 3:
+            continue
+        for cy in _cells_of(strip[:, 1].min(), strip[:, 1].max(), cell):
+            q = _clip_half(_clip_half(strip, 1, cy * cell, True), 1, (cy + 1) * cell, False)
+            if len(q) < 3:
+                continue
+            b, c = q[1:-1], q[2:]
+            cr = (b[:, 0] - q[0, 0]) * (c[:, 1] - q[0, 1]) - (b[:, 1] - q[0, 1]) * (c[:, 0] - q[0, 0])
+            b, c, cr = b[cr != 0], c[cr != 0], cr[cr != 0]
+            if len(cr):
+                turn = (cr > 0)[:, None]
+                yield cx, cy, np.sign(cr), np.hstack([np.broadcast_to(q[0], b.shape), np.where(turn, b, c), np.where(turn, c, b)])
 
 
 def _cell_triangles(cell: float):
+    names = ["x0", "y0", "x1", "y1", "x2", "y2"]
+
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            rec = {k: [] for k in ("id", "cx", "cy", "w", "x0", "y0", "x1", "y1", "x2", "y2")}
-            for pid, cx, cy, xs, ys in zip(pdf["id"], pdf["cx"], pdf["cy"], pdf["xs"], pdf["ys"]):
-                box = (cx * cell, cy * cell, (cx + 1) * cell, (cy + 1) * cell)
-                q = _clip_ring_to_box(np.asarray(xs, float), np.asarray(ys, float), box)
-                if len(q) < 3:
-                    continue
-                a, b, c = q[0], q[1:-1], q[2:]
-                cr = (b[:, 0] - a[0]) * (c[:, 1] - a[1]) - (b[:, 1] - a[1]) * (c[:, 0] - a[0])
-                keep = cr != 0
-                b, c, cr = b[keep], c[keep], cr[keep]
-                ccw = cr > 0
-                p1 = np.where(ccw[:, None], b, c)
-                p2 = np.where(ccw[:, None], c, b)
-                n = len(cr)
-                rec["id"] += [pid] * n
-                rec["cx"] += [cx] * n
-                rec["cy"] += [cy] * n
-                rec["w"] += list(np.sign(cr))
-                rec["x0"] += [a[0]] * n
-                rec["y0"] += [a[1]] * n
-                rec["x1"] += list(p1[:, 0])
-                rec["y1"] += list(p1[:, 1])
-                rec["x2"] += list(p2[:, 0])
-                rec["y2"] += list(p2[:, 1])
-            yield pd.DataFrame(rec)
+            for pid, xs, ys in zip(pdf["id"], pdf["xs"], pdf["ys"]):
+                parts = list(_ring_triangles(np.column_stack([np.asarray(xs, float), np.asarray(ys, float)])[:-1], cell))
+                if parts:
+                    n = [len(w) for _, _, w, _ in parts]
+                    out = pd.DataFrame(np.vstack([t for *_, t in parts]), columns=names)
+                    out.insert(0, "w", np.concatenate([w for _, _, w, _ in parts]))
+                    out.insert(0, "cy", np.repeat([cy for _, cy, _, _ in parts], n))
+                    out.insert(0, "cx", np.repeat([cx for cx, *_ in parts], n))
+                    out.insert(0, "id", pid)
+                    yield out
     return run
 
 
 def cell_triangles(polys: DataFrame, id_col: str, rings: str, cell: float) -> DataFrame:
-    """Each ring clipped to every grid cell its bounding box covers, then
-    fan-triangulated inside the cell: (id, cx, cy, w, triangle). Triangles of
-    one cell lie inside that cell, so they only ever meet the other polygon's
-    triangles of the same cell. Rings are oriented first (outer CCW, holes
-    CW), so the signed triangles sum to the polygon's winding number."""
+    """Each ring clipped to every grid cell it touches, then fan-triangulated
+    inside the cell: (id, cx, cy, w, triangle). Triangles of one cell lie inside
+    that cell, so they only ever meet the other polygon's triangles of the same
+    cell. Rings are oriented first (outer CCW, holes CW), so the signed triangles
+    sum to the polygon's winding number. A ring travels once, not once a cell."""
     r = polys.select(col_of(id_col).alias("id"), F.explode(geo.clean_rings(F.col(rings))).alias("_r"))
     r = r.select("id", F.transform("_r.pts", lambda p: p["x"]).alias("xs"),
-                 F.transform("_r.pts", lambda p: p["y"]).alias("ys"))
-    r = r.select("*", F.array_min("xs").alias("minx"), F.array_max("xs").alias("maxx"),
-                 F.array_min("ys").alias("miny"), F.array_max("ys").alias("maxy"))
-    r = r.withColumn("cx", F.explode(F.sequence(geo.grid_cell(F.col("minx"), cell), geo.grid_cell(F.col("maxx"), cell))))
-    r = r.withColumn("cy", F.explode(F.sequence(geo.grid_cell(F.col("miny"), cell), geo.grid_cell(F.col("maxy"), cell))))
-    r = r.select("id", "cx", "cy", "xs", "ys")
+                 F.transform("_r.pts", lambda p: p["y"]).alias("ys")).filter(F.size("xs") > 3)
     schema = T.StructType([T.StructField("id", polys.select(col_of(id_col)).schema[0].dataType),
                            T.StructField("cx", T.LongType()), T.StructField("cy", T.LongType()),
                            *[T.StructField(n, T.DoubleType()) for n in ("w", "x0", "y0", "x1", "y1", "x2", "y2")]])

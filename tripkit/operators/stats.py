@@ -161,29 +161,31 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
                  splits: int = 32, inclusive: bool = True) -> DataFrame:
-    """Running sums of ``cols`` within ``keys`` ordered by ``order`` (unique per key).
-
-    Each group is cut into ``splits`` sub-ranges at approximate quantiles of
-    ``order`` (a sketch aggregate, partial per map task). Totals of earlier
-    sub-ranges come from a tiny window over <= ``splits`` rows per key; the
-    in-range running sum is a window partitioned by (keys, sub-range). So no
-    window partition holds more than ~1/splits of a group. Exact: the
-    quantiles only decide where to cut. Adds ``cum_<c>`` columns.
+    """Running sums and totals of ``cols`` within ``keys`` ordered by ``order`` (unique per key).
+
+    The range of ``order`` is cut into ``splits`` sub-ranges at its approximate
+    quantiles (one sketch over all rows). Totals of a key and of its earlier
+    sub-ranges come from windows over one row per (key, sub-range); the in-range
+    running sum is a window partitioned by (key, sub-range), which is also how the
+    totals are joined, so a hot key spreads over many tasks and each row is
+    shuffled once. Exact: the quantiles only decide where to cut. Adds ``cum_<c>``
+    and ``tot_<c>``. Keys are compared as one struct, in which null equals null.
     """
     keys = list(keys)
     qs = [i / splits for i in range(1, splits)]
-    bounds = df.groupBy(*keys).agg(F.percentile_approx(order, qs, 1000).alias("_sp"))
-    d = join_null_safe(df, bounds, keys)
-    d = d.withColumn("_r", F.size(F.filter("_sp", lambda s: s < F.col(order)))).drop("_sp")
-    sub = d.groupBy(*keys, "_r").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    wk = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    sub = sub.select(*keys, "_r", *[F.coalesce(F.sum(f"_s_{c}").over(wk), F.lit(0)).alias(f"_b_{c}")
-                                    for c in cols])
+    cuts = df.agg(F.percentile_approx(order, qs, 1000)).scalar()
+    d = df.withColumn("_k", F.struct(*keys) if keys else F.lit(0))
+    d = d.withColumn("_cuts", cuts).withColumn("_r", F.size(F.filter("_cuts", lambda s: s < F.col(order)))).drop("_cuts")
+    sub = d.groupBy("_k", "_r").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
+    whole = Window.partitionBy("_k")
+    before = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    sub = sub.select("_k", "_r", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in cols],
+                     *[F.sum(f"_s_{c}").over(whole).alias(f"tot_{c}") for c in cols])
     hi = 0 if inclusive else -1
-    wr = Window.partitionBy(*keys, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
-    d = d.select("*", *[F.coalesce(F.sum(c).over(wr), F.lit(0)).alias(f"_w_{c}") for c in cols])
-    d = join_null_safe(d, sub, [*keys, "_r"])
-    return d.select(*df.columns, *[(F.col(f"_b_{c}") + F.col(f"_w_{c}")).alias(f"cum_{c}") for c in cols])
+    inside = Window.partitionBy("_k", "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
+    d = d.join(sub, ["_k", "_r"])
+    return d.select(*df.columns, *[(F.col(f"_b_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"cum_{c}") for c in cols],
+                    *[f"tot_{c}" for c in cols])
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[float],
@@ -201,8 +203,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[fl
     vc = df.filter(v.isNotNull()).groupBy(*keys, v.cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     vc = _materialise(vc, materialise)
     cum = split_cumsum(vc, keys, "_v", ["_n"], splits=splits, inclusive=False)
-    tot = vc.groupBy(*keys).agg(F.sum("_n").alias("_tot"))
-    j = join_null_safe(cum, tot, keys)
+    j = cum.withColumnRenamed("tot__n", "_tot")
     sel = []
     for i, p in enumerate(ps):
         pos = (F.col("_tot") - 1).cast("double") * F.lit(float(p))
@@ -266,11 +267,9 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
     vc = _value_counts(df, dims, mode, a, b, value)
     vc = vc.withColumn("sa", F.col("na") * F.col("_v")).withColumn("sb", F.col("nb") * F.col("_v"))
     vc = _materialise(vc, materialise)
-    tot = vc.groupBy(*dims).agg(F.sum("na").alias("N_a"), F.sum("nb").alias("N_b"),
-                                F.sum("sa").alias("S_a"), F.sum("sb").alias("S_b"))
-    tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
-    # the join both drops small buckets and carries the totals along
-    cum = split_cumsum(join_null_safe(vc, tot, dims), dims, "_v", ["na", "nb", "sa", "sb"], splits=splits)
+    cum = split_cumsum(vc, dims, "_v", ["na", "nb", "sa", "sb"], splits=splits)
+    cum = cum.withColumnsRenamed({"tot_na": "N_a", "tot_nb": "N_b", "tot_sa": "S_a", "tot_sb": "S_b"})
+    cum = cum.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
     # b strictly greater than v: N_b - cum_nb(<= v); likewise for a
     nb_gt = F.col("N_b") - F.col("cum_nb")
     sb_gt = F.col("S_b") - F.col("cum_sb")
@@ -328,7 +327,7 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
     tot = vc.groupBy(*dims).agg(F.sum("na").cast("bigint").alias("N_a"),
                                 F.sum("nb").cast("bigint").alias("N_b"))
     tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
-    cum = split_cumsum(join_null_safe(vc, tot, dims), dims, "_v", ["na", "nb"], splits=splits, inclusive=False)
+    cum = split_cumsum(vc, dims, "_v", ["na", "nb"], splits=splits, inclusive=False)
 
     def side(cnt, off, tag):
         return (cum.filter(F.col(cnt) > 0)
