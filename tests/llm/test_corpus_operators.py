@@ -155,11 +155,12 @@ def test_trie_holds_smoothed_probabilities():
     total, types = defaultdict(int), Counter(c.tolist())
     for x, n in zip(c.tolist(), count.tolist()):
         total[x] += n
-    own, runs = np.unique(c, return_counts=True)
-    p, rest = trie.query(own, runs, f)
+    own, ci = np.unique(c, return_inverse=True)
+    words, fi = np.unique(f, return_inverse=True)
+    p, rest = trie.query(own, words, ci, fi)
     assert np.allclose(expand(p), [(n - 0.75) / total[x] for x, n in zip(c.tolist(), count.tolist())], rtol=3e-4)  # half a step of 1/4096 decade
-    assert np.allclose(expand(rest), [0.75 * types[x] / total[x] for x in own.tolist()], rtol=3e-4)  # half a step of 1/4096 decade
-    p, rest = trie.query(np.array([own[0], 1], np.uint64), np.array([2, 1]), np.array([2**41, f[0], f[0]], np.uint64))
+    assert np.allclose(expand(rest), [0.75 * types[x] / total[x] for x in own.tolist()], rtol=3e-4)
+    p, rest = trie.query(np.array([own[0], 1], np.uint64), np.array([2**41, f[0]], np.uint64), np.array([0, 0, 1]), np.array([0, 1, 1]))
     assert p[0] == p[2] == 0xFFFF and p[1] != 0xFFFF and rest[1] == 0xFFFF
     assert trie.n_bytes < 16 * len(c)
 

@@ -77,27 +77,30 @@ class EliasFano:
         at = 64 * word + _select(self.high[word] ^ _ALL, np.maximum(rank, 0) - self.zeros[word]).astype(np.int64)
         return np.where(high == 0, 0, np.minimum(at + 1 - high, self.n))
 
-    def successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Position in [start, end) of the first value >= x, or ``end``: the bucket of x's
-        high part by select, then its few values one by one."""
-        x = x.astype(np.uint64)
+    def _successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """(successor of x within its bucket or the bucket's end, that end, x's low bits)."""
         high = np.minimum(x >> np.uint64(self.width), np.uint64(len(self.high) * 64 - self.n - 1)).astype(np.int64)
         at = np.clip(self._first(high), start, end)
         last = np.clip(self._first(high + 1), start, end)
         want = x & np.uint64((1 << self.width) - 1)
         todo = np.flatnonzero(at < last)
-        while len(todo):
+        while len(todo):  # buckets hold one or two values
             todo = todo[self._low(at[todo]) < want[todo]]
             at[todo] += 1
             todo = todo[at[todo] < last[todo]]
-        return at
+        return at, last, want
+
+    def successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Position in [start, end) of the first value >= x, or ``end``: the bucket of x's
+        high part by select, then its few values one by one."""
+        return self._successor(x.astype(np.uint64), start, end)[0]
 
     def find(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Position of x in [start, end), or -1."""
-        at = self.successor(x, start, end)
-        ok = at < end
-        if ok.any():
-            ok[ok] = self.access(at[ok]) == x[ok].astype(np.uint64)
+        """Position of x in [start, end), or -1: the successor, if it has x's bucket and low bits."""
+        x = x.astype(np.uint64)
+        at, last, want = self._successor(x, start, end)
+        ok = at < last
+        ok[ok] = self._low(at[ok]) == want[ok]
         return np.where(ok, at, -1)
 
 
@@ -140,25 +143,24 @@ class Trie:
         return cls({k: EliasFano.build(v) for k, v in levels.items()},
                    quantise((count - discount) / np.repeat(total, size)), quantise(discount * size / total))
 
-    def query(self, context: np.ndarray, runs: np.ndarray, follower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Codes of each follower and of each context's rest; ``runs`` followers belong to each context."""
-        n = self.contexts.n
-        p, rest = np.full(len(follower), NONE, np.uint16), np.full(len(context), NONE, np.uint16)
+    def query(self, contexts: np.ndarray, followers: np.ndarray, c: np.ndarray, f: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the pairs (contexts[c], followers[f]) and of each context's rest. Contexts and
+        words are found once each, pairs by successor search within their context's range."""
+        n, m = self.contexts.n, self.words.n
+        p, rest = np.full(len(c), NONE, np.uint16), np.full(len(contexts), NONE, np.uint16)
         if not n:
             return p, rest
-        at = self.contexts.find(context, np.zeros(len(context), np.int64), np.full(len(context), n))
-        known = at >= 0
-        rest[known] = self.rest[at[known]]
+        at = self.contexts.find(contexts, np.zeros(len(contexts), np.int64), np.full(len(contexts), n))
+        word = self.words.find(followers, np.zeros(len(followers), np.int64), np.full(len(followers), m))
+        rest[at >= 0] = self.rest[at[at >= 0]]
+        known = np.flatnonzero((at[c] >= 0) & (word[f] >= 0))
         safe = np.maximum(at, 0)
         start, end = self.pointers.access(safe).astype(np.int64), self.pointers.access(safe + 1).astype(np.int64)
         base = np.where(start > 0, self.followers.access(np.maximum(start - 1, 0)), np.uint64(0))
-        mine = np.flatnonzero(np.repeat(known, runs))
-        start, end, base = (np.repeat(x, runs)[mine] for x in (start, end, base))
-        word = self.words.find(follower[mine], np.zeros(len(mine), np.int64), np.full(len(mine), self.words.n))
-        seen = word >= 0
-        where = self.followers.find(word[seen].astype(np.uint64) + base[seen], start[seen], end[seen])
+        mine = c[known]
+        where = self.followers.find(word[f[known]].astype(np.uint64) + base[mine], start[mine], end[mine])
         hit = where >= 0
-        p[mine[seen][hit]] = self.p[where[hit]]
+        p[known[hit]] = self.p[where[hit]]
         return p, rest
 
     def _arrays(self):

@@ -38,9 +38,9 @@ from tripkit.llm.packs import MESSAGE, apart, by_group, deltas, grouped, message
 
 ORDER = 2
 DISCOUNT = 0.75
-PACK_BYTES = 24 << 20
+PACK_BYTES = 12 << 20
 #: Distinct n-grams of all packs aimed at in one shard.
-SHARD_ENTRIES = 1_500_000
+SHARD_ENTRIES = 750_000
 #: Bound of the sample that finds large contexts: documents, and characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 20_000
 #: Hashes of the end and of the start token (no word is empty or a space).
@@ -204,19 +204,23 @@ def _answer(sent: DataFrame, discount: float) -> DataFrame:
                 parts.append([f(x) for f, x in zip((undeltas, unsqueeze, unsqueeze, unsqueeze), rest)])
             contexts, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             followers, to = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
-            key = np.repeat(at, np.concatenate([p[1] for p in parts])) * len(followers) + to
-            count = np.concatenate([p[3] for p in parts]).astype(np.int64)
-            by = np.argsort(key[count > 0], kind="stable")
-            key, count = key[count > 0][by], count[count > 0][by]
-            first = _runs(key)[:-1]
-            count = np.add.reduceat(count, first) if len(key) else count
-            c, f = np.divmod(key[first], len(followers))
-            trie = Trie.build(contexts[c], followers[f], count, discount).mapped()
+            entry = np.repeat(at, np.concatenate([p[1] for p in parts])) * len(followers) + to
+            by = np.argsort(entry)
+            first = _runs(entry[by])[:-1]
+            c, f = np.divmod(entry[by][first], len(followers))
+            count = np.add.reduceat(np.concatenate([p[3] for p in parts]).astype(np.int64)[by], first)
+            number = np.empty(len(by), np.int32)
+            number[by] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(by))))
+            learned = count > 0
+            trie = Trie.build(contexts[c[learned]], followers[f[learned]], count[learned], discount).mapped()
+            code, rest = trie.query(contexts, followers, c, f)
             if shard >> 39 & 1:
-                yield messages([(int(count.sum()), shard << 1, 9, b""), (len(count), shard << 1 | 1, 9, b"")])
+                yield messages([(int(count.sum()), shard << 1, 9, b""), (int(learned.sum()), shard << 1 | 1, 9, b"")])
+            code, at_entry, at_context = code[number], 0, 0
             for r, seq, p in zip(rows, seqs, parts):
-                code, rest = trie.query(p[0], p[1], p[2])
-                yield messages([(r[0], shard, 2, several(seq, squeeze(code), squeeze(rest), squeeze(p[1])))])
+                e, m = len(p[2]), len(p[0])
+                yield messages([(r[0], shard, 2, several(seq, squeeze(code[at_entry:at_entry + e]), squeeze(rest[at[at_context:at_context + m]])))])
+                at_entry, at_context = at_entry + e, at_context + m
 
     return stage(by_group(sent, "shard", run, MESSAGE), "ngram-answers")
 
@@ -269,13 +273,15 @@ def score(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, pack_
 def _interpolate(key: np.ndarray, n_words: int, answers: list, lower: np.ndarray, total_of, part: dict, discount: float) -> np.ndarray:
     """Each token's probability at this level, from the shards' codes and the lower order's."""
     by = np.argsort(key)
-    first = _runs(key[by])[:-1]
-    entry = np.empty(len(key), np.int64)
-    entry[by] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(key))))
-    context = key[by][first] // n_words
+    key = key[by]
+    first = _runs(key)[:-1]
+    entry = np.empty(len(key), np.int32)
+    entry[by] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(key))))
+    context = key[first] // n_words
+    del by, key
     at = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]]))
     seen, rests, cut = [], [], None
-    for shard, (_, code, rest, _) in sorted(answers, key=lambda a: int.from_bytes(a[1][0], "little")):
+    for shard, (_, code, rest) in sorted(answers, key=lambda a: int.from_bytes(a[1][0], "little")):
         code, rest = unsqueeze(code), unsqueeze(rest)
         if shard >> 39 & 1:  # a part of a cut context: its own share of the total
             total, followers = total_of(shard)
