@@ -31,7 +31,7 @@ from tripkit.llm.common import shuffle_width, stage, table, work_path
 
 END_ID = 0
 #: Words a worker remembers; only speed depends on it.
-MAX_REMEMBERED = 2_000_000
+MAX_REMEMBERED = 1_500_000
 _SPACE = r"[\s\v\x1c-\x1f\x{85}\p{Z}]"
 #: Marks that may follow the letters of a word.
 MARKS = ".,;:!?"
@@ -169,7 +169,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             memory[tokenizer] = Encoder(tokenizer)
         part, pos = TaskContext.get().partitionId(), 0
         for big in batches:
-            for batch in _slices(big, 16 << 20):
+            for batch in _slices(big, 8 << 20):
                 ids, lens = memory[tokenizer].encode(batch.column("text"), end_id)
                 n = len(lens)
                 rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(ids, pa.int32()))
