@@ -19,5 +19,6 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op3_warc_index": warc.OP3_SQL,
     "op4_fair_mix": fair_mix.OP4_SQL,
+    "op7_count_min": substrings.OP7_SQL,
     "op9_chat_format": chat_format.OP9_SQL,
 }

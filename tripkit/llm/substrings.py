@@ -273,3 +273,17 @@ def dedupe(docs: DataFrame, size: int = WINDOW, shard_bits: int = SHARD_BITS) ->
 
 def op7_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS ws FROM documents),
+win AS (SELECT r, doc_id, i, md5(array_to_string(ws[i:i + {WINDOW - 1}], ' ')) AS h
+        FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM d)),
+low AS (SELECT h, min(doc_id) AS least FROM win GROUP BY h),
+gone AS (SELECT DISTINCT r, i + k AS p
+         FROM (SELECT win.r, win.i FROM win JOIN low USING (h) WHERE low.least < win.doc_id), range(0, {WINDOW}) t(k)),
+words AS (SELECT r, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM d),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT d.doc_id, len(d.ws)::BIGINT AS n_words, (len(d.ws) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
