@@ -21,14 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripkit.llm.common import free_name, stage, table, word_count
+from tripkit.llm.common import stage, table, word_count
 
 SEED = "mix-1"
 WEIGHTS = (5, 2, 1)
 BUDGET_SHARE = 1.5
 MAX_EPOCHS = 2
 #: Rows aimed at in one hash bucket or slice of virtual time.
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 20_000
 
 
 def targets(queued: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -75,7 +75,7 @@ class FairMix:
                  rows_per_bucket: int = ROWS_PER_BUCKET):
         self.max_epochs = max_epochs
         rows = stage(rows.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size")), "mix-rows")
-        self.buckets = max(16, -(-rows.count() // rows_per_bucket))
+        self.buckets = max(64, -(-rows.count() // rows_per_bucket))
         keyed = _keyed(rows, F.col("size"), self.buckets)
         totals = keyed.groupBy("q_key", "q_bucket").agg(F.first("q_source").alias("q_source"), F.sum("q_size").alias("q_size"))
         earlier = Window.partitionBy("q_key").orderBy("q_bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -17,6 +17,7 @@ the few totals are combined at the end. What grows with the data travels in two
 shuffles; the driver sees N, V and the totals of the cut contexts.
 
 Production order is 2: contexts are single words. ``order`` is a parameter.
+Words are known by 64-bit hashes, inside a context by the first 40 bits.
 
 Defined results: null and empty texts are the end token alone; a null id counts
 as the empty string for the split and trains the model; repeated rows are

@@ -28,9 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.llm.common import table
-from tripkit.llm.packs import (MESSAGE, as_messages, by_group, deltas, make_packs, messages, open_pack, over_packs,
-                               several, apart, squeeze, stage, token_numbers, undeltas, unsqueeze)
+from tripkit.llm.common import stage, table
+from tripkit.llm.packs import (MESSAGE, apart, as_messages, by_group, deltas, make_packs, messages, open_pack, over_packs,
+                               several, squeeze, token_numbers, undeltas, unsqueeze)
 
 WINDOW = 50
 #: Cells of one sketch shard as a power of two: its counters are as many bytes.
