@@ -317,37 +317,43 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
     with replacement. Deterministic for a seed (MD5 of seed, bucket, draw,
     side, which other engines can compute too).
 
-    Rows get a dense index per (bucket, side) by exploding the (value, count)
-    table with cumulative offsets; draws meet values by an equi-join on
-    (bucket, side, index), which hash-partitions on the index and so spreads
-    a hot bucket. Returns (dims..., draw, va, vb).
+    A draw is a rank among the bucket's sorted values. Ranks are cut into
+    ``splits`` equal blocks per (bucket, side); counted values (never expanded to
+    rows) and draws are ordered by rank inside their block, and a draw takes the
+    last value at or before it. Returns (dims..., draw, va, vb).
     """
     dims = names_of(dims)
     vc = _materialise(_value_counts(df, dims, mode, a, b, value), materialise)
-    tot = vc.groupBy(*dims).agg(F.sum("na").cast("bigint").alias("N_a"),
-                                F.sum("nb").cast("bigint").alias("N_b"))
-    tot = tot.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
     cum = split_cumsum(vc, dims, "_v", ["na", "nb"], splits=splits, inclusive=False)
-
-    def side(cnt, off, tag):
-        return (cum.filter(F.col(cnt) > 0)
-                   .select(*dims, "_v", F.explode(F.sequence(F.col(off).cast("bigint"),
-                                                             (F.col(off) + F.col(cnt) - 1).cast("bigint"))).alias(f"_i{tag}"))
-                   .withColumnRenamed("_v", f"v{tag}"))
-    ia = side("na", "cum_na", "a")
-    ib = side("nb", "cum_nb", "b")
-    key = [F.coalesce(F.col(d).cast("string"), F.lit("~")) for d in dims]
-
-    def drawn(tag, n):
-        text = F.concat_ws("|", F.lit(str(seed)), *key, F.col("draw").cast("string"), F.lit(tag))
-        return F.pmod(F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long"), F.col(n))
-
-    draws = tot.select(*dims, "N_a", "N_b", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("draw"))
-    draws = draws.select(
-        *dims, "draw",
-        drawn("a", "N_a").alias("_ia"), drawn("b", "N_b").alias("_ib"))
-    met = join_null_safe(join_null_safe(draws, ia, [*dims, "_ia"]), ib, [*dims, "_ib"])
-    return met.select(*dims, "draw", F.col("va"), F.col("vb"))
+    cum = cum.filter((F.col("tot_na") >= min_obs) & (F.col("tot_nb") >= min_obs))
+    side = F.explode(F.array(*[F.struct(F.lit(t).alias("side"), F.col(f"n{t}").cast("bigint").alias("n"),
+                                        F.col(f"cum_n{t}").cast("bigint").alias("pos"),
+                                        F.col(f"tot_n{t}").cast("bigint").alias("tot")) for t in "ab"]))
+    key = F.struct(*dims) if dims else F.lit(0)
+    values = cum.select(key.alias("_k"), "_v", side.alias("s")).select("_k", "_v", "s.*").filter("n > 0")
+    size = F.ceil(F.col("tot") / splits)
+    values = values.withColumn("size", size).withColumn(
+        "block", F.explode(F.sequence(F.floor(F.col("pos") / F.col("size")), F.floor((F.col("pos") + F.col("n") - 1) / F.col("size")))))
+    values = values.select("_k", "side", "block", F.greatest(F.col("pos"), F.col("block") * F.col("size")).alias("pos"), "_v",
+                           F.lit(None).cast("int").alias("draw"))
+    tot = vc.groupBy(*dims).agg(*[F.sum(f"n{t}").cast("bigint").alias(f"tot_{t}") for t in "ab"])
+    tot = tot.filter((F.col("tot_a") >= min_obs) & (F.col("tot_b") >= min_obs))
+    text = [F.coalesce(F.col(d).cast("string"), F.lit("~")) for d in dims]
+
+    def rank(t):
+        seeded = F.concat_ws("|", F.lit(str(seed)), *text, F.col("draw").cast("string"), F.lit(t))
+        return F.struct(F.lit(t).alias("side"), F.pmod(F.conv(F.substring(F.md5(seeded), 1, 15), 16, 10).cast("long"), F.col(f"tot_{t}")).alias("pos"),
+                        F.ceil(F.col(f"tot_{t}") / splits).alias("size"))
+
+    draws = tot.withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    draws = draws.select(key.alias("_k"), "draw", F.explode(F.array(rank("a"), rank("b"))).alias("s")).select(
+        "_k", "s.side", F.floor(F.col("s.pos") / F.col("s.size")).alias("block"), "s.pos", F.lit(None).cast("double").alias("_v"), "draw")
+    order = Window.partitionBy("_k", "side", "block").orderBy("pos", F.col("draw").asc_nulls_first())
+    met = (values.withColumn("_v", F.col("_v").cast("double")).unionByName(draws)
+           .withColumn("v", F.last("_v", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+           .filter(F.col("draw").isNotNull()))
+    pairs = met.groupBy("_k", "draw").agg(*[F.max(F.when(F.col("side") == t, F.col("v"))).alias(f"v{t}") for t in "ab"])
+    return pairs.select(*[F.col("_k")[d].alias(d) for d in dims], "draw", "va", "vb")
 
 
 def winning_margins(draws: DataFrame, dims: Sequence[str]) -> DataFrame:
