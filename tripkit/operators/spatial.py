@@ -289,6 +289,21 @@ def dissolve(df: DataFrame, keys: Sequence[str], rings: str = "rings") -> DataFr
     return df.groupBy(*keys).agg(F.flatten(F.collect_list(rings)).alias(rings))
 
 
+def dissolved_edges(df: DataFrame, keys: Sequence[str], rings: str = "rings", digits: int = 9) -> DataFrame:
+    """The boundary of the union of a group's non-overlapping parts, as directed
+    edges (keys, x1, y1, x2, y2): edges that two parts share run in opposite directions and
+    cancel. Coordinates are snapped to ``digits`` decimals. One aggregate over edges, so no
+    group is gathered; areas follow from the edges."""
+    r = df.select(*keys, F.explode(geo.clean_rings(F.col(rings))).alias("_r"))
+    e = r.select(*keys, F.explode(geo.edges_of(F.array("_r"))).alias("_e"))
+    e = e.select(*keys, *[F.round(F.col("_e")[c], digits).alias(c) for c in ("x1", "y1", "x2", "y2")])
+    a, b = (F.struct(F.col(f"x{i}").alias("x"), F.col(f"y{i}").alias("y")) for i in (1, 2))
+    net = (e.withColumn("_d", F.when(a < b, 1).otherwise(-1)).select(*keys, F.least(a, b).alias("_a"), F.greatest(a, b).alias("_b"), "_d")
+            .filter(F.col("_a") != F.col("_b")).groupBy(*keys, "_a", "_b").agg(F.sum("_d").alias("_d")).filter(F.col("_d") != 0))
+    first, last = F.when(F.col("_d") > 0, F.col("_a")).otherwise(F.col("_b")), F.when(F.col("_d") > 0, F.col("_b")).otherwise(F.col("_a"))
+    return net.select(*keys, first["x"].alias("x1"), first["y"].alias("y1"), last["x"].alias("x2"), last["y"].alias("y2"))
+
+
 def pair_distances(df: DataFrame, id_col: str, x: str, y: str) -> DataFrame:
     """All ordered pairs of distinct zones with straight, crosstown
     and uptown distances. The input is a zone dimension (hundreds of rows):

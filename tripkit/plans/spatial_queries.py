@@ -271,3 +271,76 @@ def j8_projection_roundtrip(spark, sf_dir):
     p = z.select("gid", F.element_at(F.element_at("rings", 1)["pts"], 1).alias("c"))
     f = geo.lcc_forward(F.col("c.x"), F.col("c.y"))
     return p.select("gid", F.round(f["x"], 3).alias("x"), F.round(f["y"], 3).alias("y"))
+
+
+# An L with a square hole, in units of its own size: non-convex, not a rectangle.
+_L_OUTER = [(0.0, 0.0), (0.9, 0.0), (0.9, 0.4), (0.4, 0.4), (0.4, 0.9), (0.0, 0.9)]
+_L_HOLE = [(0.1, 0.1), (0.3, 0.1), (0.3, 0.3), (0.1, 0.3)]
+
+
+def _l_shape(x0, y0, w, h):
+    """WKT column of the L at (x0, y0), scaled to w x h."""
+    def ring(pts):
+        at = [F.concat((x0 + F.lit(dx) * w).cast("string"), F.lit(" "), (y0 + F.lit(dy) * h).cast("string")) for dx, dy in [*pts, pts[0]]]
+        return F.concat(F.lit("("), F.concat_ws(", ", *at), F.lit(")"))
+    return F.concat(F.lit("POLYGON("), ring(_L_OUTER), F.lit(", "), ring(_L_HOLE), F.lit(")"))
+
+
+_L_EDGES_SQL = "(VALUES " + ", ".join(
+    f"({a[0]}, {a[1]}, {b[0]}, {b[1]})" for pts in (_L_OUTER, _L_HOLE) for a, b in zip(pts, [*pts[1:], pts[0]])) + ") e(dx1, dy1, dx2, dy2)"
+
+
+@register("j3_points_in_shapes_with_holes", with_ctes(f"""
+WITH edges AS (
+  SELECT n_nationkey AS gid, (n_nationkey % 5) * 100 + 5.005 + dx1 * 90 AS x1, floor(n_nationkey / 5) * 20 + 1.005 + dy1 * 17 AS y1,
+    (n_nationkey % 5) * 100 + 5.005 + dx2 * 90 AS x2, floor(n_nationkey / 5) * 20 + 1.005 + dy2 * 17 AS y2
+  FROM nation, {_L_EDGES_SQL}),
+hits AS (
+  SELECT t.trip_id, g.gid FROM trips t, edges g
+  WHERE (g.y1 > t.k) <> (g.y2 > t.k) AND t.fare_amount < (g.x2 - g.x1) * (t.k - g.y1) / (g.y2 - g.y1) + g.x1
+  GROUP BY t.trip_id, g.gid HAVING count(*) % 2 = 1)
+SELECT gid, count(*) AS points, CAST(sum(trip_id) AS BIGINT) AS id_sum FROM hits GROUP BY gid""", trips=EV_TRIPS_SQL))
+def j3_points_in_shapes_with_holes(spark, sf_dir):
+    """Points in non-convex polygons with holes, by grid cells and local edges."""
+    n = read(spark, sf_dir, "nation")
+    x0 = (F.col("n_nationkey") % 5).cast("double") * 100 + 5.005
+    y0 = F.floor(F.col("n_nationkey") / 5).cast("double") * 20 + 1.005
+    shapes = n.select(F.col("n_nationkey").alias("gid"), geo.parse_wkt(_l_shape(x0, y0, F.lit(90.0), F.lit(17.0))).alias("rings"))
+    t = ev_trips(spark, sf_dir).select("trip_id", "fare_amount", F.col("k").cast("double").alias("y"))
+    j = SP.spatial_join(t, shapes, "fare_amount", "y", cell=10.0, how="inner")
+    return j.groupBy("gid").agg(F.count(F.lit(1)).alias("points"), F.sum("trip_id").alias("id_sum"))
+
+
+@register("j5_overlap_shapes_with_holes", """
+SELECT s_suppkey AS district, round((0.9 * 0.4 + 0.4 * 0.5 - 0.2 * 0.2) * (1 + (s_suppkey % 7) * 0.2) ^ 2, 6) AS covered FROM supplier""")
+def j5_overlap_shapes_with_holes(spark, sf_dir):
+    """Overlaps of non-convex districts with holes and the zone grid they lie in: a
+    district's overlaps add up to its own area."""
+    from .market import zone_polygons
+    s = read(spark, sf_dir, "supplier")
+    x0 = (F.col("s_suppkey") % 9).cast("double") * 1.2 + 0.15
+    y0 = (F.floor(F.col("s_suppkey") / 9) % 9).cast("double") * 1.2 + 0.15
+    size = F.lit(1.0) + (F.col("s_suppkey") % 7) * F.lit(0.2)
+    districts = s.select(F.col("s_suppkey").alias("district"), geo.parse_wkt(_l_shape(x0, y0, size, size)).alias("rings"))
+    inter = SP.intersection_areas(districts, "district", zone_polygons(spark, sf_dir), "location_id", cell=2.0)
+    return inter.groupBy("district").agg(F.round(F.sum("inter_area"), 6).alias("covered"))
+
+
+@register("j7_dissolved_boundaries", """
+WITH cells AS (SELECT n_regionkey AS region, n_nationkey % 5 AS c, n_nationkey // 5 AS r FROM nation),
+sides AS (
+  SELECT a.region, a.c, a.r, s.dc, s.dr FROM cells a, (VALUES (1, 0), (-1, 0), (0, 1), (0, -1)) s(dc, dr)
+  ANTI JOIN (SELECT region, c, r FROM cells) b ON b.region = a.region AND b.c = a.c + s.dc AND b.r = a.r + s.dr)
+SELECT region, count(*) AS edges, round(count(*) * 2.6, 6) AS perimeter,
+  round((SELECT count(*) FROM cells x WHERE x.region = sides.region) * 2.6 * 2.6, 6) AS area
+FROM sides GROUP BY region""")
+def j7_dissolved_boundaries(spark, sf_dir):
+    """Zones dissolved into their regions with shared boundaries merged; length
+    and area (J4) of the merged outline from its edges."""
+    from .market import zone_polygons
+    z = zone_polygons(spark, sf_dir)
+    n = read(spark, sf_dir, "nation").select("n_nationkey", F.col("n_regionkey").alias("region"))
+    e = SP.dissolved_edges(z.join(n, z.location_id == n.n_nationkey), ["region"])
+    length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
+    return e.groupBy("region").agg(F.count(F.lit(1)).alias("edges"), F.round(F.sum(length), 6).alias("perimeter"),
+                                   F.round(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2, 6).alias("area"))
