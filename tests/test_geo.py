@@ -114,3 +114,12 @@ def test_overlap_independent_of_cell_size_with_holes(spark):
         assert set(got) == set(want)
         for k, v in want.items():
             assert abs(got[k] - v) < 1e-9, (cell, k, got[k])
+
+
+def test_dissolved_edges_cancel_shared_sides(spark):
+    df = spark.createDataFrame([("g", "POLYGON((0 0, 1 0, 1 1, 0 1, 0 0))"), ("g", "POLYGON((1 0, 1 1, 2 1, 2 0, 1 0))"),
+                                ("h", "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0), (1 1, 2 1, 2 2, 1 2, 1 1))")], "k string, w string")
+    e = SP.dissolved_edges(df.select("k", geo.parse_wkt("w").alias("rings")), ["k"]).collect()
+    assert {k: sum(r.k == k for r in e) for k in "gh"} == {"g": 6, "h": 8}
+    area = {k: sum(r.x1 * r.y2 - r.x2 * r.y1 for r in e if r.k == k) / 2 for k in "gh"}
+    assert area == {"g": 2.0, "h": 15.0}

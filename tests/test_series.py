@@ -79,3 +79,21 @@ def test_impute_from_peers_and_latest(spark):
     assert out[("juno", "core")] == (5.0, True) and out[("juno", "total")] == (10.0, False)
     s = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "k string, d int")
     assert sorted((r.k, r.d) for r in S.latest_per(s, ["k"], "d").collect()) == [("a", 3), ("b", 2)]
+
+
+def test_keyless_top_k_keeps_ties_and_ranks_like_a_window(spark):
+    rows = [(i, v) for i, v in enumerate([5, 9, 9, 7, 7, 7, 1, None, 2])]
+    df = spark.createDataFrame(rows, "i int, v int")
+    got = {r.i: r["rank"] for r in S.top_k(df, [], "v", 4).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 3, 5: 3}
+    assert {r.i: r["rank"] for r in S.top_k(df, [], "v", 2, ascending=True).collect()} == {6: 1, 8: 2}
+
+
+def test_key_uniqueness_and_delays(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2), (None, 2), (None, 2)], "k string, v int")
+    assert tuple(Rel.key_uniqueness(df, ["k", "v"]).first()) == (5, 2)
+    assert tuple(Rel.key_uniqueness(df.filter("false"), ["k"]).first()) == (0, 0)
+    days = spark.createDataFrame([("r", 100.0, 100.0), ("r", 100.0, 700.0), ("r", 400.0, 100.0)], "r string, taxi double, bike double")
+    d = S.delay_vs_median(days, ["r"], ["taxi", "bike"], (300, 600)).first()
+    assert (d.taxi_over_300, d.bike_over_300, d.taxi_over_600, d.bike_over_600) == (1, 1, 0, 1)
+    assert d.ratio_300 == 1.0 and d.ratio_600 == 0.0

@@ -8,7 +8,7 @@ task, not one row per input record.
 from __future__ import annotations
 
 from functools import reduce
-from typing import Mapping, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,14 +82,6 @@ def weighted_mean(x, w) -> Column:
     return F.try_divide(F.sum(wc * xc), F.sum(F.when(xc.isNotNull(), wc)).cast("double"))
 
 
-def weighted_means(df: DataFrame, keys, cols: Sequence[str], weight: str,
-                   total: str | None = None) -> DataFrame:
-    aggs = [weighted_mean(c, weight).alias(c) for c in cols]
-    if total:
-        aggs.append(F.sum(weight).alias(total))
-    return df.groupBy(*cols_of(keys)).agg(*aggs)
-
-
 def weighted_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], cols: Sequence[str],
                            weight: str, missing=-1, sums: Sequence[str] = ()) -> DataFrame:
     """GROUPING SETS with weighted means (F13) and plain sums.
@@ -100,16 +92,12 @@ def weighted_grouping_sets(df: DataFrame, sets: Sequence[Sequence[str]], cols: S
     """
     keys = list(dict.fromkeys(k for s_ in sets for k in s_))
     always = set(keys).intersection(*map(set, sets))
-    view = f"_gs_{abs(hash((tuple(map(tuple, sets)), tuple(cols), weight)))}"
-    df.createOrReplaceTempView(view)
-    gsets = ", ".join("(" + ", ".join(s_) + ")" for s_ in sets)
-    kexprs = ", ".join(k if k in always else f"CASE WHEN grouping({k}) = 1 THEN {missing} ELSE {k} END AS {k}"
-                       for k in keys)
-    aggs = [f"try_divide(sum({weight} * {c}), CAST(sum(CASE WHEN {c} IS NOT NULL THEN {weight} END) AS DOUBLE)) AS {c}"
-            for c in cols]
-    aggs += [f"sum({c}) AS {c}" for c in sums]
-    return df.sparkSession.sql(
-        f"SELECT {kexprs}, {', '.join(aggs)} FROM {view} GROUP BY GROUPING SETS ({gsets})")
+    rolled = [k for k in keys if k not in always]
+    aggs = [weighted_mean(c, weight).alias(c) for c in cols] + [F.sum(c).alias(c) for c in sums]
+    out = df.groupingSets([[F.col(k) for k in s_] for s_ in sets], *keys).agg(
+        *[F.grouping(k).alias(f"_g_{k}") for k in rolled], *aggs)
+    shown = [F.col(k) if k in always else F.when(F.col(f"_g_{k}") == 1, F.lit(missing)).otherwise(F.col(k)).alias(k) for k in keys]
+    return out.select(*shown, *cols, *sums)
 
 
 def histogram(df: DataFrame, c, width: float, keys=(), out: str = "n", offset: float = 0.0,

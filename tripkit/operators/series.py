@@ -12,7 +12,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions._util import col_of, cols_of, names_of
+from ..functions._util import cols_of, names_of
 
 
 def _w(keys, order):
@@ -120,14 +120,18 @@ def top_k(df: DataFrame, keys, c: str, k: int, ascending: bool = False, out: str
     """H4: top-k (or bottom-k) per group keeping ties (rank, trap T27).
 
     Without keys, the k-th value is found by a distributed take-ordered
-    (partial top-k per partition), and only rows at or beyond it are ranked,
-    so no single task sees the whole table.
+    (partial top-k per partition); ranks come from the counts of the at most k
+    values at or beyond it, joined back, so no task sees all rows or all ties.
     """
     o = F.col(c).asc() if ascending else F.col(c).desc()
     keys = names_of(keys)
     if not keys:
         kth_rows = df.select(c).filter(F.col(c).isNotNull()).orderBy(o).limit(k)
         kth = (kth_rows.agg(F.max(c)) if ascending else kth_rows.agg(F.min(c))).scalar()
-        df = df.filter(F.col(c) <= kth) if ascending else df.filter(F.col(c) >= kth)
+        near = df.filter(F.col(c) <= kth) if ascending else df.filter(F.col(c) >= kth)
+        earlier = Window.orderBy(o).rowsBetween(Window.unboundedPreceding, -1)
+        ranks = near.groupBy(c).agg(F.count(F.lit(1)).alias("_n")).select(
+            F.col(c).alias("_c"), (1 + F.coalesce(F.sum("_n").over(earlier), F.lit(0))).cast("int").alias(out))
+        return near.join(F.broadcast(ranks), F.col(c) == F.col("_c")).drop("_c")
     w = Window.partitionBy(*cols_of(keys)).orderBy(o)
     return df.withColumn(out, F.rank().over(w)).filter(F.col(out) <= k)

@@ -248,6 +248,18 @@ def m48_results_by_zone(spark, sf_dir):
     return results_by_zone(spark, sf_dir)
 
 
+@register("f22_votes_allocated_to_zones", with_ctes("""
+SELECT m.taxi_zone_location_id, round(sum(v.votes * m.overlap), 6) AS votes
+FROM (SELECT elect_dist, taxi_zone_location_id, overlap FROM ov WHERE overlap >= 0.001) m
+JOIN (SELECT election_district AS elect_dist, sum(votes) AS votes FROM vbd GROUP BY 1) v USING (elect_dist)
+GROUP BY 1""", vbd=VBD_SQL, dr=DIST_RECT_SQL, zr=ZONE_RECT_SQL, ov=OVERLAP_SQL))
+def f22_votes_allocated_to_zones(spark, sf_dir):
+    """all districts' votes allocated to zones by overlap."""
+    v = votes_by_district(spark, sf_dir).groupBy(F.col("election_district").alias("elect_dist")).agg(F.sum("votes").alias("votes"))
+    a = R.allocate(v, district_zone_overlap(spark, sf_dir), "elect_dist", "votes", "overlap", "taxi_zone_location_id")
+    return a.withColumn("votes", F.round("votes", 6))
+
+
 @register("m55_share_vs_vote_regression", with_ctes(f"""
 WITH d AS (
   SELECT c.candidate, s.b_share_change AS y,
