@@ -34,7 +34,6 @@ def brand_daily(spark, sf_dir):
 
 BRAND_DAILY_SQL = f"""SELECT car_type, CAST(pickup_datetime AS DATE) AS date, pickup_location_id, count(*) AS trips
 FROM trips WHERE car_type IN ('{A}', '{B}') GROUP BY ALL"""
-ERA_SQL = "CASE " + " ".join(f"WHEN date BETWEEN DATE '{lo}' AND DATE '{hi}' THEN '{lab}'" for lab, lo, hi in ERAS) + " END"
 
 
 def brand_shares(spark, sf_dir):
@@ -52,13 +51,21 @@ def brand_shares(spark, sf_dir):
         F.countDistinct("date").alias("days"))
 
 
-BS_SQL = f"""SELECT era, pickup_location_id,
-  CAST(sum(CASE WHEN car_type = '{A}' THEN trips END) AS DOUBLE) / nullif(sum(trips), 0) AS a_share,
-  CAST(sum(CASE WHEN car_type = '{B}' THEN trips END) AS DOUBLE) / nullif(sum(trips), 0) AS b_share,
-  CAST(sum(CASE WHEN car_type = '{A}' THEN trips END) AS BIGINT) AS a_trips,
-  CAST(sum(CASE WHEN car_type = '{B}' THEN trips END) AS BIGINT) AS b_trips,
-  CAST(sum(trips) AS BIGINT) AS total_trips, count(DISTINCT date) AS days
-FROM (SELECT *, {ERA_SQL} AS era FROM bd) GROUP BY era, pickup_location_id"""
+# Per era and zone a row a brand, then shares of the row sums.
+BS_SQL = f"""WITH sums AS (
+  SELECT e.label AS era, bd.pickup_location_id, bd.car_type, sum(bd.trips) AS n FROM bd
+  LEFT JOIN (VALUES {", ".join(f"('{lab}', DATE '{lo}', DATE '{hi}')" for lab, lo, hi in ERAS)}) e(label, lo, hi)
+    ON bd.date BETWEEN e.lo AND e.hi GROUP BY ALL),
+days AS (
+  SELECT e.label AS era, bd.pickup_location_id, count(DISTINCT bd.date) AS days FROM bd
+  LEFT JOIN (VALUES {", ".join(f"('{lab}', DATE '{lo}', DATE '{hi}')" for lab, lo, hi in ERAS)}) e(label, lo, hi)
+    ON bd.date BETWEEN e.lo AND e.hi GROUP BY ALL),
+wide AS (
+  SELECT era, pickup_location_id, CAST(any_value(n) FILTER (car_type = '{A}') AS BIGINT) AS a_trips,
+    CAST(any_value(n) FILTER (car_type = '{B}') AS BIGINT) AS b_trips, CAST(sum(n) AS BIGINT) AS total_trips
+  FROM sums GROUP BY era, pickup_location_id)
+SELECT w.*, CAST(w.a_trips AS DOUBLE) / w.total_trips AS a_share, CAST(w.b_trips AS DOUBLE) / w.total_trips AS b_share, d.days
+FROM wide w JOIN days d ON w.pickup_location_id = d.pickup_location_id AND w.era IS NOT DISTINCT FROM d.era"""
 
 
 @register("m45_brand_share_by_era", with_ctes("""
@@ -85,15 +92,12 @@ def share_change(spark, sf_dir, min_pre: int = MIN_PRE):
                     C.percent_label("pre_b_share").alias("pre_b_share_pct"))
 
 
-SC_SQL = f"""SELECT *, CAST(round(b_share_change * 100) AS BIGINT) || '%' AS b_share_change_pct,
-  CAST(round(pre_b_share * 100) AS BIGINT) || '%' AS pre_b_share_pct
-FROM (SELECT z.location_id, z.zone, z.borough,
-    sum(CASE era WHEN 'during' THEN b_share WHEN 'before' THEN -b_share END) AS b_share_change,
-    sum(CASE era WHEN 'before' THEN b_share END) AS pre_b_share,
-    sum(CASE era WHEN 'during' THEN b_share END) AS post_b_share
-  FROM bs JOIN zones z ON bs.pickup_location_id = z.location_id
-  GROUP BY z.location_id, z.zone, z.borough
-  HAVING sum(CASE WHEN era = 'before' THEN total_trips END) > {BOUND_MIN_PRE})"""
+SC_SQL = f"""WITH pairs AS (
+  SELECT z.*, pre.b_share AS pre_b_share, post.b_share AS post_b_share, list_sum([post.b_share, -pre.b_share]) AS b_share_change
+  FROM zones z JOIN (SELECT * FROM bs WHERE era = 'before' AND total_trips > {BOUND_MIN_PRE}) pre ON pre.pickup_location_id = z.location_id
+  LEFT JOIN (SELECT * FROM bs WHERE era = 'during') post ON post.pickup_location_id = z.location_id)
+SELECT *, printf('%d%%', CAST(round(b_share_change * 100) AS BIGINT)) AS b_share_change_pct,
+  printf('%d%%', CAST(round(pre_b_share * 100) AS BIGINT)) AS pre_b_share_pct FROM pairs"""
 
 
 @register("m46_share_change_by_zone", with_ctes("""
