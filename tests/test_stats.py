@@ -139,3 +139,11 @@ def test_weighted_ols_unlisted_levels_nulls_and_aliased_terms(spark):
     assert info == {"rows": 20, "dropped": 1}
     with pytest.raises(ValueError):
         K.weighted_ols(df, F.col("y"), {"x": F.col("x")}, {"f": ["a", "c"]}, "w")
+
+
+def test_p_values_match_published_fits(spark):
+    fits = spark.createDataFrame([(5.567, 235), (-0.120, 235), (-2.505, 235), (None, 235), (1.0, 2)], "slope_t double, n long")
+    got = [r.p_value for r in K.with_p_value(fits).collect()]
+    assert abs(got[0] / 7.13e-08 - 1) < 0.01 and abs(got[1] - 0.904) < 1e-3 and abs(got[2] - 0.0129) < 1e-4
+    assert got[3] is None or got[3] != got[3]
+    assert got[4] is None or got[4] != got[4]

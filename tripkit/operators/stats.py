@@ -9,14 +9,20 @@ sub-ranges first, so a hot bucket is spread over many window partitions.
 
 from __future__ import annotations
 
+import sys as _sys
 from typing import Sequence
 
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions._util import col_of, names_of
 from .rollups import weighted_mean
 
+# The one function below that runs in Python workers is shipped by value with this module.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 
 # ---------------------------------------------------------------------------
 # K1: simple OLS by SQL aggregates
@@ -69,6 +75,18 @@ def _t_tail(t: float, df: float) -> float:
     return front * fraction(x, a, b) / a if x < (a + 1) / (a + b + 2) else 1 - front * fraction(1 - x, b, a) / b
 
 
+def with_p_value(fits: DataFrame, t: str = "slope_t", n: str = "n", terms: int = 2, out: str = "p_value") -> DataFrame:
+    """K1: two-sided p-value of a t statistic with n - terms degrees of freedom, for a table of
+    fits (a row per regression)."""
+    def run(batches):
+        for pdf in batches:
+            ok = pdf[t].notna() & (pdf[n] > terms)
+            pdf[out] = [_t_tail(float(a), float(b - terms)) if c else None for a, b, c in zip(pdf[t], pdf[n], ok)]
+            yield pdf.astype({out: "float64"})
+
+    return fits.mapInPandas(run, StructType([*fits.schema.fields, StructField(out, DoubleType())]))
+
+
 def weighted_ols(df: DataFrame, y: Column, numeric: dict, factors: dict, weight: str):
     """K2/K3: weighted least squares from one aggregate of weighted cross-products.
 
