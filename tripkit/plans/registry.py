@@ -1,7 +1,8 @@
 """Registry of named analyses: key -> (Spark builder, equivalent SQL or None).
 
-A23: every builder returns a lazy DataFrame (the query-to-frame step never
-collects); L5: the reference's R/Ruby helper functions are plain Python
+A23: every builder returns a DataFrame and collects no result; those that load,
+stream, checkpoint a shared intermediate (percentiles, win rates, series) or fit a
+regression start that work when called; L5: the reference's R/Ruby helper functions are plain Python
 functions over DataFrames and Columns. L3 (watermarks beyond hourly windows,
 sessions, custom state) and L4 (database UDFs) do not occur in the reference.
 """
