@@ -41,8 +41,8 @@ CROWDED = rf"^{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}$"
 class Encoder:
     """Whole texts to token ids, through the distinct words of a batch.
 
-    ``words``, ``begin``, ``sizes`` and ``flat`` remember words (each with a
-    space before it) and their ids as plain arrays.
+    ``words``, ``sizes`` and ``flat`` remember words (each with a space before
+    it) and their ids, one after the other, as plain arrays.
     """
 
     def __init__(self, path: str):
@@ -59,7 +59,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.words, self.flat = pa.array([], pa.large_string()), np.empty(0, np.int32)
-        self.begin, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.sizes = np.empty(0, np.int32)
 
     def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids in a row, ids per text)."""
@@ -76,8 +76,7 @@ class Encoder:
         else:
             flat, sizes = self._whole([" " + w for w in plain])
         self.words = pa.concat_arrays([self.words, words])
-        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes, self.flat = np.concatenate([self.sizes, sizes]), np.concatenate([self.flat, flat])
+        self.sizes, self.flat = np.concatenate([self.sizes, sizes.astype(np.int32)]), np.concatenate([self.flat, flat])
 
     def encode(self, texts: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, ids per text), each text followed by ``end_id`` if there is one."""
@@ -169,7 +168,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
             memory[tokenizer] = Encoder(tokenizer)
         part, pos = TaskContext.get().partitionId(), 0
         for big in batches:
-            for batch in _slices(big, 8 << 20):
+            for batch in _slices(big, 4 << 20):
                 ids, lens = memory[tokenizer].encode(batch.column("text"), end_id)
                 n = len(lens)
                 rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(ids, pa.int32()))
@@ -177,6 +176,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
                     [batch.column("doc_id").cast(pa.int64()), pa.array(np.full(n, part), pa.int32()), pa.array(np.arange(pos, pos + n), pa.int64()), rows],
                     names=["doc_id", "part", "pos", "ids"])
                 pos += n
+                pa.default_memory_pool().release_unused()
 
     order = [F.col("doc_id").asc_nulls_last(), F.col("text")]
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
