@@ -141,6 +141,25 @@ def test_fingerprints_follow_content(sample):
     assert max(len(s) for t in texts for s in ctph.fingerprint(t).split(":")[1:]) <= ctph.MAX_CHUNKS + 1
 
 
+def test_fingerprints_of_repetitive_texts():
+    passage = " ".join(f"part{i}" for i in range(40))
+    for unit in ("Retionly ", "ab", "x", "A line that repeats.\n", passage + "\n"):
+        text = "An opening line. " + unit * (12_000 // len(unit))
+        other = " ".join(f"other{i}" for i in range(2000))
+        print_ = ctph.fingerprint(text)
+        assert all(len(s) >= 20 for s in print_.split(":")[1:2]) and len(print_.split(":")[1]) <= ctph.MAX_CHUNKS
+        assert ctph.likeness(print_, ctph.fingerprint(ctph.edited(text, other))) > 0.45  # two thirds are left
+        half = len(text) // 2
+        assert ctph.likeness(print_, ctph.fingerprint(text[:half] + " edit " + text[half:])) > 0.75
+        assert ctph.likeness(print_, ctph.fingerprint(other)) < 0.3
+
+
+def test_no_signature_of_one_character():
+    prints = [ctph.fingerprint(chr(c)) for c in range(128)]
+    assert len(set(prints)) == 128
+    assert all(len(s) > 1 for n in range(1, 80) for s in ctph.fingerprint("z" * n).split(":")[1:])
+
+
 @pytest.mark.parametrize("ranges", [1, 7])
 def test_compare_next_brute_force(docs, empty, ranges):
     order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] is not None, r[1] or ""))

@@ -1,10 +1,15 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
 A hash of the last 7 bytes is taken at every byte; where its trailing zero bits
-reach k a chunk of block size 2**k ends, so boundaries follow content. k is the
-smallest level with at most 64 boundaries in the whole text. A fingerprint is
-``k:signature at k:signature at k + 1``, one character (6 bits of a CRC) per
-chunk. Fingerprints compare by edit distance at block sizes both have.
+reach k a chunk of block size 2**k ends, so boundaries follow content. A chunk
+has half to one and a half block sizes: in that range it ends at the first byte
+that reaches k, else at the first of those that come nearest. So repeats, which
+all trigger at the same few levels, are cut as finely as other text. k is the
+smallest level with at most 64 chunks in the whole text, which leaves at least
+11 to a text of more than 64 bytes (32 or more as a rule), and a chunk a byte to
+a shorter one. A fingerprint is ``k:signature at k:signature at k + 1``, one
+character (6 bits of a CRC) per chunk, two for a single chunk. Fingerprints
+compare by edit distance at block sizes both have.
 
 ``compare_next`` compares every document with its edited form and its successor
 in descending id. Rows are routed once to id ranges; the first row of a range
@@ -30,14 +35,14 @@ from pyspark.sql import functions as F
 from tripkit.llm.common import shuffle_width, table
 
 MAX_CHUNKS = 64
-MIN_LEVEL = 2
+EMPTY = "2::"
 WINDOW = 7
 _MUL = [pow(0x01000193, k + 1, 1 << 32) * 2 + 1 & 0xFFFFFFFF for k in range(WINDOW)]
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
-def _boundaries(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """End positions of candidate chunks and the level each one reaches."""
+def _reached(data: bytes) -> np.ndarray:
+    """The lowest bit set in the hash that ends at each byte: 2**(trailing zero bits)."""
     a = np.frombuffer(data, np.uint8).astype(np.uint32)
     h = a * np.uint32(_MUL[0])
     for k in range(1, min(WINDOW, len(a))):
@@ -47,32 +52,44 @@ def _boundaries(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     h ^= h >> np.uint32(12)
     h *= np.uint32(0x297A2D39)
     h ^= h >> np.uint32(15)
-    at = np.flatnonzero((h & np.uint32((1 << MIN_LEVEL) - 1)) == 0)
-    hit = h[at].astype(np.int64)
-    hit[hit == 0] = 1 << 32
-    return at + 1, np.log2(hit & -hit).astype(np.int64)
+    h[h == 0] = 1 << 31
+    return h & (~h + np.uint32(1))
 
 
-def _signature(view: memoryview, ends: np.ndarray) -> str:
-    cuts = ends.tolist()
-    if not cuts or cuts[-1] != len(view):
-        cuts.append(len(view))
+def _cuts(reached: np.ndarray, level: int) -> list[int]:
+    """Ends of the chunks of block size 2**level."""
+    block, n = 1 << level, len(reached)
+    low, high = (block + 1) // 2, 3 * block // 2
+    reached = np.minimum(reached, np.uint32(block))
+    ends, s = [], 0
+    while n - s > low:
+        s += low + int(reached[s + low - 1:s + high].argmax())
+        ends.append(s)
+    if s < n:
+        ends.append(n)
+    return ends
+
+
+def _signature(view: memoryview, ends: list[int]) -> str:
     crc, out, s = zlib.crc32, [], 0
-    for e in cuts:
+    for e in ends:
         out.append(_CHARS[crc(view[s:e]) & 63])
         s = e
+    if len(out) == 1:
+        out.append(_CHARS[crc(view) >> 6 & 63])
     return "".join(out)
 
 
 def fingerprint(text: str | None) -> str:
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
-        return f"{MIN_LEVEL}::"
-    ends, level = _boundaries(data)
-    reach = np.cumsum(np.bincount(level, minlength=35)[::-1])[::-1]  # boundaries at this level or above
-    k = MIN_LEVEL + int(np.argmax(reach[MIN_LEVEL:] <= MAX_CHUNKS))
+        return EMPTY
+    reached = _reached(data)
+    k = max(0, (2 * len(data) // (3 * MAX_CHUNKS)).bit_length() - 1)  # chunks of 3/2 blocks would be too many below
+    while len(ends := _cuts(reached, k)) > MAX_CHUNKS:
+        k += 1
     view = memoryview(data)
-    return f"{k}:{_signature(view, ends[level >= k])}:{_signature(view, ends[level > k])}"
+    return f"{k}:{_signature(view, ends)}:{_signature(view, _cuts(reached, k + 1))}"
 
 
 def edit_distance(a: str, b: str) -> int:
