@@ -14,7 +14,7 @@ from tripkit.llm.common import word_count
 from tripkit.llm.elias_fano import EliasFano, Trie, expand
 from pyspark.sql import functions as F
 
-from hard_rows import ROWS, WORDS
+from hard_rows import ROWS, SF, WORDS
 
 
 def lower(text):
@@ -206,6 +206,14 @@ def test_scores_brute_force(docs, empty, order, pack, entries):
     assert ngram_score.score(empty, order).count() == 0
 
 
+def test_query_scores_with_trigrams(spark, sample):
+    rows = [(r["doc_id"], r["text"]) for r in sample.select("doc_id", "text").collect()]
+    want = plain_scores(rows, 3)
+    got = sorted(map(tuple, ngram_score.op1_ngram_trie(spark, SF).collect()), key=str)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert all(abs(g[6] - w[6]) <= 3e-4 * w[2] for g, w in zip(got, want))
+
+
 # ---- mixing
 
 def test_mix_targets_and_copies(docs, empty, sample):

@@ -16,7 +16,7 @@ is cut by follower: each part scales its probabilities by its own total, and
 the few totals are combined at the end. What grows with the data travels in two
 shuffles; the driver sees N, V and the totals of the cut contexts.
 
-Production order is 2: contexts are single words. ``order`` is a parameter.
+Production order is 3: contexts are of one and of two words. ``order`` is a parameter.
 Words are known by 64-bit hashes, inside a context by the first 40 bits.
 
 Defined results: null and empty texts are the end token alone; a null id counts
@@ -37,7 +37,7 @@ from tripkit.llm.common import stage, table
 from tripkit.llm.elias_fano import NONE, Trie, expand
 from tripkit.llm.packs import MESSAGE, apart, by_group, deltas, grouped, messages, several, squeeze, token_numbers, undeltas, unsqueeze
 
-ORDER = 2
+ORDER = 3
 DISCOUNT = 0.75
 PACK_BYTES = 12 << 20
 #: Distinct n-grams of all packs aimed at in one shard.
