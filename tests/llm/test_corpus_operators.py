@@ -266,6 +266,23 @@ def test_packing_whole_and_without_conflicts(docs, empty, sample):
     assert best_fit.pack_documents(empty).count() == 0
 
 
+def test_near_copies_never_share_a_bin(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for g in range(40):
+        words = [f"w{x}" for x in rng.integers(0, 5000, 60 + g)]
+        changed = words[:20] + ["changed"] + words[21:]
+        for k, t in enumerate((" ".join(words), "  ".join(words), " ".join(words).title(), " ".join(changed))):
+            rows.append((4 * g + k, t, f"s{k}"))
+    rows += [(900 + i, " \t", "e") for i in range(3)] + [(910, "", "e"), (911, None, None)]
+    got = best_fit.pack_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(r[0] for r in rows)
+    bins = {r["doc_id"]: r["bin_id"] for r in got}
+    assert all(len({bins[4 * g + k] for k in range(4)}) == 4 for g in range(40))
+    cluster = {r["doc_id"]: r["cluster"] for r in got}
+    assert len({cluster[4 * g] for g in range(40)}) == 40 and cluster[900] == cluster[902] and cluster[910] is cluster[911] is None
+
+
 def plain_best_fit(items, capacity, most):
     bins, out = [], []
     repeats = Counter(c for _, c, _ in items)

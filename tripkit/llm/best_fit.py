@@ -22,7 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripkit.llm.common import shuffle_width, stage, table, word_count
+from tripkit.llm.common import shuffle_width, stage, table
+from tripkit.llm.near_classes import near_classes
 
 CAPACITY = 2048
 MAX_PER_SOURCE = 2
@@ -137,10 +138,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, max_per_source: int = MAX_PE
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, max_per_source: int = MAX_PER_SOURCE) -> DataFrame:
-    """``pack`` by words, equal texts being duplicates of each other."""
-    text = F.coalesce("text", F.lit(""))
-    return pack(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"),
-                            F.when(F.length(text) > 0, F.xxhash64(text)).alias("cluster")), capacity, max_per_source)
+    """``pack`` by words, near-duplicate texts being duplicates of each other."""
+    near = near_classes(docs)
+    return pack(near.select("doc_id", "source", "size", F.col("near_class").alias("cluster")), capacity, max_per_source)
 
 
 def op10_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
