@@ -63,6 +63,15 @@ def test_simhash_components_brute_force(docs, empty):
     assert simhash.keep_one(empty).count() == 0
 
 
+def test_keep_one_decides_by_row(spark):
+    texts = {c: " ".join(f"{c}{i * i}" for i in range(200)) for c in "pqrst"}
+    rows = [(1, texts["p"]), (1, texts["q"]), (1, texts["p"]),  # one id, two clean texts
+            (2, texts["r"]), (3, texts["r"]), (3, texts["s"]), (4, texts["s"]),  # 3 is smallest only with s
+            (None, texts["t"]), (None, texts["t"]), (None, texts["t"]), (None, texts["r"])]
+    got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(1, texts["p"]), (1, texts["q"]), (2, texts["r"]), (3, texts["s"]), (None, texts["t"])], key=str)
+
+
 @pytest.mark.parametrize("posting", [20_000, 40])
 def test_links_keep_every_component(spark, posting):
     rng = np.random.default_rng(3)

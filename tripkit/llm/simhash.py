@@ -15,8 +15,8 @@ shared folder. Copies count once per distinct fingerprint throughout.
 
 Defined results: null, empty and word-free texts have fingerprint zero, linked
 like any other; repeated rows and copies share a component; a component's id is
-its smallest id, null if it has none; ``keep_one`` keeps rows of null id; an
-empty table gives no rows. Columns of the input pass through ``keep_one``.
+its smallest id, null if it has none; ``keep_one`` keeps one row of each
+component, of null id only where no other id is in it; an empty table gives no rows. Columns of the input pass through ``keep_one``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.llm.common import free_name, shuffle_width, stage, table
@@ -60,14 +60,16 @@ def text_simhash(text: str | None, k: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > n).tobytes(), "big", signed=True)
 
 
-def simhashes(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp) of every row; no shuffle."""
+def simhashes(docs: DataFrame, k: int = SHINGLE, keep: str | None = None) -> DataFrame:
+    """(doc_id, fp) of every row; no shuffle. With ``keep`` that column as it is for the id."""
     def run(batches):
         for b in batches:
             fps = [text_simhash(t.as_py(), k) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(fps, pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(keep) if keep else b.column("doc_id").cast(pa.int64()), pa.array(fps, pa.int64())],
+                                             names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    kind = docs.schema[keep].dataType.simpleString() if keep else "bigint"
+    return docs.select(keep or "doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp bigint")
 
 
 def _bytes(fp: np.ndarray) -> np.ndarray:
@@ -281,23 +283,44 @@ def components(edges: DataFrame) -> DataFrame:
         now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _rooted(groups: DataFrame, max_bits: int) -> DataFrame:
+    """``groups``, one row per fingerprint ``fp``, with ``root``: the smallest fingerprint of its component."""
+    comp = components(links(groups.select("fp"), max_bits))
+    return groups.join(comp, groups["fp"] == comp["node"], "left").select(groups["*"], F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     prints = stage(simhashes(docs, k), "simhash")
     groups = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
-    comp = components(links(groups, max_bits))
-    rooted = groups.join(comp, groups["fp"] == comp["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(groups, max_bits)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def _place() -> Column:
+    """Order of rows inside a component: id with nulls last, hash of the text."""
+    text = F.coalesce("text", F.lit(""))
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
+                    F.xxhash64(text).alias("h"), F.md5(text).alias("m"))
+
+
 def keep_one(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, one row per id."""
-    gone = free_name(docs, "gone")
-    near = near_duplicates(docs, k, max_bits)
-    drop = near.where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    left = docs.join(drop, F.col("doc_id") == F.col(gone), "left_anti")
-    return left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    """One row of each component: the smallest id, nulls last, then the smallest text hash.
+
+    Rows are chosen by what they hold, never by id alone: the smallest place per
+    fingerprint, then per component, are aggregates; rows of that place have one
+    text, and of several such rows one is kept.
+    """
+    place = free_name(docs, "place")
+    prints = simhashes(docs.select(_place().alias("doc_id"), "text"), k, keep="doc_id")
+    groups = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
+    best = _rooted(groups, max_bits).groupBy("root").agg(F.min("least").alias(place)).select(place)
+    left = docs.withColumn(place, _place()).join(stage(best, "simhash-kept"), place, "left_semi")
+    # Rows of one id and text may differ in other columns: the first of them in a fixed order stays.
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    order = F.struct(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    return left.groupBy(place).agg(F.min_by(rest, order).alias("d")).select("d.*")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
