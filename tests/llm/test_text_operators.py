@@ -116,6 +116,28 @@ def test_encoder_equals_whole_texts():
             assert got.tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
 
 
+def test_encoder_with_special_tokens_as_the_library():
+    from tokenizers import Tokenizer
+    plain, enc = Tokenizer.from_file(TOKENIZER), orc_tokens.Encoder(TOKENIZER, plain_special=False)
+    rnd = random.Random(3)
+    parts = ["a", "b", " ", " ", "\n", "the", "é", "!", "<|endoftext|>", "<|endoftext", "|>"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randint(0, 12))) for _ in range(3000)] + ["x <|endoftext|> y", None]
+    for _ in range(2):
+        ids, n = enc.encode(pa.array(texts))
+        for t, got in zip(texts, np.split(ids, np.cumsum(n)[:-1])):
+            assert got.tolist() == plain.encode(t or "", add_special_tokens=False).ids
+    assert 50256 in plain.encode("x <|endoftext|> y", add_special_tokens=False).ids
+
+
+def test_query_encodes_as_the_library(spark, monkeypatch):
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(TOKENIZER)
+    docs = spark.createDataFrame([(1, "x <|endoftext|> y")], "doc_id long, text string")
+    monkeypatch.setattr(orc_tokens, "table", lambda *_: docs)
+    ids = tok.encode("x <|endoftext|> y", add_special_tokens=False).ids + [0]
+    assert [tuple(r) for r in orc_tokens.op5_orc_tokens(spark, SF).collect()] == [(1, 0, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))]
+
+
 def plain_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):

@@ -9,7 +9,9 @@ Encoding goes by space-separated words, which the tokenizer's own splitting
 never joins where each space stands between two other characters. Each distinct
 word is encoded once by the tokenizers library and remembered, apart from marks
 that follow its letters; a text with other white space beside a space is
-encoded whole.
+encoded whole. So is one that holds an added token's string; special tokens are
+ordinary text only with ``plain_special``, which the query leaves off as the
+library does.
 
 Defined results: null and empty texts give just the end id; equal ids are
 ordered by text, null ids come last; repeated rows are separate documents; an
@@ -45,12 +47,14 @@ class Encoder:
     it) and their ids, one after the other, as plain arrays.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, plain_special: bool = True):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tok.encode_special_tokens = plain_special  # their strings in a text are ordinary text
+        #: Strings that the tokenizer takes out of a text before it splits the rest.
+        self.apart = [t.content for t in self.tok.get_added_tokens_decoder().values() if not (t.special and plain_special)]
         vocab = self.tok.get_vocab(with_added_tokens=True)
         #: Ids whose token begins with a space (shown as U+0120 by byte-level vocabularies).
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
@@ -91,7 +95,13 @@ class Encoder:
         n_words = np.diff(np.append(first, len(at)))
         # A text with white space at an end of a word, or in a row, is encoded whole; so is an empty one.
         odd = pc.or_(pc.match_substring_regex(words, CROWDED), pc.equal(pc.binary_length(words), 0)).to_numpy(zero_copy_only=False)
+        for token in self.apart:
+            if " " not in token:
+                odd = odd | pc.match_substring(words, token).to_numpy(zero_copy_only=False)
         bad = np.logical_or.reduceat(odd[at], first)
+        for token in self.apart:
+            if " " in token:
+                bad = bad | pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         keep = np.repeat(~bad, n_words)
         keep[first] = False
         used = np.zeros(len(words), bool)
@@ -159,17 +169,19 @@ def _slices(batch: pa.RecordBatch, most: int):
 _ROWS = "doc_id long, part int, pos long, ids array<int>"
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, files: int | None = None) -> None:
+def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, files: int | None = None,
+                 plain_special: bool = True) -> None:
     """Write (doc_id, part, pos, ids) in ascending doc_id order; (part, pos) is the order."""
     def run(batches):
         import sys
         memory = sys.__dict__.setdefault("_piece_encoders", {})  # a reused worker keeps its memory
-        if tokenizer not in memory:
-            memory[tokenizer] = Encoder(tokenizer)
+        key = tokenizer, plain_special
+        if key not in memory:
+            memory[key] = Encoder(tokenizer, plain_special)
         part, pos = TaskContext.get().partitionId(), 0
         for big in batches:
             for batch in _slices(big, 4 << 20):
-                ids, lens = memory[tokenizer].encode(batch.column("text"), end_id)
+                ids, lens = memory[key].encode(batch.column("text"), end_id)
                 n = len(lens)
                 rows = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
@@ -215,5 +227,5 @@ def token_digests(rows: DataFrame) -> DataFrame:
 def op5_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     path = work_path(spark, "tokens.orc")
-    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), plain_special=False)
     return token_digests(read_tokens(spark, path))
