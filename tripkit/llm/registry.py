@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripkit.llm import best_fit, chat_format, ctph, decision_list, fair_mix, ngram_score, orc_tokens, simhash, substrings, warc
+from tripkit.llm import alignment, best_fit, chat_format, ctph, decision_list, fair_mix, ngram_score, orc_tokens, simhash, substrings, warc
 
 QUERIES = {
     "op1_ngram_trie": ngram_score.op1_ngram_trie,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_decision_list": decision_list.op8_decision_list,
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_best_fit": best_fit.op10_best_fit,
+    "op11_alignment": alignment.op11_alignment,
 }
 ORACLE: dict[str, str] = {
     "op3_warc_index": warc.OP3_SQL,
