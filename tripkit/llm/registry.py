@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tripkit.llm import alignment, best_fit, chat_format, ctph, decision_list, fair_mix, ngram_score, orc_tokens, simhash, substrings, warc
+from tripkit.llm import (alignment, best_fit, chat_format, ctph, decision_list, fair_mix, language_id, ngram_score, orc_tokens, simhash, substrings,
+                         warc, whitening)
 
 QUERIES = {
     "op1_ngram_trie": ngram_score.op1_ngram_trie,
@@ -16,6 +17,8 @@ QUERIES = {
     "op9_chat_format": chat_format.op9_chat_format,
     "op10_best_fit": best_fit.op10_best_fit,
     "op11_alignment": alignment.op11_alignment,
+    "op12_whitening": whitening.op12_whitening,
+    "op13_language_id": language_id.op13_language_id,
 }
 ORACLE: dict[str, str] = {
     "op3_warc_index": warc.OP3_SQL,
