@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripkit.llm.common import shuffle_width, stage, table
-from tripkit.llm.orc_tokens import CROWDED
-from tripkit.llm.packs import apart, grouped, several, squeeze, unsqueeze
+from tripkit.llm.packs import Numbers, apart, grouped, several, squeeze, unsqueeze
 
 PACK_BYTES = 6 << 20
 #: Characters of a part of a long text, and of the parts aligned at once.
@@ -40,6 +40,8 @@ PART_CHARS = 1 << 19
 MAX_REMEMBERED = 400_000
 #: Groups with more links than this are reduced to their distinct ids before they are paired.
 WIDE_GROUP = 4096
+#: Fixed value: how a byte-level vocabulary splits a text before it merges bytes.
+BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CUT = re.compile(r"\S (?=\S)")
 
 
@@ -56,6 +58,11 @@ def byte_level_tokens(path: str) -> list[bytes]:
     return out
 
 
+def special_ids(path: str) -> set[int]:
+    from tokenizers import Tokenizer
+    return {i for i, t in Tokenizer.from_file(path).get_added_tokens_decoder().items() if t.special}
+
+
 def piece_tokens(path: str) -> list[bytes]:
     """Bytes of each id of a piece vocabulary: U+2581 is a space, <0xHH> a byte."""
     import sentencepiece
@@ -65,65 +72,75 @@ def piece_tokens(path: str) -> list[bytes]:
 
 
 class WordEncoder:
-    """Ids of a space and a text, through the distinct words of a batch; ``encode`` does lists of strings."""
+    """Ids of a space and a text on both sides, through the distinct words of a batch, each encoded once.
 
-    def __init__(self, encode):
-        self.encode = encode
+    ``sides`` are (function from strings to lists of ids for a space and each, bytes of each id).
+    """
+
+    def __init__(self, *sides):
+        self.sides = sides
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.sizes = np.empty(0, np.int32), np.empty(0, np.int64)
-
-    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [np.asarray(x, np.int32) for x in self.encode(texts)] if texts else []
-        return np.concatenate([np.empty(0, np.int32), *got]), np.array([len(x) for x in got], np.int64)
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids in a row, ids per text); no text is empty."""
-        import pyarrow.compute as pc
-        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
-        first = lists.offsets.to_numpy()[:-1]
-        coded = lists.flatten().dictionary_encode()
-        at, words = coded.indices.to_numpy(), coded.dictionary
-        odd = pc.or_(pc.match_substring_regex(words, CROWDED), pc.equal(pc.binary_length(words), 0)).to_numpy(zero_copy_only=False)
-        bad = np.logical_or.reduceat(odd[at], first)
-        keep = ~np.repeat(bad, np.diff(np.append(first, len(at))))
-        used = np.zeros(len(words), bool)
-        used[at[keep]] = True
+        self.known, self.odd, self.same = Numbers(), np.empty(0, bool), np.empty(0, bool)
+        self.memory = [(np.empty(0, np.int64), np.empty(0, np.int64)) for _ in self.sides]
+
+    def _encode(self, texts: list[str]):
+        """Per side (ids in a row, ids per text); whether both give back a space and the text."""
+        out, same = [], np.ones(len(texts), bool)
+        for encode, shown in self.sides:
+            ids = encode(texts) if texts else []
+            n = np.fromiter(map(len, ids), np.int64, len(ids))
+            out.append((np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum())), n))
+            same &= np.fromiter((b"".join(map(shown.__getitem__, x)) == b" " + t.encode() for x, t in zip(ids, texts)), bool, len(texts))
+        return out, same
+
+    def __call__(self, texts: list[str]):
+        """Per side (ids in a row, ids per text); whether both give back a space and the text. No text is empty."""
         if len(self.known) > MAX_REMEMBERED:
             self._forget()
-        mine = words.filter(pa.array(used)).to_pylist()
-        fresh = [w for w in mine if w not in self.known]
-        self.known.update((w, i) for i, w in enumerate(fresh, len(self.known)))
-        flat, sizes = self._ids(fresh)
-        self.flat, self.sizes = np.concatenate([self.flat, flat]), np.concatenate([self.sizes, sizes])
-        place = np.zeros(len(words), np.int64)
-        place[used] = [self.known[w] for w in mine]
-        whole, whole_sizes = self._ids([texts[i] for i in np.flatnonzero(bad).tolist()])
-        flat, sizes = np.concatenate([self.flat, whole]), np.concatenate([self.sizes, whole_sizes])
-        item = place[at]
-        item[first[bad]] = len(self.sizes) + np.arange(bad.sum())
-        keep[first[bad]] = True
-        item = item[keep]
-        n = sizes[item]
-        begin = np.cumsum(sizes) - sizes
-        ids = flat[np.arange(n.sum()) + np.repeat(begin[item] - (np.cumsum(n) - n), n)]
-        items = np.where(bad, 1, np.diff(np.append(first, len(at))))
-        return ids, np.add.reduceat(n, np.cumsum(items) - items)
-
-
-def encoders(tokenizer: str, pieces: str) -> tuple[WordEncoder, WordEncoder]:
-    """Encoders of the two sides; strings of special tokens are plain text to both."""
-    import os
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        before, words, n_words = len(self.known), [], []
+        for t in texts:
+            ws = t.split(" ")
+            n_words.append(len(ws))
+            words += ws
+        item, n_words = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)), np.array(n_words)
+        del words
+        fresh = list(islice(self.known, before, None))
+        # A word with white space at an end (or none between two spaces) may be cut otherwise in its text.
+        odd = np.fromiter((not w or w[0].isspace() or w[-1].isspace() for w in fresh), bool, len(fresh))
+        coded, same = self._encode(fresh)
+        self.odd, self.same = np.concatenate([self.odd, odd]), np.concatenate([self.same, same])
+        self.memory = [tuple(map(np.concatenate, zip(*pair))) for pair in zip(self.memory, coded)]
+        first = np.cumsum(n_words) - n_words
+        whole = np.logical_or.reduceat(self.odd[item], first)
+        ok = np.logical_and.reduceat(self.same[item], first)
+        apart_, ok[whole] = self._encode([texts[i] for i in np.flatnonzero(whole).tolist()])
+        item[first[whole]] = len(self.same) + np.arange(whole.sum())
+        keep = ~np.repeat(whole, n_words)
+        keep[first[whole]] = True
+        item, items = item[keep], np.where(whole, 1, n_words)
+        out = []
+        for pair in zip(self.memory, apart_):
+            flat, sizes = map(np.concatenate, zip(*pair))
+            n = sizes[item]
+            begin = np.cumsum(sizes) - sizes
+            out.append((flat[np.arange(n.sum()) + np.repeat(begin[item] - (np.cumsum(n) - n), n)], np.add.reduceat(n, np.cumsum(items) - items)))
+        return out, ok
+
+
+def word_encoder(tokenizer: str, pieces: str) -> WordEncoder:
+    """Both sides; strings of special tokens are plain text. A byte-level vocabulary numbers its tokens in the
+    order of their merges, which is all tiktoken needs to cut as the tokenizers library does, only faster."""
     import sentencepiece
-    from tokenizers import Tokenizer
-    tok = Tokenizer.from_file(tokenizer)
-    tok.encode_special_tokens = True
+    import tiktoken
+    a_bytes, b_bytes = byte_level_tokens(tokenizer), piece_tokens(pieces)
+    special = special_ids(tokenizer)
+    ranks = {t: i for i, t in enumerate(a_bytes) if i not in special}
+    tok = tiktoken.Encoding("byte-level", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces)
-    return (WordEncoder(lambda texts: [e.ids for e in tok.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]),
-            WordEncoder(lambda texts: sp.encode(texts, num_threads=1)))
+    return WordEncoder((lambda texts: [tok.encode_ordinary(" " + t) for t in texts], a_bytes),
+                       (lambda texts: sp.encode(texts, num_threads=1), b_bytes))
 
 
 def align(doc_a: np.ndarray, a_end: np.ndarray, a_start: np.ndarray, doc_b: np.ndarray, b_end: np.ndarray, b_start: np.ndarray):
@@ -135,7 +152,8 @@ def align(doc_a: np.ndarray, a_end: np.ndarray, a_start: np.ndarray, doc_b: np.n
     a = pd.DataFrame({"at": a_start, "doc": doc_a, "a": np.arange(len(a_start))})
     b = pd.DataFrame({"at": b_start, "doc": doc_b, "b": np.arange(len(b_start))})
     over = pd.concat([pd.merge_asof(a, b, on="at", by="doc"), pd.merge_asof(b, a, on="at", by="doc")])
-    i, j = np.divmod(np.unique(over["a"].to_numpy(np.int64) * len(b) + over["b"].to_numpy(np.int64)), max(1, len(b)))
+    key = np.sort(over["a"].to_numpy(np.int64) * len(b) + over["b"].to_numpy(np.int64), kind="stable")  # two sorted runs
+    i, j = np.divmod(key[np.diff(key, prepend=-1) > 0], max(1, len(b)))
     closes = a_end[i] == b_end[j]
     group = np.cumsum(closes) - closes
     of_a, of_b = np.empty(len(a), np.int64), np.empty(len(b), np.int64)
@@ -188,10 +206,9 @@ class Aligner:
     """Token groups of whole texts."""
 
     def __init__(self, tokenizer: str, pieces: str):
-        self.a, self.b = encoders(tokenizer, pieces)
-        self.a_bytes, self.b_bytes = byte_level_tokens(tokenizer), piece_tokens(pieces)
-        self.a_len, self.b_len = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.n_a, self.n_b = len(self.a_bytes), len(self.b_bytes)
+        self.encode = word_encoder(tokenizer, pieces)
+        self.a_len, self.b_len = (np.array([len(x) for x in shown], np.int64) for _, shown in self.encode.sides)
+        self.n_a, self.n_b = len(self.a_len), len(self.b_len)
         #: Ids as written in a group: followed by another of its side, or the last of it.
         self.shown = [b"%d%s" % (i, e) for n, last in ((self.n_a, b"|"), (self.n_b, b";")) for i in range(n) for e in (b",", last)]
 
@@ -215,21 +232,13 @@ class Aligner:
     def _batch(self, held, counts, sha, bad, keys, links) -> None:
         if not held:
             return
-        (ids_a, na), (ids_b, nb) = (f([p for _, p, _ in held]) for f in (self.a, self.b))
-        ok, upto_a, upto_b = np.ones(len(held), bool), np.cumsum(na), np.cumsum(nb)
-        all_a, all_b = ids_a.tolist(), ids_b.tolist()
-        for k, (row, part, _) in enumerate(held):
-            want = b" " + part.encode()
-            ok[k] = (b"".join(map(self.a_bytes.__getitem__, all_a[upto_a[k] - na[k]:upto_a[k]])) == want
-                     and b"".join(map(self.b_bytes.__getitem__, all_b[upto_b[k] - nb[k]:upto_b[k]])) == want)
-            bad[row] |= not ok[k]
-        del all_a, all_b
+        ((ids_a, na), (ids_b, nb)), ok = self.encode([p for _, p, _ in held])
+        bad[[row for (row, _, _), good in zip(held, ok.tolist()) if not good]] = True
         if not ok.all():
             ids_a, ids_b = ids_a[np.repeat(ok, na)], ids_b[np.repeat(ok, nb)]
             held, na, nb = [h for h, good in zip(held, ok.tolist()) if good], na[ok], nb[ok]
             if not held:
                 return
-        ids_a, ids_b = ids_a.astype(np.int64), ids_b.astype(np.int64)
         rows = np.array([r for r, _, _ in held], np.int64)
         doc_a, doc_b = np.repeat(rows, na), np.repeat(rows, nb)
         a_end, b_end = np.cumsum(self.a_len[ids_a]), np.cumsum(self.b_len[ids_b])
