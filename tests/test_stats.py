@@ -147,3 +147,31 @@ def test_p_values_match_published_fits(spark):
     assert abs(got[0] / 7.13e-08 - 1) < 0.01 and abs(got[1] - 0.904) < 1e-3 and abs(got[2] - 0.0129) < 1e-4
     assert got[3] is None or got[3] != got[3]
     assert got[4] is None or got[4] != got[4]
+
+
+def _medians(rows):
+    out = {}
+    for k in {r[0] for r in rows}:
+        a, b = ([v for x, m, v in rows if x == k and m == t and v is not None] for t in ("taxi", "bike"))
+        if a and b:
+            d = np.subtract.outer(np.array(b), np.array(a)).ravel()
+            out[k] = tuple(float(np.median(x)) if len(x) else None for x in (d[d > 0], -d[d <= 0]))
+    return out
+
+
+def test_median_margins_equal_all_pairs_with_hot_bucket(spark):
+    from tripkit.operators.margins import median_margins
+    rnd = random.Random(11)
+    rows = [("hot" if i % 3 else None, rnd.choice(["taxi", "bike"]), round(rnd.expovariate(0.01), 1)) for i in range(900)]   # fractions
+    rows += [("ties", m, float(rnd.randint(1, 9))) for m in ("taxi", "bike") for _ in range(100)]
+    rows += [("tail", m, 10.0 ** rnd.randint(-3, 4) * rnd.choice([-1, 1])) for m in ("taxi", "bike") for _ in range(60)]
+    rows += [("a always", "taxi", 1.0), ("a always", "bike", 5.5), ("b always", "taxi", 9.0), ("b always", "bike", 9.0),
+             ("one side", "taxi", 1.0), ("no value", "taxi", None), ("no value", "bike", 2.0), ("other", "walk", 3.0)]
+    df = spark.createDataFrame(rows, "k string, m string, v double").cache()
+    got = {r.k: (r.median_margin_a_wins, r.median_margin_b_wins) for r in median_margins(df, ["k"], "m", "taxi", "bike", "v", min_obs=1, listed=4.0).collect()}
+    assert got == _medians(rows) and len(got) == 6
+    none = median_margins(df.where("false"), ["k"], "m", "taxi", "bike", "v")
+    assert none.columns == ["k", "n_a", "n_b", "median_margin_a_wins", "median_margin_b_wins"] and none.count() == 0
+    some = df.where("k = 'ties'")   # no dimension
+    row = median_margins(some, [], "m", "taxi", "bike", "v", min_obs=100, listed=1.0).first()
+    assert (row.median_margin_a_wins, row.median_margin_b_wins) == got["ties"]

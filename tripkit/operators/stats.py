@@ -1,5 +1,6 @@
 """Statistical operators (inventory group K).
 
+K2/K3 add a regression's cross-products up per combination of factor levels.
 K5 (pairwise win rate) is exact and never forms the cross product: each
 bucket is reduced to (value, n_a, n_b) counts, and P(a < b) is
 sum_v n_a(v) * #{b > v} / (N_a N_b), with #{b > v} from a cumulative sum.
@@ -9,6 +10,7 @@ sub-ranges first, so a hot bucket is spread over many window partitions.
 
 from __future__ import annotations
 
+import math
 import sys as _sys
 from typing import Sequence
 
@@ -53,7 +55,6 @@ def ols(df: DataFrame, y: str, x: str, keys: Sequence[str] = ()) -> DataFrame:
 
 def _t_tail(t: float, df: float) -> float:
     """Two-sided p-value of Student's t, by the incomplete beta function's continued fraction."""
-    import math
     x, a, b = df / (df + t * t), df / 2, 0.5
 
     def fraction(x, a, b):
@@ -87,43 +88,69 @@ def with_p_value(fits: DataFrame, t: str = "slope_t", n: str = "n", terms: int =
     return fits.mapInPandas(run, StructType([*fits.schema.fields, StructField(out, DoubleType())]))
 
 
+def cross_products(df: DataFrame, y: Column, numeric: dict, factors: dict, weight: str) -> DataFrame:
+    """Weighted cross-products (i, j, v), i <= j, of a design matrix with terms in the order intercept, numeric,
+    factor levels but the first, y. Three rows with i = -1 count the rows used, dropped for nulls, and with
+    a factor value outside its levels.
+
+    Rows are added up per combination of factor levels first, with a few native sums (products of intercept,
+    numeric terms and y); a combination then yields the products of its own few non-zero terms only. So no
+    row is expanded, and what is shuffled is bounded by the combinations.
+    """
+    base = [F.lit(1.0), *[c.cast("double") for c in numeric.values()], y.cast("double")]
+    names = [f"_x{i}" for i in range(len(base))]
+    whole, bad, at, first = F.col(weight).isNotNull(), F.lit(False), [], len(numeric) + 1
+    for f, levels in factors.items():
+        value = F.col(f).cast("string")
+        place = F.array_position(F.array(*[F.lit(str(v)) for v in levels]), value)
+        bad = bad | (value.isNotNull() & (place == 0))
+        whole = whole & value.isNotNull()
+        at.append(F.when(place >= 2, place.cast("int") + (first - 2)).alias(f"_f{len(at)}"))
+        first += len(levels) - 1
+    for c in base[1:]:
+        whole = whole & c.isNotNull() & ~F.isnan(c)
+    y_at, places = first, [f"_f{i}" for i in range(len(at))]
+    rows = df.select(*[c.alias(n) for c, n in zip(base, names)], F.col(weight).cast("double").alias("_w"), *at,
+                     whole.alias("_whole"), F.coalesce(bad, F.lit(False)).alias("_bad"))
+    pairs = [(i, j) for i in range(len(base)) for j in range(i, len(base))]
+    cells = rows.groupBy(*places).agg(
+        *[F.sum(F.when(F.col("_whole"), F.col("_w") * F.col(names[i]) * F.col(names[j]))).alias(f"_s{i}_{j}") for i, j in pairs],
+        F.count_if("_whole").alias("_used"), F.count_if(~F.col("_whole")).alias("_dropped"), F.count_if("_bad").alias("_n_bad"))
+
+    def entry(i: Column, j: Column, v: str):
+        return F.struct(F.least(i, j).alias("i"), F.greatest(i, j).alias("j"), F.col(v).alias("v"))
+
+    own = [F.lit(i) for i in range(len(base) - 1)] + [F.lit(y_at)]
+    entries = [entry(own[i], own[j], f"_s{i}_{j}") for i, j in pairs]
+    for k, p in enumerate(places):
+        entries += [F.when(F.col(p).isNotNull(), entry(F.col(p), own[i], f"_s0_{i}")) for i in range(len(base))]
+        entries += [F.when(F.col(p).isNotNull() & F.col(q).isNotNull(), entry(F.col(p), F.col(q), "_s0_0")) for q in places[k:]]
+    entries += [F.struct(F.lit(-1).alias("i"), F.lit(n).alias("j"), F.col(c).cast("double").alias("v"))
+                for n, c in enumerate(("_used", "_dropped", "_n_bad"))]
+    return cells.select(F.explode(F.array_compact(F.array(*entries))).alias("e")).groupBy("e.i", "e.j").agg(F.sum("e.v").alias("v"))
+
+
 def weighted_ols(df: DataFrame, y: Column, numeric: dict, factors: dict, weight: str):
-    """K2/K3: weighted least squares from one aggregate of weighted cross-products.
+    """K2/K3: weighted least squares from weighted cross-products.
 
     ``numeric``: name -> Column (e.g. sqrt(distance)); ``factors``: column ->
-    ordered levels (first = baseline). The k x k cross-products (k terms) are
-    summed with partial aggregation and solved on the driver. A term that the
+    ordered levels (first = baseline). The k x k cross-products (k terms, see
+    ``cross_products``) are solved on the driver. A term that the
     earlier ones determine (R marks it aliased) stays as a row with a null
     estimate. A factor value outside its levels is an error. Returns
     (coefficients DataFrame, info: rows used and dropped for nulls).
     """
     import numpy as np
-    names, cols = ["(Intercept)"], [F.lit(1.0)]
-    for n, c in numeric.items():
-        names.append(n)
-        cols.append(c.cast("double"))
-    unlisted = F.lit(False)
-    for f, levels in factors.items():
-        unlisted = unlisted | (F.col(f).isNotNull() & ~F.col(f).isin(*levels))
-        for lv in levels[1:]:
-            names.append(f"{f}{lv}")
-            cols.append((F.col(f) == F.lit(lv)).cast("double"))
+    names = ["(Intercept)", *numeric, *[f"{f}{v}" for f, levels in factors.items() for v in levels[1:]]]
     k = len(names)
-    d = df.select(F.array(*cols, y.cast("double")).alias("x"), F.col(weight).cast("double").alias("w"), unlisted.alias("bad"))
-    whole = F.col("w").isNotNull() & ~F.exists("x", lambda v: v.isNull() | F.isnan(v))
-    pairs = F.flatten(F.transform("x", lambda a, i: F.transform(F.slice("x", i + 1, k + 1 - i), lambda b: F.col("w") * a * b)))
-    d = d.select(F.when(whole, pairs).otherwise(F.array().cast("array<double>")).alias("p"),
-                 whole.alias("whole"), F.coalesce("bad", F.lit(False)).alias("bad"))
-    sums = d.select(F.posexplode(F.concat("p", F.array(F.col("whole").cast("double"), (~F.col("whole")).cast("double"), F.col("bad").cast("double")))).alias("i", "v"),
-                    F.size("p").alias("n")).groupBy("n", "i").agg(F.sum("v").alias("v")).collect()
-    m, used, dropped, n_bad, base = np.zeros((k + 1, k + 1)), 0, 0, 0, (k + 1) * (k + 2) // 2
-    rows_, cols_ = np.triu_indices(k + 1)
-    for r in sums:
-        at = r["i"] - r["n"]
-        if at >= 0:
-            used, dropped, n_bad = (used + r["v"] * (at == 0), dropped + r["v"] * (at == 1), n_bad + r["v"] * (at == 2))
-        elif r["n"] == base:
-            m[rows_[r["i"]], cols_[r["i"]]] = m[cols_[r["i"]], rows_[r["i"]]] = r["v"]
+    m = np.zeros((k + 1, k + 1))
+    info = [0.0, 0.0, 0.0]
+    for r in cross_products(df, y, numeric, factors, weight).collect():
+        if r["i"] < 0:
+            info[r["j"]] = r["v"]
+        elif r["v"] is not None:
+            m[r["i"], r["j"]] = m[r["j"], r["i"]] = r["v"]
+    used, dropped, n_bad = info
     if n_bad:
         raise ValueError(f"{int(n_bad)} rows have a factor value outside the given levels")
     own, inv, kept = m.diagonal().copy(), m.copy(), []
@@ -177,37 +204,63 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str],
-                 splits: int = 32, inclusive: bool = True) -> DataFrame:
-    """Running sums and totals of ``cols`` within ``keys`` ordered by ``order`` (unique per key).
+#: Rows aimed at in one sub-range of a cumulative sum, and the most sub-ranges.
+ROWS_PER_RANGE, MAX_RANGES = 20_000, 4096
+
+
+def range_cuts(df: DataFrame, order: str, splits: int | None = None) -> list[float]:
+    """Approximate quantiles of ``order`` that cut it into ``splits`` sub-ranges, by default one for
+    every ``ROWS_PER_RANGE`` rows. Bounded by ``MAX_RANGES`` numbers."""
+    splits = splits or min(MAX_RANGES, -(-df.count() // ROWS_PER_RANGE))
+    if splits < 2:
+        return []
+    qs = [i / splits for i in range(1, splits)]
+    got = df.agg(F.percentile_approx(F.col(order).cast("double"), qs, max(1000, 4 * splits))).first()[0]
+    return sorted(set(got or []))
 
-    The range of ``order`` is cut into ``splits`` sub-ranges at its approximate
-    quantiles (one sketch over all rows). Totals of a key and of its earlier
-    sub-ranges come from windows over one row per (key, sub-range); the in-range
+
+def sub_range(value: Column, cuts: Sequence[float]) -> Column:
+    """How many of the sorted ``cuts`` lie below ``value``, looked up in two levels."""
+    step = max(1, math.isqrt(len(cuts)))
+
+    def below(among: Column) -> Column:
+        return F.size(F.filter(among, lambda s: s < value))
+
+    whole, coarse = (F.array(*map(F.lit, x)).cast("array<double>") for x in (list(cuts), list(cuts[step - 1::step])))
+    first = below(coarse)
+    return (first * step + below(F.slice(whole, first * step + 1, F.lit(step)))) if cuts else F.lit(0)
+
+
+def split_cumsum(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str], splits: int | None = None,
+                 inclusive: bool = True, ties: Sequence[str] = (), cuts: Sequence[float] | None = None) -> DataFrame:
+    """Running sums and totals of ``cols`` within ``keys`` ordered by ``order``, then ``ties`` (unique per
+    key, but for rows that add nothing).
+
+    The range of ``order`` is cut into sub-ranges at its approximate quantiles (``range_cuts``, or
+    ``cuts`` as given). Totals of a key and of its earlier sub-ranges come from windows over one
+    row per (key, sub-range); the in-range
     running sum is a window partitioned by (key, sub-range), which is also how the
     totals are joined, so a hot key spreads over many tasks and each row is
     shuffled once. Exact: the quantiles only decide where to cut. Adds ``cum_<c>``
     and ``tot_<c>``. Keys are compared as one struct, in which null equals null.
     """
     keys = list(keys)
-    qs = [i / splits for i in range(1, splits)]
-    cuts = df.agg(F.percentile_approx(order, qs, 1000)).scalar()
-    d = df.withColumn("_k", F.struct(*keys) if keys else F.lit(0))
-    d = d.withColumn("_cuts", cuts).withColumn("_r", F.size(F.filter("_cuts", lambda s: s < F.col(order)))).drop("_cuts")
-    sub = d.groupBy("_k", "_r").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
-    whole = Window.partitionBy("_k")
-    before = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    sub = sub.select("_k", "_r", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in cols],
+    cuts = range_cuts(df, order, splits) if cuts is None else cuts
+    d = df.withColumn("_ckey", F.struct(*keys) if keys else F.lit(0)).withColumn("_crange", sub_range(F.col(order).cast("double"), cuts))
+    sub = d.groupBy("_ckey", "_crange").agg(*[F.sum(c).alias(f"_s_{c}") for c in cols])
+    whole = Window.partitionBy("_ckey")
+    before = whole.orderBy("_crange").rowsBetween(Window.unboundedPreceding, -1)
+    sub = sub.select("_ckey", "_crange", *[F.coalesce(F.sum(f"_s_{c}").over(before), F.lit(0)).alias(f"_b_{c}") for c in cols],
                      *[F.sum(f"_s_{c}").over(whole).alias(f"tot_{c}") for c in cols])
     hi = 0 if inclusive else -1
-    inside = Window.partitionBy("_k", "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
-    d = d.join(sub, ["_k", "_r"])
+    inside = Window.partitionBy("_ckey", "_crange").orderBy(order, *ties).rowsBetween(Window.unboundedPreceding, hi)
+    d = d.join(sub, ["_ckey", "_crange"])
     return d.select(*df.columns, *[(F.col(f"_b_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"cum_{c}") for c in cols],
                     *[f"tot_{c}" for c in cols])
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[float],
-                      names: Sequence[str], splits: int = 32, materialise: bool = True) -> DataFrame:
+                      names: Sequence[str], splits: int | None = None, materialise: bool = True) -> DataFrame:
     """Exact interpolated percentiles (percentile_cont) per group,
     without buffering a group's values in one task.
 
@@ -250,7 +303,8 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value, ps: Sequence[fl
 # K5, K7, K8: exact win rate, margins, per-mode summaries
 # ---------------------------------------------------------------------------
 
-def _value_counts(df: DataFrame, dims, mode, a, b, value):
+def value_counts(df: DataFrame, dims, mode, a, b, value) -> DataFrame:
+    """Trips of either mode per (bucket, value): every later step works on these counts."""
     v = col_of(value)
     m = col_of(mode)
     return (df.filter(v.isNotNull() & m.isin(a, b))
@@ -272,7 +326,7 @@ def _materialise(df: DataFrame, on: bool) -> DataFrame:
 
 
 def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
-             min_obs: int = 5, splits: int = 32, materialise: bool = True) -> DataFrame:
+             min_obs: int = 5, splits: int | None = None, materialise: bool = True) -> DataFrame:
     """K5/K7/K8: exact P(a < b) over all (a, b) pairs of each bucket (strict: ties are not wins).
     E11 re-aimed: the sampled self-join of pairs is replaced by this exact count.
 
@@ -282,28 +336,26 @@ def win_rate(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
     ``min_obs`` of each side.
     """
     dims = names_of(dims)
-    vc = _value_counts(df, dims, mode, a, b, value)
-    vc = vc.withColumn("sa", F.col("na") * F.col("_v")).withColumn("sb", F.col("nb") * F.col("_v"))
-    vc = _materialise(vc, materialise)
-    cum = split_cumsum(vc, dims, "_v", ["na", "nb", "sa", "sb"], splits=splits)
+    vc = _materialise(value_counts(df, dims, mode, a, b, value), materialise)
+    # Durations relative to the bucket's mean, summed from the top: no difference of two large totals.
+    centre = vc.groupBy(F.struct(*dims).alias("_key") if dims else F.lit(0).alias("_key")).agg(
+        (F.sum((F.col("na") + F.col("nb")) * F.col("_v")) / F.sum(F.col("na") + F.col("nb"))).alias("_c"))
+    vc = vc.withColumn("_key", F.struct(*dims) if dims else F.lit(0)).join(centre, "_key").drop("_key")
+    vc = vc.withColumn("_d", F.col("_v") - F.col("_c")).withColumn("_down", -F.col("_v"))
+    vc = vc.withColumn("sa", F.col("na") * F.col("_d")).withColumn("sb", F.col("nb") * F.col("_d"))
+    cum = split_cumsum(vc, dims, "_down", ["na", "nb", "sa", "sb"], splits=splits, inclusive=False)
     cum = cum.withColumnsRenamed({"tot_na": "N_a", "tot_nb": "N_b", "tot_sa": "S_a", "tot_sb": "S_b"})
     cum = cum.filter((F.col("N_a") >= min_obs) & (F.col("N_b") >= min_obs))
-    # b strictly greater than v: N_b - cum_nb(<= v); likewise for a
-    nb_gt = F.col("N_b") - F.col("cum_nb")
-    sb_gt = F.col("S_b") - F.col("cum_sb")
-    na_gt = F.col("N_a") - F.col("cum_na")
-    sa_gt = F.col("S_a") - F.col("cum_sa")
+    # cum_<c> holds the values strictly greater than this one.
     per_v = cum.select(
-        *dims, "N_a", "N_b", "S_a", "S_b",
-        (F.col("na") * nb_gt).alias("a_wins"),
-        (F.col("na") * (sb_gt - F.col("_v") * nb_gt)).alias("a_margin"),
-        (F.col("nb") * na_gt).alias("b_wins"),
-        (F.col("nb") * (sa_gt - F.col("_v") * na_gt)).alias("b_margin"))
+        *dims, "N_a", "N_b", (F.col("S_a") + F.col("N_a") * F.col("_c")).alias("S_a"), (F.col("S_b") + F.col("N_b") * F.col("_c")).alias("S_b"),
+        (F.col("na") * F.col("cum_nb")).alias("a_wins"),
+        (F.col("na") * (F.col("cum_sb") - F.col("_d") * F.col("cum_nb"))).alias("a_margin"),
+        (F.col("nb") * (F.col("cum_sa") - F.col("_d") * F.col("cum_na"))).alias("b_margin"))
     res = per_v.groupBy(*dims).agg(
         F.first("N_a").alias("N_a"), F.first("N_b").alias("N_b"),
         F.first("S_a").alias("S_a"), F.first("S_b").alias("S_b"),
-        F.sum("a_wins").alias("a_wins"), F.sum("a_margin").alias("a_margin"),
-        F.sum("b_wins").alias("b_wins"), F.sum("b_margin").alias("b_margin"))
+        F.sum("a_wins").alias("a_wins"), F.sum("a_margin").alias("a_margin"), F.sum("b_margin").alias("b_margin"))
     return res.select(
         *dims,
         F.col("N_a").cast("bigint").alias("n_a"), F.col("N_b").cast("bigint").alias("n_b"),
@@ -329,7 +381,7 @@ def medians_by_mode(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
 # ---------------------------------------------------------------------------
 
 def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value: str,
-                    n: int = 10_000, seed: int = 1, min_obs: int = 5, splits: int = 32,
+                    n: int = 10_000, seed: int = 1, min_obs: int = 5, splits: int | None = None,
                     materialise: bool = True) -> DataFrame:
     """K6: n draws per bucket of (a value, b value), each side drawn uniformly
     with replacement. Deterministic for a seed (MD5 of seed, bucket, draw,
@@ -338,10 +390,11 @@ def bootstrap_pairs(df: DataFrame, dims: Sequence[str], mode: str, a, b, value:
     A draw is a rank among the bucket's sorted values. Ranks are cut into
     ``splits`` equal blocks per (bucket, side); counted values (never expanded to
     rows) and draws are ordered by rank inside their block, and a draw takes the
-    last value at or before it. Returns (dims..., draw, va, vb).
+    last value at or before it. ``splits`` follows the rows unless given. Returns (dims..., draw, va, vb).
     """
     dims = names_of(dims)
-    vc = _materialise(_value_counts(df, dims, mode, a, b, value), materialise)
+    vc = _materialise(value_counts(df, dims, mode, a, b, value), materialise)
+    splits = splits or min(MAX_RANGES, max(32, -(-vc.count() // ROWS_PER_RANGE)))
     cum = split_cumsum(vc, dims, "_v", ["na", "nb"], splits=splits, inclusive=False)
     cum = cum.filter((F.col("tot_na") >= min_obs) & (F.col("tot_nb") >= min_obs))
     side = F.explode(F.array(*[F.struct(F.lit(t).alias("side"), F.col(f"n{t}").cast("bigint").alias("n"),

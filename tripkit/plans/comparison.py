@@ -16,6 +16,7 @@ from ..operators import relational as Rel
 from ..operators import rollups as R
 from ..operators import series as S
 from ..operators import stats as K
+from ..operators.margins import median_margins
 from .bindings import EV_TRIPS_SQL, ZONES_SQL, ev_trips, read, with_ctes, zones
 from .daily import WEATHER_SQL, daily_weather
 from .registry import register
@@ -373,6 +374,32 @@ def m70_mode_summaries(spark, sf_dir):
     return m.select("date", *[F.round(c, 6).alias(c) for c in ["mean_a", "mean_b", "median_a", "median_b"]])
 
 
+@register("k7_median_margins_by_day", with_ctes(f"""
+SELECT a.date, any_value(a.n) AS n_a, any_value(b.n) AS n_b,
+  round(median(b.v - a.v) FILTER (b.v > a.v), 6) AS median_margin_a_wins,
+  round(median(a.v - b.v) FILTER (b.v <= a.v), 6) AS median_margin_b_wins
+FROM (SELECT date, duration_in_seconds AS v, count(*) OVER (PARTITION BY date) AS n FROM comp WHERE type = 'taxi') a
+JOIN (SELECT date, duration_in_seconds AS v, count(*) OVER (PARTITION BY date) AS n FROM comp WHERE type = 'bike') b USING (date)
+WHERE least(a.n, b.n) >= {MIN_OBS} GROUP BY a.date""", **CTES))
+def k7_median_margins_by_day(spark, sf_dir):
+    """K7: exact median margin over all taxi-bike pairs of a day, by winner."""
+    m = median_margins(comparison_fact(spark, sf_dir), ["date"], "type", "taxi", "bike", "duration_in_seconds", min_obs=MIN_OBS)
+    return m.select("date", "n_a", "n_b", *[F.round(c, 6).alias(c) for c in ("median_margin_a_wins", "median_margin_b_wins")])
+
+
+@register("k7_median_margins_by_zone_hour", with_ctes(f"""
+WITH s AS (SELECT start_zone, hour_of_day, type, duration_in_seconds AS v, count(*) OVER (PARTITION BY start_zone, hour_of_day, type) AS n FROM comp)
+SELECT a.start_zone, a.hour_of_day, any_value(a.n) AS n_a, any_value(b.n) AS n_b,
+  round(median(b.v - a.v) FILTER (b.v > a.v), 6) AS median_margin_a_wins,
+  round(median(a.v - b.v) FILTER (b.v <= a.v), 6) AS median_margin_b_wins
+FROM s a JOIN s b ON a.start_zone IS NOT DISTINCT FROM b.start_zone AND a.hour_of_day IS NOT DISTINCT FROM b.hour_of_day
+WHERE a.type = 'taxi' AND b.type = 'bike' AND least(a.n, b.n) >= {MIN_OBS} GROUP BY ALL""", **CTES))
+def k7_median_margins_by_zone_hour(spark, sf_dir):
+    """K7: exact median margins by start zone and hour: many small buckets in the same jobs."""
+    m = median_margins(comparison_fact(spark, sf_dir), ["start_zone", "hour_of_day"], "type", "taxi", "bike", "duration_in_seconds", min_obs=MIN_OBS)
+    return m.select("start_zone", "hour_of_day", "n_a", "n_b", *[F.round(c, 6).alias(c) for c in ("median_margin_a_wins", "median_margin_b_wins")])
+
+
 DRAWS = 10_000
 
 
@@ -640,8 +667,8 @@ FROM (SELECT *, sum(w * x) OVER () / sum(w) OVER () AS mx, sum(w * y) OVER () /
             WHERE avg_duration > 0 AND avg_distance IS NOT NULL))""", tt=_tt_sql("taxi"), hol=HOL_SQL, w=WEATHER_SQL,
                                                      **CTES))
 def k2_weighted_ols_single(spark, sf_dir):
-    """K2 single-regressor case: weighted least squares via MLlib (normal
-    equations), checked against the closed form."""
+    """K2 single-regressor case: weighted least squares from the cross-products,
+    checked against the closed form."""
     tt = travel_times(spark, sf_dir, "taxi").filter((F.col("avg_duration") > 0) & F.col("avg_distance").isNotNull())
     coef, _ = K.weighted_ols(tt, F.log("avg_duration"), {"sqrt_distance": F.sqrt("avg_distance")}, {}, "trips")
     wide = coef.groupBy().pivot("term", ["sqrt_distance", "(Intercept)"]).agg(F.first("estimate"))

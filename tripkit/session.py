@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,9 +75,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the shared checkpoint folder (reliable, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` as committed Parquet files in the shared folder, read back: lineage ends there, a lost
+    executor repeats nothing, and the planner knows the size (a checkpoint has no statistics)."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:
