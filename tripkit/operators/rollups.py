@@ -146,3 +146,28 @@ def total(df: DataFrame, aggs: Sequence[Column]) -> DataFrame:
 
 def and_all(preds: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, preds)
+
+
+# ---------------------------------------------------------------------------
+# distinct counts that merge
+# ---------------------------------------------------------------------------
+
+def distinct_bitmaps(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Distinct integers per key as bitmaps of 32,768 neighbouring values: (keys, bucket, bitmap).
+
+    Stored by day they merge to any longer period without going back to the facts; nulls do not count.
+    Values should be dense (ids): a bitmap has 4 KB however few bits are set.
+    """
+    v = F.col(value)
+    return (df.where(v.isNotNull()).groupBy(*keys, F.bitmap_bucket_number(v).alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position(v)).alias("bitmap")))
+
+
+def merge_bitmaps(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Bitmaps of coarser keys (e.g. days to weeks)."""
+    return bitmaps.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bitmap").alias("bitmap"))
+
+
+def count_bitmaps(bitmaps: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """Exact distinct counts per key; keys may be coarser than those of ``bitmaps``."""
+    return merge_bitmaps(bitmaps, keys).groupBy(*keys).agg(F.sum(F.bitmap_count("bitmap")).alias(out))

@@ -3,19 +3,20 @@
 Monthly files drift: a column can arrive with a null/other physical type,
 with a different case or spelling, or next to a stray index column. Rather
 than rewriting source files, files are grouped by their physical schema
-(one footer read per file, the same work Spark's schema inference does),
-each group is read in one scan, conformed to the declared schema, and the
-groups are combined with ``unionByName``. The number of scans equals the
-number of distinct schemas (a handful of eras), not the number of files.
+(footers are read by tasks, one row a file), each group is read in one scan,
+conformed to the declared schema, and the groups are combined with
+``unionByName``. The number of scans equals the number of distinct schemas (a
+handful of eras), not the number of files.
 """
 
 from __future__ import annotations
 
 import re
-from collections import OrderedDict
+import sys as _sys
 from functools import reduce
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
+from pyspark import cloudpickle as _cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,13 +24,27 @@ from pyspark.sql import types as T
 from ..functions import timeparts as tp
 from .schemas import DATASETS, SOURCE_NAMES
 
+# The footer reader below runs in Python workers and is shipped by value with this module.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+
 STRAY_COLUMNS = ("__index_level_0__",)
 FILE_YEAR = re.compile(r"tripdata_(\d{4})-(\d{2})")
 
 
+def file_name(path: Column) -> Column:
+    """Basename of a path (split + element_at(-1))."""
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def data_set_name(path: Column) -> Column:
+    """Name of the data set a file belongs to: the folder above it if that is named as a Parquet file, else its own."""
+    above = F.element_at(F.split(path, "/"), -2)
+    return F.when(above.rlike(r"^[^=]+\.parquet$"), above).otherwise(file_name(path))
+
+
 def with_source_file(df: DataFrame, out: str = "filename") -> DataFrame:
-    """Basename of the source file (split + element_at(-1))."""
-    return df.withColumn(out, F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1))
+    """A3: basename of the source file."""
+    return df.withColumn(out, file_name(F.col("_metadata.file_path")))
 
 
 def row_key(df: DataFrame, out: str = "row_id") -> DataFrame:
@@ -67,49 +82,82 @@ def split_by_era(paths: Sequence[str], first_zone_year: int = 2011) -> tuple[lis
     return legacy, modern
 
 
-def list_files(spark: SparkSession, paths: str | Iterable[str]) -> list[str]:
-    """A2: file paths of a folder, a glob or a list of either, through the cluster's file system."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    out = []
-    for p in [paths] if isinstance(paths, str) else paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        for status in fs.globStatus(path) or []:
-            # a folder written by Spark is one data set file; any other folder is listed
-            inner = [s for s in fs.listStatus(status.getPath())] if status.isDirectory() else [status]
-            parts = any(s.getPath().getName().startswith("part-") for s in inner)
-            out += [status.getPath().toString()] if parts or not status.isDirectory() else \
-                [s.getPath().toString() for s in inner if not s.getPath().getName().startswith(("_", "."))]
-    return sorted(out)
+def list_files(spark: SparkSession, paths: str | Iterable[str]) -> DataFrame:
+    """A2: (path) of every file under folders, globs or a list of either. Spark's own listing, on
+    executors where there are many; no content is read."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths).select("path")
+
+
+def file_schemas(files: DataFrame) -> DataFrame:
+    """(path, shape) of Parquet files: each task reads the footers of its files. ``shape`` is null
+    where a task cannot open the file's store by itself."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.fs
+        import pyarrow.parquet as pq
+        for b in batches:
+            paths, shapes = b.column("path").to_pylist(), []
+            for p in paths:
+                try:
+                    store, inner = pyarrow.fs.FileSystem.from_uri(re.sub("^file:/(?!/)", "file:///", p))
+                    with store.open_input_file(inner) as f:
+                        shapes.append("\n".join(f"{x.name}\t{x.type}" for x in pq.read_schema(f)))
+                except (OSError, pa.ArrowInvalid, pa.ArrowNotImplementedError):
+                    shapes.append(None)
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(shapes, pa.string())], names=["path", "shape"])
+
+    width = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return files.repartition(width, "path").mapInArrow(run, "path string, shape string")
+
+
+def schema_groups(spark: SparkSession, paths: str | Iterable[str]) -> list[list[str]]:
+    """A1 / A2: paths of files of one physical schema each. One job for all files; only their names reach the
+    driver, which has to name them in the scans anyway. Files in a store that only Spark can open are
+    looked at through Spark, a footer each."""
+    got = file_schemas(list_files(spark, paths)).groupBy("shape").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    groups = {r["shape"]: r["paths"] for r in got if r["shape"] is not None}
+    for r in got:
+        if r["shape"] is None:
+            for p in r["paths"]:
+                groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    return sorted(groups.values())
 
 
 def read_trips(spark: SparkSession, paths: str | Iterable[str], dataset: str, provenance: bool = True,
-               schema: T.StructType | None = None) -> DataFrame:
+               schema: T.StructType | None = None, name: Callable[[Column], Column] = file_name) -> DataFrame:
     """A1/A2: Parquet scan of monthly files (a folder, a glob or a list) for one dataset,
-    repaired to the declared schema, with the source file name (A3). With dataset
+    repaired to the declared schema, with the source file name (A3; ``name`` makes it of the path). With dataset
     ``yellow_any``, months of either era (A4) come out with the columns of both."""
     target = schema or DATASETS[dataset]
-    paths = list_files(spark, paths)
-    # footer reads only (no data); issued concurrently so hundreds of monthly
-    # files cost a few round trips of latency, not one per file in sequence
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(16, max(1, len(paths)))) as pool:
-        file_schemas = list(pool.map(lambda p: spark.read.parquet(p).schema.json(), paths))
-    groups: "OrderedDict[str, list[str]]" = OrderedDict()
-    for p, sch in zip(paths, file_schemas):
-        groups.setdefault(sch, []).append(p)
     frames = []
-    for group in groups.values():
+    for group in schema_groups(spark, paths):
         raw = spark.read.parquet(*group)
         df = conform(raw, target)
         if provenance:
-            df = df.withColumn("filename", F.element_at(F.split(raw["_metadata.file_path"], "/"), -1))
+            df = df.withColumn("filename", name(raw["_metadata.file_path"]))
         frames.append(df)
     if not frames:
         raise ValueError("no input files")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def dense_row_id(df: DataFrame, out: str = "id") -> DataFrame:
+    """Serial numbers 1 to n without a gap over the rows of file scans, in order of (path, place in the file).
+
+    Two passes: rows per file (footers only), added up over the files before; then each row adds its own
+    place. The same files give the same numbers, whatever the partitioning; only one row a file is ordered.
+    ``df`` scans files (filters after the numbering leave gaps).
+    """
+    from ..operators.stats import split_cumsum
+    from ..session import cut_lineage
+    files = cut_lineage(df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(F.count(F.lit(1)).alias("_n")))
+    ranked = files.select("_file", "_n", F.conv(F.substring(F.hex("_file"), 1, 12), 16, 10).cast("double").alias("_head"))
+    before = split_cumsum(ranked, [], "_head", ["_n"], inclusive=False, ties=["_file"]).select("_file", F.col("cum__n").alias("_before"))
+    rows = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    return rows.join(before, "_file").select((F.col("_before") + F.col("_place") + 1).alias(out), *[F.col(f"`{c}`") for c in df.columns])
+
+
 def read_csv(spark: SparkSession, path, schema: T.StructType, header: bool = True,
              names: Sequence[str] | None = None, timestamp_format: str | None = None,
              null_value: str = "") -> DataFrame:

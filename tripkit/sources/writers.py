@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -30,13 +30,14 @@ def append(df: DataFrame, path: str, columns: Sequence[str] | None = None,
 def replace_by_file(df: DataFrame, table_dir: str, file_col: str = "filename", files: Sequence[str] = ()) -> None:
     """Idempotent reload: rows of the same source file are replaced, all
     other files' rows are kept (dynamic partition overwrite). ``files`` names the
-    files being reloaded: one that now yields no rows loses its old ones."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(file_col).parquet(table_dir))
+    files being reloaded: one that now yields no rows loses its old ones (a second
+    step; ``managed.ManagedTables`` reloads in one). ``df`` is evaluated once."""
+    seen = Observation()
+    out = df.observe(seen, F.collect_set(file_col).alias("files")) if files else df  # one value per reloaded file
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(file_col).parquet(table_dir)
     if files:
-        present = {r[0] for r in df.select(file_col).distinct().collect()}  # one value per reloaded file
         jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-        for f in set(files) - present:
+        for f in set(files) - set(seen.get["files"]):
             name = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(f)
             path = jvm.org.apache.hadoop.fs.Path(table_dir, f"{file_col}={name}")
             path.getFileSystem(conf).delete(path, True)
