@@ -123,3 +123,37 @@ def test_dissolved_edges_cancel_shared_sides(spark):
     assert {k: sum(r.k == k for r in e) for k in "gh"} == {"g": 6, "h": 8}
     area = {k: sum(r.x1 * r.y2 - r.x2 * r.y1 for r in e if r.k == k) / 2 for k in "gh"}
     assert area == {"g": 2.0, "h": 15.0}
+
+
+def test_covering_join_equals_ray_cast_of_every_polygon(spark):
+    """Stars, a polygon with a hole and one with many edges in one cell, points on borders and outside."""
+    import math
+    import random
+    from tripkit.operators import spatial as SP
+    rnd = random.Random(6)
+
+    def star(cx, cy, r, n):
+        return [(cx + r * (1 if k % 2 else 0.45) * math.cos(2 * math.pi * k / n), cy + r * (1 if k % 2 else 0.45) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+
+    def wkt(*rings):
+        return "POLYGON(" + ",".join("(" + ",".join(f"{x!r} {y!r}" for x, y in [*r, r[0]]) + ")" for r in rings) + ")"
+
+    shapes = [(1, wkt(star(0, 0, 3, 10))), (2, wkt([(-5, -5), (5, -5), (5, 5), (-5, 5)], [(-2, -2), (2, -2), (2, 2), (-2, 2)])),
+              (3, wkt(star(0.4, 0.4, 0.3, 240))), (4, wkt(star(-7.5, 3.2, 2.2, 30)))]
+    polys = spark.createDataFrame(shapes, "gid int, w string").select("gid", geo.parse_wkt("w").alias("rings"))
+    pts = [(i, rnd.uniform(-10, 7), rnd.uniform(-7, 7)) for i in range(1500)] + [(2000 + i, rnd.uniform(0, 0.8), rnd.uniform(0, 0.8)) for i in range(500)]
+    pts += [(3000, 5.0, 0.0), (3001, -5.0, -5.0), (3002, 2.0, 1.0), (3003, 1e6, 0.0), (3004, None, 1.0)]
+    points = spark.createDataFrame(pts, "id int, x double, y double")
+    want = {(r.id, r.gid) for r in points.join(polys, geo.point_in("x", "y", "rings")).select("id", "gid").collect()}
+    for cell, per_cell in ((2.0, 4), (50.0, 8), (0.9, 1000)):
+        got = SP.covering_join(points, polys, "x", "y", cell=cell, edges_per_cell=per_cell, cast_flag="cast").collect()
+        assert {(r.id, r.gid) for r in got if r.gid is not None} == want and {r.id for r in got} == {p[0] for p in pts}
+        assert len(got) == len({(r.id, r.gid) for r in got}) and got[0].asDict().keys() == {"id", "x", "y", "gid", "cast"}
+        if per_cell < 1000:
+            assert sum(r.cast is True for r in got) < 0.6 * len(want)  # most hits need no ray
+    grid, _ = SP.covering(polys, cell=2.0, edges_per_cell=4)
+    depth = {(r["_cx"], r["_cy"]): r["_depth"] for r in grid.collect()}
+    assert depth[0, 0] == max(depth.values()) > min(depth.values())  # the cell of many edges is cut finest
+    assert SP.covering_join(points, polys, "x", "y", cell=2.0, how="inner").count() == len(want)
+    assert SP.covering_join(points.where("false"), polys, "x", "y", cell=2.0).count() == 0
+    assert SP.covering_join(points, polys.where("false"), "x", "y", cell=2.0).where("gid IS NULL").count() == len(pts)

@@ -312,10 +312,11 @@ def edges_of(rings) -> Column:
     return F.flatten(F.transform(col_of(rings), ring_edges))
 
 
-def point_in_edges(x, y, edges) -> Column:
+def point_in_edges(x, y, edges, passed=0) -> Column:
     """J2 over an edge list: even-odd crossings of the rightward ray; a point on
     an edge is not inside. Exact for any edge list that contains every edge
-    able to cross the ray or touch the point (see ``spatial_join``)."""
+    able to cross the ray or touch the point (see ``spatial_join``); ``passed``
+    counts edges left out that every ray crosses."""
     X, Y = col_of(x).cast("double"), col_of(y).cast("double")
 
     def crosses(e):
@@ -327,5 +328,6 @@ def point_in_edges(x, y, edges) -> Column:
         return ((cross == 0) & (X >= F.least(e["x1"], e["x2"])) & (X <= F.greatest(e["x1"], e["x2"]))
                 & (Y >= F.least(e["y1"], e["y2"])) & (Y <= F.greatest(e["y1"], e["y2"])))
 
-    total = F.aggregate(col_of(edges), F.lit(0), lambda acc, e: acc + crosses(e))
+    start = passed if isinstance(passed, Column) else F.lit(passed)
+    total = F.aggregate(col_of(edges), start.cast("int"), lambda acc, e: acc + crosses(e))
     return ((total % 2) == 1) & ~F.exists(col_of(edges), touches)

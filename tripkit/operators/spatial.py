@@ -8,6 +8,10 @@ The polygon-cell side is a dimension (bounded by polygons x cells); the
 point side is the fact. A dense cell is a skewed join key, which AQE's
 skew-join splitting handles (sort-merge left/inner joins).
 
+``covering_join`` answers the same with a covering of adaptive depth: grid cells
+with many edges are cut into finer cells, cells without an edge are marked inside
+or left out, and only points of the remaining border cells are ray-cast.
+
 Polygon overlap (J5): every ring is clipped to each grid cell it touches
 and fan-triangulated inside the cell (signed triangles); triangles meet only
 triangles of the same cell (equi-join on the cell plus a bounding-box test),
@@ -29,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions import geo
 from ..functions._util import col_of
+from ..session import cut_lineage
 
 # The Arrow-batch functions below run in Python workers. Serialise this module
 # by value, so executors need numpy/pandas but not this package on their path.
@@ -81,6 +86,83 @@ def spatial_join(points: DataFrame, polygons: DataFrame, x: str, y: str, rings:
     return p.join(cells, cond, how).drop("_px", "_py", "_cx", "_cy", "_bb", "_edges")
 
 
+#: Edges (of all polygons) aimed at in one cell of a covering, and the finest depth below a grid cell.
+EDGES_PER_CELL, MAX_DEPTH = 8, 6
+
+
+def _in_box(e, x0, y0, x1, y1):
+    """Whether an edge may touch a closed box: their extents meet and the box has corners on both sides of its line."""
+    corner = lambda x, y: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+    corners = [corner(x, y) for x in (x0, x1) for y in (y0, y1)]
+    return ((F.greatest(e["x1"], e["x2"]) >= x0) & (F.least(e["x1"], e["x2"]) <= x1) & (F.greatest(e["y1"], e["y2"]) >= y0)
+            & (F.least(e["y1"], e["y2"]) <= y1) & (F.least(*corners) <= 0) & (F.greatest(*corners) >= 0))
+
+
+def covering(polygons: DataFrame, rings: str = "rings", cell: float = 0.01, edges_per_cell: int = EDGES_PER_CELL,
+             max_depth: int = MAX_DEPTH) -> tuple[DataFrame, DataFrame]:
+    """Cells of adaptive depth over polygons: (grid cells with their depth, finest cells).
+
+    The depth of a grid cell follows the edges of all polygons in it (each halving of its side halves the
+    edges a part holds). Each polygon has a row in every finest cell it touches: ``_inside`` where the cell holds
+    no edge of it, else the edges a ray from there can meet; edges that every ray of the cell
+    crosses are only counted (``_passed``). Both tables grow with the polygons, not with the points.
+    """
+    keep = [c for c in polygons.columns if c != rings]
+    cells = polygon_cells(polygons.select(*keep, rings), rings, cell).withColumn("_e", geo.edges_of(F.col(rings))).drop("_bb", rings)
+
+    def cut(df, cx, cy, size):
+        """Sort each cell's edges: those that touch it, those its rays may meet, those every ray crosses."""
+        room = size * 1e-9
+        x0, y0 = F.col(cx) * size - room, F.col(cy) * size - room
+        x1, y1 = (F.col(cx) + 1) * size + room, (F.col(cy) + 1) * size + room
+        beyond = lambda e: (F.least(e["x1"], e["x2"]) > x1) & (F.least(e["y1"], e["y2"]) < y0) & (F.greatest(e["y1"], e["y2"]) > y1)
+        reach = lambda e: (F.greatest(e["y1"], e["y2"]) >= y0) & (F.least(e["y1"], e["y2"]) <= y1) & (F.greatest(e["x1"], e["x2"]) >= x0)
+        return (df.withColumn("_passed", F.col("_passed") + F.size(F.filter("_e", beyond)))
+                .withColumn("_e", F.filter("_e", lambda e: reach(e) & ~beyond(e)))
+                .withColumn("_touch", F.size(F.filter("_e", lambda e: _in_box(e, x0, y0, x1, y1)))))
+
+    top = cut_lineage(cut(cells.withColumn("_passed", F.lit(0)), "_cx", "_cy", F.lit(float(cell))))
+    depth = F.ceil(F.log2(F.greatest(F.sum("_touch") / F.lit(float(edges_per_cell)), F.lit(1.0)))).cast("int")
+    grid = top.groupBy("_cx", "_cy").agg(F.least(depth, F.lit(max_depth)).alias("_depth"))
+    leaf = top.join(grid, ["_cx", "_cy"])
+    parts = F.pow(F.lit(2), F.col("_depth")).cast("long")
+    leaf = leaf.withColumn("_at", F.explode(F.sequence(F.lit(0), parts * parts - 1)))
+    leaf = leaf.withColumn("_lx", F.col("_cx") * parts + F.col("_at") % parts).withColumn("_ly", F.col("_cy") * parts + F.floor(F.col("_at") / parts))
+    size = F.lit(float(cell)) / parts
+    leaf = cut(leaf, "_lx", "_ly", size)
+    middle = geo.point_in_edges((F.col("_lx") + 0.5) * size, (F.col("_ly") + 0.5) * size, F.col("_e"), F.col("_passed"))
+    leaf = leaf.withColumn("_inside", F.when(F.col("_touch") == 0, middle)).where(F.coalesce(F.col("_inside"), F.lit(True)))
+    edges = F.when(F.col("_inside").isNull(), F.col("_e"))
+    return grid, leaf.select(*keep, "_cx", "_cy", "_lx", "_ly", F.col("_inside").isNotNull().alias("_inside"), edges.alias("_edges"), "_passed")
+
+
+def covering_join(points: DataFrame, polygons: DataFrame, x: str, y: str, rings: str = "rings", cell: float = 0.01, how: str = "left",
+                  edges_per_cell: int = EDGES_PER_CELL, max_depth: int = MAX_DEPTH, cast_flag: str | None = None) -> DataFrame:
+    """``spatial_join`` over a covering of adaptive depth. Points of cells that lie inside a polygon
+    are joined by equality alone, only those of border cells are ray-cast (``cast_flag`` names
+    a column that tells which). Points look up the depth of their grid cell first.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("how is left or inner")
+    keep = [c for c in polygons.columns if c != rings]
+    grid, leaf = covering(polygons, rings, cell, edges_per_cell, max_depth)
+    grid, leaf = cut_lineage(grid), cut_lineage(leaf)
+    X, Y = F.col(x).cast("double"), F.col(y).cast("double")
+    p = points.withColumn("_px", geo.grid_cell(X, cell)).withColumn("_py", geo.grid_cell(Y, cell))
+    g = grid.select(F.col("_cx").alias("_gx"), F.col("_cy").alias("_gy"), "_depth")
+    p = p.join(g, (F.col("_px") == F.col("_gx")) & (F.col("_py") == F.col("_gy")), how).drop("_gx", "_gy")
+    parts = F.pow(F.lit(2), F.col("_depth")).cast("long")
+
+    def mine(c, at):
+        return F.least(F.greatest(F.floor(c * parts / F.lit(float(cell))), F.col(at) * parts), F.col(at) * parts + parts - 1)
+
+    p = p.withColumn("_kx", mine(X, "_px")).withColumn("_ky", mine(Y, "_py"))
+    same = (F.col("_kx") == F.col("_lx")) & (F.col("_ky") == F.col("_ly")) & (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy"))
+    out = p.join(leaf, same & (F.col("_inside") | geo.point_in_edges(X, Y, F.col("_edges"), F.col("_passed"))), how)
+    flag = [] if cast_flag is None else [(~F.col("_inside")).alias(cast_flag)]
+    return out.select(*points.columns, *keep, *flag)
+
+
 def within(points: DataFrame, rings, x: str, y: str, out: str | None = None) -> DataFrame:
     """J2 scalar form: filter (``out=None``) or flag points strictly inside one polygon.
 
@@ -272,7 +354,8 @@ def overlap_fractions(a: DataFrame, a_id: str, b: DataFrame, b_id: str, rings: s
 
 def group_centroid(df: DataFrame, keys: Sequence[str], rings: str = "rings") -> DataFrame:
     """Centroid of the union of a group's (non-overlapping) parts,
-    as the area-weighted mean of part centroids (sum of first moments)."""
+    as the area-weighted mean of part centroids (sum of first moments). Overlaps would count
+    twice: ``overlay.union_areas`` counts them once."""
     m = df.select(*keys, geo.moments(rings).alias("_m"))
     return (m.groupBy(*keys).agg(F.sum("_m.a").alias("area"), F.sum("_m.mx").alias("_mx"),
                                  F.sum("_m.my").alias("_my"))
@@ -283,8 +366,8 @@ def group_centroid(df: DataFrame, keys: Sequence[str], rings: str = "rings") ->
 def dissolve(df: DataFrame, keys: Sequence[str], rings: str = "rings") -> DataFrame:
     """Union of a group's polygons as one multipolygon (rings concatenated).
 
-    Valid for non-overlapping parts; shared boundaries are not merged. The
-    group is a dimension group (tracts of one neighbourhood), bounded.
+    Valid for non-overlapping parts; shared boundaries are not merged (``overlay.union_rings``
+    does both, a row a ring). The group is a dimension group (tracts of one neighbourhood), bounded.
     """
     return df.groupBy(*keys).agg(F.flatten(F.collect_list(rings)).alias(rings))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import geo
 from ..functions import timeparts as tp
 from ..operators import rollups as R
+from ..operators import overlay as OV
 from ..operators import spatial as SP
 from .bindings import EV_TRIPS_SQL, ZONES_SQL, ev_trips, read, with_ctes, zones
 from .registry import register
@@ -344,3 +345,52 @@ def j7_dissolved_boundaries(spark, sf_dir):
     length = F.sqrt((F.col("x2") - F.col("x1")) ** 2 + (F.col("y2") - F.col("y1")) ** 2)
     return e.groupBy("region").agg(F.count(F.lit(1)).alias("edges"), F.round(F.sum(length), 6).alias("perimeter"),
                                    F.round(F.sum(F.col("x1") * F.col("y2") - F.col("x2") * F.col("y1")) / 2, 6).alias("area"))
+
+
+@register("j3_covering_join", with_ctes(f"""
+SELECT s.gid, count(*) AS points, CAST(sum(trip_id) AS BIGINT) AS id_sum
+FROM (SELECT trip_id, fare_amount AS x, CAST(k AS DOUBLE) AS y FROM trips) p
+JOIN zs s ON p.x > s.x0 AND p.x < s.x0 + {ZW} AND p.y > s.y0 AND p.y < s.y0 + {ZH}
+GROUP BY s.gid""", trips=EV_TRIPS_SQL, zs=ZONE_SHAPES_SQL))
+def j3_covering_join(spark, sf_dir):
+    """Points in polygons by a covering of adaptive depth: equality inside, rays at borders only."""
+    t = ev_trips(spark, sf_dir).select("trip_id", F.col("fare_amount").alias("x"), F.col("k").cast("double").alias("y"))
+    j = SP.covering_join(t, zone_shapes(spark, sf_dir).select("gid", "rings"), "x", "y", cell=50.0, how="inner", edges_per_cell=2)
+    return j.groupBy("gid").agg(F.count(F.lit(1)).alias("points"), F.sum("trip_id").alias("id_sum"))
+
+
+#: Broken polygons in the unit plane; their areas and rings after repair are worked out by hand in the oracle.
+BROKEN = ["POLYGON((0 0, 4 4, 4 0, 0 4, 0 0))", "POLYGON((0 0, 4 0, 4 4, 0 4, 0 0),(3 1, 6 1, 6 3, 3 3, 3 1))",
+          "POLYGON((0 0, 4 0, 4 4, 9 9, 4 4, 9 9, 4 4, 0 4, -3 7, 0 4, 0 0))", "POLYGON((0 0, 6 0, 6 6, 0 6, 0 0),(1 1, 3 1, 3 3, 1 3, 1 1),(2 2, 4 2, 4 4, 2 4, 2 2))"]
+
+
+@register("j11_make_valid", """
+SELECT s_suppkey AS shape, round(b.area * (1 + s_suppkey % 7 * 0.25) ^ 2, 6) AS area, b.rings, b.holes
+FROM supplier JOIN (VALUES (0, 8.0, 2, 0), (1, 14.0, 1, 0), (2, 16.0, 1, 0), (3, 29.0, 2, 1)) b(kind, area, rings, holes) ON s_suppkey % 4 = b.kind""")
+def j11_make_valid(spark, sf_dir):
+    """Bow-ties, holes over the border, repeated spikes and overlapping holes, repaired."""
+    s = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("shape"))
+    size, x0, y0 = 1 + F.col("shape") % 7 * 0.25, (F.col("shape") % 19).cast("double") * 8, (F.col("shape") % 23).cast("double") * 5
+    kinds = F.array(*[geo.parse_wkt(F.lit(w)) for w in BROKEN])
+    rings = F.transform(F.element_at(kinds, (F.col("shape") % len(BROKEN) + 1).cast("int")), lambda r: F.struct(
+        r["hole"].alias("hole"), F.transform(r["pts"], lambda p: F.struct((x0 + p["x"] * size).alias("x"), (y0 + p["y"] * size).alias("y"))).alias("pts")))
+    v = OV.make_valid(s.select("shape", rings.alias("rings")), ["shape"])
+    return v.select("shape", F.round(geo.area("rings"), 6).alias("area"), F.size("rings").alias("rings"), F.size(F.filter("rings", lambda r: r["hole"])).alias("holes"))
+
+
+@register("j7_union_of_overlapping_parts", """
+WITH unit AS (
+  SELECT DISTINCT s_nationkey AS nation, x, y FROM (
+    SELECT s_nationkey, unnest(range(s_suppkey * 7 % 30, s_suppkey * 7 % 30 + 1 + s_suppkey % 5)) AS x, s_suppkey FROM supplier),
+    LATERAL (SELECT unnest(range(s_suppkey * 11 % 20, s_suppkey * 11 % 20 + 1 + s_suppkey % 3)) AS y))
+SELECT nation, CAST(count(*) AS DOUBLE) AS area, round(avg(x + 0.5), 6) AS cx, round(avg(y + 0.5), 6) AS cy, true AS closed FROM unit GROUP BY nation""")
+def j7_union_of_overlapping_parts(spark, sf_dir):
+    """Overlapping rectangles united into closed rings; area and centroid of the rings."""
+    s = read(spark, sf_dir, "supplier")
+    k = F.col("s_suppkey")
+    x0, y0, x1, y1 = k * 7 % 30, k * 11 % 20, k * 7 % 30 + 1 + k % 5, k * 11 % 20 + 1 + k % 3
+    pts = F.array(*[F.struct(x.cast("double").alias("x"), y.cast("double").alias("y")) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))])
+    parts = s.select(F.col("s_nationkey").alias("nation"), k.alias("part"), F.array(F.struct(F.lit(False).alias("hole"), pts.alias("pts"))).alias("rings"))
+    r = OV.union_rings(parts, ["nation"], "part").select("nation", geo.moments(F.array(F.struct("hole", "pts"))).alias("m"), (F.element_at("pts", 1) == F.element_at("pts", -1)).alias("closed"))
+    return r.groupBy("nation").agg(F.round(F.sum("m.a"), 6).alias("area"), F.round(F.sum("m.mx") / F.sum("m.a"), 6).alias("cx"),
+                                   F.round(F.sum("m.my") / F.sum("m.a"), 6).alias("cy"), F.bool_and("closed").alias("closed"))
