@@ -264,7 +264,10 @@ def f22_votes_allocated_to_zones(spark, sf_dir):
     return a.withColumn("votes", F.round("votes", 6))
 
 
-@register("m55_share_vs_vote_regression", with_ctes(f"""
+# Oracle of the fits, before rounding.
+VOTE_REGRESSION_CTES = dict(trips=EV_TRIPS_SQL, bd=BRAND_DAILY_SQL, bs=BS_SQL, zones=ZONES_SQL, sc=SC_SQL, vbd=VBD_SQL, dr=DIST_RECT_SQL,
+           zr=ZONE_RECT_SQL, ov=OVERLAP_SQL, rbz=RBZ_SQL)
+VOTE_REGRESSION_SQL = f"""
 WITH d AS (
   SELECT c.candidate, s.b_share_change AS y,
     CASE c.candidate {" ".join(f"WHEN '{c}' THEN r.{c}" for c in CANDIDATES[:2])} END AS x
@@ -274,17 +277,27 @@ m AS (SELECT *, avg(x) OVER p AS mx, avg(y) OVER p AS my, count(*) OVER p AS n F
       WINDOW p AS (PARTITION BY candidate)),
 q AS (SELECT candidate, any_value(n) AS n, any_value(mx) AS mx, any_value(my) AS my, sum((x - mx) ^ 2) AS sxx,
         sum((y - my) ^ 2) AS syy, sum((x - mx) * (y - my)) AS sxy FROM m GROUP BY candidate)
-SELECT candidate, round(sxy / sxx, 6) AS slope, round(my - sxy / sxx * mx, 6) AS intercept, round(sxy ^ 2 / (sxx * syy), 6) AS r2, n,
-  round(sqrt((syy - sxy ^ 2 / sxx) / (n - 2)), 6) AS residual_se, round(sqrt((syy - sxy ^ 2 / sxx) / (n - 2) / sxx), 6) AS slope_se,
-  round(sqrt((syy - sxy ^ 2 / sxx) / (n - 2) * (1.0 / n + mx ^ 2 / sxx)), 6) AS intercept_se
-FROM q""", trips=EV_TRIPS_SQL, bd=BRAND_DAILY_SQL, bs=BS_SQL, zones=ZONES_SQL, sc=SC_SQL, vbd=VBD_SQL, dr=DIST_RECT_SQL,
-           zr=ZONE_RECT_SQL, ov=OVERLAP_SQL, rbz=RBZ_SQL))
-def m55_share_vs_vote_regression(spark, sf_dir):
+SELECT candidate, sxy / sxx AS slope, my - sxy / sxx * mx AS intercept, sxy ^ 2 / (sxx * syy) AS r2, n,
+  sqrt((syy - sxy ^ 2 / sxx) / (n - 2)) AS residual_se, sqrt((syy - sxy ^ 2 / sxx) / (n - 2) / sxx) AS slope_se,
+  sqrt((syy - sxy ^ 2 / sxx) / (n - 2) * (1.0 / n + mx ^ 2 / sxx)) AS intercept_se
+FROM q"""
+
+
+def vote_regressions(spark, sf_dir):
     """The brand's share change regressed on a candidate's vote share, one
     regression per candidate, over zones with enough votes."""
     r = results_by_zone(spark, sf_dir).filter(F.col("estimated_total_votes") > MIN_VOTES)
     s = share_change(spark, sf_dir, BOUND_MIN_PRE).select("location_id", "b_share_change")
     long = r.join(s, "location_id").unpivot(["b_share_change"], CANDIDATES[:2], "candidate", "share")
-    o = K.ols(long, "b_share_change", "share", ["candidate"])
-    return o.select("candidate", *[F.round(c, 6).alias(c) for c in ["slope", "intercept", "r2"]], F.col("n").cast("bigint").alias("n"),
-                    *[F.round(c, 6).alias(c) for c in ["residual_se", "slope_se", "intercept_se"]])
+    return K.ols(long, "b_share_change", "share", ["candidate"])
+
+
+_FIT = ["slope", "intercept", "r2", "residual_se", "slope_se", "intercept_se"]
+
+
+@register("m55_share_vs_vote_regression", with_ctes(f"""
+SELECT candidate, n, {", ".join(f"round({c}, 6) AS {c}" for c in _FIT)} FROM ({VOTE_REGRESSION_SQL})""", **VOTE_REGRESSION_CTES))
+def m55_share_vs_vote_regression(spark, sf_dir):
+    """Both regressions with their errors."""
+    o = vote_regressions(spark, sf_dir)
+    return o.select("candidate", F.col("n").cast("bigint").alias("n"), *[F.round(c, 6).alias(c) for c in _FIT])
