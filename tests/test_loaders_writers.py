@@ -132,3 +132,86 @@ def test_not_in_null_semantics(spark):
     keys = spark.createDataFrame([(1,), (None,)], "z int")
     assert Rel.not_in_set(df, "z", keys).count() == 0
     assert Rel.not_in_set(df, "z", keys.filter("false")).count() == 3
+
+
+def test_files_per_key_of_partitioned_csv(spark, tmpdir_path):
+    df = spark.range(400).selectExpr("id % 5 AS z", "id AS v").repartition(6)
+    for n in (1, 3):
+        folder = os.path.join(tmpdir_path, f"csv{n}")
+        writers.write_partitioned_csv(df, "z", folder, files_per_key=n)
+        files = {z: len([f for f in os.listdir(os.path.join(folder, f"z={z}")) if f.endswith(".csv")]) for z in range(5)}
+        assert all(1 <= c <= n for c in files.values()) and (n > 1 or set(files.values()) == {1})
+        assert spark.read.option("header", True).csv(folder).count() == 400
+
+
+def test_clustered_layout_lets_readers_skip_row_groups(spark, tmpdir_path):
+    """Most files' statistics exclude one type and a short time span, so a scan need not read them."""
+    import pyarrow.parquet as pq
+    rows = spark.range(4000).selectExpr("CASE WHEN id * 7919 % 3 = 0 THEN 'x' WHEN id * 7919 % 3 = 1 THEN 'y' ELSE 'z' END AS kind", "id * 104729 % 86400 AS t")
+    admitted = {}
+    for name, d in (("plain", rows.repartition(8)), ("clustered", writers.cluster_layout(rows, ["kind"], ["t"], 8))):
+        folder = os.path.join(tmpdir_path, name)
+        writers.write_table(d, folder)
+        stats = [[g.column(c).statistics for c in range(2)] for f in os.listdir(folder) if f.endswith(".parquet")
+                 for g in (lambda m: [m.row_group(i) for i in range(m.num_row_groups)])(pq.ParquetFile(os.path.join(folder, f)).metadata)]
+        admitted[name] = sum(k.min <= "y" <= k.max and t.max >= 1000 and t.min <= 2000 for k, t in stats)
+    assert admitted["plain"] == 8 and admitted["clustered"] <= 2
+    back = spark.read.parquet(os.path.join(tmpdir_path, "clustered")).where("kind = 'y' AND t BETWEEN 1000 AND 2000")
+    assert "PushedFilters: [IsNotNull(kind), IsNotNull(t), EqualTo(kind,y)" in back._jdf.queryExecution().toString()
+    assert back.count() == rows.where("kind = 'y' AND t BETWEEN 1000 AND 2000").count()
+
+
+def test_managed_tables_show_whole_loads_only(spark, tmpdir_path):
+    from tripkit.sources.managed import ManagedTables, replace_with_rollups
+    t = ManagedTables(spark, tmpdir_path)
+    facts = spark.createDataFrame([(f, d, 1) for f in ("a", "b", "c") for d in range(4)], "filename string, day int, n int")
+    roll = {"daily": lambda d: d.groupBy("filename", "day").agg(F.sum("n").alias("n"))}
+    replace_with_rollups(t, "facts", facts, roll)
+
+    def seen():
+        rows = t.read("facts").groupBy("filename").agg(F.sum("n").alias("n")).collect()
+        days = t.read("daily").groupBy("day").agg(F.sum("n").alias("n")).collect()
+        return {r["filename"]: r["n"] for r in rows}, {r["day"]: r["n"] for r in days}
+
+    assert seen() == ({"a": 4, "b": 4, "c": 4}, {d: 3 for d in range(4)})
+    evaluated = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            evaluated.add(len(b))
+            yield b
+
+    again = facts.where("filename = 'b' AND day < 2").mapInPandas(counted, facts.schema)
+    load = t.write({"facts": again})              # dies before the commit
+    assert seen() == ({"a": 4, "b": 4, "c": 4}, {d: 3 for d in range(4)}) and t.unused_loads("facts").count() == 1
+    evaluated.value = 0
+    replace_with_rollups(t, "facts", again, roll, files=["b", "c"])
+    assert evaluated.value == 2                   # the input is evaluated once
+    want = ({"a": 4, "b": 2}, {0: 2, 1: 2, 2: 1, 3: 1})
+    assert seen() == want
+    t.commit(load, ["facts"])                     # a replay of the first try holds the same rows
+    assert seen() == want
+    replace_with_rollups(t, "facts", facts.where("false"), roll, files=["a"])
+    assert seen() == ({"b": 2}, {0: 1, 1: 1})
+    assert t.unused_loads("facts").count() >= 2
+
+
+def test_dense_ids_over_many_files(spark, tmpdir_path):
+    for k, n in enumerate((5, 0, 7, 1, 12)):
+        spark.range(n).selectExpr(f"id AS v", f"{k} AS f").repartition(2 if n > 6 else 1).write.parquet(os.path.join(tmpdir_path, f"m{k}"))
+    df = spark.read.parquet(*[os.path.join(tmpdir_path, f"m{k}") for k in range(5)])
+    ids = readers.dense_row_id(df)
+    rows = [tuple(r) for r in ids.collect()]
+    assert sorted(r[0] for r in rows) == list(range(1, 26)) and ids.columns == ["id", "v", "f"]
+    assert sorted(rows) == sorted(tuple(r) for r in readers.dense_row_id(df.repartition(3) if False else spark.read.parquet(os.path.join(tmpdir_path, "m*"))).collect())
+
+
+def test_schema_groups_without_a_job_a_file(spark, tmpdir_path):
+    for m in range(6):
+        d = spark.range(3).withColumn("x", F.lit(1) if m % 2 else F.lit(1.5))
+        (d.withColumn("extra", F.lit("e")) if m == 4 else d).coalesce(1).write.parquet(os.path.join(tmpdir_path, f"yellow_tripdata_2020-0{m + 1}.parquet"))
+    groups = readers.schema_groups(spark, tmpdir_path)
+    assert sorted(map(len, groups)) == [1, 2, 3]
+    df = readers.read_trips(spark, tmpdir_path, "", schema=schemas._schema(("id", schemas.L), ("x", schemas.D)), name=readers.data_set_name)
+    assert df.count() == 18 and df.select("filename").distinct().count() == 6
+    assert df.where("x IS NULL").count() == 0

@@ -81,3 +81,41 @@ def test_stream_load_and_hourly_counts_equal_batch(spark, tmpdir_path):
     batch = ev.groupBy(tp.trunc_ts("hour", "ts").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("trips"))
     got = spark.read.parquet(out)
     assert got.exceptAll(batch.select(*got.columns)).count() == 0 and batch.count() == got.count()
+
+
+def test_stream_of_drifted_months_equals_batch_and_survives_a_killed_batch(spark, tmpdir_path):
+    import pytest
+    src, table, ckpt = (os.path.join(tmpdir_path, d) for d in ("in", "t", "c"))
+    base = _yellow_rows(spark, 6, 0)
+    drop = lambda df, m: df.coalesce(1).write.parquet(f"{src}/yellow_tripdata_2021-{m}.parquet")
+    drop(base.withColumn("airport_fee", F.lit(None)), "01")
+    pattern = f"{src}/yellow_tripdata_*.parquet"
+    ST.load_available(spark, pattern, schemas.YELLOW, table, ckpt)
+    assert spark.read.parquet(table).count() == 6
+    drop(base.withColumn("Airport_fee", F.lit(1.25)).drop("VendorID"), "02")
+    drop(base.withColumn("passenger_count", F.lit(2).cast("double")), "03")
+
+    def fails(df):
+        raise RuntimeError("killed")
+
+    with pytest.raises(Exception):
+        ST.load_available(spark, pattern, schemas.YELLOW, table, ckpt, normalise=fails)
+    for _ in range(2):                                     # the batch again, then nothing new
+        ST.load_available(spark, pattern, schemas.YELLOW, table, ckpt)
+        got = spark.read.parquet(table)
+        batch = readers.read_trips(spark, src, "yellow")
+        assert got.count() == 18 and got.select(*batch.columns).exceptAll(batch).count() == 0
+    assert got.where("airport_fee = 1.25 AND vendor_id IS NULL").count() == 6
+
+
+def test_window_counts_keep_one_row_a_window(spark, tmpdir_path):
+    src, table, ckpt = (os.path.join(tmpdir_path, d) for d in ("in", "t", "c"))
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").where("event_id % 7 = 0")
+    for k in range(2):                                     # the second file changes windows of the first
+        ev.where(f"event_id % 2 = {k}").coalesce(1).write.parquet(f"{src}/part_{k}")
+        s = ST.file_stream(spark, src + "/*", EVENTS)
+        ST.upsert_windows(ST.stream_counts(s, "ts", ["event_type"], watermark="60 days"), table, ckpt, ["window_start", "event_type"])
+    got = ST.latest_windows(spark, table, ["window_start", "event_type"], "trips")
+    from tripkit.functions import timeparts as tp
+    want = ev.groupBy(tp.trunc_ts("hour", "ts").alias("window_start"), "event_type").agg(F.count(F.lit(1)).alias("trips"))
+    assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0

@@ -50,10 +50,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_partitioned_csv(df: DataFrame, by: str, path: str) -> None:
-    """One CSV folder per key value (a single job, no per-key loop); rebalancing
+def write_partitioned_csv(df: DataFrame, by: str, path: str, files_per_key: int | None = None) -> None:
+    """One CSV folder per key value (a single job, no per-key loop). ``files_per_key`` files a key at
+    most (1: a file a key, as a loop over the keys would write); left out, rebalancing
     splits a key that holds much of the data over several files."""
-    df.hint("rebalance", by).write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
+    if files_per_key:
+        rest = [F.col(f"`{c}`") for c in df.columns]
+        out = df.repartition(F.col(by), F.pmod(F.xxhash64(*rest), F.lit(files_per_key)))
+    else:
+        out = df.hint("rebalance", by)
+    out.write.mode("overwrite").option("header", True).partitionBy(by).csv(path)
 
 
 def write_json_lines(df: DataFrame, path: str, json_col: str = "json") -> None:
