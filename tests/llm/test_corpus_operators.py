@@ -12,6 +12,7 @@ import pytest
 from tripkit.llm import best_fit, fair_mix, ngram_score, simhash, substrings
 from tripkit.llm.common import word_count
 from tripkit.llm.elias_fano import EliasFano, Trie, expand
+from tripkit.llm.near_classes import near_classes
 from pyspark.sql import functions as F
 
 from hard_rows import ROWS, SF, WORDS
@@ -292,6 +293,37 @@ def test_near_copies_never_share_a_bin(spark):
     assert len({cluster[4 * g] for g in range(40)}) == 40 and cluster[900] == cluster[902] and cluster[910] is cluster[911] is None
 
 
+def test_near_classes_find_the_pairs_of_an_all_pairs_search(spark):
+    """Five-word shingles, Jaccard 0.8 or more, over every text of a table; and the hard rows."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    near = {r["doc_id"]: r["near_class"] for r in near_classes(docs).select("doc_id", "near_class").collect()}
+    texts = {r["doc_id"]: (r["text"] or "").lower().split() for r in docs.select("doc_id", "text").collect()}
+    sets = {i: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} for i, w in texts.items() if w}
+    holders = defaultdict(list)
+    for i, s in sets.items():
+        for g in s:
+            holders[g].append(i)
+    shared = Counter((a, b) for ids in holders.values() if 1 < len(ids) <= 200 for k, a in enumerate(ids) for b in ids[:k])
+    pairs = [(a, b) for (a, b), n in shared.items() if texts[a] != texts[b] and n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    assert len(pairs) >= 10 and np.mean([near[a] == near[b] for a, b in pairs]) >= 0.9
+    equal = defaultdict(set)
+    for i, w in texts.items():
+        if w:
+            equal[tuple(w)].add(near[i])
+    assert all(len(c) == 1 for c in equal.values())
+
+
+def test_near_classes_of_hard_rows(docs, empty):
+    got = [(r["doc_id"], r["near_class"]) for r in near_classes(docs).collect()]
+    assert Counter(i for i, _ in got) == Counter(r[0] for r in ROWS)
+    by = defaultdict(set)
+    for i, c in got:
+        by[i].add(c)
+    assert by[14] == by[15] == by[16]  # one word more
+    assert len(by[23]) == 1 and by[21] == by[22] and by[10] == by[11] == {None} and by[17] != by[20]
+    assert near_classes(empty).count() == 0
+
+
 def plain_best_fit(items, capacity, most):
     bins, out = [], []
     repeats = Counter(c for _, c, _ in items)
@@ -317,6 +349,30 @@ def test_bins_take_the_tightest_compatible():
                        key=lambda x: (-x[0], x[1], x[2]))
         got = best_fit.pack_group(items, 100, 2)
         want, n = plain_best_fit(items, 100, 2)
-        assert [100 - start - it[0] for (_, _, start), it in zip(got, items)] == want or abs(len({g[0] for g in got}) - n) <= 2
+        assert [100 - start - it[0] for (_, _, start), it in zip(got, items)] == want and len({g[0] for g in got}) == n
     copies = [(30, 1, "s")] * 500
     assert len({b for b, _, _ in best_fit.pack_group(copies, 100, 2)}) == 500
+
+
+def test_mix_repeats_whatever_the_partitioning(spark):
+    """Rows of one id and size but different texts, a third of all under one id."""
+    rows = [(1, f"word{i} other{i * i}", "en", "a", 9) for i in range(40)] + [(None, f"lost{i} x", "en", "a", 9) for i in range(20)] + [
+        (i, f"b{i} c d", "de", "b", 9) for i in range(60)] + [(7, "same text", lang, "a", 9) for lang in ("en", "de", "fr", None)]
+    outs = []
+    for parts in (1, 7):
+        d = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").repartition(parts)
+        size, mark = word_count(F.col("text")), fair_mix.text_mark(F.col("text"))
+        mix = fair_mix.FairMix(d.select("doc_id", "source", size.alias("size"), mark.alias("mark")), share=0.5, rows_per_bucket=10)
+        outs.append([tuple(r) for r in mix.mixed(d, size, mark).collect()])
+        buckets = mix.queue(mix.rows, F.col("size")).groupBy("q_key", "q_bucket").count().agg(F.max("count")).first()[0]
+        assert buckets <= 12  # the rows of one id are dealt over many buckets
+    assert outs[0] == outs[1] and len(outs[0]) < len(rows)
+
+
+def test_keep_one_of_equal_rows_and_of_other_columns(spark):
+    rows = [(5, "some text of a few words", x) for x in ("b", "a", "a", None)] + [(None, None, "z")] * 3 + [(None, "", "z")] * 2 + [(9, "other words entirely here", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, place string").repartition(4)
+    a, b = (sorted(map(tuple, simhash.keep_one(d).collect()), key=str) for d in (df, df.repartition(2)))
+    assert a == b and len(a) == 3 and [r[0] for r in a] == [5, 9, None]
+    plan = simhash.keep_one(df.where("doc_id = 9"))._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan or "BroadcastHashJoin" in plan or "shuffle_hash" in plan

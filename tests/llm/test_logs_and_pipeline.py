@@ -142,9 +142,32 @@ def test_pipeline_against_brute_force(spark):
     assert P.run(spark, SF).count() == len(pieces)
 
 
+def test_pipeline_on_hard_rows_and_an_empty_table(spark, docs):
+    """Nulls, empties, copies, repeated rows, one id of two texts, extra columns with working names."""
+    sys.path.insert(0, ROOT)
+    import corpus_pipeline as P
+    clean = " ".join(f"sound{i * i} prose{i}" for i in range(90)) + "."
+    more = spark.createDataFrame([(50, clean, "en", None), (50, clean, "en", None), (None, clean, "en", "a"), (None, None, None, None),
+                                  (51, " ".join(f"second{i * 7} text{i}" for i in range(90)), "en", "b"), (51, " ".join(f"third{i * 3} words{i}" for i in range(90)), "en", "b")],
+                                 "doc_id long, text string, lang string, source string")
+    for rows in (docs.unionByName(more, allowMissingColumns=True), docs.where("false")):
+        step_docs, n = rows, []
+        for name, step in P.STAGES:
+            path = work_path(spark, "hard")
+            step(spark, step_docs, SF).write.parquet(path)
+            step_docs = spark.read.parquet(path)
+            n.append(step_docs.count())
+            if name != P.STAGES[-1][0]:
+                assert step_docs.columns == rows.columns
+            if "SimHash" in name and n[0]:
+                kept = step_docs.select("doc_id", "text").collect()
+                assert sum(r["text"] == clean for r in kept) == 1 and sum(r["doc_id"] == 51 for r in kept) == 2
+        assert (n == [0] * 5) if rows.isEmpty() else (n[1] <= n[0] and n[4] > 0)
+
+
 def test_entry_without_the_subpackage():
     """The entry point lists these queries, and only it guards the import."""
     sys.path.insert(0, ROOT)
     import __spark_entry__ as E
-    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in E.queries()} and "pipeline" in E.queries()
+    assert {f"op{n}" for n in range(1, 14)} <= {k.split("_")[0] for k in E.queries()} and "pipeline" in E.queries()
     assert set(E.oracle_sql()) <= set(E.queries())

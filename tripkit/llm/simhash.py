@@ -298,29 +298,39 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS)
     return prints.join(rooted.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def _place() -> Column:
-    """Order of rows inside a component: id with nulls last, hash of the text."""
-    text = F.coalesce("text", F.lit(""))
+def _place(docs: DataFrame) -> Column:
+    """Order of rows inside a component: id with nulls last, hashes of the text and of the other columns."""
+    text, rest = F.coalesce("text", F.lit("")), [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("doc_id", "text")]
     return F.struct(F.col("doc_id").isNull().alias("no_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"),
-                    F.xxhash64(text).alias("h"), F.md5(text).alias("m"))
+                    F.xxhash64(text).alias("h"), F.md5(text).alias("m"), F.col("text").isNull().alias("no_text"),
+                    (F.md5(F.to_json(F.struct(*rest))) if rest else F.lit("")).alias("r"))
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component: the smallest id, nulls last, then the smallest text hash.
 
-    Rows are chosen by what they hold, never by id alone: the smallest place per
-    fingerprint, then per component, are aggregates; rows of that place have one
-    text, and of several such rows one is kept.
+    Rows are chosen by what they hold, never by id alone: the smallest place (id
+    and hashes, no text) per fingerprint, then per component, are aggregates, and
+    whole rows are only streamed past the chosen places. Rows of one place are
+    equal; where a chosen place has several, a second pass keeps one of them.
     """
-    place = free_name(docs, "place")
-    prints = simhashes(docs.select(_place().alias("doc_id"), "text"), k, keep="doc_id")
-    groups = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-groups")
-    best = _rooted(groups, max_bits).groupBy("root").agg(F.min("least").alias(place)).select(place)
-    left = docs.withColumn(place, _place()).join(stage(best, "simhash-kept"), place, "left_semi")
-    # Rows of one id and text may differ in other columns: the first of them in a fixed order stays.
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    order = F.struct(*[F.col(f"`{c}`") for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
-    return left.groupBy(place).agg(F.min_by(rest, order).alias("d")).select("d.*")
+    place, times = free_name(docs, "place"), free_name(docs, "times")
+    prints = simhashes(docs.select(_place(docs).alias("doc_id"), "text"), k, keep="doc_id")
+    counted = prints.groupBy("fp", "doc_id").agg(F.count("*").alias("n"))
+    groups = stage(counted.groupBy("fp").agg(F.min(F.struct("doc_id", "n")).alias("least")), "simhash-groups")
+    best = _rooted(groups, max_bits).groupBy("root").agg(F.min("least").alias("d"))
+    best = stage(best.select(F.col("d.doc_id").alias(place), F.col("d.n").alias(times)), "simhash-kept")
+    placed = docs.withColumn(place, _place(docs))
+
+    def chosen(rows: str) -> DataFrame:
+        # The hash table is of places; a sort of the documents would hold their texts in memory.
+        return placed.join(best.where(f"`{times}` {rows}").select(place).hint("shuffle_hash"), place, "left_semi")
+
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = chosen("= 1").select(*columns)
+    if best.where(f"`{times}` > 1").isEmpty():
+        return out
+    return out.unionByName(chosen("> 1").dropDuplicates([place]).select(*columns))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
