@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source's documents are shuffled (order of a keyed hash) and queued, up to
+Every source's documents are shuffled (order of a keyed hash of id and text) and queued, up to
 ``max_epochs`` times round. A copy's virtual finish time is the source's words
 up to and including it divided by the source's target. Serving all queues by
 finish time and stopping at the total budget gives each source its target.
@@ -12,7 +12,8 @@ the single slice in which the budget runs out.
 
 Defined results: a null or empty text has size 0 and is never counted; a null
 source is a source of its own, last in order; repeated rows are queued as
-separate documents; ties in the shuffle order fall to id, then size; an empty
+separate documents; ties in the shuffle order fall to id, then size, then a hash
+of the other columns, so a mix repeats whatever the partitioning; an empty
 table or a zero budget takes nothing. Other columns pass through untouched.
 """
 
@@ -58,15 +59,20 @@ def targets(queued: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, max
 
 
 def _keyed(docs: DataFrame, size: Column, buckets: int) -> DataFrame:
-    order = F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    order = F.md5(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("mark")))
     return (docs.withColumn("q_size", size).withColumn("q_source", F.col("source"))
             .withColumn("q_key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
             .withColumn("q_order", order)
             .withColumn("q_bucket", F.floor(F.conv(F.substring("q_order", 1, 8), 16, 10).cast("long") * buckets / F.lit(2.0 ** 32))))
 
 
+def text_mark(text: Column) -> Column:
+    """Hash that tells the texts of one id apart; rows of equal id and mark share a bucket."""
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
 class FairMix:
-    """Plan of one mix: targets, bucket offsets and the cut, all from (doc_id, source, size) rows.
+    """Plan of one mix: targets, bucket offsets and the cut, all from (doc_id, source, size, mark) rows.
 
     The rows are staged once in the shared folder; on the driver are only their
     number, the budget and the one copy at which the budget runs out.
@@ -75,7 +81,8 @@ class FairMix:
     def __init__(self, rows: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS,
                  rows_per_bucket: int = ROWS_PER_BUCKET):
         self.max_epochs = max_epochs
-        rows = stage(rows.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size")), "mix-rows")
+        mark = F.col("mark") if "mark" in rows.columns else F.lit("")
+        rows = stage(rows.select("doc_id", "source", F.coalesce("size", F.lit(0)).cast("long").alias("size"), mark.alias("mark")), "mix-rows")
         self.buckets = max(64, -(-rows.count() // rows_per_bucket))
         keyed = _keyed(rows, F.col("size"), self.buckets)
         totals = keyed.groupBy("q_key", "q_bucket").agg(F.first("q_source").alias("q_source"), F.sum("q_size").alias("q_size"))
@@ -88,9 +95,9 @@ class FairMix:
         self.rows = rows
         self.cut = self._cut(self.queue(rows, F.col("size")))
 
-    def queue(self, docs: DataFrame, size: Column) -> DataFrame:
+    def queue(self, docs: DataFrame, size: Column, *ties: Column) -> DataFrame:
         """``docs`` with its place in the queue: q_* columns, ``source_size``, ``target``."""
-        line = Window.partitionBy("q_key", "q_bucket").orderBy("q_order", "doc_id", "q_size")
+        line = Window.partitionBy("q_key", "q_bucket").orderBy("q_order", "doc_id", "q_size", *ties)
         return (_keyed(docs, size, self.buckets).join(self.offsets, ["q_key", "q_bucket"])
                 .withColumn("q_seq", F.row_number().over(line))
                 .withColumn("q_cum", F.col("q_offset") + F.sum("q_size").over(line.rowsBetween(Window.unboundedPreceding, 0))))
@@ -129,19 +136,21 @@ class FairMix:
                        F.lit(c["q_bucket"]).cast("long").alias("q_bucket"), F.lit(c["q_seq"]).cast("int").alias("q_seq"))
         return [self.place(e) < cut for e in range(self.max_epochs)]
 
-    def mixed(self, docs: DataFrame, size: Column) -> DataFrame:
-        """The mix itself: rows of ``docs``, once per copy taken, range-sorted by finish time."""
+    def mixed(self, docs: DataFrame, size: Column, mark: Column | None = None) -> DataFrame:
+        """The mix itself: rows of ``docs``, once per copy taken, range-sorted by finish time; ``mark`` as in the plan."""
+        rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "text"]
         names = [F.col(f"d.`{c}`") for c in docs.columns]
         wrapped = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"),
-                              F.col("doc_id"), F.col("source"), size.alias("size"))
+                              F.col("doc_id"), F.col("source"), size.alias("size"), (F.lit("") if mark is None else mark).alias("mark"),
+                              F.md5(F.to_json(F.struct(*rest))).alias("rest"))
         taken = F.array(*[F.when(t, e) for e, t in enumerate(self.copies_taken())])
-        return (self.queue(wrapped, F.col("size")).withColumn("epoch", F.explode(F.array_compact(taken)))
+        return (self.queue(wrapped, F.col("size"), F.col("rest")).withColumn("epoch", F.explode(F.array_compact(taken)))
                 .orderBy(self.place(F.col("epoch"))).select(*names))
 
 
 def op4_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    mix = FairMix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    mix = FairMix(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), text_mark(F.col("text")).alias("mark")))
     taken = sum((F.when(t, F.col("q_size")).otherwise(F.lit(0)) for t in mix.copies_taken()), F.lit(0))
     return (mix.queue(mix.rows, F.col("size"))
             .select("doc_id", "size", "source_size", "target", taken.cast("long").alias("taken")))
@@ -150,7 +159,7 @@ def op4_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = f"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS ord, coalesce('=' || source, '') AS skey
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS ord, coalesce('=' || source, '') AS skey
   FROM documents),
 s AS (
   SELECT skey, any_value(source) AS source, sum(size)::BIGINT AS source_size FROM d GROUP BY skey),
