@@ -33,8 +33,8 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources at their target weights, in order of virtual finish time; a repeated document is a repeated row."""
-    size = word_count(F.col("text"))
-    return fair_mix.FairMix(docs.select("doc_id", "source", size.alias("size"))).mixed(docs, size)
+    size, mark = word_count(F.col("text")), fair_mix.text_mark(F.col("text"))
+    return fair_mix.FairMix(docs.select("doc_id", "source", size.alias("size"), mark.alias("mark"))).mixed(docs, size, mark)
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
