@@ -205,18 +205,18 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
 
 
 #: Rows aimed at in one sub-range of a cumulative sum, and the most sub-ranges.
-ROWS_PER_RANGE, MAX_RANGES = 20_000, 4096
+ROWS_PER_RANGE, MAX_RANGES = 20_000, 1024
 
 
 def range_cuts(df: DataFrame, order: str, splits: int | None = None) -> list[float]:
     """Approximate quantiles of ``order`` that cut it into ``splits`` sub-ranges, by default one for
-    every ``ROWS_PER_RANGE`` rows. Bounded by ``MAX_RANGES`` numbers."""
-    splits = splits or min(MAX_RANGES, -(-df.count() // ROWS_PER_RANGE))
-    if splits < 2:
+    every ``ROWS_PER_RANGE`` rows. One job; at most ``MAX_RANGES`` numbers reach the driver."""
+    qs = [i / MAX_RANGES for i in range(1, MAX_RANGES)]
+    n, got = df.agg(F.count(F.lit(1)), F.percentile_approx(F.col(order).cast("double"), qs, 4 * MAX_RANGES)).first()
+    splits = min(MAX_RANGES, splits or -(-n // ROWS_PER_RANGE))
+    if splits < 2 or not got:
         return []
-    qs = [i / splits for i in range(1, splits)]
-    got = df.agg(F.percentile_approx(F.col(order).cast("double"), qs, max(1000, 4 * splits))).first()[0]
-    return sorted(set(got or []))
+    return sorted({got[i * MAX_RANGES // splits - 1] for i in range(1, splits)})
 
 
 def sub_range(value: Column, cuts: Sequence[float]) -> Column:
