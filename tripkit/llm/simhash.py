@@ -216,7 +216,8 @@ def _match(posted: DataFrame, max_bits: int, max_posting: int, last: bool) -> Da
             if len(cut) > 3:  # postings of two that lie inside the batch, all at once
                 two = 1 + np.flatnonzero(size[1:-1] == 2)
                 x, y = fs[cut[two]], fs[cut[two] + 1]
-                ok = np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)) <= max_bits
+                shared = (_bytes(x) == _bytes(y)).sum(axis=1)  # the tally, then the bits
+                ok = (shared >= MIN_SHARED) & (np.bitwise_count(x.view(np.uint64) ^ y.view(np.uint64)) <= max_bits)
                 if ok.any():
                     yield rows(0, x[ok], y[ok])
             for g in np.flatnonzero((size > 2) | (np.arange(len(size)) == 0) | (np.arange(len(size)) == len(size) - 1)).tolist() if len(ks) else ():
