@@ -13,8 +13,9 @@ a pack however frequent it is, and every shard has about ``SHARD_ENTRIES``
 n-grams, more shards for more text. A context that would outgrow a shard (found
 from a bounded sample of texts, which decides on places only, never on counts)
 is cut by follower: each part scales its probabilities by its own total, and
-the few totals are combined at the end. What grows with the data travels in two
-shuffles; the driver sees N, V and the totals of the cut contexts.
+the few totals are combined at the end. Levels are sent one after the other from the
+staged packs, so one level's messages are on disk at a time; their answers travel back in
+one more shuffle. The driver sees N, V and the totals of the cut contexts.
 
 Production order is 3: contexts are of one and of two words. ``order`` is a parameter.
 Words are known by 64-bit hashes, inside a context by the first 40 bits.
@@ -67,9 +68,9 @@ def _longer(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 
 class _Sequence:
     """Token ranks of a pack: all documents in a row, each with its end token. Ranks follow the
-    order of the word hashes, which only orders over 2 need themselves."""
+    order of the word hashes."""
 
-    def __init__(self, seq: np.ndarray, lens: np.ndarray, start: int, n_words: int, hashes: np.ndarray | None):
+    def __init__(self, seq: np.ndarray, lens: np.ndarray, start: int, n_words: int, hashes: np.ndarray):
         self.seq, self.lens, self.start, self.n_words, self.hashes = seq, lens, start, n_words, hashes
         self.first = np.cumsum(lens) - lens
 
@@ -87,7 +88,7 @@ class _Sequence:
         for n in range(2, order + 1):
             before = self.back(n - 1)
             if n == 2:
-                h = None if self.hashes is None else self.hashes[before]
+                h = self.hashes[before]
                 yield self.hashes, before.astype(np.int64)
             else:
                 h = _longer(h, self.hashes[before])
@@ -132,7 +133,8 @@ def _runs(a: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(a[1:] != a[:-1]) + 1, [len(a)]]) if len(a) else np.zeros(1, np.int64)
 
 
-def _send(docs: DataFrame, order: int, shards: int, large: dict, pack_bytes: int) -> DataFrame:
+def _own_packs(docs: DataFrame, pack_bytes: int) -> DataFrame:
+    """Staged (pack, shard, kind, data): every pack's documents as token ranks; kind 9 rows count training tokens."""
     def run(batches):
         for pack, _, whole in grouped(batches, 1, pack_bytes):
             ids, texts = whole.column(0).combine_chunks(), whole.column(1).combine_chunks()
@@ -141,22 +143,40 @@ def _send(docs: DataFrame, order: int, shards: int, large: dict, pack_bytes: int
             by = np.argsort(hashes)
             rank = np.empty(len(by), np.uint32)
             rank[by] = np.arange(len(by), dtype=np.uint32)
-            s = _Sequence(np.insert(rank[x], np.cumsum(lens), rank[len(words)]), lens + 1, int(rank[-1]), len(by), hashes[by])
+            seq, lens = np.insert(rank[x], np.cumsum(lens), rank[len(words)]), lens + 1
             train = np.array([is_training(i) for i in ids.to_pylist()], bool)
-            learn = np.repeat(train, s.lens)
+            learn = np.repeat(train, lens)
             yield messages([(int(learn.sum()), 0, 9, b""), (pack, -1 - pack, _SELF, several(
                 squeeze(ids.fill_null(0).to_numpy(zero_copy_only=False)), squeeze(ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8)),
-                squeeze(train.astype(np.uint8)), squeeze(s.lens), squeeze(s.seq), squeeze(np.array([s.start, s.n_words])),
-                squeeze(s.hashes if order > 2 else s.hashes[:0])))])
-            count = np.bincount(s.seq[learn], minlength=len(by)).astype(np.uint32)
-            home = _home(s.hashes, shards)
-            for a, b in zip((cut := _runs(home))[:-1].tolist(), cut[1:].tolist()):
-                yield messages([(pack, 1 << 40 | int(home[a]), 1, several(
-                    deltas(s.hashes[a:b]), squeeze(count[a:b])))])
-            for level, (contexts, mine) in enumerate(s.contexts(order), 2):
-                yield from _send_level(pack, level, contexts, mine, s, learn, shards, large)
+                squeeze(train.astype(np.uint8)), squeeze(lens), squeeze(seq), squeeze(np.array([rank[-1], len(by)], np.int64)),
+                squeeze(hashes[by])))])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, MESSAGE)
+    return stage(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, MESSAGE), "ngram-packs")
+
+
+def _sequence(data: bytes) -> tuple[_Sequence, np.ndarray, list]:
+    """(token ranks, whether each token trains, the other arrays) of a pack."""
+    ids, null, train, lens, seq, (start, n_words), hashes = (unsqueeze(x) for x in apart(data))
+    return _Sequence(seq, lens, int(start), int(n_words), hashes), np.repeat(train.astype(bool), lens), [ids, null, train]
+
+
+def _send(packs: DataFrame, level: int, shards: int, large: dict) -> DataFrame:
+    """Messages to the shards of one level: 1 for words, n for n-grams."""
+    def run(batches):
+        for b in batches:
+            for pack, data in zip(b.column("pack").to_pylist(), b.column("data")):
+                s, learn, _ = _sequence(data.as_py())
+                if level == 1:
+                    count = np.bincount(s.seq[learn], minlength=s.n_words).astype(np.uint32)
+                    home = _home(s.hashes, shards)
+                    for i, j in zip((cut := _runs(home))[:-1].tolist(), cut[1:].tolist()):
+                        yield messages([(pack, 1 << 40 | int(home[i]), 1, several(deltas(s.hashes[i:j]), squeeze(count[i:j])))])
+                else:
+                    for contexts, mine in s.contexts(level):
+                        pass  # the last is this level's
+                    yield from _send_level(pack, level, contexts, mine, s, learn, shards, large)
+
+    return packs.where(f"kind = {_SELF}").select("pack", "data").mapInArrow(run, MESSAGE)
 
 
 def _blocks(level: int, contexts: np.ndarray, ctx: np.ndarray, w: np.ndarray, hashes: np.ndarray, shards: int, large: dict):
@@ -178,18 +198,19 @@ def _send_level(pack, level, contexts, mine, s: _Sequence, learn, shards, large)
     ctx, w = np.divmod(key[first] >> 1, len(s.hashes))
     for seq, (shard, a, b) in enumerate(_blocks(level, contexts, ctx, w, s.hashes, shards, large)):
         new = _runs(ctx[a:b])
+        # Followers by their place among the message's own: most are common words.
+        there = np.zeros(s.n_words, bool)
+        there[w[a:b]] = True
+        place = (np.cumsum(there, dtype=np.int32) - 1)[w[a:b]]
         yield messages([(pack, shard, 1, several(
             seq.to_bytes(8, "little"), deltas(contexts[ctx[a:b][new[:-1]]]), squeeze(np.diff(new).astype(np.uint32)),
-            squeeze((s.hashes[w[a:b]] >> np.uint64(24))), squeeze(count[a:b])))])
+            deltas(s.hashes[there] >> np.uint64(24)), squeeze(place), squeeze(count[a:b])))])
 
 
-def _answer(sent: DataFrame, discount: float) -> DataFrame:
-    """Shards: counts of words, codes of n-grams. Kind 9 rows carry (value in pack, what in shard)."""
+def _answer(sent: DataFrame, level: int, discount: float) -> DataFrame:
+    """Shards of one level, staged: counts of words, codes of n-grams. Kind 9 rows carry (value in pack, what in shard)."""
     def run(shard, rows):
-        if shard <= 0:
-            for r in rows:
-                yield messages([r])
-        elif shard >> 40 == 1:
+        if shard >> 40 == 1:
             parts = [[f(x) for f, x in zip((undeltas, unsqueeze), apart(r[3]))] for r in rows]
             words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             total = np.bincount(at, np.concatenate([p[1] for p in parts]), len(words)).astype(np.int64)
@@ -202,14 +223,16 @@ def _answer(sent: DataFrame, discount: float) -> DataFrame:
             for r in rows:
                 seq, *rest = apart(r[3])
                 seqs.append(seq)
-                parts.append([f(x) for f, x in zip((undeltas, unsqueeze, unsqueeze, unsqueeze), rest)])
+                parts.append([f(x) for f, x in zip((undeltas, unsqueeze, undeltas, unsqueeze, unsqueeze), rest)])
             contexts, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
             followers, to = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+            begin = np.cumsum([0, *[len(p[2]) for p in parts[:-1]]])
+            to = to[np.concatenate([p[3] + b for p, b in zip(parts, begin)])]
             entry = np.repeat(at, np.concatenate([p[1] for p in parts])) * len(followers) + to
             by = np.argsort(entry)
             first = _runs(entry[by])[:-1]
             c, f = np.divmod(entry[by][first], len(followers))
-            count = np.add.reduceat(np.concatenate([p[3] for p in parts]).astype(np.int64)[by], first)
+            count = np.add.reduceat(np.concatenate([p[4] for p in parts]).astype(np.int64)[by], first)
             number = np.empty(len(by), np.int32)
             number[by] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(by))))
             learned = count > 0
@@ -219,11 +242,11 @@ def _answer(sent: DataFrame, discount: float) -> DataFrame:
                 yield messages([(int(count.sum()), shard << 1, 9, b""), (int(learned.sum()), shard << 1 | 1, 9, b"")])
             code, at_entry, at_context = code[number], 0, 0
             for r, seq, p in zip(rows, seqs, parts):
-                e, m = len(p[2]), len(p[0])
+                e, m = len(p[3]), len(p[0])
                 yield messages([(r[0], shard, 2, several(seq, squeeze(code[at_entry:at_entry + e]), squeeze(rest[at[at_context:at_context + m]])))])
                 at_entry, at_context = at_entry + e, at_context + m
 
-    return stage(by_group(sent, "shard", run, MESSAGE), "ngram-answers")
+    return stage(by_group(sent, "shard", run, MESSAGE), f"ngram-answers-{level}")
 
 
 _OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -233,7 +256,10 @@ def score(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, pack_
           shard_entries: int = SHARD_ENTRIES) -> DataFrame:
     """Every row's base and model score; see the module for the model."""
     shards, large = _plan(docs, order, shard_entries)
-    got = _answer(_send(docs, order, shards, large, pack_bytes), discount)
+    packs = _own_packs(docs, pack_bytes)
+    got = packs
+    for level in range(1, order + 1):  # a level's messages are gone from the disks before the next is sent
+        got = got.unionByName(_answer(_send(packs, level, shards, large), level, discount))
     stats = {r["shard"]: r["n"] for r in got.where("kind = 9").groupBy("shard").agg(F.sum("pack").alias("n")).collect()}
     tokens, types = stats.get(0, 0), stats.get(1, 0)
     #: per cut context: training total and followers; per part of one: its total
@@ -247,16 +273,15 @@ def score(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, pack_
                 part[shard] = n
 
     def run(pack, rows):
-        own, words, levels = [], [], [[] for _ in range(order - 1)]
+        words, levels = [], [[] for _ in range(order - 1)]
         for _, shard, kind, data in rows:
             if kind == _SELF:
-                own = [unsqueeze(x) for x in apart(data)]
+                s, _, (ids, null, train) = _sequence(data)
             elif shard >> 40 == 1:
                 words.append(unsqueeze(data))
             else:
                 levels[(shard >> 40) - 2].append((shard, apart(data)))
-        ids, null, train, lens, seq, (start, n_words), hashes = own
-        s = _Sequence(seq, lens, int(start), int(n_words), hashes if order > 2 else None)
+        seq, lens = s.seq, s.lens
         count = np.concatenate(words)
         base = (count + 1) / (tokens + types + 1)
         p = base[seq]
