@@ -126,7 +126,8 @@ def leading(v: np.ndarray, k: int) -> list[tuple[float, np.ndarray, float]]:
                     best, last = error, (rho, x)
                 x = _solved(v, rho, x, close, s.norm)
             rho, x = last
-            near = low - least <= rho <= high + least and best <= 16 * least
+            # Well inside: an eigenvalue at a bound may be the neighbour's.
+            near = low + least < rho < high - least and best <= 16 * least
             if near or high - low <= least:
                 break
             s.count(mid)
