@@ -157,3 +157,26 @@ def test_covering_join_equals_ray_cast_of_every_polygon(spark):
     assert SP.covering_join(points, polys, "x", "y", cell=2.0, how="inner").count() == len(want)
     assert SP.covering_join(points.where("false"), polys, "x", "y", cell=2.0).count() == 0
     assert SP.covering_join(points, polys.where("false"), "x", "y", cell=2.0).where("gid IS NULL").count() == len(pts)
+
+
+def test_overlap_spreads_a_one_task_table_and_works_in_passes(spark, monkeypatch):
+    """Polygons of a small file are dealt out before the work on each; pieces come in passes of few vertices too."""
+    import numpy as np
+    a = spark.createDataFrame([(i, f"POLYGON(({i} 0, {i + 2} 0, {i + 2} 2, {i} 2, {i} 0),({i}.5 0.5, {i}.5 1, {i + 1} 1, {i + 1} 0.5, {i}.5 0.5))") for i in range(60)]
+                              + [(90, None), (91, "POLYGON((0 0, 1 1, 0 0))")], "id int, w string").coalesce(1).select("id", geo.parse_wkt("w").alias("rings"))
+    t = SP.cell_triangles(a, "id", "rings", 0.7)
+    assert len({r.p for r in t.select(F.spark_partition_id().alias("p")).collect()}) > 1
+    rings = [np.array([(i, 0.0), (i + 2.3, 0.1), (i + 2.0, 2.0), (i + 0.4, 0.9)]) for i in range(9)]
+    P, seg = np.vstack(rings), np.repeat(np.arange(9), 4)
+    shoelace = [0.5 * sum(p[0] * q[1] - q[0] * p[1] for p, q in zip(r, np.roll(r, -1, axis=0))) for r in rings]
+    for vertices in (1, 5, 500_000):
+        monkeypatch.setattr(SP, "VERTICES_A_PASS", vertices)
+        got = np.zeros(9)
+        for ring, cx, cy, w, c in SP._ring_triangles(P, seg, 0.7):
+            area = ((c[:, 2] - c[:, 0]) * (c[:, 5] - c[:, 1]) - (c[:, 3] - c[:, 1]) * (c[:, 4] - c[:, 0])) / 2
+            assert (c[:, ::2] >= cx[:, None] * 0.7 - 1e-9).all() and (c[:, 1::2] <= (cy[:, None] + 1) * 0.7 + 1e-9).all()
+            np.add.at(got, ring, w * area)
+        assert np.abs(got - shoelace).max() < 1e-9
+    monkeypatch.setattr(SP, "VERTICES_A_PASS", 12)
+    tri = np.array([[[0, 0], [4, 0], [0, 4]], [[0, 0], [1, 0], [0, 1]], [[9, 9], [10, 9], [9, 10]]], float)
+    assert np.allclose(SP._clip_areas(tri, np.array([[[0, 0], [2, 0], [0, 2]]] * 3, float)), [2.0, 0.5, 0.0])

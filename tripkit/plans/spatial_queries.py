@@ -16,6 +16,7 @@ from ..functions import timeparts as tp
 from ..operators import rollups as R
 from ..operators import overlay as OV
 from ..operators import spatial as SP
+from ..session import dealt_out
 from .bindings import EV_TRIPS_SQL, ZONES_SQL, ev_trips, read, with_ctes, zones
 from .registry import register
 
@@ -318,7 +319,7 @@ def j5_overlap_shapes_with_holes(spark, sf_dir):
     """Overlaps of non-convex districts with holes and the zone grid they lie in: a
     district's overlaps add up to its own area."""
     from .market import zone_polygons
-    s = read(spark, sf_dir, "supplier")
+    s = dealt_out(read(spark, sf_dir, "supplier").select("s_suppkey"), "s_suppkey")
     x0 = (F.col("s_suppkey") % 9).cast("double") * 1.2 + 0.15
     y0 = (F.floor(F.col("s_suppkey") / 9) % 9).cast("double") * 1.2 + 0.15
     size = F.lit(1.0) + (F.col("s_suppkey") % 7) * F.lit(0.2)
