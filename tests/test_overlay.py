@@ -84,3 +84,35 @@ def test_union_of_shapes_that_are_not_rectangles(spark):
     area = O.union_areas(df, ["k"]).first()["area"]
     assert abs(area - (18 + 18 - 12 + 8)) < 1e-6  # the triangles share a hexagon of 12
     assert O.union_rings(df, ["k"]).count() == 2
+
+
+def test_union_of_many_parts_in_rounds(spark, monkeypatch):
+    """A group of many overlapping parts is united a few parts at a time; a hole cuts only its own part."""
+    rng = np.random.default_rng(5)
+    rects, seen = [], np.zeros((2, 30, 30), bool)
+    for i in range(150):
+        k, (x, y), (w, h) = i % 10 // 9, rng.integers(0, 20, 2).tolist(), rng.integers(3, 9, 2).tolist()
+        rects.append((k, i, f"POLYGON(({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y}),({x + 1} {y + 1}, {x + 2} {y + 1}, {x + 2} {y + 2}, {x + 1} {y + 2}, {x + 1} {y + 1}))"))
+        own = np.zeros((30, 30), bool)
+        own[x:x + w, y:y + h] = True
+        own[x + 1, y + 1] = False
+        seen[k] |= own
+    df = spark.createDataFrame(rects, "k long, part long, wkt string").select("k", "part", geo.parse_wkt("wkt").alias("rings"))
+    most, once = [], O.noded
+
+    def counted(e, digits):
+        most.append(e.groupBy("g").agg(F.countDistinct("part").alias("n")).agg(F.max("n")).first()[0])
+        return once(e, digits)
+
+    monkeypatch.setattr(O, "noded", counted)
+    got = {r["k"]: r["area"] for r in O.union_areas(df, ["k"], "part").collect()}
+    assert all(abs(got[k] - seen[k].sum()) < 1e-9 for k in (0, 1))
+    assert len(most) > 1 and max(most) < 60  # 135 parts in the larger group
+
+
+def test_small_packed_files_are_not_sent_through_the_driver(spark):
+    df = spark.createDataFrame([(n, w) for n, w, _ in SHAPES], "name string, wkt string").select("name", geo.parse_wkt("wkt").alias("rings"))
+    e = O.cut_lineage(O._edges(df.withColumn("part", F.lit(0)), ["name"], "part", "rings", O.DIGITS))
+    edges = O.boundary(df.withColumn("part", F.lit(0)), ["name"], "part")
+    for d in (O.noded(e), edges, O.chained(edges)):
+        assert "Broadcast" not in d._jdf.queryExecution().executedPlan().toString()

@@ -13,7 +13,11 @@ Polygons are taken apart into edges, and every step is a join or an aggregate of
    ring, one row of the result, is put in order.
 
 The grid and the bands of a group follow its number of edges, so work grows with about the edges to the
-power of 3/2. No group is gathered; a task holds one ring at a time.
+power of 3/2. Groups of many parts are united in rounds, FAN parts at a time, so that edges inside what is
+already united are gone before the next round. No group is gathered; a task holds one ring at a time.
+
+Joins name their kind: the staged files are packed small, and by their size Spark would send whole tables of
+edges through the driver.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 DIGITS = 9
 #: A slight shear: rays run along it, so that no edge of real data is parallel to them.
 SHEAR = 0.012345678912345679
+#: Parts of a group that are united in one round, about.
+FAN = 16
 
 
 def _point(x: Column, y: Column) -> Column:
@@ -59,7 +65,7 @@ def _cells(e: DataFrame) -> DataFrame:
     lim = e.groupBy("g").agg(F.min(F.least("ax", "bx")).alias("x0"), F.max(F.greatest("ax", "bx")).alias("x1"), F.min(F.least("ay", "by")).alias("y0"),
                              F.max(F.greatest("ay", "by")).alias("y1"), F.ceil(F.sqrt(F.count(F.lit(1)).cast("double"))).alias("n"))
     size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / F.col("n")
-    e = e.join(lim.select("g", "x0", "y0", size.alias("size")), "g")
+    e = e.join(lim.select("g", "x0", "y0", size.alias("size")).hint("merge"), "g")
     lo, hi = F.least("ax", "bx"), F.greatest("ax", "bx")
     e = e.withColumn("cx", F.explode(F.sequence(F.floor((lo - F.col("x0")) / F.col("size")), F.floor((hi - F.col("x0")) / F.col("size")))))
     slope = F.when(F.col("ax") != F.col("bx"), (F.col("by") - F.col("ay")) / (F.col("bx") - F.col("ax")))
@@ -78,7 +84,7 @@ def _cells(e: DataFrame) -> DataFrame:
 def _split_points(e: DataFrame, digits: int) -> DataFrame:
     """(g, id, x, y): where another edge of the group crosses, touches or runs along an edge."""
     c = cut_lineage(_cells(e).select("g", "cx", "cy", "id", "ax", "ay", "bx", "by"))
-    p = c.alias("p").join(c.alias("q"), ["g", "cx", "cy"]).where(F.col("p.id") < F.col("q.id"))
+    p = c.alias("p").join(c.alias("q").hint("merge"), ["g", "cx", "cy"]).where(F.col("p.id") < F.col("q.id"))
     v = {f"{s}{k}": F.col(f"{s}.{k}") for s in "pq" for k in ("ax", "ay", "bx", "by")}
     meet = (F.least(v["pax"], v["pbx"]) <= F.greatest(v["qax"], v["qbx"])) & (F.least(v["qax"], v["qbx"]) <= F.greatest(v["pax"], v["pbx"])) & (
         F.least(v["pay"], v["pby"]) <= F.greatest(v["qay"], v["qby"])) & (F.least(v["qay"], v["qby"]) <= F.greatest(v["pay"], v["pby"]))
@@ -109,7 +115,7 @@ def noded(e: DataFrame, digits: int = DIGITS) -> DataFrame:
     """(g, u, v, part, ring, hole, net): pieces of edges that meet at their ends only, u before v; ``net`` is how
     often a ring runs from u to v, less how often back (0 left out)."""
     marks = _split_points(e, digits).groupBy("g", "id").agg(F.collect_set("at").alias("at"))
-    e = e.join(marks, ["g", "id"], "left")
+    e = e.join(marks.hint("merge"), ["g", "id"], "left")
     a, b = _point(F.col("ax"), F.col("ay")), _point(F.col("bx"), F.col("by"))
     every = F.array_distinct(F.concat(F.array(a, b), F.coalesce("at", F.array().cast("array<struct<x:double,y:double>>"))))
     along = F.transform(every, lambda p: F.struct(((p["x"] - F.col("ax")) * (F.col("bx") - F.col("ax")) + (p["y"] - F.col("ay")) * (F.col("by") - F.col("ay"))).alias("t"),
@@ -132,10 +138,26 @@ def boundary(df: DataFrame, keys: Sequence[str], part: str | None = None, rings:
     ``part`` tells the polygons of a group apart (default: a row each). With the polygon's id as key the
     boundary is that of the repaired polygon. Rings need not be closed; holes cut only their own polygon.
     """
-    s = cut_lineage(noded(cut_lineage(_edges(df, keys, part, rings, digits)), digits))
+    e = cut_lineage(_edges(df, keys, part, rings, digits))
+    parts = e.select("g", "part").distinct().groupBy("g").agg(F.ceil(F.count(F.lit(1)) / FAN).alias("buckets"))
+    width = parts.agg(F.max("buckets")).first()[0] or 1  # buckets of the group with the most parts
+    if width > 1:
+        e = e.join(parts.hint("merge"), "g").withColumn("part_of", F.pmod(F.xxhash64("part"), F.col("buckets"))).drop("buckets")
+    while width > 1:
+        united = cut_lineage(_boundary(e.withColumn("g", F.struct("g", "part_of")).drop("part_of"), digits))
+        e = united.select(F.col("g.g").alias("g"), F.col("g.part_of").alias("part"), F.lit(0).alias("ring"), F.lit(False).alias("hole"), F.struct("a", "b").alias("e"))
+        e = e.select("g", "part", "ring", "hole", F.col("e.a.x").alias("ax"), F.col("e.a.y").alias("ay"), F.col("e.b.x").alias("bx"), F.col("e.b.y").alias("by"),
+                     F.struct("part", "ring", "e").alias("id"), F.floor(F.col("part") / FAN).alias("part_of"))
+        width = -(-width // FAN)
+    return _boundary(e.drop("part_of"), digits)
+
+
+def _boundary(e: DataFrame, digits: int) -> DataFrame:
+    """(g, a, b): ``boundary`` of the groups of ``_edges``, all parts at once."""
+    s = cut_lineage(noded(e, digits))
     hu, hv = _height(F.col("u")), _height(F.col("v"))
     lim = s.groupBy("g").agg(F.min(F.least(hu, hv)).alias("h0"), F.max(F.greatest(hu, hv)).alias("h1"), F.ceil(F.sqrt(F.count(F.lit(1)).cast("double"))).alias("n"))
-    s = s.join(lim.select("g", "h0", ((F.col("h1") - F.col("h0")) / F.col("n")).alias("size")), "g").withColumns({"hu": hu, "hv": hv})
+    s = s.join(lim.select("g", "h0", ((F.col("h1") - F.col("h0")) / F.col("n")).alias("size")).hint("merge"), "g").withColumns({"hu": hu, "hv": hv})
     band = lambda h: F.floor((h - F.col("h0")) / F.col("size"))
     # Only edges that some ring crosses an odd number of times can be boundary.
     asked = s.where("net % 2 <> 0").select("g", "u", "v", "h0", "size").distinct()
@@ -145,10 +167,10 @@ def boundary(df: DataFrame, keys: Sequence[str], part: str | None = None, rings:
     walls = walls.select("g", "band", F.col("u").alias("wu"), F.col("v").alias("wv"), "part", "ring", "hole", "net", "hu", "hv")
     x_at = F.col("wu.x") + (F.col("hm") - F.col("hu")) / (F.col("hv") - F.col("hu")) * (F.col("wv.x") - F.col("wu.x"))
     up = F.when(F.col("hv") > F.col("hu"), 1).otherwise(-1)
-    hits = (asked.join(walls, ["g", "band"]).where(((F.col("hu") <= F.col("hm")) != (F.col("hv") <= F.col("hm"))) & ~((F.col("u") == F.col("wu")) & (F.col("v") == F.col("wv"))))
+    hits = (asked.join(walls.hint("merge"), ["g", "band"]).where(((F.col("hu") <= F.col("hm")) != (F.col("hv") <= F.col("hm"))) & ~((F.col("u") == F.col("wu")) & (F.col("v") == F.col("wv"))))
             .where(x_at > F.col("m.x")).select("g", "u", "v", "part", "ring", "hole", (up * F.col("net")).alias("right"), F.lit(0).cast("long").alias("own")))
     own = s.select("g", "u", "v", "part", "ring", "hole", F.lit(0).cast("long").alias("right"), (up * F.col("net")).alias("own"))
-    own = own.join(asked.select("g", "u", "v"), ["g", "u", "v"], "left_semi")
+    own = own.join(asked.select("g", "u", "v").hint("merge"), ["g", "u", "v"], "left_semi")
     winding = hits.unionByName(own).groupBy("g", "u", "v", "part", "ring", "hole").agg(F.sum("right").alias("r"), F.sum("own").alias("o"))
     sides = {"right": F.col("r") % 2 != 0, "left": (F.col("r") + F.col("o")) % 2 != 0}
     inside = winding.groupBy("g", "u", "v", "part").agg(
@@ -176,19 +198,19 @@ def chained(edges: DataFrame) -> DataFrame:
     e = edges.withColumn("id", F.struct("a", "b"))
     angle = lambda p, q: F.atan2(q["y"] - p["y"], q["x"] - p["x"])
     outs = e.groupBy("g", F.col("a").alias("node")).agg(F.collect_list(F.struct(angle(F.col("a"), F.col("b")).alias("angle"), F.col("id"))).alias("outs"))
-    e = e.withColumn("node", F.col("b")).withColumn("back", angle(F.col("b"), F.col("a"))).join(outs, ["g", "node"])
+    e = e.withColumn("node", F.col("b")).withColumn("back", angle(F.col("b"), F.col("a"))).join(outs.hint("merge"), ["g", "node"])
     before = F.filter("outs", lambda o: o["angle"] < F.col("back"))
     e = e.withColumn("next", F.coalesce(F.array_max(before), F.array_max("outs"))["id"])
     links = cut_lineage(e.select("g", "id", "next"))
     now = links.select("g", "id", F.col("next").alias("far"), F.least("id", "next").alias("label"))
     while True:
         then = now.select("g", F.col("id").alias("far"), F.col("far").alias("farther"), F.col("label").alias("beyond"))
-        new = cut_lineage(now.join(then, ["g", "far"]).select("g", "id", F.col("farther").alias("far"), F.least("label", "beyond").alias("label"),
+        new = cut_lineage(now.join(then.hint("merge"), ["g", "far"]).select("g", "id", F.col("farther").alias("far"), F.least("label", "beyond").alias("label"),
                                                               (F.col("beyond") < F.col("label")).alias("moved")))
         if new.where("moved").isEmpty():
             break
         now = new.drop("moved")
-    rings = links.join(now.select("g", "id", "label"), ["g", "id"]).groupBy("g", "label").agg(F.collect_list(F.struct("id", "next")).alias("links"))
+    rings = links.join(now.select("g", "id", "label").hint("merge"), ["g", "id"]).groupBy("g", "label").agg(F.collect_list(F.struct("id", "next")).alias("links"))
 
     def key(edge):
         return edge["a"]["x"], edge["a"]["y"], edge["b"]["x"], edge["b"]["y"]
