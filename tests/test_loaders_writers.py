@@ -161,6 +161,18 @@ def test_clustered_layout_lets_readers_skip_row_groups(spark, tmpdir_path):
     assert back.count() == rows.where("kind = 'y' AND t BETWEEN 1000 AND 2000").count()
 
 
+def test_clustered_layout_adds_files_for_more_rows(spark, monkeypatch):
+    """What a task sorts does not grow with the table, and the files stay in order."""
+    monkeypatch.setattr(writers, "ROWS_A_FILE", 100, raising=False)
+    rows = spark.range(1000).selectExpr("id % 3 AS kind", "id * 7919 % 1009 AS t")
+    d = writers.cluster_layout(rows, ["kind"], ["t"], 4)
+    files = {}
+    for r in d.withColumn("file", F.spark_partition_id()).collect():
+        files.setdefault(r["file"], []).append((r["kind"], r["t"]))
+    assert len(files) == 10 and max(map(len, files.values())) < 200
+    assert sum((files[f] for f in sorted(files)), []) == sorted((r["kind"], r["t"]) for r in rows.collect())
+
+
 def test_managed_tables_show_whole_loads_only(spark, tmpdir_path):
     from tripkit.sources.managed import ManagedTables, replace_with_rollups
     t = ManagedTables(spark, tmpdir_path)

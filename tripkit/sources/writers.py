@@ -67,10 +67,17 @@ def write_json_lines(df: DataFrame, path: str, json_col: str = "json") -> None:
     df.select(json_col).write.mode("overwrite").text(path)
 
 
+#: Rows that one task of a clustered layout sorts, about.
+ROWS_A_FILE = 500_000
+
+
 def cluster_layout(df: DataFrame, by: Sequence[str], sort: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Range-partition by (type, time) and sort within partitions so the
-    written Parquet row groups carry tight min/max statistics for pruning."""
+    written Parquet row groups carry tight min/max statistics for pruning. ``partitions`` files, more when
+    they would hold over ROWS_A_FILE rows each (rows are counted first): what a task sorts does not grow with the table."""
     cols = [*by, *sort]
+    if partitions:
+        partitions = max(partitions, -(-df.count() // ROWS_A_FILE))
     out = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
     return out.sortWithinPartitions(*cols)
 
