@@ -7,12 +7,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tripkit.llm import best_fit, fair_mix, ngram_score, simhash, substrings
 from tripkit.llm.common import word_count
 from tripkit.llm.elias_fano import EliasFano, Trie, expand
 from tripkit.llm.near_classes import near_classes
+from tripkit.llm.packs import distinct, order_of, token_numbers
 from pyspark.sql import functions as F
 
 from hard_rows import ROWS, SF, WORDS
@@ -156,6 +158,42 @@ def test_elias_fano(n, top):
         assert (e.successor(q, a, b) == np.clip(np.searchsorted(v, q), a, b)).all()
 
 
+def test_elias_fano_halves_crowded_buckets(monkeypatch):
+    v = np.append(2 * np.arange(20_000), 2**50).astype(np.uint64)  # all but one value in one bucket
+    e, low, looks = EliasFano.build(v), EliasFano._low, []
+    monkeypatch.setattr(EliasFano, "_low", lambda self, i: looks.append(len(i)) or low(self, i))
+    q = np.append(np.arange(40_001), 2**50).astype(np.uint64)
+    a, b = np.zeros(len(q), np.int64), np.full(len(q), len(v))
+    assert (e.successor(q, a, b) == np.searchsorted(v, q)).all()
+    at = e.find(q, a, b)
+    assert (at[at >= 0] == np.flatnonzero(np.isin(v, q))).all() and (q[at >= 0] == v[at[at >= 0]]).all() and (at >= 0).sum() == len(v)
+    assert len(looks) <= 40  # by halves, not one value after the other
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 700, 5000])
+@pytest.mark.parametrize("top", [1, 40, 2**40, 2**64 - 1])
+def test_distinct_numbers(n, top):
+    x = np.random.default_rng(n).integers(0, top, n, np.uint64)
+    x[::3] = x[:1]
+    x[5:300] -= np.minimum(x[5:300], np.arange(len(x[5:300]), dtype=np.uint64))
+    if top > 2**63:  # values that differ in their last bits only, falling
+        x[300:600] = np.uint64(2**63) + np.arange(len(x[300:600]), dtype=np.uint64)[::-1]
+    assert (order_of(x) == np.argsort(x, kind="stable")).all()
+    for got, want in zip(distinct(x), np.unique(x, return_inverse=True)):
+        assert (got == want).all()
+
+
+@pytest.mark.parametrize("low", [False, True])
+def test_token_numbers_split_as_bytes_do(low):
+    texts = [None, "", " ", "Ab ab\tAB\n", "\x1c\x85a\xa0b \x0b\x0cÉ É\rİ\x00 K", "no", "  two  \r\n spaces", "\x1f"]
+    want = [(w.lower() if low else w).split() for w in ((t or "").encode() for t in texts)]
+    for a, b in ((0, 8), (0, 3), (3, 4), (0, 0), (5, 6)):
+        numbers, sizes, words = token_numbers(pa.array(texts, pa.string())[a:b], low)
+        flat = [w for x in want[a:b] for w in x]
+        assert [words[i] for i in numbers] == flat and sizes.tolist() == [len(x) for x in want[a:b]]
+        assert words == list(dict.fromkeys(flat))
+
+
 def test_trie_holds_smoothed_probabilities():
     rng = np.random.default_rng(1)
     pairs = sorted({(int(c), int(f)) for c, f in zip(rng.integers(0, 2**63, 60).repeat(30), rng.integers(0, 2**40, 400)[rng.integers(0, 400, 1800)])})

@@ -2,44 +2,36 @@
 
 from __future__ import annotations
 
-import numpy as np
+from functools import cached_property
 
-_ONE = np.uint64(1)
-_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+import numpy as np
 
 
 def _pack_low(values: np.ndarray, width: int) -> np.ndarray:
     """The lowest ``width`` bits of each value, one after the other, as bytes with room to read past the end."""
     if width == 0 or not len(values):
         return np.zeros(16, np.uint8)
-    shifts = np.arange(width, dtype=np.uint64)
-    out = []
-    for at in range(0, len(values), 1 << 16):  # 2**16 * width bits is whole bytes
-        bits = (values[at:at + (1 << 16), None] >> shifts & _ONE).astype(np.uint8)
-        out.append(np.packbits(bits.reshape(-1), bitorder="little"))
-    return np.concatenate([*out, np.zeros(16, np.uint8)])
-
-
-def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Position of the one bit number ``rank`` (from 0) in each 64-bit word, by halving."""
-    at, rank, words = np.zeros(len(words), np.uint64), rank.astype(np.int64), words.copy()
-    for half in (32, 16, 8, 4, 2, 1):
-        low = words & np.uint64((1 << half) - 1)
-        n = np.bitwise_count(low).astype(np.int64)
-        up = rank >= n
-        rank -= np.where(up, n, 0)
-        at += np.where(up, np.uint64(half), np.uint64(0))
-        words = np.where(up, words >> np.uint64(half), low)
-    return at
+    # 64 values fill ``width`` words: value j of every 64 goes to the same bits
+    v = np.zeros(-(-len(values) // 64) * 64, np.uint64)
+    v[:len(values)] = values & np.uint64((1 << width) - 1)
+    v = np.ascontiguousarray(v.reshape(-1, 64).T)
+    out = np.zeros((width, v.shape[1]), np.uint64)
+    for j in range(64):
+        word, bit = divmod(j * width, 64)
+        out[word] |= v[j] << np.uint64(bit)
+        if bit + width > 64:
+            out[word + 1] |= v[j] >> np.uint64(64 - bit)
+    return np.concatenate([np.ascontiguousarray(out.T).reshape(-1).view(np.uint8), np.zeros(16, np.uint8)])
 
 
 class EliasFano:
-    """A non-decreasing sequence: low bits packed, high bits in unary, with running counts per word."""
+    """A non-decreasing sequence: low bits packed, high bits in unary. Selects go by directories
+    of the ones and of the zeros, read off the high bits at the first query."""
 
-    ARRAYS = ("low", "high", "ones", "zeros", "shape")
+    ARRAYS = ("low", "high", "shape")
 
-    def __init__(self, low, high, ones, zeros, shape):
-        self.low, self.high, self.ones, self.zeros, self.shape = low, high, ones, zeros, shape
+    def __init__(self, low, high, shape):
+        self.low, self.high, self.shape = low, high, shape
         self.n, self.width = int(shape[0]), int(shape[1])
         # every byte offset as the start of an 8-byte little-endian word
         self.words = np.lib.stride_tricks.as_strided(low[:8].view("<u8"), (max(1, len(low) - 8),), (1,), writeable=False)
@@ -53,9 +45,23 @@ class EliasFano:
         size = (int(at[-1]) if n else 0) + 66
         bits = np.zeros(-(-size // 64) * 64, np.uint8)
         bits[at] = 1
-        high = np.packbits(bits, bitorder="little").view("<u8")
-        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)])
-        return cls(_pack_low(v, width), high, ones, 64 * np.arange(len(ones)) - ones, np.array([n, width], np.int64))
+        return cls(_pack_low(v, width), np.packbits(bits, bitorder="little").view("<u8"), np.array([n, width], np.int64))
+
+    def _places(self, bit: int) -> np.ndarray:
+        """Place of each such bit among the high bits, less the number of such bits before it."""
+        at = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little") == bit)
+        at -= np.arange(len(at))
+        return at
+
+    @cached_property
+    def _highs(self) -> np.ndarray:
+        """High part of each value."""
+        return self._places(1)
+
+    @cached_property
+    def _buckets(self) -> np.ndarray:
+        """Position of the first value whose high part is 0, 1, ... or more."""
+        return np.concatenate([[0], self._places(0)])
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if self.width == 0:
@@ -65,48 +71,43 @@ class EliasFano:
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """Values at positions ``i``."""
-        word = np.searchsorted(self.ones, i, side="right") - 1
-        at = 64 * word + _select(self.high[word], i - self.ones[word]).astype(np.int64)
-        return (at - i).astype(np.uint64) << np.uint64(self.width) | self._low(i)
-
-    def _first(self, high: np.ndarray) -> np.ndarray:
-        """Position of the first value whose high part is ``high`` or more."""
-        rank = high - 1  # the zero that ends the bucket before
-        word = np.searchsorted(self.zeros, np.maximum(rank, 0), side="right") - 1
-        word = np.minimum(word, len(self.high) - 1)
-        at = 64 * word + _select(self.high[word] ^ _ALL, np.maximum(rank, 0) - self.zeros[word]).astype(np.int64)
-        return np.where(high == 0, 0, np.minimum(at + 1 - high, self.n))
-
-    def _successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray):
-        """(successor of x within its bucket or the bucket's end, that end, x's low bits)."""
-        high = np.minimum(x >> np.uint64(self.width), np.uint64(len(self.high) * 64 - self.n - 1)).astype(np.int64)
-        at = np.clip(self._first(high), start, end)
-        last = np.clip(self._first(high + 1), start, end)
+        return self._highs[i].astype(np.uint64) << np.uint64(self.width) | self._low(i)
+
+    def _candidate(self, x: np.ndarray, start: np.ndarray, end: np.ndarray):
+        """(position in x's bucket of the only value that can be x's successor, whether there is one,
+        x's low bits): the bucket by select, halved until one value is left."""
+        high = np.minimum(x >> np.uint64(self.width), np.uint64(len(self._buckets) - 2)).astype(np.int64)
+        at = np.clip(self._buckets[high], start, end)
+        last = np.clip(self._buckets[high + 1], start, end)
         want = x & np.uint64((1 << self.width) - 1)
-        todo = np.flatnonzero(at < last)
-        while len(todo):  # buckets hold one or two values
-            todo = todo[self._low(at[todo]) < want[todo]]
-            at[todo] += 1
-            todo = todo[at[todo] < last[todo]]
-        return at, last, want
+        todo = np.flatnonzero(last - at > 1)  # a frequent context's followers may crowd in few buckets
+        low, high, x = at[todo], last[todo], want[todo]
+        while len(todo):
+            mid = (low + high - 1) >> 1
+            less = self._low(mid) < x
+            low, high = np.where(less, mid + 1, low), np.where(less, high, mid + 1)
+            at[todo] = low
+            more = np.flatnonzero(high - low > 1)
+            todo, low, high, x = todo[more], low[more], high[more], x[more]
+        return at, at < last, want
 
     def successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Position in [start, end) of the first value >= x, or ``end``: the bucket of x's
-        high part by select, then its few values one by one."""
-        return self._successor(x.astype(np.uint64), start, end)[0]
+        """Position in [start, end) of the first value >= x, or ``end``."""
+        at, there, want = self._candidate(x.astype(np.uint64), start, end)
+        at[there] += self._low(at[there]) < want[there]
+        return at
 
     def find(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Position of x in [start, end), or -1: the successor, if it has x's bucket and low bits."""
-        x = x.astype(np.uint64)
-        at, last, want = self._successor(x, start, end)
-        ok = at < last
-        ok[ok] = self._low(at[ok]) == want[ok]
-        return np.where(ok, at, -1)
+        at, there, want = self._candidate(x.astype(np.uint64), start, end)
+        there[there] = self._low(at[there]) == want[there]
+        return np.where(there, at, -1)
 
 
 #: Codes of probabilities: -log10 in steps of 1/4096.
 STEPS = 4096
 NONE = 0xFFFF
+_POWERS = np.append(10.0 ** (-np.arange(NONE, dtype=np.float64) / STEPS), 0.0)
 
 
 def quantise(p: np.ndarray) -> np.ndarray:
@@ -115,7 +116,7 @@ def quantise(p: np.ndarray) -> np.ndarray:
 
 def expand(code: np.ndarray) -> np.ndarray:
     """Probabilities of codes; ``NONE`` is 0."""
-    return np.where(code == NONE, 0.0, 10.0 ** (-code.astype(np.float64) / STEPS))
+    return _POWERS[code]
 
 
 class Trie:
@@ -132,14 +133,22 @@ class Trie:
     @classmethod
     def build(cls, context: np.ndarray, follower: np.ndarray, count: np.ndarray, discount: float) -> Trie:
         """From distinct (context, follower) pairs in order, with counts over 0: absolute discounting."""
-        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(context)), bool), context[1:] != context[:-1]]))
-        size = np.diff(np.append(new, len(context)))
+        contexts, c = np.unique(context, return_inverse=True)
+        followers, f = np.unique(follower, return_inverse=True)
+        return cls.numbered(contexts, followers, c, f, count, discount)
+
+    @classmethod
+    def numbered(cls, contexts: np.ndarray, followers: np.ndarray, c: np.ndarray, f: np.ndarray, count: np.ndarray, discount: float) -> Trie:
+        """The same from pairs (contexts[c], followers[f]) of sorted distinct values, some of them unused."""
+        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(c)), bool), c[1:] != c[:-1]]))
+        size = np.diff(np.append(new, len(c)))
         total = np.add.reduceat(count, new) if len(new) else np.empty(0, np.int64)
-        words = np.unique(follower)
-        number = np.searchsorted(words, follower)
-        last = number[np.append(new[1:], len(context))[:len(new)] - 1] if len(new) else number
+        used = np.zeros(len(followers), bool)
+        used[f] = True
+        number = (np.cumsum(used) - 1)[f]
+        last = number[np.append(new[1:], len(c))[:len(new)] - 1] if len(new) else number
         base = np.cumsum(last) - last  # the last value of the context before
-        levels = {"words": words, "contexts": context[new], "pointers": np.append(new, len(context)), "followers": number + np.repeat(base, size)}
+        levels = {"words": followers[used], "contexts": contexts[c[new]], "pointers": np.append(new, len(c)), "followers": number + np.repeat(base, size)}
         return cls({k: EliasFano.build(v) for k, v in levels.items()},
                    quantise((count - discount) / np.repeat(total, size)), quantise(discount * size / total))
 

@@ -36,7 +36,8 @@ from pyspark.sql import functions as F
 
 from tripkit.llm.common import stage, table
 from tripkit.llm.elias_fano import NONE, Trie, expand
-from tripkit.llm.packs import MESSAGE, apart, by_group, deltas, grouped, messages, several, squeeze, token_numbers, undeltas, unsqueeze
+from tripkit.llm.packs import (MESSAGE, apart, batched, by_group, deltas, distinct, grouped, messages, order_of, several, squeeze, token_numbers, undeltas,
+                               unsqueeze)
 
 ORDER = 3
 DISCOUNT = 0.75
@@ -55,9 +56,9 @@ def is_training(doc_id) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 != 2
 
 
-def _word_hash(word: bytes) -> int:
+def _word_hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
-    return xxh64_intdigest(word, 1)
+    return np.fromiter((xxh64_intdigest(w, 1) for w in words), np.uint64, len(words))
 
 
 def _longer(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -73,6 +74,7 @@ class _Sequence:
     def __init__(self, seq: np.ndarray, lens: np.ndarray, start: int, n_words: int, hashes: np.ndarray):
         self.seq, self.lens, self.start, self.n_words, self.hashes = seq, lens, start, n_words, hashes
         self.first = np.cumsum(lens) - lens
+        self.bits = np.int64(n_words.bit_length())
 
     def back(self, k: int) -> np.ndarray:
         """Rank of the token k places before each, the start token beyond a document's beginning."""
@@ -92,11 +94,11 @@ class _Sequence:
                 yield self.hashes, before.astype(np.int64)
             else:
                 h = _longer(h, self.hashes[before])
-                yield np.unique(h, return_inverse=True)
+                yield distinct(h)
 
     def keys(self, mine: np.ndarray) -> np.ndarray:
-        """Key of each token's n-gram in the pack: context number, then word rank."""
-        return mine * self.n_words + self.seq
+        """Key of each token's n-gram in the pack: context number, then word rank in ``bits`` bits."""
+        return mine << self.bits | self.seq
 
 
 def _plan(docs: DataFrame, order: int, shard_entries: int) -> tuple[int, dict[tuple[int, int], tuple[int, int]]]:
@@ -107,7 +109,7 @@ def _plan(docs: DataFrame, order: int, shard_entries: int) -> tuple[int, dict[tu
     tokens = full = 0.0
     for row in few:
         words = (row["t"] or "").encode("utf-8", "surrogatepass").lower().split()
-        hashes = np.array([*([_START] * (order - 1)), *map(_word_hash, words)], np.uint64)
+        hashes = np.append(np.full(order - 1, _START, np.uint64), _word_hashes(words))
         tokens += len(words) + 1
         full += (len(words) + 1) * max(1.0, (row["n"] or 0) / max(1, len(row["t"] or "")))
         for level in range(2, order + 1):
@@ -139,11 +141,13 @@ def _own_packs(docs: DataFrame, pack_bytes: int) -> DataFrame:
         for pack, _, whole in grouped(batches, 1, pack_bytes):
             ids, texts = whole.column(0).combine_chunks(), whole.column(1).combine_chunks()
             x, lens, words = token_numbers(texts, lower=True)
-            hashes = np.array([*map(_word_hash, words), _END, _START], np.uint64)
-            by = np.argsort(hashes)
+            n_words, hashes = len(words), np.append(_word_hashes(words), np.array([_END, _START], np.uint64))
+            del texts, words
+            by = order_of(hashes)
             rank = np.empty(len(by), np.uint32)
             rank[by] = np.arange(len(by), dtype=np.uint32)
-            seq, lens = np.insert(rank[x], np.cumsum(lens), rank[len(words)]), lens + 1
+            seq, lens = np.insert(rank[x], np.cumsum(lens), rank[n_words]), lens + 1
+            del x
             train = np.array([is_training(i) for i in ids.to_pylist()], bool)
             learn = np.repeat(train, lens)
             yield messages([(int(learn.sum()), 0, 9, b""), (pack, -1 - pack, _SELF, several(
@@ -162,7 +166,7 @@ def _sequence(data: bytes) -> tuple[_Sequence, np.ndarray, list]:
 
 def _send(packs: DataFrame, level: int, shards: int, large: dict) -> DataFrame:
     """Messages to the shards of one level: 1 for words, n for n-grams."""
-    def run(batches):
+    def rows(batches):
         for b in batches:
             for pack, data in zip(b.column("pack").to_pylist(), b.column("data")):
                 s, learn, _ = _sequence(data.as_py())
@@ -170,13 +174,13 @@ def _send(packs: DataFrame, level: int, shards: int, large: dict) -> DataFrame:
                     count = np.bincount(s.seq[learn], minlength=s.n_words).astype(np.uint32)
                     home = _home(s.hashes, shards)
                     for i, j in zip((cut := _runs(home))[:-1].tolist(), cut[1:].tolist()):
-                        yield messages([(pack, 1 << 40 | int(home[i]), 1, several(deltas(s.hashes[i:j]), squeeze(count[i:j])))])
+                        yield pack, 1 << 40 | int(home[i]), 1, several(deltas(s.hashes[i:j]), squeeze(count[i:j]))
                 else:
                     for contexts, mine in s.contexts(level):
                         pass  # the last is this level's
                     yield from _send_level(pack, level, contexts, mine, s, learn, shards, large)
 
-    return packs.where(f"kind = {_SELF}").select("pack", "data").mapInArrow(run, MESSAGE)
+    return packs.where(f"kind = {_SELF}").select("pack", "data").mapInArrow(lambda batches: batched(rows(batches)), MESSAGE)
 
 
 def _blocks(level: int, contexts: np.ndarray, ctx: np.ndarray, w: np.ndarray, hashes: np.ndarray, shards: int, large: dict):
@@ -195,58 +199,61 @@ def _send_level(pack, level, contexts, mine, s: _Sequence, learn, shards, large)
     key = np.sort(s.keys(mine) << 1 | ~learn)
     first = _runs(key >> 1)[:-1]
     count = np.add.reduceat(1 - (key & 1), first).astype(np.uint32) if len(key) else np.empty(0, np.uint32)
-    ctx, w = np.divmod(key[first] >> 1, len(s.hashes))
+    key = key[first] >> 1
+    ctx, w = key >> s.bits, key & (1 << s.bits) - 1
+    place = np.empty(s.n_words, np.int32)
     for seq, (shard, a, b) in enumerate(_blocks(level, contexts, ctx, w, s.hashes, shards, large)):
         new = _runs(ctx[a:b])
         # Followers by their place among the message's own: most are common words.
-        there = np.zeros(s.n_words, bool)
-        there[w[a:b]] = True
-        place = (np.cumsum(there, dtype=np.int32) - 1)[w[a:b]]
-        yield messages([(pack, shard, 1, several(
+        there = np.sort(w[a:b])
+        there = there[_runs(there)[:-1]]
+        place[there] = np.arange(len(there), dtype=np.int32)
+        yield pack, shard, 1, several(
             seq.to_bytes(8, "little"), deltas(contexts[ctx[a:b][new[:-1]]]), squeeze(np.diff(new).astype(np.uint32)),
-            deltas(s.hashes[there] >> np.uint64(24)), squeeze(place), squeeze(count[a:b])))])
+            deltas(s.hashes[there] >> np.uint64(24)), squeeze(place[w[a:b]]), squeeze(count[a:b]))
 
 
 def _answer(sent: DataFrame, level: int, discount: float) -> DataFrame:
     """Shards of one level, staged: counts of words, codes of n-grams. Kind 9 rows carry (value in pack, what in shard)."""
-    def run(shard, rows):
+    def answers(shard, rows):
         if shard >> 40 == 1:
             parts = [[f(x) for f, x in zip((undeltas, unsqueeze), apart(r[3]))] for r in rows]
-            words, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            words, at = distinct(np.concatenate([p[0] for p in parts]))
             total = np.bincount(at, np.concatenate([p[1] for p in parts]), len(words)).astype(np.int64)
-            yield messages([(int((total > 0).sum()), 1, 9, b"")])
+            yield int((total > 0).sum()), 1, 9, b""
             got = np.split(total[at], np.cumsum([len(p[0]) for p in parts])[:-1])
             for r, c in zip(rows, got):
-                yield messages([(r[0], shard, 2, squeeze(c))])
+                yield r[0], shard, 2, squeeze(c)
         else:
             seqs, parts = [], []
             for r in rows:
                 seq, *rest = apart(r[3])
                 seqs.append(seq)
                 parts.append([f(x) for f, x in zip((undeltas, unsqueeze, undeltas, unsqueeze, unsqueeze), rest)])
-            contexts, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-            followers, to = np.unique(np.concatenate([p[2] for p in parts]), return_inverse=True)
+            contexts, at = distinct(np.concatenate([p[0] for p in parts]))
+            followers, to = distinct(np.concatenate([p[2] for p in parts]))
             begin = np.cumsum([0, *[len(p[2]) for p in parts[:-1]]])
             to = to[np.concatenate([p[3] + b for p, b in zip(parts, begin)])]
             entry = np.repeat(at, np.concatenate([p[1] for p in parts])) * len(followers) + to
-            by = np.argsort(entry)
+            by = order_of(entry)
             first = _runs(entry[by])[:-1]
             c, f = np.divmod(entry[by][first], len(followers))
             count = np.add.reduceat(np.concatenate([p[4] for p in parts]).astype(np.int64)[by], first)
             number = np.empty(len(by), np.int32)
             number[by] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(by))))
             learned = count > 0
-            trie = Trie.build(contexts[c[learned]], followers[f[learned]], count[learned], discount).mapped()
+            trie = Trie.numbered(contexts, followers, c[learned], f[learned], count[learned], discount).mapped()
             code, rest = trie.query(contexts, followers, c, f)
             if shard >> 39 & 1:
-                yield messages([(int(count.sum()), shard << 1, 9, b""), (int(learned.sum()), shard << 1 | 1, 9, b"")])
+                yield int(count.sum()), shard << 1, 9, b""
+                yield int(learned.sum()), shard << 1 | 1, 9, b""
             code, at_entry, at_context = code[number], 0, 0
             for r, seq, p in zip(rows, seqs, parts):
                 e, m = len(p[3]), len(p[0])
-                yield messages([(r[0], shard, 2, several(seq, squeeze(code[at_entry:at_entry + e]), squeeze(rest[at[at_context:at_context + m]])))])
+                yield r[0], shard, 2, several(seq, squeeze(code[at_entry:at_entry + e]), squeeze(rest[at[at_context:at_context + m]]))
                 at_entry, at_context = at_entry + e, at_context + m
 
-    return stage(by_group(sent, "shard", run, MESSAGE), f"ngram-answers-{level}")
+    return stage(by_group(sent, "shard", lambda shard, rows: batched(answers(shard, rows)), MESSAGE), f"ngram-answers-{level}")
 
 
 _OUT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -286,7 +293,7 @@ def score(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, pack_
         base = (count + 1) / (tokens + types + 1)
         p = base[seq]
         for level, ((_, mine), answers) in enumerate(zip(s.contexts(order), levels), 2):
-            p = _interpolate(s.keys(mine), s.n_words, answers, p, lambda shard: whole.get((level, shard >> 20 & 0x7FFFF), (0, 0)), part, discount)
+            p = _interpolate(s.keys(mine), s.bits, answers, p, lambda shard: whole.get((level, shard >> 20 & 0x7FFFF), (0, 0)), part, discount)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64(), mask=null.astype(bool)), pa.array(train == 0), pa.array(lens, pa.int64()),
              pa.array(np.add.reduceat((count[seq] > 0).astype(np.int64), s.first), pa.int64()), pa.array(np.full(len(ids), tokens), pa.int64()),
@@ -296,14 +303,14 @@ def score(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, pack_
     return by_group(got.where("kind <> 9"), "pack", run, _OUT)
 
 
-def _interpolate(key: np.ndarray, n_words: int, answers: list, lower: np.ndarray, total_of, part: dict, discount: float) -> np.ndarray:
+def _interpolate(key: np.ndarray, bits: int, answers: list, lower: np.ndarray, total_of, part: dict, discount: float) -> np.ndarray:
     """Each token's probability at this level, from the shards' codes and the lower order's."""
-    by = np.argsort(key)
+    by = order_of(key)
     key = key[by]
     first = _runs(key)[:-1]
     entry = np.empty(len(key), np.int32)
     entry[by] = np.repeat(np.arange(len(first), dtype=np.int32), np.diff(np.append(first, len(key))))
-    context = key[first] // n_words
+    context = key[first] >> bits
     del by, key
     at = np.cumsum(np.concatenate([[False], context[1:] != context[:-1]]))
     seen, rests, cut = [], [], None

@@ -47,6 +47,38 @@ def undeltas(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=steps.dtype)
 
 
+def order_of(x: np.ndarray) -> np.ndarray:
+    """Stable order of integers from 0 up: places ride in the low bits of one plain sort, which is
+    several times faster than an argsort. If bits had to give way for them, the order is checked."""
+    n = len(x)
+    if n < 2:
+        return np.arange(n)
+    x = x.astype(np.uint64, copy=False)
+    key = x - x.min()
+    bits = (n - 1).bit_length()
+    drop = max(0, int(key.max()).bit_length() + bits - 64)
+    key >>= np.uint64(drop)
+    key <<= np.uint64(bits)
+    key |= np.arange(n, dtype=np.uint64)
+    key.sort()
+    key &= np.uint64((1 << bits) - 1)
+    by = key.view(np.int64)
+    if drop and ((y := x[by])[1:] < y[:-1]).any():
+        by = np.argsort(x, kind="stable")
+    return by
+
+
+def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values of integers from 0 up, and each one's number among them."""
+    by = order_of(x)
+    y = x[by]
+    new = np.ones(len(x), bool)
+    new[1:] = y[1:] != y[:-1]
+    number = np.empty(len(x), np.int64)
+    number[by] = np.cumsum(new) - 1
+    return y[new], number
+
+
 def several(*parts: bytes) -> bytes:
     """Join binary values into one."""
     return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
@@ -68,6 +100,19 @@ def messages(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["pack", "shard", "kind", "data"])
 
 
+def batched(rows, n_bytes: int = 1 << 18):
+    """``messages`` of rows in batches of about ``n_bytes``."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[3])
+        if size >= n_bytes:
+            yield messages(held)
+            held, size = [], 0
+    if held:
+        yield messages(held)
+
+
 def grouped(batches, text_at: int, pack_bytes: int):
     """(number, text bytes, table) for successive rows with about ``pack_bytes`` of text; one row at least.
 
@@ -158,10 +203,18 @@ class Numbers(dict):
 
 def token_numbers(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(word numbers of all texts in a row, words per text, the distinct words)."""
-    known, parts, sizes = Numbers(), [], []
-    for v in texts.cast(pa.binary()):
-        raw = v.as_py() or b""
-        words = (raw.lower() if lower else raw).split()
-        sizes.append(len(words))
-        parts.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
-    return (np.concatenate(parts) if parts else np.empty(0, np.int64)), np.array(sizes, np.int64), list(known)
+    import pyarrow.compute as pc
+    texts = pc.fill_null(texts, "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    sizes = pc.list_value_length(split).to_numpy().astype(np.int64)
+    coded = split.flatten().dictionary_encode()
+    del split
+    numbers, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary.cast(pa.binary()).to_pylist()
+    if b"" in words:  # outer whitespace leaves an empty word
+        empty = words.index(b"")
+        word = numbers != empty
+        sizes -= np.bincount(np.repeat(np.arange(len(sizes)), sizes)[~word], minlength=len(sizes))
+        numbers = numbers[word]
+        numbers -= numbers > empty
+        del words[empty]
+    return numbers, sizes, words
